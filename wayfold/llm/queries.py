@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, token_count
+from wayfold.llm import byte_bpe, language, quality, token_count, toxicity
+from wayfold.llm.common import in_remainder, materialize
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,13 +20,36 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialize(quality.features(_read(spark, sf_dir, "documents")), "quality-features")
+    held_out = in_remainder("doc_id", 5, 0)
+    model = quality.learn(measured, _read(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(measured, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_count.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _read(spark, sf_dir, "documents"), in_remainder("doc_id", 5, 0)
+    model = toxicity.learn(docs, _read(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), in_remainder("doc_id", 4, 2)
+    model = language.learn(docs, F.col("doc_id").isNotNull() & ~held_out)
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality": op2_quality,
     "op3_token_count": op3_token_count,
+    "op4_toxicity": op4_toxicity,
+    "op7_language": op7_language,
 }
 ORACLE_SQL: dict[str, str] = {}
