@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import partitions
+from wayfold.llm.common import partitions, splitter
 
 #: Characters of text in a block; bounds what an assembling task holds.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
 #: Distinct words that an encoding task remembers before it starts anew.
 MEMO_WORDS = 1_000_000
 #: Token ids in an output batch, about.
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 250_000
 _LAST = 2**31 - 1
 
 
@@ -42,10 +42,37 @@ def token_bytes(ranks: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(i) for token, i in (line.split() for line in ranks.splitlines() if line)}
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def _id_kind(table: dict[bytes, int]):
+    import numpy as np
+
+    return np.uint16 if max(table.values(), default=0) < 65536 else np.uint32
+
+
+def _packed(pack, sizes, content: bytes) -> bytes:
+    """Items of these sizes in content; each of the two parts compressed."""
+    import pickle
+
+    import numpy as np
+
+    sizes = np.fromiter(sizes, np.uint32)
+    kind = np.uint8 if sizes.max(initial=0) < 256 else np.uint32
+    return pickle.dumps((kind, pack(sizes.astype(kind).tobytes()), pack(content)))
+
+
+def _unpacked(unpack, payload: bytes):
+    import pickle
+
+    import numpy as np
+
+    kind, sizes, content = pickle.loads(payload)
+    return np.frombuffer(unpack(sizes), kind).astype(np.int64), unpack(content)
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, decoded_col: str | None = None) -> DataFrame:
     """Each row's text as token ids: (id_col, ids array<int>), one row for each of docs.
 
-    Null or empty texts give an empty array.
+    Null or empty texts give an empty array. With decoded_col, the ids are decoded
+    again as decode() does, in the pass that puts them together.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
@@ -60,11 +87,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         from collections import defaultdict
 
         import numpy as np
-        import regex
         import zstandard
         from pyspark import TaskContext
 
-        find, pack, part, seq = regex.compile(pattern).findall, zstandard.ZstdCompressor(level=3).compress, TaskContext.get().partitionId(), 0
+        find, pack, part, seq = splitter(pattern), zstandard.ZstdCompressor(level=3).compress, TaskContext.get().partitionId(), 0
 
         def block(ids, counts, words, positions):
             pos = np.concatenate(positions) if positions else np.empty(0, np.uint32)
@@ -80,9 +106,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             rows = []
             for group in np.split(by, cuts) if len(by) else []:
                 own = [words[i] for i in group]
-                sizes = np.fromiter(map(len, own), np.uint32, len(own))
-                rows.append((int(at[group[0]]), number, int(at[group[0]]), pack(pickle.dumps((sizes.tobytes(), b"".join(own))))))
-            planes = tuple(pack(x.tobytes()) for x in (pos.astype(np.uint8), (pos >> 8).astype(np.uint8), (pos >> 16).astype(np.uint16), at.astype(np.uint32)))
+                rows.append((int(at[group[0]]), number, int(at[group[0]]), _packed(pack, map(len, own), b"".join(own))))
+            planes = tuple(pack(x.tobytes()) for x in (pos.astype(np.uint8), (pos >> 8).astype(np.uint8), (pos >> 16).astype(np.uint16), at.astype(np.uint8 if buckets <= 256 else np.uint32)))
             rows.append((number, number, _LAST, pickle.dumps((ids, counts, planes))))
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["slot", "block", "bucket", "payload"])
 
@@ -119,6 +144,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})._core_bpe.encode_single_piece
         pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
 
+        id_kind = _id_kind(table)
+
         class Memo(dict):
             def __missing__(self, word):
                 rank = table.get(word)
@@ -131,10 +158,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             for bucket, payload in zip(batch.column(2).to_pylist(), batch.column(3)):
                 payload = payload.as_py()
                 if bucket != _LAST:
-                    sizes, text = pickle.loads(unpack(payload))
-                    ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
+                    sizes, text = _unpacked(unpack, payload)
+                    ends = np.cumsum(sizes).tolist()
                     encoded = [memo[text[a:b]] for a, b in zip([0, *ends], ends)]
-                    payload = pack(pickle.dumps((np.fromiter(map(len, encoded), np.uint32, len(encoded)).tobytes(), np.fromiter(chain.from_iterable(encoded), np.uint32).tobytes())))
+                    payload = _packed(pack, map(len, encoded), np.fromiter(chain.from_iterable(encoded), id_kind).tobytes())
                     if len(memo) > MEMO_WORDS:
                         memo.clear()
                 out.append(payload)
@@ -147,6 +174,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
+        id_kind = _id_kind(token_bytes(ranks.value))
         held, current = [], None
         for batch in batches:
             for block, bucket, payload in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
@@ -154,15 +182,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     held, current = [], block
                 payload = payload.as_py()
                 if bucket != _LAST:
-                    held.append(pickle.loads(unpack(payload)))
+                    held.append(_unpacked(unpack, payload))
                     continue
                 ids, counts, planes = pickle.loads(payload)
                 low, mid, high = (np.frombuffer(unpack(p), t) for p, t in zip(planes[:3], (np.uint8, np.uint8, np.uint16)))
                 pos = low.astype(np.uint32) | mid.astype(np.uint32) << 8 | high.astype(np.uint32) << 16
-                at = np.frombuffer(unpack(planes[3]), np.uint32)
+                at = np.frombuffer(unpack(planes[3]), np.uint8 if buckets <= 256 else np.uint32)
                 by = np.argsort(at, kind="stable")
-                sizes = np.frombuffer(b"".join(h[0] for h in held), np.uint32).astype(np.int64)
-                flat = np.frombuffer(b"".join(h[1] for h in held), np.uint32).astype(np.int32)
+                sizes = np.concatenate([h[0] for h in held] or [[]]).astype(np.int64)
+                flat = np.frombuffer(b"".join(h[1] for h in held), id_kind).astype(np.int32)
                 if len(sizes) != len(at):
                     raise RuntimeError(f"block {block}: {len(sizes)} of {len(at)} words came back")
                 held = []
@@ -183,38 +211,46 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     blocks = source.mapInArrow(pretokenise, packed).repartition(buckets, "slot")
     encoded = blocks.mapInArrow(encode_words, packed).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
-    return encoded.mapInArrow(assemble, "id string, ids array<int>").select(F.col("id").cast(id_type).alias(id_col), "ids")
-
+    if not decoded_col:
+        return encoded.mapInArrow(assemble, "id string, ids array<int>").select(F.col("id").cast(id_type).alias(id_col), "ids")
+    join = _joiner(ranks, 1, decoded_col)
+    both = encoded.mapInArrow(lambda batches: join(assemble(batches)), f"id string, ids array<int>, `{decoded_col}` binary")
+    return both.select(F.col("id").cast(id_type).alias(id_col), "ids", decoded_col)
 
-def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """encoded with the bytes of its ids in out_col, by a hash join of ids to the token-byte table.
 
-    The table has a row for each token of the vocabulary and so a size that no
-    corpus changes; it is broadcast. Null ids give null; an id that the table lacks
-    is an error. The bytes need not be valid UTF-8, hence binary.
-    """
-    spark = encoded.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = encoded.select("*", F.lit(b"").alias(out_col)).schema
-    at = encoded.columns.index(ids_col)
+def _joiner(ranks, at: int, out_col: str):
+    """Adds to batches the bytes of the ids in column number at."""
 
     def join(batches):
         table = {i: token for token, i in token_bytes(ranks.value).items()}.__getitem__
         for batch in batches:
             ids = batch.column(at)
-            flat, offsets = ids.flatten().to_pylist(), [0]
+            flat, offsets = ids.flatten().to_numpy(zero_copy_only=False).tolist(), [0]
             for n in ids.value_lengths().to_pylist():
                 offsets.append(offsets[-1] + (n or 0))
             known = ids.is_valid().to_pylist()
             out = [b"".join(map(table, flat[a:b])) if ok else None for a, b, ok in zip(offsets, offsets[1:], known)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, out_col])
 
-    return encoded.mapInArrow(join, schema)
+    return join
+
+
+def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """encoded with the bytes of its ids in out_col, by a hash join of ids to the token-byte table.
+
+    The table has a row for each token of the vocabulary and so a size that no
+    corpus changes; it is broadcast. Null ids give null; an id that the table lacks
+    is an error. The bytes need not be valid UTF-8, hence binary.
+    """
+    spark = encoded.sparkSession
+    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    schema = encoded.select("*", F.lit(b"").alias(out_col)).schema
+    return encoded.mapInArrow(_joiner(ranks, encoded.columns.index(ids_col), out_col), schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encodes and decodes whole texts: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    done = decode(encode(docs, ranks_path, pattern), ranks_path)
+    done = encode(docs, ranks_path, pattern, decoded_col="decoded")
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -62,3 +62,24 @@ def partitions(spark: SparkSession) -> int:
 def in_remainder(id_col: str, modulus: int, remainder: int):
     """Whether crc32 of the id as text leaves this remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
+
+
+#: A widely used pattern that splits text before merges, and the same for texts of
+#: Latin letters in the syntax of the faster standard library.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SPLIT_LATIN = r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
+#: Characters that the two libraries class differently, and all beyond Latin.
+_NOT_LATIN = r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0250-\U0010ffff]"
+
+
+def splitter(pattern: str):
+    """A function from text to the list of its pre-tokens by this pattern."""
+    import re
+
+    import regex
+
+    full = regex.compile(pattern).findall
+    if pattern != SPLIT:
+        return full
+    other, latin = re.compile(_NOT_LATIN).search, re.compile(_SPLIT_LATIN).findall
+    return lambda text: full(text) if other(text) else latin(text)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfold.llm.common import splitter
+
 #: Merged words that a task remembers before it starts anew.
 MEMO_WORDS = 400_000
 
@@ -75,7 +77,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
 
         definition, proven = shared.value
         merge, letters = Tokenizer.from_str(definition).model.tokenize, str.maketrans(byte_letters())
-        find = regex.compile(pattern).findall
+        find = splitter(pattern)
         cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
 
         class Counts(dict):
