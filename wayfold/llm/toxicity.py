@@ -8,8 +8,8 @@ document's largest, mean and counted savings give its score by a logistic
 calibration on the learned rows.
 
 Toxic documents are mostly ordinary text. What the toxic dictionary is trained on
-are therefore their words that hold letter sequences far more frequent in toxic
-than in ordinary documents.
+are therefore the parts of words that letter sequences cover which are far more
+frequent in toxic than in ordinary documents.
 
 Edge cases: a null text counts as empty; an empty text has no window and gets the
 score of no savings; texts are taken whole; null labels are not learned from;
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 #: Labelled documents of each class, about, from which dictionaries are trained and
 #: scores calibrated, chosen by a hash of the id; longer texts are not learned from.
 LEARN_ROWS, LEARN_CHARS = 3000, 50_000
-WINDOW = 12
+WINDOW = 8
 #: Bytes of the ordinary dictionary, letters of a sequence, passages that are kept.
-ORDINARY_BYTES, SEQUENCE, PASSAGES = 32_768, 5, 160
-LEVEL = 3
+ORDINARY_BYTES, SEQUENCE, PASSAGES = 32_768, 5, 80
+LEVEL = 4
 
 
 def _words(text: str) -> list[bytes]:
@@ -44,7 +44,6 @@ def _windows(text: str) -> list[bytes]:
 def _train(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     from collections import Counter
 
-    import numpy as np
     import zstandard
 
     def sequences(words):
@@ -57,20 +56,30 @@ def _train(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     least, rate = max(2, 0.01 * len(toxic)), 10 * len(toxic) / max(1, len(ordinary))
     telling = {s for s, n in seen[0].items() if n >= least and n > rate * (seen[1][s] + 1)}
     for text in toxic:
-        for word in {b" " + w for w in _words(text)}:
-            covered = np.zeros(len(word), bool)
-            for i in range(len(word) - SEQUENCE + 1):
-                if word[i : i + SEQUENCE] in telling:
-                    covered[i : i + SEQUENCE] = True
-            if covered.mean() >= 0.5:
-                passages[word] += 1
-    kept = [p for p, n in passages.most_common(PASSAGES) if n >= least]
+        passages.update({run for word in {b" " + w for w in _words(text)} for run in _covered(word, telling)})
+    kept: list[bytes] = []
+    for passage, n in passages.most_common(PASSAGES):
+        if n >= least and not any(passage in other or other in passage for other in kept):
+            kept.append(passage)
     samples = [w for text in ordinary for w in _windows(text)][:100_000]
     try:
         base = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself
         base = b" ".join(samples)[-ORDINARY_BYTES:] or b" " * 8
-    return b"".join(reversed(kept)) + base, base  # matches prefer what is near, so the most frequent come last
+    # The compressor indexes every third position of a dictionary. Padded to that,
+    # each passage is found by its start, and what follows is indexed as without them.
+    return b"".join(p + b" " * (-len(p) % 3) for p in reversed(kept)) + base, base
+
+
+def _covered(word: bytes, telling: set[bytes]) -> list[bytes]:
+    """The runs of a word that telling sequences cover."""
+    runs, end = [], -1
+    for i in range(len(word) - SEQUENCE + 1):
+        if word[i : i + SEQUENCE] in telling:
+            if i > end:
+                runs.append([i, i + SEQUENCE])
+            end = runs[-1][1] = i + SEQUENCE
+    return [word[a:b] for a, b in runs]
 
 
 def _savings(toxic: bytes, ordinary: bytes):
