@@ -1,0 +1,38 @@
+"""Connected components of a graph of links, by contraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wayfold.llm.common import materialize
+
+
+def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root): each node that a link names, and the smallest node it reaches.
+
+    Every round points each node to its smallest neighbour, follows the pointers
+    once more, and contracts the graph to where they lead; rounds are about the
+    logarithm of the longest path. Each round is written to the shared folder, and
+    nothing but whether links remain reaches the driver. Links of a node with
+    itself and nulls are ignored. A hub's links are minima and thus pre-aggregated.
+    """
+    left = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    left = materialize(left, "links")
+    rounds = []
+    while not left.isEmpty():
+        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))
+        onward = near.select(F.col("a").alias("to"), F.col("to").alias("then"))
+        step = materialize(near.join(onward, "to").select(F.col("a").alias("node"), F.col("then").alias("root")), "roots")
+        rounds.append(step)
+        ends = step.select(F.col("node").alias("a"), F.col("root").alias("ra")), step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        moved = left.join(ends[0], "a").join(ends[1], "b").where("ra <> rb")
+        left = materialize(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+    if not rounds:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    found = rounds[0]
+    for step in rounds[1:]:
+        onward = step.select(F.col("node").alias("root"), F.col("root").alias("then"))
+        found = found.join(onward, "root", "left").select("node", F.coalesce("then", "root").alias("root"))
+    return found

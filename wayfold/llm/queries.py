@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, language, quality, token_count, toxicity
+from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, token_count, toxicity
 from wayfold.llm.common import in_remainder, materialize
 
 
@@ -39,17 +39,31 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), in_remainder("doc_id", 4, 2)
     model = language.learn(docs, F.col("doc_id").isNotNull() & ~held_out)
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, ngram=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
     "op3_token_count": op3_token_count,
     "op4_toxicity": op4_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op9_minhash": op9_minhash,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontaminate": decontaminate.DIGEST_SQL,
+    "op9_minhash": minhash.COMPONENTS_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
