@@ -53,7 +53,9 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     windows = benchmark_windows(benchmark, text_col="text", window=window)
     lens = sorted(r[0] for r in windows.select("len").distinct().collect())  # 10 at most
     known = windows.select("len", "window").limit(LITERAL_WINDOWS + 1).collect() if lens else []
-    rows = docs.withColumn("_wf_words", words(F.col(text_col))).withColumn("n_words", F.size("_wf_words"))
+    # explode keeps the optimizer from moving the splitting of a text into the
+    # functions over its windows, where it would run once for each of them.
+    rows = docs.select("*", F.explode(F.array(words(F.col(text_col)))).alias("_wf_words")).withColumn("n_words", F.size("_wf_words"))
 
     def at(size: int, where: str) -> str:
         """SQL for the windows of this size that start where the condition on i holds."""
@@ -105,16 +107,24 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Each run of hit words, with what stands between them, becomes one line break.
     """
-    found = find(docs, benchmark, text_col, window)
-    inside = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    parts = F.regexp_extract_all(F.col(text_col), F.lit(inside + r"|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
-    first = F.when(F.regexp(F.col(text_col), F.lit("^" + inside)), F.lit(0)).otherwise(F.lit(1))
-    cut = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["len"] - 1))))
-    inner = F.array_intersect(cut, F.transform(cut, lambda k: k - 1))  # words whose next word is cut too
-    kept = F.transform(F.col("_wf_parts"), lambda p, i: F.when(F.array_contains(F.col("_wf_cut"), F.floor((i - F.col("_wf_first")) / 2).cast("int")) & ((i - F.col("_wf_first")) % 2 == 0), F.lit("\n")).when(F.array_contains(F.col("_wf_inner"), F.floor((i - F.col("_wf_first")) / 2).cast("int")) & ((i - F.col("_wf_first")) % 2 == 1), F.lit("")).otherwise(p))
-    hit = found.withColumn("_wf_parts", F.when(F.size("hits") > 0, parts)).withColumn("_wf_first", first).withColumn("_wf_cut", cut).withColumn("_wf_inner", inner)
-    text = F.when(F.size("hits") > 0, F.regexp_replace(F.array_join(kept, ""), "\n+", "\n")).otherwise(F.col(text_col))
-    return hit.withColumn(text_col, text).select(*docs.columns)
+    found = find(docs, benchmark, text_col, window).withColumn("_wf_words", F.when(F.size("hits") > 0, words(F.col(text_col))))
+    ordered = F.array_sort(F.transform("hits", lambda h: F.struct(h["at"].alias("at"), (h["at"] + h["len"]).alias("end"))))
+
+    def merge(runs, h):
+        last = F.try_element_at(runs, F.lit(-1))
+        longer = F.struct(last["at"].alias("at"), F.greatest(last["end"], h["end"]).alias("end"))
+        apart = F.coalesce(last["end"] < h["at"], F.lit(True))
+        return F.when(apart, F.concat(runs, F.array(h))).otherwise(F.concat(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), F.array(longer)))
+
+    runs = F.aggregate(ordered, F.array().cast("array<struct<at:int,end:int>>"), merge)
+    between, edge = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+    def pattern(run) -> Column:
+        """Words have no characters that mean something in a pattern."""
+        return F.concat(F.lit(f"(?i)(?<!{edge})"), F.array_join(F.slice(F.col("_wf_words"), run["at"] + 1, run["end"] - run["at"]), between + "+"), F.lit(f"(?!{edge})"))
+
+    text = F.aggregate(runs, F.col(text_col), lambda t, run: F.regexp_replace(t, pattern(run), F.lit("\n")))
+    return found.withColumn(text_col, F.when(F.size("hits") > 0, text).otherwise(F.col(text_col))).select(*docs.columns)
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
