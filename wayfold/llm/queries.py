@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, token_count, toxicity
+from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, spherical_caps, token_count, toxicity, url_filter
 from wayfold.llm.common import in_remainder, materialize
 
 
@@ -39,6 +39,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical_caps.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,15 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+#: Rules of the query: verdict, host and path.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, ngram=4).select("doc_id", "n_shingles", "component_id", "kept")
@@ -59,11 +72,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_token_count": op3_token_count,
     "op4_toxicity": op4_toxicity,
+    "op5_spherical_caps": op5_spherical_caps,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_spherical_caps": spherical_caps.LINKS_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
     "op9_minhash": minhash.COMPONENTS_SQL,
 }
