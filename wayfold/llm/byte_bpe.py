@@ -248,12 +248,13 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     return encoded.mapInArrow(_joiner(ranks, encoded.columns.index(ids_col), out_col), schema)
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encodes and decodes whole texts: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+def digests(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    """Encodes and decodes whole texts: (doc_id, n_tokens, ids_sha256, decoded_sha256[, ids])."""
     done = encode(docs, ranks_path, pattern, decoded_col="decoded")
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )

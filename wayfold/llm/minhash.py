@@ -30,8 +30,9 @@ from wayfold.llm.components import connected_components
 #: A link at similarity 0.8 shares no bucket with a chance of (1 - 0.8^5)^25 = 5e-5.
 BANDS, BAND_ROWS = 25, 5
 BINS = BANDS * BAND_ROWS
-#: Rounds of stars, at most, before all pairs across components are confirmed.
-STAR_ROUNDS = 5
+#: Rounds of stars, at most, before all pairs across components are confirmed; fewer
+#: as soon as the buckets that are left have no more than so many pairs.
+STAR_ROUNDS, PAIRS_AT_ONCE = 3, 1_000_000
 _SET, _TEXT = "_wf_set", "_wf_text"
 
 
@@ -76,7 +77,7 @@ def shingler(ngram: int):
 
 
 def signer():
-    """A function from a set of hashes to the keys of its BANDS buckets."""
+    """A function from a set of hashes to the keys of its BANDS buckets and a byte of each bin."""
     import numpy as np
 
     edges = np.array([(i << 64) // BINS + (i > 0) for i in range(BINS)], np.uint64)
@@ -104,7 +105,7 @@ def signer():
         keys = band
         for column in bins.reshape(BANDS, BAND_ROWS).T:
             keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
-        return keys.astype(np.int64)
+        return keys.astype(np.int64), bins.astype(np.uint8).tobytes()
 
     return of
 
@@ -113,7 +114,7 @@ def _sketch(docs: DataFrame, text_col: str, ngram: int) -> DataFrame:
     """docs with the text compressed, its set's size, fingerprint and bucket keys."""
     rows = docs.withColumn(ROW, F.monotonically_increasing_id())
     others = [c for c in rows.columns if c != text_col]
-    schema = rows.select(*others, F.lit(b"").alias(_TEXT), F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias(_SET), F.array(F.lit(0).cast("long")).alias("_wf_keys")).schema
+    schema = rows.select(*others, F.lit(b"").alias(_TEXT), F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias(_SET), F.array(F.lit(0).cast("long")).alias("_wf_keys"), F.lit(b"").alias("_wf_bins")).schema
     for field in schema.fields:
         field.nullable = True
 
@@ -124,15 +125,17 @@ def _sketch(docs: DataFrame, text_col: str, ngram: int) -> DataFrame:
 
         shingles, sign, pack = shingler(ngram), signer(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            texts, sizes, sets, keys = [], [], [], []
+            texts, sizes, sets, keys, bins = [], [], [], [], []
             for text in batch.column(len(others)).to_pylist():
                 hashes = shingles(text)
                 texts.append(None if text is None else pack(text.encode()))
                 sizes.append(len(hashes))
                 sets.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
-                keys.append(sign(hashes) if len(hashes) else None)
-            added = [pa.array(texts, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *added], names=[*others, _TEXT, "n_shingles", _SET, "_wf_keys"])
+                signed = sign(hashes) if len(hashes) else (None, None)
+                keys.append(signed[0])
+                bins.append(signed[1])
+            added = [pa.array(texts, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *added], names=[*others, _TEXT, "n_shingles", _SET, "_wf_keys", "_wf_bins"])
 
     return rows.select(*others, text_col).mapInArrow(sketch, schema)
 
@@ -145,15 +148,21 @@ def _confirm(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> Da
         import zstandard
 
         shingles, unpack = shingler(ngram), zstandard.ZstdDecompressor().decompress
-        last, hub = None, None
+        held: dict[int, np.ndarray] = {}
+
+        def set_of(number, text):
+            if number not in held:
+                if len(held) >= 4000:
+                    held.clear()
+                held[number] = shingles(unpack(text.as_py()).decode())
+            return held[number]
+
         for batch in batches:
             a, b = [], []
             for x, y, left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                if y != last:  # rows come by b
-                    last, hub = y, shingles(unpack(right.as_py()).decode())
-                own = shingles(unpack(left.as_py()).decode())
-                common = len(own) + len(hub) - len(np.union1d(own, hub))
-                if 100 * common >= percent * (len(own) + len(hub) - common):
+                one, two = set_of(x, left), set_of(y, right)
+                common = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum())
+                if 100 * common >= percent * (len(one) + len(two) - common):
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -174,60 +183,94 @@ def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col:
     """
     sketched = materialize(_sketch(docs, text_col, ngram), "sketches")
     filled = sketched.where(F.col(_SET).isNotNull())
-    classes = filled.groupBy(_SET).agg(F.min(ROW).alias("class"), F.first("n_shingles").alias("n"), F.first("_wf_keys").alias("keys"))
+    # What a class needs: its first row, one row's sketch, its smallest id, the row that stays.
+    smallest = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(ROW)))
+    classes = filled.groupBy(_SET).agg(F.min(ROW).alias("class"), F.first("n_shingles").alias("n"), F.first("_wf_keys").alias("keys"), F.first("_wf_bins").alias("bins"), F.min(id_col).alias("first_id"), smallest.alias("keeper_row"))
     classes = materialize(classes, "classes")
     members = classes.select("class", "n", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
-    members = materialize(members.join(shared, "key"), "members")  # of buckets with company
-    sizes = members.select(F.col("class").alias("b"), F.col("n").alias("nb")).distinct()
-    fits = (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent) & (F.col("a") != F.col("b"))
-    texts = None
-    links, tested = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        if turn == 0:
-            pairs = members.select(F.col("class").alias("a"), F.col("hub").alias("b"), "n")
+    hubs = members.groupBy("key").agg(F.min(F.struct("class", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
+    members = materialize(members.join(hubs, "key"), "members")  # of buckets with company
+    texts = materialize(filled.select(F.col(ROW).alias("class"), _TEXT).join(members.select("class"), "class", "left_semi"), "texts")
+
+    def confirmed(pairs: DataFrame, pruned: bool) -> DataFrame:
+        fits = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
+        pairs = pairs.where(fits).select("a", "b").distinct()
+        return materialize(_confirm(_likely(pairs, classes, percent) if pruned else pairs, texts, ngram, percent), "confirmed")
+
+    stars = members.where("class <> hub.class").select(F.col("class").alias("a"), F.col("hub.class").alias("b"), "n", F.col("hub.n").alias("nb"))
+    labels = _labels(confirmed(stars, False))
+    for turn in range(STAR_ROUNDS):
+        labelled = members.join(labels, "class", "left").select("class", "n", "key", "hub", F.coalesce("root", "class").alias("root"))
+        some = F.min_by(F.struct("class", "n", "root"), F.xxhash64("class", F.lit(turn)))
+        mixed = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size"), some.alias("next")).where("r0 <> r1")
+        mixed = materialize(mixed.select("key", "size", "next"), "mixed")
+        work = mixed.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
+        if work is None:
+            break
+        labelled = labelled.join(mixed.select("key", "next"), "key")
+        last = work <= PAIRS_AT_ONCE or turn == STAR_ROUNDS - 1
+        if last:
+            other = labelled.where("class <> hub.class").select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+            pairs = labelled.where("class <> hub.class").join(other, "key").where("root <> rb AND class < b").select(F.col("class").alias("a"), "b", "n", "nb")
         else:
-            labelled = members.select("class", "n", "key").join(_labels(links), "class", "left").withColumn("root", F.coalesce("root", "class"))
-            open_keys = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size"), F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("hub")).where("r0 <> r1")
-            open_keys = materialize(open_keys, "open")
-            total = open_keys.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
-            if total is None:
-                break
-            labelled = labelled.join(open_keys.select("key", "hub"), "key")
-            across = turn == STAR_ROUNDS or total < 2_000_000
-            other = labelled.select("key", F.col("class").alias("b"), F.col("root").alias("rb"))
-            if across:
-                pairs = labelled.join(other, "key").where((F.col("root") != F.col("rb")) & (F.col("class") < F.col("b"))).select(F.col("class").alias("a"), "b", "n")
-            else:
-                hubs = labelled.where("class = hub").select("key", F.col("class").alias("b"), F.col("root").alias("rb"))
-                pairs = labelled.join(hubs, "key").where(F.col("root") != F.col("rb")).select(F.col("class").alias("a"), "b", "n")
-        pairs = pairs.where("a <> b").distinct().join(sizes, "b").where(fits).select("a", "b")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if texts is None:
-            wanted = members.select("class").distinct()
-            texts = materialize(filled.select(F.col(ROW).alias("class"), _TEXT).join(wanted, "class"), "texts")
-        confirmed = materialize(_confirm(pairs, texts, ngram, percent), "confirmed")
-        links = confirmed if links is None else links.union(confirmed)
-        both = pairs.union(pairs.select("b", "a"))
-        tested = both if tested is None else tested.union(both)
-        if turn and across:
+            pairs = labelled.where("root <> next.root").select(F.col("class").alias("a"), F.col("next.class").alias("b"), "n", F.col("next.n").alias("nb"))
+        labels = _joined(labels, confirmed(pairs, True))
+        if last:
             break
-    id_type = docs.schema[id_col].dataType
-    firsts = filled.groupBy(_SET).agg(F.min(id_col).alias("first_id"), F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(ROW))).alias("keeper_row"))
-    placed = classes.select(_SET, "class").join(firsts, _SET).join(_labels(links), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    tops = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.min("keeper_row").alias("keeper_row"))
-    placed = placed.select(_SET, "root").join(tops, "root").select(_SET, "component_id", F.col(f"keeper_row.{ROW}").alias("_wf_keeper"))
-    out = sketched.drop("_wf_keys").join(placed, _SET, "left")
+    # Most classes are alone in their component; only the others meet.
+    linked = classes.select("class", "first_id", "keeper_row").join(labels, "class")
+    tops = linked.groupBy("root").agg(F.min("first_id").alias("top_id"), F.min("keeper_row").alias("top_row"))
+    moved = linked.select("class", "root").join(tops, "root").select("class", "top_id", "top_row")
+    placed = classes.select(_SET, "class", "first_id", "keeper_row").join(moved, "class", "left")
+    placed = placed.select(_SET, F.when(F.col("top_row").isNull(), F.col("first_id")).otherwise(F.col("top_id")).alias("component_id"), F.coalesce("top_row", "keeper_row")[ROW].alias("_wf_keeper"))
+    out = sketched.drop("_wf_keys", "_wf_bins").join(placed, _SET, "left")
     alone = F.col(_SET).isNull()
-    out = out.withColumn("component_id", F.when(alone, F.col(id_col)).otherwise(F.col("component_id")).cast(id_type))
-    out = out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)) | (F.col(id_col).isNull() & F.col("component_id").isNull()))
+    out = out.withColumn("component_id", F.when(alone, F.col(id_col)).otherwise(F.col("component_id")))
+    out = out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
     return out.withColumn("keeper", alone | (F.col("_wf_keeper") == F.col(ROW))).drop(ROW, _SET, "_wf_keeper")
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    return connected_components(links).withColumnRenamed("node", "class")
+    """(class, root) of the classes that links name."""
+    return materialize(connected_components(links), "labels").withColumnRenamed("node", "class")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after more links."""
+    if links.isEmpty():
+        return labels
+    ends = (labels.select(F.col("class").alias(x), F.col("root").alias(f"r{x}")) for x in ("a", "b"))
+    moved = links.join(next(ends), "a", "left").join(next(ends), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    onward = _labels(moved).select(F.col("class").alias("old"), F.col("root").alias("new"))
+    known = labels.join(onward, F.col("root") == F.col("old"), "left").select("class", F.coalesce("new", "root").alias("root"))
+    fresh = onward.join(labels, F.col("old") == F.col("class"), "left_anti").select(F.col("old").alias("class"), F.col("new").alias("root"))
+    return materialize(known.union(fresh), "labels")
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """pairs without those that their bins show to be far below the threshold.
+
+    Of BINS bins, pairs at the threshold have that share in common, give or take
+    sqrt(0.16 / BINS) = 0.036. What is less by 0.2 (over five deviations) goes. Sets
+    with few shingles fill bins from each other; they are not judged this way.
+    """
+    least = BINS * (percent - 20) // 100
+
+    def judge(batches):
+        import numpy as np
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(n, BINS) for i in (3, 4))
+            small = batch.column(2).to_numpy() < 2 * BINS
+            keep = pa.array(small | ((left == right).sum(1) >= least))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+
+    left = classes.select(F.col("class").alias("a"), F.col("bins").alias("left"), F.col("n").alias("n1"))
+    right = classes.select(F.col("class").alias("b"), F.col("bins").alias("right"), F.col("n").alias("n2"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", F.least("n1", "n2").alias("n"), "left", "right").mapInArrow(judge, "a long, b long")
 
 
 def with_text(rows: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:

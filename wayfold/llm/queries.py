@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, spherical_caps, token_count, toxicity, url_filter
-from wayfold.llm.common import in_remainder, materialize
+from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, spherical_caps, token_count, toxicity, url_filter, warc_zip
+from wayfold.llm.common import in_remainder, materialize, new_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,7 +21,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = materialize(quality.features(_read(spark, sf_dir, "documents")), "quality-features")
+    measured = materialize(quality.features(_read(spark, sf_dir, "documents"), ["doc_id"]), "quality-features")
     held_out = in_remainder("doc_id", 5, 0)
     model = quality.learn(measured, _read(spark, sf_dir, "labels"), ~held_out)
     scored = quality.score(measured, model)
@@ -67,6 +67,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, ngram=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = _read(spark, sf_dir, "pages"), new_path(spark, "packages")
+    records = warc_zip.read_packages(warc_zip.write_packages(pages, folder), folder, pages.schema["page_id"].dataType.simpleString())
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
@@ -77,9 +83,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language": op7_language,
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
+    "op10_warc_zip": op10_warc_zip,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_spherical_caps": spherical_caps.LINKS_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
     "op9_minhash": minhash.COMPONENTS_SQL,
+    "op10_warc_zip": warc_zip.RECORDS_SQL,
 }
