@@ -8,9 +8,9 @@ copies cost one row. In a bucket only the links of a star are candidates, from i
 hub to each other class; all candidates are confirmed on full sets.
 
 A star may miss a link between two classes of which its hub links only one. So
-buckets that still hold more than one component are taken up again with other
-hubs, and at last all pairs across components in what remains are confirmed: no
-link between documents that share a bucket is lost.
+buckets that still hold more than one component are taken up again, and there all
+pairs across components are judged where they are, without being emitted: no link
+between documents that share a bucket is lost.
 
 Edge cases: null texts and texts without words have an empty set and link with
 nothing; fewer words than a shingle make one shingle; repeated rows are copies;
@@ -21,18 +21,17 @@ null; empty tables give empty results.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import ROW, materialize
+from wayfold.llm.common import ROW, materialize, partitions
 from wayfold.llm.components import connected_components
 
 #: A link at similarity 0.8 shares no bucket with a chance of (1 - 0.8^5)^25 = 5e-5.
 BANDS, BAND_ROWS = 25, 5
 BINS = BANDS * BAND_ROWS
-#: Rounds of stars, at most, before all pairs across components are confirmed; fewer
-#: as soon as the buckets that are left have no more than so many pairs.
-STAR_ROUNDS, PAIRS_AT_ONCE = 3, 1_000_000
+#: Classes that a task compares with as many others.
+CHUNK = 2000
 _SET, _TEXT = "_wf_set", "_wf_text"
 
 
@@ -190,33 +189,15 @@ def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col:
     members = classes.select("class", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min(F.struct("class", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
     members = materialize(members.join(hubs, "key"), "members")  # of buckets with company
-    texts = materialize(filled.select(F.col(ROW).alias("class"), _TEXT).join(members.select("class"), "class", "left_semi"), "texts")
-
-    def confirmed(pairs: DataFrame, pruned: bool) -> DataFrame:
-        fits = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
-        pairs = pairs.where(fits).select("a", "b").distinct()
-        return materialize(_confirm(_likely(pairs, classes, percent) if pruned else pairs, texts, ngram, percent), "confirmed")
-
+    wanted = members.select("class")
+    texts = filled.select(F.col(ROW).alias("class"), _TEXT).join(wanted, "class", "left_semi")
+    profiles = materialize(texts.join(classes.select("class", "n", "keys", "bins"), "class"), "profiles")
     stars = members.where("class <> hub.class").select(F.col("class").alias("a"), F.col("hub.class").alias("b"), "n", F.col("hub.n").alias("nb"))
-    labels = _labels(confirmed(stars, False))
-    for turn in range(STAR_ROUNDS):
-        labelled = members.join(labels, "class", "left").select("class", "n", "key", "hub", F.coalesce("root", "class").alias("root"))
-        some = F.min_by(F.struct("class", "n", "root"), F.xxhash64("class", F.lit(turn)))
-        mixed = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("size"), some.alias("next")).where("r0 <> r1")
-        mixed = materialize(mixed.select("key", "size", "next"), "mixed")
-        work = mixed.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
-        if work is None:
-            break
-        labelled = labelled.join(mixed.select("key", "next"), "key")
-        last = work <= PAIRS_AT_ONCE or turn == STAR_ROUNDS - 1
-        if last:
-            other = labelled.where("class <> hub.class").select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-            pairs = labelled.where("class <> hub.class").join(other, "key").where("root <> rb AND class < b").select(F.col("class").alias("a"), "b", "n", "nb")
-        else:
-            pairs = labelled.where("root <> next.root").select(F.col("class").alias("a"), F.col("next.class").alias("b"), "n", F.col("next.n").alias("nb"))
-        labels = _joined(labels, confirmed(pairs, True))
-        if last:
-            break
+    fits = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
+    stars = stars.where(fits).select("a", "b").distinct()
+    labels = _labels(materialize(_confirm(stars, profiles, ngram, percent), "confirmed"))
+    labelled = members.select("class", "key").join(labels, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    labels = _joined(labels, materialize(_across(labelled, profiles, ngram, percent), "across"))
     # Most classes are alone in their component; only the others meet.
     linked = classes.select("class", "first_id", "keeper_row").join(labels, "class")
     tops = linked.groupBy("root").agg(F.min("first_id").alias("top_id"), F.min("keeper_row").alias("top_row"))
@@ -247,30 +228,101 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(known.union(fresh), "labels")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """pairs without those that their bins show to be far below the threshold.
+def _across(labelled: DataFrame, profiles: DataFrame, ngram: int, percent: int) -> DataFrame:
+    """Links (a, b) that join components which share buckets; all of them as components.
 
-    Of BINS bins, pairs at the threshold have that share in common, give or take
-    sqrt(0.16 / BINS) = 0.036. What is less by 0.2 (over five deviations) goes. Sets
-    with few shingles fill bins from each other; they are not judged this way.
+    labelled has key, class and root of all members. Only buckets with several roots
+    are dealt out. Within a task all pairs across components are judged, but what is
+    emitted are the links that joined something, fewer than the task has rows. A pair
+    that shares several buckets is judged in the first. A bucket of more than CHUNK
+    classes is cut: those of its commonest root meet all others, chunk by chunk, but
+    not each other; the others meet each other.
     """
+    by_root = labelled.groupBy("key", "root").agg(F.count("*").alias("size"))
+    open_keys = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.sum("size").alias("total"), F.max(F.struct("size", "root")).alias("top")).where("roots > 1")
+    chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    large = F.col("total") > CHUNK
+    open_keys = open_keys.select("key", large.alias("large"), F.col("top.root").alias("top"), chunks(F.col("top.size")).alias("m"), chunks(F.col("total") - F.col("top.size")).alias("k"))
+    rows = labelled.join(open_keys, "key").withColumn("major", F.col("large") & (F.col("root") == F.col("top")))
+    own = F.pmod(F.xxhash64("class"), F.when(F.col("major"), F.col("m")).otherwise(F.col("k"))).cast("int")
+    rows = rows.withColumn("own", F.when(F.col("large"), own).otherwise(0))
+
+    def places(n: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(n) - 1), make)
+
+    def place(kind: int, i, j):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("c1"), j.alias("c2"))
+
+    meets_minor = places("k", lambda j: place(0, F.col("own"), j))
+    meets_all = F.concat(places("m", lambda i: place(0, i, F.col("own"))), places("k", lambda j: place(1, F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
+    dealt = F.when(~F.col("large"), F.array(place(2, F.col("own"), F.col("own")))).when(F.col("major"), meets_minor).otherwise(meets_all)
+    rows = rows.select("key", "class", "root", "major", "own", F.explode(dealt).alias("p")).join(profiles, "class")
+    order = ["key", "kind", "c1", "c2"]
+    rows = rows.select("key", "p.*", "class", "root", "major", "own", "n", "keys", "bins", _TEXT)
+    rows = rows.repartition(partitions(rows.sparkSession), *order).sortWithinPartitions(*order, "class")
     least = BINS * (percent - 20) // 100
 
-    def judge(batches):
+    def compare(batches):
         import numpy as np
+        import zstandard
 
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(n, BINS) for i in (3, 4))
-            small = batch.column(2).to_numpy() < 2 * BINS
-            keep = pa.array(small | ((left == right).sum(1) >= least))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-    left = classes.select(F.col("class").alias("a"), F.col("bins").alias("left"), F.col("n").alias("n1"))
-    right = classes.select(F.col("class").alias("b"), F.col("bins").alias("right"), F.col("n").alias("n2"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", F.least("n1", "n2").alias("n"), "left", "right").mapInArrow(judge, "a long, b long")
+        shingles, unpack = shingler(ngram), zstandard.ZstdDecompressor().decompress
+
+        def links(place, group):
+            key, kind, c1, c2 = place
+            names, roots, major, own, n, keys, bins, texts = zip(*group)
+            label, n, major, own = np.array(roots), np.array(n), np.array(major), np.array(own)
+            keys, bins = np.array(keys), np.frombuffer(b"".join(bins), np.uint8).reshape(len(group), BINS)
+            band = int(np.argmax(keys[0] == key))
+            sets = {}
+
+            def set_of(i):
+                if i not in sets:
+                    sets[i] = shingles(unpack(texts[i]).decode())
+                return sets[i]
+
+            for i in range(len(group) - 1):
+                j = np.arange(i + 1, len(group))
+                ok = label[j] != label[i]
+                if kind == 0:
+                    ok &= major[j] != major[i]
+                elif c1 != c2:
+                    ok &= own[j] != own[i]
+                ok &= np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * percent
+                j = j[ok]
+                if not len(j):
+                    continue
+                j = j[np.argmax(keys[j] == keys[i], 1) == band]
+                # Of BINS bins, pairs at the threshold have that share in common, give or take
+                # sqrt(0.16 / BINS) = 0.036. What is less by 0.2 (over five deviations) goes. Sets
+                # with few shingles fill bins from each other; they are not judged this way.
+                same = (bins[j] == bins[i]).sum(1)
+                ok = (same >= least) | (np.minimum(n[j], n[i]) < BINS)
+                for x in j[ok][np.argsort(-same[ok], kind="stable")].tolist():
+                    if label[x] == label[i]:
+                        continue
+                    one, two = set_of(i), set_of(x)
+                    common = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum())
+                    if 100 * common >= percent * (len(one) + len(two) - common):
+                        yield names[i], names[x]
+                        label[label == label[x]] = label[i]
+
+        def rows_of():
+            current, group = None, []
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns)):
+                    if row[:4] != current:
+                        if len(group) > 1:
+                            yield from links(current, group)
+                        current, group = row[:4], []
+                    group.append(row[4:])
+            if len(group) > 1:
+                yield from links(current, group)
+
+        found = list(rows_of())  # fewer than the rows that came
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def with_text(rows: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
