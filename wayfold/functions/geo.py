@@ -100,22 +100,27 @@ def length(geometry: Column) -> Column:
     return F.coalesce(s["start_m"] + s["len_m"], F.lit(0.0))
 
 
-def nearest_on(segs: Column, lon: Column, lat: Column) -> Column:
+def nearest_on(segs: Column, lon: Column, lat: Column, kx: Column, ky: Column) -> Column:
     """The nearest segment of a polyline's segments(): struct(d2, i, f), the first of equals.
 
-    Segments are compared by planar distance; the caller measures the one that wins.
+    kx and ky are the metres of a degree at the position, as plain columns: functions
+    over arrays are interpreted, and evaluate what is written in them once for each
+    use. Segments are compared by planar distance; the caller measures the one that wins.
     """
-    kx, ky = metres_per_degree(lat)
 
-    def one(s, i):
-        dx, dy = (s["bx"] - s["ax"]) * kx, (s["by"] - s["ay"]) * ky
-        px, py = (lon - s["ax"]) * kx, (lat - s["ay"]) * ky
-        norm = dx * dx + dy * dy
-        f = F.when(norm == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * dx + py * dy) / norm)))
-        ox, oy = px - f * dx, py - f * dy
-        return F.struct((ox * ox + oy * oy).alias("d2"), i.alias("i"), f.alias("f"))
+    def foot(s, i):
+        dx, dy = s["bx"] - s["ax"], s["by"] - s["ay"]
+        along = F.try_divide((lon - s["ax"]) * dx * kx * kx + (lat - s["ay"]) * dy * ky * ky, F.pow(dx * kx, F.lit(2.0)) + F.pow(dy * ky, F.lit(2.0)))
+        f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
+        return F.struct(i.alias("i"), f.alias("f"), s.alias("s"))
+
+    def far(p):
+        s, f = p["s"], p["f"]
+        ox = (lon - s["ax"] - f * (s["bx"] - s["ax"])) * kx
+        oy = (lat - s["ay"] - f * (s["by"] - s["ay"])) * ky
+        return F.struct((F.pow(ox, F.lit(2.0)) + F.pow(oy, F.lit(2.0))).alias("d2"), p["i"].alias("i"), f.alias("f"))
 
-    return F.array_min(F.transform(segs, one))
+    return F.array_min(F.transform(F.transform(segs, foot), far))
 
 
 def position_at(segs: Column, fraction: Column) -> Column:

@@ -67,12 +67,12 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
         return samples.groupBy(key).applyInArrow(lambda g: run(g, shared.value), schema)
     # A regional network for each trace: its tiles, grown by one, cover the bound.
     x, y = tile.tile_x(F.col("lon"), REGION_ZOOM), tile.tile_y(F.col("lat"), REGION_ZOOM)
-    near = samples.select(key, x.alias("x"), y.alias("y")).distinct()
+    near = samples.select(F.col(key).alias("_trace"), x.alias("x"), y.alias("y")).distinct()
     near = near.withColumn("x", F.explode(F.array(F.col("x") - 1, F.col("x"), F.col("x") + 1))).withColumn("y", F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1))).distinct()
     first = F.element_at("geometry", 1)
     placed = network.edges(roads).withColumns({"x": tile.tile_x(first["lon"], REGION_ZOOM), "y": tile.tile_y(first["lat"], REGION_ZOOM)})
-    own = placed.join(near, ["x", "y"]).select(key, "ref_id", "src", "dst", "length_m", "max_speed", "priority")
-    own = own.select(key, "ref_id", "src", "dst", "length_m", rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority")).alias("cost")).dropDuplicates([key, "ref_id"])
+    own = placed.join(near, ["x", "y"])
+    own = own.select("_trace", "ref_id", "src", "dst", "length_m", rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority")).alias("cost")).dropDuplicates(["_trace", "ref_id"])
 
     def together(group, part):
         if not group.num_rows:
@@ -86,7 +86,7 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
         fields = [f.split() for f in schema.split(", ")]
         return pa.Table.from_arrays([pa.array([], kinds[kind]) for _, kind in fields], names=[c for c, _ in fields])
 
-    return samples.groupBy(key).cogroup(own.groupBy(key)).applyInArrow(together, schema)
+    return samples.groupBy(key).cogroup(own.groupBy("_trace")).applyInArrow(together, schema)
 
 
 def speed_edges(matched: DataFrame) -> DataFrame:

@@ -41,11 +41,12 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     azimuth, road_class. A pair gives one row for each direction of the road.
     """
     near = listed_roads(roads.select("geom_id", "fwd_ref", "back_ref", "road_class", "geometry"), radius_m, cell)
-    placed = points.withColumns({"cx": _cell(F.col("lon"), cell), "cy": _cell(F.col("lat"), cell)})
+    kx, ky = geo.metres_per_degree(F.col("lat"))
+    placed = points.withColumns({"cx": _cell(F.col("lon"), cell), "cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
     # explode of one item binds the nearest segment once; the optimizer would
     # otherwise repeat its search wherever the result is used.
     pairs = placed.join(near, ["cx", "cy"]).drop("cx", "cy")
-    pairs = pairs.withColumn("hit", F.explode(F.array(geo.nearest_on(F.col("segs"), F.col("lon"), F.col("lat"))))).where(F.col("hit.d2") <= (radius_m * 1.01) ** 2)
+    pairs = pairs.withColumn("hit", F.explode(F.array(geo.nearest_on(F.col("segs"), F.col("lon"), F.col("lat"), F.col("_kx"), F.col("_ky"))))).where(F.col("hit.d2") <= (radius_m * 1.01) ** 2)
     s = F.get("segs", F.col("hit.i"))
     x, y = geo.interpolate(s["ax"], s["ay"], s["bx"], s["by"], F.col("hit.f"))
     last = F.element_at("segs", -1)
