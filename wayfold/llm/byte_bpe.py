@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import partitions, splitter
+from wayfold.llm.common import mapped, partitions, splitter
 
 #: Characters of text in a block; bounds what an assembling task holds.
 BLOCK_CHARS = 16_000_000
 #: Distinct words that an encoding task remembers before it starts anew.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 #: Token ids in an output batch, about.
 BATCH_TOKENS = 250_000
 _LAST = 2**31 - 1
@@ -209,12 +209,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out))], names=["id", "ids"])
                     first = last
 
-    blocks = source.mapInArrow(pretokenise, packed).repartition(buckets, "slot")
-    encoded = blocks.mapInArrow(encode_words, packed).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
+    blocks = mapped(source, pretokenise, packed).repartition(buckets, "slot")
+    encoded = mapped(blocks, encode_words, packed).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
     if not decoded_col:
-        return encoded.mapInArrow(assemble, "id string, ids array<int>").select(F.col("id").cast(id_type).alias(id_col), "ids")
+        return mapped(encoded, assemble, "id string, ids array<int>").select(F.col("id").cast(id_type).alias(id_col), "ids")
     join = _joiner(ranks, 1, decoded_col)
-    both = encoded.mapInArrow(lambda batches: join(assemble(batches)), f"id string, ids array<int>, `{decoded_col}` binary")
+    both = mapped(encoded, lambda batches: join(assemble(batches)), f"id string, ids array<int>, `{decoded_col}` binary")
     return both.select(F.col("id").cast(id_type).alias(id_col), "ids", decoded_col)
 
 
@@ -245,7 +245,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     spark = encoded.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     schema = encoded.select("*", F.lit(b"").alias(out_col)).schema
-    return encoded.mapInArrow(_joiner(ranks, encoded.columns.index(ids_col), out_col), schema)
+    return mapped(encoded, _joiner(ranks, encoded.columns.index(ids_col), out_col), schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:

@@ -2,57 +2,45 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfold.shared import materialize, new_path, shared_dir  # noqa: F401
+
 #: A row's own number; doc_id may be null or repeated, so operators that must
 #: tell rows apart use this one.
 ROW = "_wf_row"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset (tests,
-    one machine) a temporary folder is made and set for the session.
-    """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.wayfold.shared.dir", None)
-    if not path:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = "file://" + tempfile.mkdtemp(prefix="wayfold-")
-        spark.conf.set("spark.wayfold.shared.dir", path)
-        _delete_on_exit(spark, path)
-    return path.rstrip("/")
+#: Rows that a task's Python holds at once; texts may be long.
+BATCH_ROWS = 1000
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
-    sc = spark.sparkContext
-    where = sc._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+def mapped(df: DataFrame, work, schema) -> DataFrame:
+    """df.mapInArrow(work, schema) with small batches, and memory given back at a task's end.
 
+    Python workers live on and serve other tasks; what their allocators keep would
+    add up over the stages of a long application.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _delete_on_exit(spark, path)
-    return path
+    def run(batches):
+        import ctypes
+        import gc
 
+        import pyarrow
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there.
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
 
-    Unlike checkpoint() it runs the plan once, keeps columns prunable, and survives
-    lost executors since no block lives on one machine only.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.mapInArrow(run, schema)
 
 
 def partitions(spark: SparkSession) -> int:

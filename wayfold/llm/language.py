@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfold.llm.common import mapped
+
 #: Rows of a language, about, from which its n-grams are learned; a larger table is
 #: sampled by a hash of the id. This bounds the model, not what is scored.
 LEARN_ROWS = 4000
@@ -98,7 +100,7 @@ def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
                     held = 0
         yield flush()
 
-    counted = rows.where(keep).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = mapped(rows.where(keep).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     sampled = {r[0]: r[1] for r in counted.where("gram = -1").select("lang", "n").collect()}
     enough = F.lit(False)
     for lang, n in sampled.items():
@@ -164,4 +166,4 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 scores.append(float(min(1.0, max(0.0, right[best]))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.select(*keys, text_col).mapInArrow(score, schema)
+    return mapped(docs.select(*keys, text_col), score, schema)

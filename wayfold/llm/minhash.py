@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import ROW, materialize, partitions
-from wayfold.llm.components import connected_components
+from wayfold.llm.common import ROW, mapped, materialize, partitions
+from wayfold.operators.network import connected_components
 
 #: A link at similarity 0.8 shares no bucket with a chance of (1 - 0.8^5)^25 = 5e-5.
 BANDS, BAND_ROWS = 25, 5
@@ -62,7 +62,7 @@ def shingler(ngram: int):
         words = text.encode().lower().split() if text else []
         if not words:
             return np.empty(0, np.uint64)
-        if len(memo) > 500_000:
+        if len(memo) > 150_000:
             memo.clear()
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
         n = min(ngram, len(h))
@@ -136,7 +136,7 @@ def _sketch(docs: DataFrame, text_col: str, ngram: int) -> DataFrame:
             added = [pa.array(texts, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *added], names=[*others, _TEXT, "n_shingles", _SET, "_wf_keys", "_wf_bins"])
 
-    return rows.select(*others, text_col).mapInArrow(sketch, schema)
+    return mapped(rows.select(*others, text_col), sketch, schema)
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> Da
     left = texts.select(F.col("class").alias("a"), F.col(_TEXT).alias("left"))
     right = texts.select(F.col("class").alias("b"), F.col(_TEXT).alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(confirm, "a long, b long")
+    return mapped(both, confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,7 +322,7 @@ def _across(labelled: DataFrame, profiles: DataFrame, ngram: int, percent: int)
         found = list(rows_of())  # fewer than the rows that came
         yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return mapped(rows, compare, "a long, b long")
 
 
 def with_text(rows: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -341,7 +341,7 @@ def with_text(rows: DataFrame, docs: DataFrame, text_col: str = "text") -> DataF
             texts = [None if t is None else unpacked(t).decode() for t in batch.column(len(others)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(texts, pa.string())], names=[*others, text_col])
 
-    out = rows.select(*others, _TEXT).mapInArrow(unpack, schema)
+    out = mapped(rows.select(*others, _TEXT), unpack, schema)
     return out.select(*columns, *[c for c in others if c not in columns])
 
 

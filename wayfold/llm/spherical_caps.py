@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import ROW, materialize, partitions
-from wayfold.llm.components import connected_components
+from wayfold.llm.common import ROW, mapped, materialize, partitions
+from wayfold.operators.network import connected_components
 
 #: Filters that list a vector, on average; two vectors at cosine 0.95 share about half.
 LISTED = 16
@@ -99,7 +99,7 @@ def _listed(classes: DataFrame, counts: dict[int, int]) -> DataFrame:
                     lists[i] = names + (dim << 40)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(lists, pa.list_(pa.int64()))], names=["class", "weight", "v", "filters"])
 
-    return classes.select("class", "weight", "v").mapInArrow(work, "class long, weight long, v array<double>, filters array<long>")
+    return mapped(classes.select("class", "weight", "v"), work, "class long, weight long, v array<double>, filters array<long>")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -186,7 +186,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["class", "root", "n"])
 
-    found = materialize(dealt.mapInArrow(compare, "class long, root long, n long"), "vector-links")
+    found = materialize(mapped(dealt, compare, "class long, root long, n long"), "vector-links")
     n_links = found.groupBy("class").agg(F.sum("n").alias("n"))
     labels = connected_components(found.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
     placed = classes.join(n_links, "class", "left").join(labels, "class", "left").withColumn("root", F.coalesce("root", "class"))

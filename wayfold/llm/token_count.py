@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import splitter
+from wayfold.llm.common import mapped, splitter
 
 #: Merged words that a task remembers before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -105,5 +105,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
                     known = Counts(ones)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
-    out = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(count, "id string, n_bytes long, n_tokens long")
+    out = mapped(docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")), count, "id string, n_bytes long, n_tokens long")
     return out.select(F.col("id").cast(id_type).alias(id_col), "n_bytes", "n_tokens")

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfold.llm.common import mapped
+
 #: Labelled documents of each class, about, from which dictionaries are trained and
 #: scores calibrated, chosen by a hash of the id; longer texts are not learned from.
 LEARN_ROWS, LEARN_CHARS = 3000, 50_000
@@ -162,4 +164,4 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             p = 1 / (1 + np.exp(-np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=[id_col, "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(judge, f"`{id_col}` {kind}, score double")
+    return mapped(docs.select(id_col, text_col), judge, f"`{id_col}` {kind}, score double")

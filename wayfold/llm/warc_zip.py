@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import materialize, partitions
+from wayfold.llm.common import mapped, materialize, partitions
 
 #: Payloads from this size on are recorded once.
 LEAST_SHARED = 100
@@ -176,7 +176,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if lines:
             yield flush()
 
-    return materialize(rows.mapInArrow(write, "path string, records long"), "manifest")
+    return materialize(mapped(rows, write, "path string, records long"), "manifest")
 
 
 def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> DataFrame:
@@ -230,7 +230,7 @@ def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> Da
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     spread = manifest.repartition(partitions(manifest.sparkSession))
-    out = spread.mapInArrow(read_all, "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary")
+    out = mapped(spread, read_all, "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary")
     return out.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
 
 
