@@ -24,6 +24,15 @@ def _time(text: Column) -> Column:
     return F.coalesce(text.try_cast("long"), tm.parse_ms(text))
 
 
+def _once(value: Column) -> Column:
+    """value as an explode of one item: the optimizer then computes it once for each row.
+
+    Filters on what is parsed would otherwise repeat the parsing, and with many
+    fields the generated code outgrows what the JVM compiles.
+    """
+    return F.explode(F.array(value))
+
+
 def parse_csv(lines: DataFrame, column: str = "value", strict: bool = False) -> DataFrame:
     """vehicle,time,lat,lon[,event[,value]]; shorter lines are dropped, a missing value is 0.
 
@@ -31,9 +40,10 @@ def parse_csv(lines: DataFrame, column: str = "value", strict: bool = False) ->
     the query where strict.
     """
     parts = F.split(F.regexp_replace(F.col(column), ",+$", ""), ",")
-    rows = lines.select(parts.alias("p")).where(F.size("p") >= 4)
+    rows = lines.select(_once(parts).alias("p")).where(F.size("p") >= 4)
     value = F.coalesce(F.get("p", F.lit(5)).try_cast("double"), F.lit(0.0))
-    rows = rows.select(F.get("p", F.lit(0)).alias("vehicle_id"), _time(F.get("p", F.lit(1))).alias("time_ms"), F.get("p", F.lit(2)).try_cast("double").alias("lat"), F.get("p", F.lit(3)).try_cast("double").alias("lon"), _event_data(F.get("p", F.lit(4)), value).alias("event_data"), F.get("p", F.lit(1)).alias("_t"))
+    row = F.struct(F.get("p", F.lit(0)).alias("vehicle_id"), _time(F.get("p", F.lit(1))).alias("time_ms"), F.get("p", F.lit(2)).try_cast("double").alias("lat"), F.get("p", F.lit(3)).try_cast("double").alias("lon"), _event_data(F.get("p", F.lit(4)), value).alias("event_data"), F.get("p", F.lit(1)).alias("_t"))
+    rows = rows.select(_once(row).alias("r")).select("r.*")
     whole = F.col("time_ms").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
     if strict:
         checked = F.when(whole, F.col("time_ms")).otherwise(F.raise_error(F.concat(F.lit("bad event line, time "), F.coalesce("_t", F.lit("")))).cast("long"))
@@ -44,7 +54,7 @@ def parse_csv(lines: DataFrame, column: str = "value", strict: bool = False) ->
 def parse_json(lines: DataFrame, column: str = "value") -> DataFrame:
     """Objects of timestamp (seconds), longitude and latitude (text), id, eventType, eventValue; other keys and bad lines are dropped."""
     schema = "timestamp long, longitude string, latitude string, id string, eventType string, eventValue double"
-    rows = lines.select(F.from_json(column, schema).alias("j")).where("j.timestamp IS NOT NULL AND j.id IS NOT NULL")
+    rows = lines.select(_once(F.from_json(column, schema)).alias("j")).where("j.timestamp IS NOT NULL AND j.id IS NOT NULL")
     lat, lon = F.col("j.latitude").try_cast("double"), F.col("j.longitude").try_cast("double")
     return rows.select(F.col("j.id").alias("vehicle_id"), (F.col("j.timestamp") * 1000).alias("time_ms"), lat.alias("lat"), lon.alias("lon"), _event_data(F.col("j.eventType"), F.coalesce("j.eventValue", F.lit(0.0))).alias("event_data")).where("lat IS NOT NULL AND lon IS NOT NULL")
 
@@ -59,7 +69,7 @@ def parse_taxi(lines: DataFrame, column: str = "value", days: tuple[int, ...] =
     """
     text = F.replace(F.replace(F.replace(F.col(column), F.lit('"""'), F.lit('"')), F.lit('""'), F.lit('"')), F.lit('"{'), F.lit("{"))
     p = F.split(F.replace(text, F.lit('}"'), F.lit("}")), "\t")
-    rows = lines.select(p.alias("p")).where((F.size("p") > 21) & (F.get("p", F.lit(5)) != "StartTime"))
+    rows = lines.select(_once(p).alias("p")).where((F.size("p") > 21) & (F.get("p", F.lit(5)) != "StartTime"))
     place = "Latitude double, Longitude double"
 
     def event(name: str, time: int, at: int) -> Column:
