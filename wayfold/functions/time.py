@@ -30,12 +30,12 @@ def parse_ms(text: Column) -> Column:
 
 
 def seconds_to_ms(time: Column) -> Column:
-    return F.when(time < SECONDS_LIMIT, time * 1000).otherwise(time)
+    return F.when(time < SECONDS_LIMIT, time.cast("long") * 1000).otherwise(time.cast("long"))
 
 
 def robust_ms(time: Column) -> Column:
     """Seconds become milliseconds by magnitude: below 1e11 no trace is in milliseconds."""
-    return F.when(time < 100_000_000_000, time * 1000).otherwise(time)
+    return F.when(time < 100_000_000_000, time.cast("long") * 1000).otherwise(time.cast("long"))
 
 
 def _days(time_ms: Column) -> Column:
