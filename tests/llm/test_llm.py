@@ -161,6 +161,31 @@ def test_op5_against_all_pairs(spark, chunk, monkeypatch):
     assert spherical_caps.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("count", [2_000, 80_000, 1_000_000])
+def test_op5_pairs_share_a_filter_at_every_count(count):
+    size = spherical_caps.sized(count, 64, 0.95)
+    for cosine in (0.95, 0.97, 0.99):
+        a, b = (spherical_caps.decoder(64, *size)(side) for side in spherical_caps.planted(1000, 64, cosine, seed=11))
+        met = sum((x[:, :, None] == y[:, None, :]).any((1, 2)) for x, y in zip(a, b)) > 0
+        assert met.mean() >= 0.985
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 8, 64])
+def test_op5_planted_pairs_are_found(spark, dim, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(spherical_caps, "ALL_PAIRS", 100)
+    n = 1500 if dim > 3 else 150
+    both = np.concatenate(spherical_caps.planted(n, dim, 0.951, seed=3)) if dim > 1 else np.random.default_rng(3).standard_normal((2 * n, 1))
+    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in spherical_caps.near_duplicates(rows).collect()}
+    assert all(got[i] <= n for i, n in enumerate(linked.sum(1)))
+    assert sum(got.values()) >= 0.99 * linked.sum() > 0
+
+
 def test_op6_both_ways_and_spans(spark, odd, empty, monkeypatch):
     ten = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, ten + " eleven"), (2, "Short ITEM"), (3, None), (4, "..."), (None, ten)], "item_id long, text string")

@@ -2,9 +2,12 @@
 
 Vectors are rotated at random and cut into blocks, each with a random code on its
 sphere. A filter is one codeword of every block: a direction. A vector is listed
-with all filters whose inner product exceeds a threshold, found by list decoding:
-block by block, keeping only what the best of the remaining blocks can still lift
-above it. Vectors that share a filter are compared in double precision.
+with the TOP filters nearest to it, found by list decoding: block by block, keeping
+the best so far. Several codes are used, each with its own cut and codewords: as many
+as let RECALL of random pairs at the least cosine share a filter. That chance depends
+on nothing but count, length and cosine, and is measured before the tables are read;
+if MOST_CODES don't reach it, filters become fewer and wider, one for all in the end.
+Vectors that share a filter are compared in double precision.
 
 Within a filter all pairs are compared, but none is emitted: a task gives each
 vector's number of links and a root to reach. A pair that shares several filters
@@ -25,60 +28,83 @@ from pyspark.sql import functions as F
 from wayfold.llm.common import ROW, mapped, materialize, partitions
 from wayfold.operators.network import connected_components
 
-#: Filters that list a vector, on average; two vectors at cosine 0.95 share about half.
-LISTED = 16
+#: Filters of a code that list a vector, and vectors that a filter lists on average.
+TOP, FILL = 4, 16
+#: Share of pairs at the least cosine that must share a filter, of so many planted ones.
+RECALL, PLANTED = 0.995, 2000
+#: Codes at most, before filters are made wider.
+MOST_CODES = 8
+#: Vectors of one length up to which all pairs are compared.
+ALL_PAIRS = 1000
 #: Most codewords of a block, and vectors that one task compares with as many others.
-CODEWORDS, CHUNK = 512, 1500
+CODEWORDS, CHUNK = 2048, 1500
 
 
-def _threshold(filters: int, dim: int) -> float:
-    """The inner product that LISTED of so many random directions exceed."""
-    from statistics import NormalDist
-
-    return NormalDist().inv_cdf(1 - min(0.45, LISTED / filters)) / dim**0.5
-
-
-def decoder(count: int, dim: int):
-    """A function from unit vectors (rows) to arrays of the filters that list each."""
+def decoder(dim: int, blocks: int, words: int, codes: int):
+    """A function from unit vectors (rows) to an iterator with an array of each code: row by row, the filters that list it."""
     import numpy as np
 
-    filters = max(256, 2 * count)
-    blocks = max(1, min(dim // 4 or 1, int(np.ceil(np.log(filters) / np.log(CODEWORDS) - 1e-9))))
-    blocks = max(blocks, 2 if dim >= 8 else 1)
-    words = int(np.ceil(filters ** (1 / blocks)))
     rng = np.random.default_rng(dim * 1000 + blocks)
     turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
     edges = np.linspace(0, dim, blocks + 1).astype(int)
-    codes = []
-    for a, b in zip(edges, edges[1:]):
-        code = rng.standard_normal((words, b - a))
-        codes.append(code / np.linalg.norm(code, axis=1, keepdims=True) * np.sqrt((b - a) / dim))
-    least = _threshold(words**blocks, dim)
+    made = []
+    for _ in range(codes):
+        order, parts = rng.permutation(dim), []
+        for a, b in zip(edges, edges[1:]):
+            code = rng.standard_normal((b - a, words))
+            parts.append((order[a:b], code / np.linalg.norm(code, axis=0) * np.sqrt((b - a) / dim)))
+        made.append(parts)
+
+    def best(sums, names):
+        k = min(TOP, sums.shape[1])
+        at = np.argpartition(-sums, k - 1, axis=1)[:, :k]
+        return np.take_along_axis(sums, at, 1), np.take_along_axis(names, at, 1)
 
     def of(x):
         x = x @ turn
-        scores = [x[:, a:b] @ c.T for (a, b), c in zip(zip(edges, edges[1:]), codes)]
-        best = [s.max(1) for s in scores]
-        rest = [sum(best[i + 1 :], np.zeros(len(x))) for i in range(blocks)]
-        out = []
-        for row in range(len(x)):
-            name, total = np.zeros(1, np.int64), np.zeros(1)
-            for i in range(blocks):
-                sums = total[:, None] + scores[i][row][None, :]
-                at = np.nonzero(sums >= least - rest[i][row] - (1e-9 if i < blocks - 1 else 0))
-                name, total = name[at[0]] * words + at[1], sums[at]
-            if not len(name):  # no filter exceeds it: the nearest one
-                name = np.zeros(1, np.int64)
-                for s in scores:
-                    name = name * words + int(np.argmax(s[row]))
-            out.append(np.sort(name))
-        return out
+        for parts in made:
+            totals, names = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
+            for columns, code in parts:
+                scores, at = best(x[:, columns] @ code, np.broadcast_to(np.arange(words), (len(x), words)))
+                totals, names = best((totals[:, :, None] + scores[:, None, :]).reshape(len(x), -1), (names[:, :, None] * words + at[:, None, :]).reshape(len(x), -1))
+            yield names
 
     return of
 
 
-def _listed(classes: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """classes with the filters that list each vector."""
+def planted(n: int, dim: int, cosine: float, seed: int = 7):
+    """n random pairs of unit vectors at this cosine."""
+    import numpy as np
+
+    a, b = np.random.default_rng(seed).standard_normal((2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * b
+
+
+def sized(count: int, dim: int, cosine: float) -> tuple[int, int, int]:
+    """Blocks, codewords and codes for so many vectors; no codes: one filter lists all."""
+    import numpy as np
+
+    filters = count * TOP // FILL if count > ALL_PAIRS and dim > 1 else 0
+    a, b = planted(PLANTED if filters else 0, dim, cosine)
+    while filters > TOP:
+        blocks = 2 if dim >= 8 else 1
+        while CODEWORDS**blocks < filters and blocks < dim // 4:
+            blocks += 1
+        words = min(CODEWORDS, int(np.ceil(filters ** (1 / blocks))))
+        of, met = decoder(dim, blocks, words, MOST_CODES), np.zeros(len(a), bool)
+        for codes, (x, y) in enumerate(zip(of(a), of(b)), 1):
+            met |= (x[:, :, None] == y[:, None, :]).any((1, 2))
+            if met.mean() >= RECALL:
+                return blocks, words, codes
+        filters = min(filters, words**blocks) // 4
+    return 1, 1, 0
+
+
+def _listed(classes: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> DataFrame:
+    """classes with the sorted filters that list each vector, and its numbers as bytes: floats where they are exact, else doubles."""
 
     def work(batches):
         import numpy as np
@@ -86,20 +112,25 @@ def _listed(classes: DataFrame, counts: dict[int, int]) -> DataFrame:
         decode: dict[int, object] = {}
         for batch in batches:
             vectors = batch.column(2).to_pylist()
-            lists = [None] * len(vectors)
+            lists, packed = [None] * len(vectors), [None] * len(vectors)
             by_dim: dict[int, list[int]] = {}
             for i, v in enumerate(vectors):
                 by_dim.setdefault(len(v), []).append(i)
             for dim, at in by_dim.items():
                 x = np.array([vectors[i] for i in at], float)
+                with np.errstate(over="ignore"):
+                    short = x.astype(np.float32)
+                for i, v, s, exact in zip(at, x, short, (short == x).all(1)):
+                    packed[i] = (s if exact else v).tobytes()
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 if dim not in decode:
-                    decode[dim] = decoder(counts[dim], dim)
-                for i, names in zip(at, decode[dim](x)):
-                    lists[i] = names + (dim << 40)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(lists, pa.list_(pa.int64()))], names=["class", "weight", "v", "filters"])
+                    decode[dim] = decoder(dim, *sizes[dim])
+                names = [n + (k << 40) for k, n in enumerate(decode[dim](x))] or [np.zeros((len(x), 1), np.int64)]
+                for i, own in zip(at, np.sort(np.concatenate(names, axis=1), axis=1) + (dim << 44)):
+                    lists[i] = own
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["class", "weight", "packed", "filters"])
 
-    return mapped(classes.select("class", "weight", "v"), work, "class long, weight long, v array<double>, filters array<long>")
+    return mapped(classes.select("class", "weight", "v"), work, "class long, weight long, packed binary, filters array<long>")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -114,13 +145,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     rows = materialize(rows.withColumn("v", F.when(fine, F.col("v"))), "vectors")
     classes = materialize(rows.where("v IS NOT NULL").groupBy("v").agg(F.min(ROW).alias("class"), F.count("*").alias("weight"), F.min("id").alias("first_id")), "vector-classes")
     counts = {r[0]: r[1] for r in classes.groupBy(F.size("v")).count().collect()}  # a row for each length
-    index = materialize(_listed(classes, counts), "filters")
-    entries = index.select("*", F.explode("filters").alias("filter"))
+    index = materialize(_listed(classes, {dim: sized(n, dim, cosine) for dim, n in counts.items()}), "filters")
+    entries = index.select("*", F.posexplode("filters").alias("at", "filter")).withColumn("smaller", F.slice("filters", F.lit(1), F.col("at"))).drop("filters", "at")
     large = entries.groupBy("filter").count().where(F.col("count") > CHUNK).select("filter", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
     entries = entries.join(large, "filter", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     # a chunk meets itself and each other chunk once
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    entries = entries.select("filter", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "class", "weight", "v", "filters")
+    entries = entries.select("filter", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "class", "weight", "packed", "smaller")
     dealt = entries.repartition(partitions(spark), "filter", "c1", "c2").sortWithinPartitions("filter", "c1", "c2", "class")
 
     def compare(batches):
@@ -130,7 +161,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
             """(class, root, links) of the linked vectors of one pair of chunks."""
             name, c1, c2 = key
             ids, weights = np.array([g[1] for g in group]), np.array([g[2] for g in group], float)
-            x = np.array([g[3] for g in group])
+            dim = name >> 44
+            x = np.array([np.frombuffer(g[3], np.float32 if len(g[3]) == 4 * dim else float) for g in group], float)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             linked = x @ x.T >= cosine
             np.fill_diagonal(linked, False)
@@ -142,7 +174,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
                 return
             linked, ids, weights = linked[np.ix_(some, some)], ids[some], weights[some]
             # pairs that also share a smaller filter count there
-            smaller = [[f for f in group[i][4] if f < name] for i in some]
+            smaller = [group[i][4] for i in some]
             columns, counts = np.unique(np.concatenate([np.array(s, np.int64) for s in smaller]), return_counts=True)
             columns = columns[counts > 1]
             counted = linked.copy()
@@ -168,12 +200,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
         def rows_of():
             current, group = None, []
             for batch in batches:
-                for f, c1, c2, own, cls, weight, v, filters in zip(*(c.to_pylist() for c in batch.columns)):
+                for f, c1, c2, own, cls, weight, packed, smaller in zip(*(c.to_pylist() for c in batch.columns)):
                     if (f, c1, c2) != current:
                         if len(group) > 1:
                             yield from links(current, group)
                         current, group = (f, c1, c2), []
-                    group.append((own, cls, weight, v, filters))
+                    group.append((own, cls, weight, packed, smaller))
             if len(group) > 1:
                 yield from links(current, group)
 
