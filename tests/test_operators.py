@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from wayfold.config import MatchConfig
 from wayfold.functions import geo, roads, tile
 from wayfold.functions import time as tm
-from wayfold.operators import aggregate, network
+from wayfold.operators import aggregate, match, network
 from wayfold.plans import batch, queries
+from wayfold.schema import ROAD
 from wayfold.streaming import replay
 
 
@@ -71,6 +73,22 @@ def test_all_outputs(spark, sf, tmp_path):
     assert {os.path.basename(p) for p in glob.glob(str(tmp_path / "out/*"))} == {"speeds", "events", "dust", "traces"}
 
 
+def test_matching_by_region_gives_the_rows_of_the_whole_network(spark, monkeypatch):
+    """Edges that start tiles away, routes through tiles without samples, and the 180th meridian."""
+    road = lambda name, a, b, *line: (name, a, b, f"{name}_f", f"{name}_b", 3, [{"lon": x, "lat": y} for x, y in line])
+    rows = [road("long", "l0", "l1", (10.0, 60.0), (11.0, 60.0)), road("west", "w", "m", (179.99, 60.0), (180.0, 60.0)), road("east", "m", "e", (-180.0, 60.0), (-179.99, 60.0))]
+    rows += [road(f"c{i}", f"n{i}", f"n{i + 1}", (10 + 0.018 * i, 60.2), (10 + 0.018 * (i + 1), 60.2)) for i in range(20)]
+    at = [("by the long edge", 0, 10.5, 60.0), ("by the long edge", 30_000, 10.505, 60.0), ("by the long edge", 60_000, 10.51, 60.0)]
+    at += [("far apart", 0, 10.001, 60.2), ("far apart", 300_000, 10.33, 60.2)]
+    at += [("meridian", 0, 179.995, 60.0), ("meridian", 30_000, -179.995, 60.0), ("nowhere", 0, 50.0, 0.0), (None, 0, 10.6, 60.0), (None, 30_000, 10.605, 60.0)]
+    network_, points = spark.createDataFrame(rows, ROAD), spark.createDataFrame(at, "vehicle_id string, time_ms long, lon double, lat double")
+    run = lambda: sorted((tuple(r) for r in match.match(points, network_, MatchConfig(max_distance_m=20_000.0, beta_lambda=0.001)).collect()), key=str)
+    whole = run()
+    assert {r[0] for r in whole if r[1] == "speed"} == {"by the long edge", "far apart", "meridian", None}
+    monkeypatch.setattr(match, "BROADCAST_EDGES", 0)
+    assert run() == whole
+
+
 def test_streams(spark, sf, tmp_path):
     points = queries._points(spark, sf).select("vehicle_id", F.col("true_ms").alias("time_ms"), "lat", "lon", "event_data")
     points.coalesce(1).write.parquet(str(tmp_path / "in"))

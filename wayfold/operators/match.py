@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.config import MatchConfig
+from wayfold.functions import geo, tile
 from wayfold.functions import roads as rd
-from wayfold.functions import tile
 from wayfold.operators import network, spatial
 from wayfold.schema import MATCHED
 
@@ -31,13 +31,39 @@ def _edge_columns(edges: DataFrame) -> DataFrame:
     return edges.select("ref_id", "src", "dst", "length_m", cost.alias("cost"))
 
 
+def _span(low, high, of):
+    return F.sequence(F.least(of(low, REGION_ZOOM), of(high, REGION_ZOOM)), F.greatest(of(low, REGION_ZOOM), of(high, REGION_ZOOM)))
+
+
+def _region(samples: DataFrame, reach_m: float, key: str) -> DataFrame:
+    """(_trace, x, y): the tiles within reach_m of a trace's samples, also beyond the 180th meridian."""
+    lon, lat = F.col("lon"), F.col("lat")
+    dy = reach_m * 1.01 / F.least(*(geo.metres_per_degree(F.lit(x))[1] for x in (0.0, 90.0)))
+    kx = geo.metres_per_degree(F.least(F.lit(90.0), F.abs(lat) + dy))[0]
+    dx = F.least(F.lit(180.0), reach_m * 1.01 / F.greatest(kx, F.lit(1e-3)))
+    none = F.array().cast("array<int>")
+    west = F.when(lon - dx < -180, _span(lon - dx + 360, F.lit(180.0), tile.tile_x)).otherwise(none)
+    east = F.when(lon + dx > 180, _span(F.lit(-180.0), lon + dx - 360, tile.tile_x)).otherwise(none)
+    xs = F.array_distinct(F.concat(_span(lon - dx, lon + dx, tile.tile_x), west, east))
+    ranges = samples.select(F.col(key).alias("_trace"), xs.alias("xs"), _span(lat - dy, lat + dy, tile.tile_y).alias("ys")).distinct()
+    return ranges.withColumn("x", F.explode("xs")).select("_trace", "x", F.explode("ys").alias("y")).distinct()
+
+
+def _tiled(edges: DataFrame) -> DataFrame:
+    """edges with one row for each tile (x, y) that their box touches."""
+    lons, lats = F.transform("geometry", lambda p: p["lon"]), F.transform("geometry", lambda p: p["lat"])
+    xs, ys = (_span(F.array_min(v), F.array_max(v), of) for v, of in ((lons, tile.tile_x), (lats, tile.tile_y)))
+    return edges.withColumns({"xs": xs, "ys": ys}).drop("geometry").withColumn("x", F.explode("xs")).withColumn("y", F.explode("ys")).drop("xs", "ys")
+
+
 def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), key: str = "vehicle_id") -> DataFrame:
     """Flat rows of schema MATCHED for all traces; see kernel.match_trace for kinds.
 
     points needs key, time_ms, lon, lat and may have event_data. The network is
     broadcast where it has at most BROADCAST_EDGES edges; else each trace is
-    cogrouped with the edges of its tiles and their neighbours, which hold any route
-    within the search bound.
+    cogrouped with the edges whose boxes touch a tile within the search bound of one
+    of its samples. Whatever a search looks at starts there or is a candidate, so
+    both ways give the same rows.
     """
     from wayfold.operators import kernel
 
@@ -65,12 +91,8 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
         columns = list(zip(*edges.collect())) or [[]] * 5
         shared = points.sparkSession.sparkContext.broadcast(graph_of(*columns))
         return samples.groupBy(key).applyInArrow(lambda g: run(g, shared.value), schema)
-    # A regional network for each trace: its tiles, grown by one, cover the bound.
-    x, y = tile.tile_x(F.col("lon"), REGION_ZOOM), tile.tile_y(F.col("lat"), REGION_ZOOM)
-    near = samples.select(F.col(key).alias("_trace"), x.alias("x"), y.alias("y")).distinct()
-    near = near.withColumn("x", F.explode(F.array(F.col("x") - 1, F.col("x"), F.col("x") + 1))).withColumn("y", F.explode(F.array(F.col("y") - 1, F.col("y"), F.col("y") + 1))).distinct()
-    first = F.element_at("geometry", 1)
-    placed = network.edges(roads).withColumns({"x": tile.tile_x(first["lon"], REGION_ZOOM), "y": tile.tile_y(first["lat"], REGION_ZOOM)})
+    near = _region(samples, max(1000.0, config.max_distance_m) + config.radius_m, key)  # the longest bound of kernel.match_trace
+    placed = _tiled(network.edges(roads))
     own = placed.join(near, ["x", "y"])
     own = own.select("_trace", "ref_id", "src", "dst", "length_m", rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority")).alias("cost")).dropDuplicates(["_trace", "ref_id"])
 
