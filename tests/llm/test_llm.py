@@ -204,6 +204,17 @@ def test_op6_both_ways_and_spans(spark, odd, empty, monkeypatch):
     assert decontaminate.digests(empty, bench).count() == 0 and decontaminate.digests(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_op6_items_without_id_are_hit(spark, monkeypatch):
+    bench = spark.createDataFrame([(None, "seven wonders"), (5, "other")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the seven wonders"), (2, "other seven wonders"), (3, "seven")], "doc_id long, text string")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for most in (decontaminate.LITERAL_WINDOWS, 0):
+        monkeypatch.setattr(decontaminate, "LITERAL_WINDOWS", most)
+        told = by_id(decontaminate.digests(docs, bench), "doc_id", "n_hit", "n_items", "items_sha256", "contaminated")
+        assert told == [(1, 2, 0, sha(""), True), (2, 3, 1, sha("5"), True), (3, 0, 0, sha(""), False)]
+        assert [r.doc_id for r in decontaminate.remove_documents(docs, bench).collect()] == [3]
+
+
 def test_op8_rules_and_trees(spark):
     urls = [None, "no scheme", "http://Example.ORG", "http://example.org/es/x", "https://a.b.example.org/en/1?q=/z", "http://x.com/fr/", "http://x.com/de/#f", "http://notorg/", "http://y.net/a/b?c=1&d=2"]
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")

@@ -7,9 +7,9 @@ starts with, then the hash of its first words, then the window itself. The set
 travels with the query only up to LITERAL_WINDOWS windows; beyond that, windows
 are exploded and joined, and Spark chooses how.
 
-Edge cases: null texts have no words and no hits; items without words or with a
-null id are skipped; repeated rows are judged row by row; empty tables give no
-hits; texts are taken whole; columns of docs keep their names and values.
+Edge cases: null texts have no words and no hits; items without words are
+skipped; those with a null id are hit and removed as others, but have no place in
+n_items and items_sha256; repeated rows are judged row by row; empty tables give no hits; texts are taken whole; columns of docs keep their names and values.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ def words(text: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(len int, window string, items array<string>): each distinct window and the items that have it."""
-    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
+    """(len int, window string, items array<string>): each distinct window and the items that have it, without null ids."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
     items = items.withColumn("len", F.least(F.size("w"), F.lit(window)))
     starts = items.select("item", "len", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1), lambda i: F.array_join(F.slice("w", i, F.col("len")), " "))).alias("window"))
     return starts.groupBy("len", "window").agg(F.collect_set("item").alias("items"))
