@@ -12,7 +12,7 @@ import __spark_entry__ as driver
 from wayfold.config import MatchConfig
 from wayfold.functions import geo, roads, tile
 from wayfold.functions import time as tm
-from wayfold.operators import aggregate, match, network
+from wayfold.operators import aggregate, match, network, spatial
 from wayfold.plans import batch, queries
 from wayfold.schema import ROAD
 from wayfold.streaming import replay
@@ -73,6 +73,14 @@ def test_all_outputs(spark, sf, tmp_path):
     assert {os.path.basename(p) for p in glob.glob(str(tmp_path / "out/*"))} == {"speeds", "events", "dust", "traces"}
 
 
+def test_nearest_reaches_the_largest_radius(spark):
+    line = [{"lon": 10.0, "lat": 0.0}, {"lon": 10.0, "lat": 0.01}]
+    roads_ = spark.createDataFrame([("r", "a", "b", "r_f", None, 3, line)], ROAD)
+    points = spark.createDataFrame([(1, 10.0005, 0.005), (2, 10.005, 0.005), (3, 10.007, 0.005)], "id long, lon double, lat double")  # 56, 557 and 779 m
+    assert sorted(r.id for r in spatial.nearest_join(points, roads_, "id", 100.0, 700.0).collect()) == [1, 2]
+    assert sorted(r.id for r in spatial.knn_join(points, roads_, "id", 1, 100.0, 700.0).collect()) == [1, 2]
+
+
 def test_matching_by_region_gives_the_rows_of_the_whole_network(spark, monkeypatch):
     """Edges that start tiles away, routes through tiles without samples, and the 180th meridian."""
     road = lambda name, a, b, *line: (name, a, b, f"{name}_f", f"{name}_b", 3, [{"lon": x, "lat": y} for x, y in line])

@@ -63,20 +63,20 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
 def knn_join(points: DataFrame, roads: DataFrame, key: str, k: int, radius_m: float, max_radius_m: float, cell: float = CELL) -> DataFrame:
     """The k nearest directed road points of each point, with their rank from 1.
 
-    Starts with radius_m and doubles it for points that found fewer than k, up to
-    max_radius_m; points beyond that keep what they have. Ties go to the smaller ref_id.
+    Starts with radius_m and doubles it for points that found fewer than k; the last
+    round is at max_radius_m itself, and points beyond that keep what they have. Ties go to the smaller ref_id.
     """
     order = W.partitionBy(key).orderBy("distance_m", "ref_id")
     done, left, radius = None, points, radius_m
     while True:
         found = radius_join(left, roads, radius, max(cell, radius / 50_000.0)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        last = radius * 2 > max_radius_m
+        last = radius >= max_radius_m
         if last:
             return found if done is None else done.unionByName(found)
         enough = found.groupBy(key).count().where(F.col("count") >= k).select(key)
         ready = found.join(enough, key, "left_semi")
         done = ready if done is None else done.unionByName(ready)
-        left, radius = left.join(enough, key, "left_anti"), radius * 2
+        left, radius = left.join(enough, key, "left_anti"), min(radius * 2, max_radius_m)
 
 
 def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 100.0, max_radius_m: float = 800.0, cell: float = CELL) -> DataFrame:
@@ -86,9 +86,9 @@ def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float
     while True:
         found = radius_join(left, roads, radius, max(cell, radius / 50_000.0)).withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank")
         done = found if done is None else done.unionByName(found)
-        if radius * 2 > max_radius_m:
+        if radius >= max_radius_m:
             return done
-        left, radius = left.join(found.select(key), key, "left_anti"), radius * 2
+        left, radius = left.join(found.select(key), key, "left_anti"), min(radius * 2, max_radius_m)
 
 
 def demanded_roads(points: DataFrame, roads: DataFrame, zoom: int = tile.DATA_ZOOM) -> DataFrame:
