@@ -151,6 +151,26 @@ def reverse(geometry: Column) -> Column:
     return F.reverse(geometry)
 
 
+def crosses(ring: list[tuple[float, float]], a: Column, b: Column) -> Column:
+    """Whether the segment from a to b (structs lon, lat) meets a side of the ring; touching counts."""
+
+    def side(px, py, qx, qy, rx, ry):
+        return F.signum((qx - px) * (ry - py) - (qy - py) * (rx - px))
+
+    def between(px, py, qx, qy, rx, ry):
+        return rx.between(F.least(px, qx), F.greatest(px, qx)) & ry.between(F.least(py, qy), F.greatest(py, qy))
+
+    ax, ay, bx, by, met = a["lon"], a["lat"], b["lon"], b["lat"], F.lit(False)
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+        x1, y1, x2, y2 = map(F.lit, (float(x1), float(y1), float(x2), float(y2)))
+        s1, s2 = side(x1, y1, x2, y2, ax, ay), side(x1, y1, x2, y2, bx, by)
+        s3, s4 = side(ax, ay, bx, by, x1, y1), side(ax, ay, bx, by, x2, y2)
+        met = met | ((s1 * s2 < 0) & (s3 * s4 < 0))
+        met = met | ((s1 == 0) & between(x1, y1, x2, y2, ax, ay)) | ((s2 == 0) & between(x1, y1, x2, y2, bx, by))
+        met = met | ((s3 == 0) & between(ax, ay, bx, by, x1, y1)) | ((s4 == 0) & between(ax, ay, bx, by, x2, y2))
+    return met
+
+
 def contains(ring: list[tuple[float, float]], lon: Column, lat: Column) -> Column:
     """Whether a ring of (lon, lat) holds a position, by crossings of a ray to the east."""
     inside = F.lit(False)

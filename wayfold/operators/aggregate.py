@@ -61,5 +61,5 @@ def weekly_binned_events(events: DataFrame, bin_size_m: float, ref: str = "ref_i
 
 def failure_clusters(runs: DataFrame) -> DataFrame:
     """(start_ref, n_failures, failures array<struct>): closed failure runs by the edge they start from."""
-    failure = F.struct("end_ref", "vehicle_id", "run", "n_points", "lonlats")
+    failure = F.struct("end_ref", "vehicle_id", "run", "start_fraction", "end_fraction", "n_points", "lonlats")
     return runs.groupBy("start_ref").agg(F.count("*").alias("n_failures"), F.array_sort(F.collect_list(failure)).alias("failures"))

@@ -11,19 +11,22 @@ from wayfold.functions import roads as rd
 from wayfold.operators import network, spatial
 from wayfold.schema import MATCHED
 
-#: Edges up to which the whole network travels to every executor.
-BROADCAST_EDGES = 2_000_000
+#: Edges up to which the whole network travels to every executor, some 500 bytes each in a worker.
+BROADCAST_EDGES = 250_000
 #: Tiles of the regional network of a trace, when the whole one is too large.
 REGION_ZOOM = 12
+_CANDIDATE = ["fwd_ref", "back_ref", "place", "along", "road_lon", "road_lat"]
 
 
 def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str) -> DataFrame:
-    """One row for each point with its candidates; points without any keep an empty list."""
-    numbered = points.where(F.col("time_ms").isNotNull()).withColumn("_n", F.monotonically_increasing_id())
-    found = spatial.radius_join(numbered.select("_n", "lon", "lat"), roads, config.radius_m)
-    listed = found.groupBy("_n").agg(F.collect_list(F.struct("ref_id", "fraction", "distance_m", "road_lon", "road_lat")).alias("candidates"))
+    """One row for each sample and road segment near it, or with nulls where there is none.
+
+    This is the candidate join alone: samples are put together by their trace's task,
+    where _n tells repeated ones apart.
+    """
     has = F.coalesce(F.size("event_data") > 0, F.lit(False)) if "event_data" in points.columns else F.lit(False)
-    return numbered.join(listed, "_n", "left").select(key, "time_ms", "lon", "lat", has.alias("has_event"), "candidates")
+    own = points.where(F.col("time_ms").isNotNull()).select(F.monotonically_increasing_id().alias("_n"), F.col(key), "time_ms", "lon", "lat", has.alias("has_event"))
+    return spatial.segment_hits(own, roads, config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
 
 
 def _edge_columns(edges: DataFrame) -> DataFrame:
@@ -76,8 +79,20 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
     def run(group, graph):
         import pyarrow as pa
 
-        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "candidates"))), key=lambda r: r[:3])
-        trace = [(*r[:4], [(graph.number[c["ref_id"]], c["fraction"], c["distance_m"], c["road_lon"], c["road_lat"]) for c in r[4] or () if c["ref_id"] in graph.number]) for r in rows]
+        samples: dict[tuple, dict] = {}
+        columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE))
+        for *sample, geom, forward, backward, place, along, x, y in zip(*columns):
+            found = samples.setdefault(tuple(sample), {})
+            if geom is not None and (geom not in found or (place["d"], place["i"]) < found[geom][0]):
+                found[geom] = ((place["d"], place["i"]), forward, backward, along, x, y)
+        trace = []
+        for (t, lon, lat, has, _), found in sorted(samples.items(), key=lambda s: (s[0][:3], s[0][4])):
+            candidates = []
+            for _, forward, backward, along, x, y in found.values():
+                metres = kernel.planar_m(lon, lat, x, y)
+                if metres <= config.radius_m:
+                    candidates += [(graph.number[r], f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r in graph.number]
+            trace.append((t, lon, lat, has, candidates))
         out = kernel.match_trace(trace, graph, config)
         name = group.column(key)[0].as_py()
         kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
@@ -86,9 +101,10 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
         return pa.Table.from_arrays(columns, names=[c for c, _ in fields])
 
     schema = MATCHED.replace("vehicle_id", key, 1)
-    few = edges.limit(BROADCAST_EDGES + 1).count()
-    if few <= BROADCAST_EDGES:
-        columns = list(zip(*edges.collect())) or [[]] * 5
+    few = edges.limit(BROADCAST_EDGES + 1).collect()
+    samples = samples.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)  # matching is work, however few the bytes
+    if len(few) <= BROADCAST_EDGES:
+        columns = list(zip(*few)) or [[]] * 5
         shared = points.sparkSession.sparkContext.broadcast(graph_of(*columns))
         return samples.groupBy(key).applyInArrow(lambda g: run(g, shared.value), schema)
     near = _region(samples, max(1000.0, config.max_distance_m) + config.radius_m, key)  # the longest bound of kernel.match_trace
@@ -121,9 +137,9 @@ def snapped_events(matched: DataFrame) -> DataFrame:
 
 
 def failures(matched: DataFrame, key: str = "vehicle_id") -> DataFrame:
-    """Closed failure runs: (key, run, start_ref, end_ref, n_points, lonlats)."""
+    """Closed failure runs: (key, run, start_ref, end_ref, start_fraction, end_fraction, n_points, lonlats)."""
     points = F.array_sort(F.collect_list(F.struct(F.col("time_ms").alias("t"), "lon", "lat")))
-    out = matched.where("kind = 'failure'").groupBy(key, F.col("seq").alias("run"), "start_ref", "end_ref").agg(F.count("*").alias("n_points"), points.alias("p"))
+    out = matched.where("kind = 'failure'").groupBy(key, F.col("seq").alias("run"), "start_ref", "end_ref", "start_fraction", "end_fraction").agg(F.count("*").alias("n_points"), points.alias("p"))
     return out.withColumn("lonlats", F.flatten(F.transform("p", lambda x: F.array(x["lon"], x["lat"])))).drop("p")
 
 

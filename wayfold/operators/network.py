@@ -15,12 +15,23 @@ def dedup_roads(rows: DataFrame, order: str = "tile") -> DataFrame:
     return first.select("r.*")
 
 
-def filter_roads(rows: DataFrame, excluded_classes: list[int] = (), ring: list[tuple[float, float]] | None = None) -> DataFrame:
-    """Without classes, and with a vertex inside the ring (lon, lat) if one is given."""
+def filter_roads(rows: DataFrame, excluded_classes: list[int] = (), ring: list[tuple[float, float]] | None = None, within: bool = False) -> DataFrame:
+    """Without classes, and with some part inside the ring (lon, lat) if one is given.
+
+    A road counts if it lies in the ring or crosses it, a vertex inside or not; with
+    within, only if it lies in it wholly. A box test on plain columns comes first.
+    """
     if excluded_classes:
         rows = rows.where(~F.col("road_class").isin(list(excluded_classes)))
     if ring:
-        rows = rows.where(F.exists("geometry", lambda p: geo.contains(ring, p["lon"], p["lat"])))
+        lons, lats = F.transform("geometry", lambda p: p["lon"]), F.transform("geometry", lambda p: p["lat"])
+        xs, ys = zip(*ring)
+        near = (F.array_min(lons) <= max(xs)) & (F.array_max(lons) >= min(xs)) & (F.array_min(lats) <= max(ys)) & (F.array_max(lats) >= min(ys))
+        inside = lambda p: geo.contains(ring, p["lon"], p["lat"])
+        crossed = F.exists(F.arrays_zip(F.slice("geometry", 1, F.size("geometry") - 1).alias("a"), F.slice("geometry", 2, F.size("geometry") - 1).alias("b")), lambda s: geo.crosses(ring, s["a"], s["b"]))
+        some = F.size("geometry") >= 2
+        fits = F.forall("geometry", inside) & ~(some & crossed) if within else F.exists("geometry", inside) | (some & crossed)
+        rows = rows.where(near & fits)
     return rows
 
 

@@ -1,36 +1,98 @@
 """Spatial joins of points and roads as equi-joins on grid cells.
 
-Roads are listed in every cell that their box, grown by the radius, touches; a
-point lies in one cell. So the join meets each (point, road) pair once, without
-a distinct, and Spark may broadcast the roads where its own size check allows.
+A road's segments are listed in the cells that they pass, grown by the radius; a
+point lies in one cell. So the join meets each (point, segment) pair once, distances
+are plain arithmetic in generated code, and Spark may broadcast the segments where
+its own size check allows. The list of a segment grows with its length, not with its
+box: what is longer than a cell is listed piece by piece.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo, tile
+from wayfold.shared import materialize
 
 #: Degrees of a cell's side; a good deal more than the radius.
 CELL = 0.0005
+#: No two places are farther apart: where an unbounded search ends.
+FARTHEST_M = 20_100_000.0
 
 
 def _cell(x, size: float):
     return F.floor(x / size).cast("long")
 
 
-def listed_roads(roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
-    """roads with segments, length and one row for each cell (cx, cy) near them."""
-    lons, lats = F.transform("geometry", lambda p: p["lon"]), F.transform("geometry", lambda p: p["lat"])
-    south, north = F.array_min(lats), F.array_max(lats)
-    kx, ky = geo.metres_per_degree(F.greatest(F.abs(south), F.abs(north)))
-    grown_x, grown_y = radius_m * 1.01 / kx, radius_m * 1.01 / ky
-    xs = F.sequence(_cell(F.array_min(lons) - grown_x, cell), _cell(F.array_max(lons) + grown_x, cell))
-    ys = F.sequence(_cell(south - grown_y, cell), _cell(north + grown_y, cell))
-    out = roads.where(F.size("geometry") >= 2).withColumn("segs", geo.segments(F.col("geometry")))
-    return out.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys)).drop("geometry")
+def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
+    """One row for each segment of a road and each cell (cx, cy) near it.
+
+    Has geom_id, fwd_ref, back_ref, road_class, i, the segment's ends (ax, ay, bx, by),
+    its direction, and the fractions of the road where it starts and that it makes up.
+    """
+    rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
+    last = F.element_at("segs", -1)
+    rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode("segs").alias("i", "s"))
+    part = lambda c: F.when(F.col("total_m") > 0, F.col(f"s.{c}") / F.col("total_m")).otherwise(0.0)
+    direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
+    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", "s.bx", "s.by", part("start_m").alias("start"), part("len_m").alias("share"), direction.alias("direction"))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    north = F.least(F.lit(89.9), F.greatest(F.abs("ay"), F.abs("by")) + radius_m / 110_000.0)
+    kx, ky = geo.metres_per_degree(north)
+    rows = rows.withColumns({"_gx": F.least(F.lit(360.0), radius_m * 1.01 / kx), "_gy": F.least(F.lit(180.0), radius_m * 1.01 / ky), "_n": F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / cell).cast("int"))})
+
+    def cells(k: Column) -> Column:
+        """The cells of piece k of _n, grown."""
+
+        def span(a: str, d: Column, grown: str) -> Column:
+            one, two = F.col(a) + d * k / F.col("_n"), F.col(a) + d * (k + 1) / F.col("_n")
+            return F.sequence(_cell(F.least(one, two) - F.col(grown), cell), _cell(F.greatest(one, two) + F.col(grown), cell))
+
+        ys = span("ay", dy, "_gy")
+        return F.flatten(F.transform(span("ax", dx, "_gx"), lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+
+    listed = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), cells)))
+    return rows.withColumn("_c", F.explode(listed)).select("*", "_c.cx", "_c.cy").drop("_c", "_gx", "_gy", "_n")
+
+
+def _foot(lon: str, lat: str) -> tuple[Column, Column]:
+    """Of a point on a segment: the fraction of the nearest position, and the planar distance squared.
+
+    _kx and _ky are the metres of a degree at the point.
+    """
+    x, y = (F.col(lon) - F.col("ax")) * F.col("_kx"), (F.col(lat) - F.col("ay")) * F.col("_ky")
+    dx, dy = (F.col("bx") - F.col("ax")) * F.col("_kx"), (F.col("by") - F.col("ay")) * F.col("_ky")
+    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx + y * dy, dx * dx + dy * dy), F.lit(0.0))))
+    ox, oy = x - f * dx, y - f * dy
+    return f, ox * ox + oy * oy
+
+
+def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL, how: str = "inner") -> DataFrame:
+    """points (with lon and lat) joined with the segments within radius_m by the plane, a little more included.
+
+    Points that meet several segments of one road have a row for each; how="left"
+    keeps points that meet none. One equi-join, nothing else is shuffled. Adds
+    geom_id, fwd_ref, back_ref, road_class, place (segments of a road in order of
+    nearness), along (fraction of the road), road_lon, road_lat, direction.
+
+    Expressions are kept small: the JVM doesn't compile generated methods beyond 8,000
+    bytes, and interpreting them costs tens of times as much.
+    """
+    near = listed_segments(roads, radius_m, cell)
+    kx, ky = geo.metres_per_degree(F.col("lat"))
+    own = points.withColumns({"_cx": _cell(F.col("lon"), cell), "_cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
+    f, d2 = _foot("lon", "lat")
+    met = own.join(near, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")) & (d2 <= (radius_m * 1.01) ** 2), how)
+    # explode of one item binds f and d2 once; filters on what follows would else repeat them
+    met = met.withColumn("_h", F.explode(F.array(F.struct(f.alias("f"), d2.alias("d2")))))
+    x, y = geo.interpolate(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), F.col("_h.f"))
+    met = met.withColumns({"road_lon": x, "road_lat": y})
+    return met.select(
+        *points.columns, "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_h.d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), (F.col("start") + F.col("_h.f") * F.col("share")).alias("along"),
+        "road_lon", "road_lat", "direction",
+    )
 
 
 def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
@@ -38,57 +100,62 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
 
     points needs lon and lat; its other columns pass through. Adds geom_id, ref_id,
     is_forward, fraction (along the direction), distance_m, road_lon, road_lat,
-    azimuth, road_class. A pair gives one row for each direction of the road.
+    azimuth, road_class. A pair gives one row for each direction of the road: only
+    hits are shuffled, to find the nearest segment of each road.
     """
-    near = listed_roads(roads.select("geom_id", "fwd_ref", "back_ref", "road_class", "geometry"), radius_m, cell)
-    kx, ky = geo.metres_per_degree(F.col("lat"))
-    placed = points.withColumns({"cx": _cell(F.col("lon"), cell), "cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
-    # explode of one item binds the nearest segment once; the optimizer would
-    # otherwise repeat its search wherever the result is used.
-    pairs = placed.join(near, ["cx", "cy"]).drop("cx", "cy")
-    pairs = pairs.withColumn("hit", F.explode(F.array(geo.nearest_on(F.col("segs"), F.col("lon"), F.col("lat"), F.col("_kx"), F.col("_ky"))))).where(F.col("hit.d2") <= (radius_m * 1.01) ** 2)
-    s = F.get("segs", F.col("hit.i"))
-    x, y = geo.interpolate(s["ax"], s["ay"], s["bx"], s["by"], F.col("hit.f"))
-    last = F.element_at("segs", -1)
-    total = last["start_m"] + last["len_m"]
-    along = F.when(total == 0, 0.0).otherwise((s["start_m"] + F.col("hit.f") * s["len_m"]) / total)
-    pairs = pairs.withColumns({"road_lon": x, "road_lat": y, "along": along, "direction": geo.azimuth(s["ax"], s["ay"], s["bx"], s["by"])}).drop("segs", "hit")
-    pairs = pairs.withColumn("distance_m", geo.distance(F.col("lon"), F.col("lat"), F.col("road_lon"), F.col("road_lat"))).where(F.col("distance_m") <= radius_m)
-    forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), F.col("along").alias("fraction"), F.col("direction").alias("azimuth"))
-    backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - F.col("along")).alias("fraction"), F.pmod(F.col("direction") + 180, F.lit(360.0)).alias("azimuth"))
+    own = points.select(F.monotonically_increasing_id().alias("_wf_row"), "lon", "lat", F.struct(*points.columns).alias("_wf_own"))
+    hits = segment_hits(own, roads, radius_m, cell)
+    told = [c for c in hits.columns if c not in ("_wf_row", "geom_id", "place")]
+    pairs = hits.groupBy("_wf_row", "geom_id").agg(F.min_by(F.struct(*told), "place").alias("hit"))
+    metres = geo.distance(F.col("hit.lon"), F.col("hit.lat"), F.col("hit.road_lon"), F.col("hit.road_lat"))
+    pairs = pairs.select("geom_id", "hit.*", F.explode(F.array(metres)).alias("distance_m")).where(F.col("distance_m") <= radius_m)
+    along, direction = F.col("along"), F.col("direction")
+    forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
+    backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
     both = pairs.withColumn("way", F.explode(F.array(forward, backward))).where("way.ref_id IS NOT NULL")
-    return both.select(*points.columns, "geom_id", "way.*", "distance_m", "road_lon", "road_lat", "road_class")
+    return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", "road_lon", "road_lat", "road_class")
 
 
-def knn_join(points: DataFrame, roads: DataFrame, key: str, k: int, radius_m: float, max_radius_m: float, cell: float = CELL) -> DataFrame:
+def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick, enough) -> DataFrame:
+    """What pick chooses of the road points within a radius that doubles for points without enough of them.
+
+    Each round's finds and the points that are left are written out, so that no round
+    repeats an earlier one. Without a maximum, rounds go on until no point is left or
+    the radius spans the Earth.
+    """
+    most = FARTHEST_M if max_radius_m is None else max_radius_m
+    left, radius, done = points, radius_m, None
+    while True:
+        found = materialize(pick(radius_join(left, roads, radius, max(cell, radius / 50_000.0))), "near")
+        if radius >= most:
+            ready = found
+        else:
+            served = enough(found)
+            ready = found.join(served, key, "left_semi")
+            left = materialize(left.join(served, key, "left_anti"), "left")
+        done = ready if done is None else done.unionByName(ready)
+        if radius >= most or left.isEmpty() or (max_radius_m is None and roads.isEmpty()):
+            return done
+        radius = min(radius * 2, most)
+
+
+def knn_join(points: DataFrame, roads: DataFrame, key: str, k: int, radius_m: float = 100.0, max_radius_m: float | None = None, cell: float = CELL) -> DataFrame:
     """The k nearest directed road points of each point, with their rank from 1.
 
     Starts with radius_m and doubles it for points that found fewer than k; the last
-    round is at max_radius_m itself, and points beyond that keep what they have. Ties go to the smaller ref_id.
+    round is at max_radius_m itself, and points beyond that keep what they have.
+    Ties go to the smaller ref_id. Distances are planar: not meant for continents.
     """
     order = W.partitionBy(key).orderBy("distance_m", "ref_id")
-    done, left, radius = None, points, radius_m
-    while True:
-        found = radius_join(left, roads, radius, max(cell, radius / 50_000.0)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        last = radius >= max_radius_m
-        if last:
-            return found if done is None else done.unionByName(found)
-        enough = found.groupBy(key).count().where(F.col("count") >= k).select(key)
-        ready = found.join(enough, key, "left_semi")
-        done = ready if done is None else done.unionByName(ready)
-        left, radius = left.join(enough, key, "left_anti"), min(radius * 2, max_radius_m)
+    pick = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick, lambda found: found.groupBy(key).count().where(F.col("count") >= k).select(key))
 
 
-def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 100.0, max_radius_m: float = 800.0, cell: float = CELL) -> DataFrame:
+def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 100.0, max_radius_m: float | None = None, cell: float = CELL) -> DataFrame:
     """All directed road points at the least distance of each point; the radius doubles as in knn_join."""
     order = W.partitionBy(key).orderBy("distance_m")
-    done, left, radius = None, points, radius_m
-    while True:
-        found = radius_join(left, roads, radius, max(cell, radius / 50_000.0)).withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank")
-        done = found if done is None else done.unionByName(found)
-        if radius >= max_radius_m:
-            return done
-        left, radius = left.join(found.select(key), key, "left_anti"), min(radius * 2, max_radius_m)
+    pick = lambda df: df.withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank")
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick, lambda found: found.select(key).distinct())
 
 
 def demanded_roads(points: DataFrame, roads: DataFrame, zoom: int = tile.DATA_ZOOM) -> DataFrame:

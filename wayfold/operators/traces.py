@@ -18,21 +18,35 @@ def thin(points: DataFrame, min_distance_m: float, min_interval_ms: int, key: st
 
     Rows with event data are always kept. either keeps a point if one of the two is
     large enough, and then event data makes no difference. Each point is judged
-    against the last one kept, so the trace is folded over: one trace is one row.
+    against the last one kept, so a trace is folded over by one task, in order of time.
     """
     has = F.coalesce(F.size("event_data") > 0, F.lit(False)) if "event_data" in points.columns and not either else F.lit(False)
-    row = F.struct(F.col(time).alias("t"), F.col("lon").alias("lon"), F.col("lat").alias("lat"), has.alias("has"), F.struct(*points.columns).alias("row"))
-    traces = points.where(F.col(time).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("trace"))
-
-    def step(kept: Column, p: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))
-        far = geo.distance(last["lon"], last["lat"], p["lon"], p["lat"]) >= max(0.0, min_distance_m)
-        late = p["t"] - last["t"] >= max(0, min_interval_ms)
-        fits = (far | late) if either else (p["has"] | (far & late))
-        return F.when(F.coalesce(fits, F.lit(True)), F.concat(kept, F.array(p))).otherwise(kept)
-
-    empty = F.filter("trace", lambda _: F.lit(False))
-    return traces.select(F.explode(F.aggregate("trace", empty, step)).alias("p")).select("p.row.*")
+    rows = points.where(F.col(time).isNotNull())
+    schema = rows.schema
+    narrow = rows.select(F.struct(*rows.columns).alias("_row"), F.col(key).alias("_key"), F.col(time).alias("_t"), F.col("lon").cast("double").alias("_x"), F.col("lat").cast("double").alias("_y"), has.alias("_has"))
+
+    def fold(group):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        from wayfold.operators.kernel import chord_m
+
+        order = pc.sort_indices(group, sort_keys=[("_t", "ascending"), ("_x", "ascending"), ("_y", "ascending")])
+        t, x, y, has = (group.column(c).take(order).to_pylist() for c in ("_t", "_x", "_y", "_has"))
+        kept, last = [], None
+        for i in range(len(t)):
+            if last is not None and not has[i]:
+                known = None not in (x[i], y[i], x[last], y[last])
+                far = chord_m(x[last], y[last], x[i], y[i]) >= max(0.0, min_distance_m) if known else None
+                late = t[i] - t[last] >= max(0, min_interval_ms)
+                if (far is False and late is False) if either else (far is False or late is False):
+                    continue
+            kept.append(i)
+            last = i
+        column = group.column("_row").combine_chunks().take(order.take(pa.array(kept, pa.int64())))
+        return pa.Table.from_arrays([column.field(i) for i in range(column.type.num_fields)], names=[f.name for f in column.type])
+
+    return narrow.groupBy("_key").applyInArrow(fold, schema)
 
 
 def subsample(points: DataFrame, interval_s: int, key: str = "vehicle_id", time: str = "time_ms") -> DataFrame:
@@ -59,17 +73,18 @@ def probability_steps(rows: DataFrame, least: float, key: str = "vehicle_id", ti
     return rows.withColumn("delta", F.col(value) - base).withColumn("good", F.col("delta") > least)
 
 
-def failure_runs(rows: DataFrame, key: str = "vehicle_id", time: str = "time_ms", good: str = "good", ref: str = "ref_id") -> DataFrame:
-    """Runs of failed points between two good rows: (key, run, start_ref, end_ref, n_points, lonlats).
+def failure_runs(rows: DataFrame, key: str = "vehicle_id", time: str = "time_ms", good: str = "good", ref: str = "ref_id", fraction: str | None = None) -> DataFrame:
+    """Runs of failed points between two good rows: (key, run, start_ref, end_ref, start_fraction, end_fraction, n_points, lonlats).
 
-    Runs at a trace's start or end are not closed on both sides and don't count.
+    The fractions are those of the good rows, null without such a column. Runs at a trace's start or end are not closed on both sides and don't count.
     """
     w = _per(key, time)
     marked = rows.withColumn("run", F.sum(F.col(good).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    marked = marked.withColumns({"start_ref": F.last(F.when(F.col(good), F.col(ref)), True).over(w.rowsBetween(W.unboundedPreceding, -1)), "end_ref": F.first(F.when(F.col(good), F.col(ref)), True).over(w.rowsBetween(1, W.unboundedFollowing))})
-    failed = marked.where(~F.col(good) & F.col("start_ref").isNotNull() & F.col("end_ref").isNotNull())
+    place = F.when(F.col(good), F.struct(F.col(ref).alias("ref"), (F.col(fraction) if fraction else F.lit(None)).cast("double").alias("at")))
+    marked = marked.withColumns({"_from": F.last(place, True).over(w.rowsBetween(W.unboundedPreceding, -1)), "_to": F.first(place, True).over(w.rowsBetween(1, W.unboundedFollowing))})
+    failed = marked.where(~F.col(good) & F.col("_from.ref").isNotNull() & F.col("_to.ref").isNotNull())
     points = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col("lon").alias("lon"), F.col("lat").alias("lat"))))
-    out = failed.groupBy(key, "run").agg(F.first("start_ref").alias("start_ref"), F.first("end_ref").alias("end_ref"), F.count("*").alias("n_points"), points.alias("p"))
+    out = failed.groupBy(key, "run").agg(F.first("_from.ref").alias("start_ref"), F.first("_to.ref").alias("end_ref"), F.first("_from.at").alias("start_fraction"), F.first("_to.at").alias("end_fraction"), F.count("*").alias("n_points"), points.alias("p"))
     return out.withColumn("lonlats", F.flatten(F.transform("p", lambda x: F.array(x["lon"], x["lat"])))).drop("p")
 
 

@@ -78,11 +78,8 @@ def multi_zoom_tiles(spark, sf_dir):
 
 @query(f"WITH {GPS_SQL}, t AS (SELECT DISTINCT {sql_tile(16)} AS tile FROM gps) SELECT tile, row_number() OVER (ORDER BY CAST(split_part(tile, '-', 1) AS INTEGER), CAST(split_part(tile, '-', 2) AS INTEGER) DESC, CAST(split_part(tile, '-', 3) AS INTEGER) DESC) AS place FROM t")
 def tile_order(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     t = gps(spark, sf_dir).select(F.lit(16).alias("z"), tile.tile_x(F.col("lon"), 16).alias("x"), tile.tile_y(F.col("lat"), 16).alias("y")).distinct()
-    placed = t.withColumn("place", F.row_number().over(W.partitionBy("z").orderBy(*tile.tile_order("z", "x", "y"))))
-    return placed.select(F.concat_ws("-", "z", "x", "y").alias("tile"), F.col("place").cast("long").alias("place"))
+    return tiles.ranked(t).select(F.concat_ws("-", "z", "x", "y").alias("tile"), "place")
 
 
 @query(f"WITH {GRID_SQL} SELECT geom_id, unnest(list_distinct([{sql_tile(16, 'x0', 'y0')}, {sql_tile(16, 'x2', 'y2')}])) AS tile FROM grid")
@@ -207,24 +204,29 @@ def road_costs(spark, sf_dir):
 RING = [(-96.7951, 32.9049), (-96.7849, 32.9049), (-96.7849, 32.9151), (-96.7951, 32.9151)]
 
 
-@query(f"WITH {GRID_SQL} SELECT geom_id, road_class FROM grid WHERE road_class NOT IN (0, 8) AND EXISTS (SELECT 1 FROM (SELECT x0 AS x, y0 AS y UNION ALL SELECT (x0 + x2) / 2, (y0 + y2) / 2 UNION ALL SELECT x2, y2) p WHERE x > -96.7951 AND x < -96.7849 AND y > 32.9049 AND y < 32.9151)")
+@query(f"WITH {GRID_SQL} SELECT geom_id, road_class FROM grid WHERE road_class NOT IN (0, 8) AND greatest(x0, x2) >= -96.7951 AND least(x0, x2) <= -96.7849 AND greatest(y0, y2) >= 32.9049 AND least(y0, y2) <= 32.9151")
 def roads_filtered(spark, sf_dir):
     return network.filter_roads(grid(spark), [0, 8], RING).select("geom_id", "road_class")
 
 
+@query(f"WITH {GRID_SQL} SELECT geom_id FROM grid WHERE least(x0, x2) > -96.7951 AND greatest(x0, x2) < -96.7849 AND least(y0, y2) > 32.9049 AND greatest(y0, y2) < 32.9151")
+def roads_within(spark, sf_dir):
+    return network.filter_roads(grid(spark), [], RING, within=True).select("geom_id")
+
+
 @query(f"WITH {GRID_SQL} SELECT geom_id, min(tile) AS tile FROM (SELECT geom_id, {sql_tile(16, 'x0', 'y0')} AS tile FROM grid UNION ALL SELECT geom_id, {sql_tile(16, 'x2', 'y2')} FROM grid) GROUP BY 1")
 def roads_dedup(spark, sf_dir):
     placed = grid(spark).withColumn("tile", F.explode(tile.record_tiles(F.col("geometry"), 16)))
     return network.dedup_roads(placed).select("geom_id", "tile")
 
 
-@query(f"WITH RECURSIVE {GRID_SQL}, few AS (SELECT from_node AS a, to_node AS b FROM grid WHERE road_class < 3), both_ways AS (SELECT a, b FROM few UNION SELECT b, a FROM few), reach(a, b) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a) SELECT a AS node, min(b) AS component FROM reach GROUP BY 1")
+@query(f"WITH RECURSIVE {GRID_SQL}, both_ways AS (SELECT from_node AS a, to_node AS b FROM grid UNION SELECT to_node, from_node FROM grid), reach(a, b) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a) SELECT a AS node, min(b) AS component FROM reach GROUP BY 1")
 def components(spark, sf_dir):
-    return network.components(grid(spark).where("road_class < 3"))
+    return network.components(grid(spark))
 
 
 _REACH = f"""WITH RECURSIVE {EDGES_SQL}, reach(source, node, cost, hops) AS (
-  SELECT src, src, CAST(0 AS DOUBLE), 0 FROM edges WHERE src IN ('n_0_0', 'n_7_7')
+  SELECT src, src, CAST(0 AS DOUBLE), 0 FROM edges
   UNION SELECT r.source, e.dst, r.cost + e.length_m, r.hops + 1 FROM reach r JOIN edges e ON e.src = r.node WHERE r.hops < 5 AND r.cost + e.length_m <= 900)
 SELECT source, node, {rounded_sql('min(cost)', 3)} AS cost FROM reach GROUP BY 1, 2"""
 
@@ -232,7 +234,7 @@ SELECT source, node, {rounded_sql('min(cost)', 3)} AS cost FROM reach GROUP BY 1
 @query(_REACH)
 def shortest_path_costs(spark, sf_dir):
     e = network.edges(grid(spark))
-    sources_ = e.select(F.col("src").alias("node")).where("node IN ('n_0_0', 'n_7_7')").distinct()
+    sources_ = e.select(F.col("src").alias("node")).distinct()
     return network.shortest_costs(e, sources_, 900.0, 5).select("source", "node", rounded(F.col("cost"), 3).alias("cost"))
 
 
@@ -453,6 +455,18 @@ def dust_clusters(spark, sf_dir):
     return c.select("start_ref", "n_failures", F.aggregate("failures", F.lit(0).cast("long"), lambda a, f: a + f["n_points"]).alias("n_points"), F.array_min(F.transform("failures", lambda f: f["end_ref"])).alias("first_end"))
 
 
+@query(f"""{_STEPS}, placed AS (SELECT *, CAST(event_id % 8 AS DOUBLE) / 8 AS fraction, sum(CAST(good AS INTEGER)) OVER (PARTITION BY vehicle_id ORDER BY time_ms) AS run FROM good
+), ends AS (SELECT vehicle_id, run, ref_id, fraction, lead(ref_id) OVER w AS end_ref, lead(fraction) OVER w AS end_fraction FROM placed WHERE good WINDOW w AS (PARTITION BY vehicle_id ORDER BY run))
+SELECT e.ref_id AS start_ref, e.end_ref, e.fraction AS start_fraction, e.end_fraction, count(*) AS n_points, min(m.time_ms) AS first_ms FROM placed m JOIN ends e USING (vehicle_id, run)
+WHERE NOT m.good AND e.end_ref IS NOT NULL GROUP BY e.vehicle_id, run, 1, 2, 3, 4""".replace("min(m.time_ms) AS first_ms", f"{rounded_sql('sum(m.lon + m.lat)', 6)} AS coordinates"))
+def dust_messages(spark, sf_dir):
+    """Failure clusters through the wire format and back: what a reader of the messages gets."""
+    steps = _steps(spark, sf_dir).withColumn("fraction", (F.col("event_id") % 8).cast("double") / 8)
+    clusters = aggregate.failure_clusters(traces.failure_runs(steps, fraction="fraction"))
+    told = tiles.decoded_dust(tiles.encoded_dust(clusters)).select("start_ref", "end_ref", "start_fraction", "end_fraction", (F.size("lonlats") / 2).cast("long").alias("n_points"), F.aggregate("lonlats", F.lit(0.0), lambda a, v: a + v).alias("coordinates"))
+    return told.withColumn("coordinates", rounded(F.col("coordinates"), 6))
+
+
 # Probabilities
 
 
@@ -546,8 +560,10 @@ def hmm_trace_geojson(spark, sf_dir):
 
 @query()
 def align_error(spark, sf_dir):
-    m = _matched(spark, sf_dir).where("kind = 'estimate'").select("vehicle_id", "seq", "ref_id")
-    return match.align_error(m.where("seq % 2 = 0"), m, network.edges(grid(spark)))
+    """How far the matched roads are from those that samples are nearest to."""
+    m = _matched(spark, sf_dir).where("kind = 'estimate'").select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
+    nearest = spatial.snap(_points(spark, sf_dir), grid(spark), "event_id", 25.0).select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
+    return match.align_error(nearest, m, network.edges(grid(spark)))
 
 
 @query()

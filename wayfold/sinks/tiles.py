@@ -62,11 +62,41 @@ def encoded_dust(clusters: DataFrame) -> DataFrame:
     """(start_ref, message): failure clusters as delimited messages."""
 
     def encode(start_ref, failures):
-        return wire.delimited(wire.encode_dust(start_ref, [(f["end_ref"], f.get("start_fraction") or 0.0, f.get("end_fraction") or 0.0, list(f["lonlats"])) for f in failures]))
+        return wire.delimited(wire.encode_dust(start_ref, [(f["end_ref"], f["start_fraction"], f["end_fraction"], list(f["lonlats"])) for f in failures]))
 
     return _encoded(clusters.select("start_ref", "failures"), encode, "start_ref")
 
 
+def decoded_dust(messages: DataFrame) -> DataFrame:
+    """(start_ref, end_ref, start_fraction, end_fraction, lonlats) of dust messages, one row for each failure."""
+
+    def work(batches):
+        import pyarrow as pa
+
+        names = ["start_ref", "end_ref", "start_fraction", "end_fraction", "lonlats"]
+        kinds = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+        for batch in batches:
+            rows = [(start, *f) for data in batch.column(0).to_pylist() for m in wire.frames(data) for start, failures in [wire.decode_dust(m)] for f in failures]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+
+    return messages.select("message").mapInArrow(work, "start_ref string, end_ref string, start_fraction double, end_fraction double, lonlats array<double>")
+
+
+def ranked(placed: DataFrame) -> DataFrame:
+    """Tiles (z, x, y) with their place from 1 in the total order of tiles.
+
+    Columns of tiles are counted first; what is summed in one task are these counts,
+    at most 2^z of them, and the places within a column are found column by column.
+    """
+    from pyspark.sql import Window as W
+
+    counts = placed.groupBy("z", "x").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy(F.col("z"), F.col("x").desc()).rowsBetween(W.unboundedPreceding, -1))
+    offsets = counts.select("z", "x", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(W.partitionBy("z", "x").orderBy(F.col("y").desc()))
+    return placed.withColumn("_k", within).join(offsets, ["z", "x"]).select("z", "x", "y", (F.col("_before") + F.col("_k")).alias("place"))
+
+
 def _encoded(nested: DataFrame, encode, ref: str) -> DataFrame:
     keys = [c for c in nested.columns if c in (ref, "week")]
     inputs = [c for c in nested.columns if c != "week"]
@@ -87,7 +117,8 @@ def write_pbf(messages: DataFrame, folder: str, kind: str) -> DataFrame:
     """One file for each week and tile, <week>/<kind>/<tile>.<kind>.pbf; returns (path, records).
 
     messages needs tile, message and may have week. folder is a URI that all
-    executors reach. A file is replaced, not appended to, when written again.
+    executors reach. A file is replaced, not appended to, when written again; it gets
+    its name when it is whole, so that second attempts leave no torn files.
     """
     week = F.col("week").cast("string") if "week" in messages.columns else F.lit("")
     rows = messages.select(F.coalesce(week, F.lit("")).alias("week"), "tile", "message")
@@ -97,23 +128,29 @@ def write_pbf(messages: DataFrame, folder: str, kind: str) -> DataFrame:
         import pyarrow as pa
         from pyarrow import fs
 
+        import uuid
+
         store, root = fs.FileSystem.from_uri(folder)
-        out, current, stream, done = None, None, None, []
+        current, stream, done, part = None, None, [], f".{uuid.uuid4().hex}.part"
+
+        def close():
+            if stream:
+                stream.close()
+                store.move(done[-1][0] + part, done[-1][0])
+
         for batch in batches:
             for key_week, tile_name, message in zip(*(c.to_pylist() for c in batch.columns)):
                 if (key_week, tile_name) != current:
-                    if stream:
-                        stream.close()
+                    close()
                     current = (key_week, tile_name)
                     at = "/".join(x for x in (root, key_week, kind) if x)
                     store.create_dir(at, recursive=True)
                     out = f"{at}/{tile_name}.{kind}.pbf"
-                    stream = store.open_output_stream(out)
+                    stream = store.open_output_stream(out + part)
                     done.append([out, 0])
                 stream.write(message)
                 done[-1][1] += 1
-        if stream:
-            stream.close()
+        close()
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], names=["path", "records"])
 
     return rows.mapInArrow(write, "path string, records long")
