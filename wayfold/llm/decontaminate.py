@@ -1,15 +1,24 @@
 """Benchmark decontamination by a hash set of normalised n-grams.
 
-Native: DataFrame expressions only. Texts and benchmark items become words; each
-window of WINDOW item words (or a shorter item as a whole) is an n-gram of the
-set. A document's windows are looked up where the document is: first the word it
-starts with, then the hash of its first words, then the window itself. The set
-travels with the query only up to LITERAL_WINDOWS windows; beyond that, windows
-are exploded and joined, and Spark chooses how.
+Native: DataFrame expressions only, and one method at every size. Texts and
+benchmark items become words; each window of WINDOW item words (or a shorter item
+as a whole) is an n-gram of the set. The set travels as bits: two hash slots of
+each window, in one array of longs that Spark hands to all tasks as the result of a
+scalar subquery. Its size follows the benchmark, BITS for each window, MOST_BITS in
+all; fewer bits only mean more false alarms. Documents are scanned where they are:
+each window's hash is looked up in the bits, and only what passes is compared with
+the windows themselves, as text, by a join.
+
+Hits belong to texts, so they are keyed by a fingerprint of the text (64 and 32 bits
+of hash, and the length), not by numbers of rows: a plan that runs twice, or after
+executors were lost, gives the same keys, and copies of a text have their hits found
+in one group.
 
 Edge cases: null texts have no words and no hits; items without words are
 skipped; those with a null id are hit and removed as others, but have no place in
-n_items and items_sha256; repeated rows are judged row by row; empty tables give no hits; texts are taken whole; columns of docs keep their names and values.
+n_items and items_sha256; repeated rows are judged row by row; empty tables give no
+hits; texts are taken whole. Names that begin with _wf_ are reserved. What find adds
+replaces columns of docs with these names; the other functions keep all columns of docs.
 """
 
 from __future__ import annotations
@@ -17,23 +26,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import ROW
+from wayfold.llm.common import materialize
 
 WINDOW = 10
-#: Windows that the set may hold to be sent with the query (about 70 bytes each).
-LITERAL_WINDOWS = 20_000
-#: Words: runs of 0-9, a-z and all beyond ASCII, after A-Z were lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Bits of the set for each window, and at least and at most in all (2^28 are 32 MB).
+BITS, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 28
+#: What stands between words, which are runs of 0-9, a-z and all beyond ASCII, after A-Z were lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FIRST = 3  # words of a window that are hashed together
+_KEY = ["_wf_k1", "_wf_k2", "_wf_k3"]
+_HIT = "array<struct<at:int,len:int,window:string>>"
 
 
-def _firsts(words: str, i: str) -> str:
-    return ", ".join(f"get({words}, {i} + {k})" for k in range(_FIRST))
+def words(text: Column) -> Column:
+    """The words of a text; splitting costs a fifth of extracting them by a pattern."""
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), BETWEEN), "")
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+def _hash(array: str, at: str, size: int) -> str:
+    """SQL for the hash of so many words of an array from a position on; nulls beyond its end count for nothing."""
+    return "xxhash64(" + ", ".join(f"get({array}, {at} + {k})" for k in range(size)) + ")"
 
 
 def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -44,46 +56,52 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return starts.groupBy("len", "window").agg(F.collect_set("item").alias("items"))
 
 
+def _bits(windows: DataFrame, size: int, window: int) -> DataFrame:
+    """One row: the set as an array of longs, two slots of each window's hash."""
+    hashed = windows.select(F.split("window", " ").alias("w")).select(F.expr(_hash("w", "0", window)).alias("h"))
+    slots = hashed.select(F.explode(F.array(F.expr(f"h & {size - 1}L"), F.expr(f"shiftrightunsigned(h, 32) & {size - 1}L"))).alias("s"))
+    filled = slots.groupBy(F.expr("shiftright(s, 6)").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b"))
+    whole = windows.sparkSession.range(size // 64).join(filled, "id", "left")
+    return whole.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))), lambda x: x["b"]).alias("bits"))
+
+
+def _keys(text: Column) -> list[Column]:
+    known = F.coalesce(text, F.lit(""))
+    return [c.alias(k) for k, c in zip(_KEY, (F.xxhash64(known), F.hash(known), F.length(known)))]
+
+
+def found(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """Each distinct text with hits: its key, hits array<struct<at int, len int, window string>> and items array<string>."""
+    windows = materialize(benchmark_windows(benchmark, text_col="text", window=window), "windows")
+    sizes = {r[0]: r[1] for r in windows.groupBy("len").count().collect()}  # one for each length, 10 at most
+    total = max(1, sum(sizes.values()))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS * total - 1).bit_length()))
+    # explode of one item computes its content once; the optimizer would else move it to wherever it is used
+    texts = docs.select(F.explode(F.array(F.struct(words(F.col(text_col)).alias("w"), *_keys(F.col(text_col))))).alias("t")).select("t.*").withColumn("n", F.size("w")).where("n > 0")
+    places = texts.withColumn("at", F.explode(F.expr("sequence(0, n - 1)")))
+    tried = ", ".join(f"struct({n} AS len, {_hash('w', 'at', n)} AS h)" for n in sorted(sizes) or [window])
+    places = places.withColumn("c", F.explode(F.expr(f"array({tried})")))
+    bits, h = _bits(windows, size, window).scalar(), F.col("c.h")
+    slots = (h.bitwiseAND(size - 1), F.shiftrightunsigned(h, 32).bitwiseAND(size - 1))
+    set_ = [F.getbit(F.get(bits, F.shiftright(s, 6).cast("int")), s.bitwiseAND(63).cast("int")) == 1 for s in slots]
+    passed = places.where((F.col("at") <= F.col("n") - F.col("c.len")) & set_[0] & set_[1])
+    passed = passed.select(*_KEY, "at", "c.len", F.array_join(F.slice("w", F.col("at") + 1, F.col("c.len")), " ").alias("window")).distinct()
+    hits = passed.join(windows, ["len", "window"])
+    told = hits.groupBy(*_KEY).agg(F.collect_list(F.struct("at", "len", "window")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return told
+
+
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs with n_words int and hits array<struct<at int, len int, window string>>, at from 0.
+    """docs with n_words int and hits array<struct<at int, len int, window string>>, at from 0."""
+    rows = _with_hits(docs, found(docs, benchmark, text_col, window), text_col)
+    return rows.withColumns({"n_words": F.size(words(F.col(text_col))), "hits": F.col("_wf_hits")}).select(*(c for c in docs.columns if c not in ("n_words", "hits")), "n_words", "hits")
 
-    hits are the occurrences of the benchmark's windows; one map over the docs when
-    the set is small enough to travel along.
-    """
-    windows = benchmark_windows(benchmark, text_col="text", window=window)
-    lens = sorted(r[0] for r in windows.select("len").distinct().collect())  # 10 at most
-    known = windows.select("len", "window").limit(LITERAL_WINDOWS + 1).collect() if lens else []
-    # explode keeps the optimizer from moving the splitting of a text into the
-    # functions over its windows, where it would run once for each of them.
-    rows = docs.select("*", F.explode(F.array(words(F.col(text_col)))).alias("_wf_words")).withColumn("n_words", F.size("_wf_words"))
-
-    def at(size: int, where: str) -> str:
-        """SQL for the windows of this size that start where the condition on i holds."""
-        starts = f"filter(if(n_words >= {size}, sequence(0, n_words - {size}), cast(array() AS array<int>)), i -> {where})"
-        return f"transform({starts}, i -> struct(i AS at, {size} AS len, array_join(slice(_wf_words, i + 1, {size}), ' ') AS window))"
-
-    def listed(values) -> str:
-        # Words have neither quotes nor backslashes, so they need no escapes.
-        return ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in sorted(values))
-
-    empty = F.array().cast("array<struct<at:int,len:int,window:string>>")
-    if not lens:
-        return rows.withColumn("hits", empty).drop("_wf_words")
-    if len(known) <= LITERAL_WINDOWS:
-        hashes = {r[0]: r[1] for r in windows.select("window", F.expr(f"xxhash64({_firsts('split(window, chr(32))', '0')})")).collect()}
-        parts = []
-        for size in lens:
-            own = [r[1] for r in known if r[0] == size]
-            where = f"get(_wf_words, i) IN ({listed({x.split(' ')[0] for x in own})})"
-            if size >= _FIRST:
-                where += f" AND xxhash64({_firsts('_wf_words', 'i')}) IN ({listed({hashes[x] for x in own})})"
-            parts.append(F.expr(f"filter({at(size, where)}, c -> c.window IN ({listed(own)}))"))
-        return rows.withColumn("hits", F.concat(*parts)).drop("_wf_words")
-    numbered = rows.withColumn(ROW, F.monotonically_increasing_id())
-    tried = numbered.select(ROW, F.explode(F.concat(*(F.expr(at(size, "true")) for size in lens))).alias("c"))
-    joined = tried.join(windows.select("len", "window"), (F.col("c.len") == F.col("len")) & (F.col("c.window") == F.col("window")))
-    hit = joined.groupBy(ROW).agg(F.collect_list("c").alias("hits"))
-    return numbered.join(hit, ROW, "left").withColumn("hits", F.coalesce("hits", empty)).drop(ROW, "_wf_words")
+
+def _with_hits(docs: DataFrame, hits: DataFrame, text_col: str) -> DataFrame:
+    """docs with _wf_hits and _wf_items, by the texts' keys."""
+    told = hits.select(*_KEY, F.col("hits").alias("_wf_hits"), F.col("items").alias("_wf_items"))
+    out = docs.select("*", *_keys(F.col(text_col))).join(told, _KEY, "left").drop(*_KEY)
+    return out.withColumns({"_wf_hits": F.coalesce("_wf_hits", F.array().cast(_HIT)), "_wf_items": F.coalesce("_wf_items", F.array().cast("array<string>"))})
 
 
 def covered_words(hits: Column) -> Column:
@@ -99,7 +117,8 @@ def covered_words(hits: Column) -> Column:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """docs without the rows that hold any benchmark window."""
-    return find(docs, benchmark, text_col, window).where(F.size("hits") == 0).select(*docs.columns)
+    hits = found(docs, benchmark, text_col, window).select(*_KEY)
+    return docs.select("*", *_keys(F.col(text_col))).join(hits, _KEY, "left_anti").select(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -107,8 +126,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Each run of hit words, with what stands between them, becomes one line break.
     """
-    found = find(docs, benchmark, text_col, window).withColumn("_wf_words", F.when(F.size("hits") > 0, words(F.col(text_col))))
-    ordered = F.array_sort(F.transform("hits", lambda h: F.struct(h["at"].alias("at"), (h["at"] + h["len"]).alias("end"))))
+    rows = _with_hits(docs, found(docs, benchmark, text_col, window), text_col).withColumn("_wf_words", F.when(F.size("_wf_hits") > 0, words(F.col(text_col))))
+    ordered = F.array_sort(F.transform("_wf_hits", lambda h: F.struct(h["at"].alias("at"), (h["at"] + h["len"]).alias("end"))))
 
     def merge(runs, h):
         last = F.try_element_at(runs, F.lit(-1))
@@ -124,17 +143,15 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return F.concat(F.lit(f"(?i)(?<!{edge})"), F.array_join(F.slice(F.col("_wf_words"), run["at"] + 1, run["end"] - run["at"]), between + "+"), F.lit(f"(?!{edge})"))
 
     text = F.aggregate(runs, F.col(text_col), lambda t, run: F.regexp_replace(t, pattern(run), F.lit("\n")))
-    return found.withColumn(text_col, F.when(F.size("hits") > 0, text).otherwise(F.col(text_col))).select(*docs.columns)
+    return rows.withColumn(text_col, F.when(F.size("_wf_hits") > 0, text).otherwise(F.col(text_col))).select(*docs.columns)
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """For each document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = find(docs.select("doc_id", "text"), benchmark)
-    rows = found.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "n_words", covered_words(F.col("hits")).alias("n_hit"), F.array_distinct(F.transform("hits", lambda h: h["window"])).alias("windows"))
-    windows = benchmark_windows(benchmark).select("window", "items")
-    items = rows.select(ROW, "doc_id", "n_words", "n_hit", F.explode_outer("windows").alias("window")).join(windows, "window", "left")
-    told = items.groupBy(ROW).agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("items", F.array().cast("array<string>")))))).alias("items"))
-    return told.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    hits = found(docs, benchmark).select(*_KEY, covered_words(F.col("hits")).alias("n_hit"), "items")
+    rows = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), *_keys(F.col("text"))).join(hits, _KEY, "left")
+    n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
+    return rows.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 DIGEST_SQL = r"""
