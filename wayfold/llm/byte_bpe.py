@@ -2,15 +2,20 @@
 
 Documents are cut into blocks. Each block explodes its texts into pre-tokens with
 positions and keeps each distinct word once; the words, packed by hash bucket,
-are shuffled so that all blocks' copies of a word meet in one bucket, where the
-word is encoded once. The ids go back to the blocks, which put them together by
-position. What is shuffled is one row for each (block, bucket), never a row for
-each occurrence, so a frequent word weighs no more than a rare one.
+are shuffled so that all blocks' copies of a word meet in one bucket, whose rows come
+one after the other: each word is encoded once in all. The ids go back to the blocks,
+which put them together by position. What is shuffled is one row for each (block,
+bucket), never a row for each occurrence, so a frequent word weighs no more than a
+rare one. Buckets are as many as partitions, but at most MOST_BUCKETS, so that rows
+don't become as many as blocks times partitions on a large cluster.
+
+Decoding joins ids with the token-byte table by a hash join within the task: the
+table is a vocabulary, whose size no corpus changes, and is broadcast.
 
 Edge cases: a null text counts as empty and gives no ids; empty tables give empty
 results; repeated rows and null ids each keep their row; texts of any length are
-taken whole (a long text is a block of its own); columns of docs other than the
-two named ones are not read, so their names can't clash.
+taken whole (a block ends after the text that fills it); columns of docs other than
+the two named ones are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -25,8 +30,8 @@ from wayfold.llm.common import mapped, partitions, splitter
 
 #: Characters of text in a block; bounds what an assembling task holds.
 BLOCK_CHARS = 16_000_000
-#: Distinct words that an encoding task remembers before it starts anew.
-MEMO_WORDS = 200_000
+#: Buckets of words at most: each is encoded by one task, which remembers its distinct words.
+MOST_BUCKETS = 2048
 #: Token ids in an output batch, about.
 BATCH_TOKENS = 250_000
 _LAST = 2**31 - 1
@@ -76,7 +81,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    buckets = partitions(spark)
+    parts = partitions(spark)
+    buckets = min(parts, MOST_BUCKETS)
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     packed = "slot long, block long, bucket int, payload binary"
@@ -152,18 +158,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 self[word] = ids = piece(word) if rank is None else [rank]
                 return ids
 
-        memo = Memo()
+        memo, current = Memo(), None
         for batch in batches:
             out = []
             for bucket, payload in zip(batch.column(2).to_pylist(), batch.column(3)):
                 payload = payload.as_py()
                 if bucket != _LAST:
+                    if bucket != current:  # no word of another bucket comes again
+                        memo, current = Memo(), bucket
                     sizes, text = _unpacked(unpack, payload)
                     ends = np.cumsum(sizes).tolist()
                     encoded = [memo[text[a:b]] for a, b in zip([0, *ends], ends)]
                     payload = _packed(pack, map(len, encoded), np.fromiter(chain.from_iterable(encoded), id_kind).tobytes())
-                    if len(memo) > MEMO_WORDS:
-                        memo.clear()
                 out.append(payload)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.binary())], names=["slot", "block", "bucket", "payload"])
 
@@ -209,8 +215,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                     yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out))], names=["id", "ids"])
                     first = last
 
-    blocks = mapped(source, pretokenise, packed).repartition(buckets, "slot")
-    encoded = mapped(blocks, encode_words, packed).repartition(buckets, "block").sortWithinPartitions("block", "bucket")
+    blocks = mapped(source, pretokenise, packed).repartition(parts, "slot").sortWithinPartitions("bucket")
+    encoded = mapped(blocks, encode_words, packed).repartition(parts, "block").sortWithinPartitions("block", "bucket")
     if not decoded_col:
         return mapped(encoded, assemble, "id string, ids array<int>").select(F.col("id").cast(id_type).alias(id_col), "ids")
     join = _joiner(ranks, 1, decoded_col)
@@ -239,11 +245,12 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     """encoded with the bytes of its ids in out_col, by a hash join of ids to the token-byte table.
 
     The table has a row for each token of the vocabulary and so a size that no
-    corpus changes; it is broadcast. Null ids give null; an id that the table lacks
-    is an error. The bytes need not be valid UTF-8, hence binary.
+    corpus changes; it is broadcast. out_col replaces a column of its name. Null ids
+    give null; an id that the table lacks is an error. The bytes need not be valid UTF-8, hence binary.
     """
     spark = encoded.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    encoded = encoded.drop(out_col)
     schema = encoded.select("*", F.lit(b"").alias(out_col)).schema
     return mapped(encoded, _joiner(ranks, encoded.columns.index(ids_col), out_col), schema)
 

@@ -12,8 +12,10 @@ from wayfold.shared import materialize, new_path, shared_dir  # noqa: F401
 ROW = "_wf_row"
 
 
-#: Rows that a task's Python holds at once; texts may be long.
+#: Rows that a task's Python holds at once, unless the session says otherwise. Spark
+#: bounds the bytes of a batch too (spark.sql.execution.arrow.maxBytesPerBatch).
 BATCH_ROWS = 1000
+_ROWS_KEY, _ROWS_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def mapped(df: DataFrame, work, schema) -> DataFrame:
@@ -22,7 +24,8 @@ def mapped(df: DataFrame, work, schema) -> DataFrame:
     Python workers live on and serve other tasks; what their allocators keep would
     add up over the stages of a long application.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if df.sparkSession.conf.get(_ROWS_KEY) == _ROWS_DEFAULT:
+        df.sparkSession.conf.set(_ROWS_KEY, str(BATCH_ROWS))
 
     def run(batches):
         import ctypes
@@ -43,6 +46,12 @@ def mapped(df: DataFrame, work, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def added(df: DataFrame, columns: dict[str, str], without: tuple[str, ...] = ()) -> DataFrame:
+    """df with columns renamed to what they are called outside; they replace others of these names."""
+    kept = [c for c in df.columns if c not in columns.values() and c not in columns and c not in without]
+    return df.select(*kept, *(F.col(c).alias(name) for c, name in columns.items()))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

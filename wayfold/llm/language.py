@@ -9,6 +9,8 @@ Edge cases: a null text, or one without a letter, is `und` with score 0; texts
 are taken whole; a text shorter than an n-gram is padded with blanks; ties go to
 the first language in order; with nothing to learn from, every text is `und`;
 repeated rows and null ids keep their rows; null languages are not learned from.
+Any number of languages is told apart: an entry has as many words of 64 bits as they
+need. What predict adds replaces columns of docs with these names.
 """
 
 from __future__ import annotations
@@ -17,14 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.common import mapped
+from wayfold.llm.common import mapped, materialize
 
 #: Rows of a language, about, from which its n-grams are learned; a larger table is
 #: sampled by a hash of the id. This bounds the model, not what is scored.
 LEARN_ROWS = 4000
-#: n-grams that a language keeps, the most frequent first.
-LANGUAGE_GRAMS = 200_000
-#: Share of a language's documents that must hold an n-gram.
+#: Share of a language's learned documents that must hold an n-gram of it. This bounds
+#: the model: a language has at most its documents' mean number of n-grams over this share.
 LEAST_SHARE = 0.005
 #: Bits of the table for each n-gram of the largest language, and hash functions.
 BITS_PER_GRAM, HASHES = 16, 3
@@ -53,21 +54,18 @@ def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     """The table of bitmasks from the rows of docs for which learn_from holds.
 
     Only a hash of the id, to sample by, the text and its language are used. The
-    result's size is bounded by the languages and LANGUAGE_GRAMS.
+    result's size is bounded by LEARN_ROWS and LEAST_SHARE for each language. The
+    texts are read once, whatever the number of languages.
     """
     import numpy as np
 
     rows = docs.where(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     totals = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # a row for each language
     languages = sorted(totals)
-    if len(languages) > 64:
-        raise ValueError(f"{len(languages)} languages; a bitmask holds 64")
     if not languages:
-        return {"languages": [], "table": np.zeros(1, np.uint8), "bits": 0, "false": []}
-    keep = F.lit(False)
-    for lang, n in totals.items():
-        part = min(1.0, LEARN_ROWS / n)
-        keep = keep | ((F.col(lang_col) == lang) & (F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(part * (1 << 20)) + 1))
+        return {"languages": [], "table": np.zeros((1, 1), np.uint8), "bits": 0, "false": []}
+    parts = F.create_map(*(F.lit(x) for lang, n in totals.items() for x in (lang, int(min(1.0, LEARN_ROWS / n) * (1 << 20)) + 1)))
+    keep = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < parts[F.col(lang_col)]
 
     def count(batches):
         from collections import defaultdict
@@ -101,35 +99,33 @@ def learn(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
         yield flush()
 
     counted = mapped(rows.where(keep).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    sampled = {r[0]: r[1] for r in counted.where("gram = -1").select("lang", "n").collect()}
-    enough = F.lit(False)
-    for lang, n in sampled.items():
-        enough = enough | ((F.col("lang") == lang) & (F.col("n") >= max(2 if n > 20 else 1, LEAST_SHARE * n)))
-    grams = {}
-    for lang in languages:
-        found = counted.where((F.col("lang") == lang) & (F.col("gram") >= 0) & enough).orderBy(F.desc("n"), "gram").limit(LANGUAGE_GRAMS).select("gram").collect()
-        grams[lang] = np.array([r[0] for r in found], np.uint32)
+    counted = materialize(counted, "grams")
+    sampled = counted.where("gram = -1").select("lang", F.greatest(F.when(F.col("n") > 20, 2).otherwise(1), F.col("n") * LEAST_SHARE).alias("least"))
+    frequent = counted.where("gram >= 0").join(F.broadcast(sampled), "lang").where("n >= least")  # a row for each language
+    listed = {r[0]: r[1] for r in frequent.groupBy("lang").agg(F.collect_list("gram")).collect()}
+    grams = {lang: np.array(listed.get(lang, []), np.uint32) for lang in languages}
     bits = max(10, int(np.ceil(np.log2(BITS_PER_GRAM * max(map(len, grams.values())) + 1))))
-    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(t).itemsize * 8 >= len(languages))
-    table, false = np.zeros(1 << bits, kind), []
+    kind = next((t for t in (np.uint8, np.uint16, np.uint32) if np.dtype(t).itemsize * 8 >= len(languages)), np.uint64)
+    table, false = np.zeros((1 << bits, -(-len(languages) // 64)), kind), []
     for i, lang in enumerate(languages):
         own = np.zeros(1 << bits, bool)
         for slots in _slots(grams[lang], bits):
             own[slots] = True
-        table[own] |= kind(1 << i)
+        table[own, i // 64] |= kind(1 << i % 64)
         false.append(float(own.mean()) ** HASHES)
     return {"languages": languages, "table": table, "bits": bits, "false": false}
 
 
-def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with lang_pred string and score double; one map over the scan.
+def predict(docs: DataFrame, model: dict, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """docs with lang_pred string and score double, or other names for them; one map over the scan.
 
     score is the share of the text's n-grams that the named language contains,
     corrected for false positives: near 1 for ordinary text of that language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.select(*(c for c in docs.columns if c == text_col or c not in (lang_out, score_out)))
     keys = [c for c in docs.columns if c != text_col]
-    schema = docs.select(*keys, F.col(text_col), F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = docs.select(*keys, F.col(text_col), F.lit("").alias(lang_out), F.lit(0.0).alias(score_out)).schema
 
     def score(batches):
         import numpy as np
@@ -147,8 +143,8 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             for s in slots[1:]:
                 mask &= table[s]
             if small:
-                return np.bincount(mask, minlength=256) @ holds
-            return np.array([np.count_nonzero(mask >> np.uint64(i) & np.uint64(1)) for i in range(len(langs))])
+                return np.bincount(mask[:, 0], minlength=256) @ holds
+            return np.array([np.count_nonzero(mask[:, i // 64] & mask.dtype.type(1 << i % 64)) for i in range(len(langs))])
 
         for batch in batches:
             names, scores = [], []
@@ -164,6 +160,6 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 best = int(np.argmax(right))
                 names.append(langs[best])
                 scores.append(float(min(1.0, max(0.0, right[best]))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, lang_out, score_out])
 
     return mapped(docs.select(*keys, text_col), score, schema)

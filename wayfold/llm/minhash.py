@@ -15,7 +15,9 @@ between documents that share a bucket is lost.
 Edge cases: null texts and texts without words have an empty set and link with
 nothing; fewer words than a shingle make one shingle; repeated rows are copies;
 rows with a null id take part, and components take the smallest id that is not
-null; empty tables give empty results.
+null; empty tables give empty results. What near_duplicates adds replaces columns of
+docs with these names (a prefix gives it others); names that begin with _wf_ are
+reserved.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ BANDS, BAND_ROWS = 25, 5
 BINS = BANDS * BAND_ROWS
 #: Classes that a task compares with as many others.
 CHUNK = 2000
-_SET, _TEXT = "_wf_set", "_wf_text"
+_SET, _TEXT, _SIZE = "_wf_set", "_wf_text", "_wf_size"
 
 
 def _mix(h):
@@ -113,7 +115,7 @@ def _sketch(docs: DataFrame, text_col: str, ngram: int) -> DataFrame:
     """docs with the text compressed, its set's size, fingerprint and bucket keys."""
     rows = docs.withColumn(ROW, F.monotonically_increasing_id())
     others = [c for c in rows.columns if c != text_col]
-    schema = rows.select(*others, F.lit(b"").alias(_TEXT), F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias(_SET), F.array(F.lit(0).cast("long")).alias("_wf_keys"), F.lit(b"").alias("_wf_bins")).schema
+    schema = rows.select(*others, F.lit(b"").alias(_TEXT), F.lit(0).cast("long").alias(_SIZE), F.lit(b"").alias(_SET), F.array(F.lit(0).cast("long")).alias("_wf_keys"), F.lit(b"").alias("_wf_bins")).schema
     for field in schema.fields:
         field.nullable = True
 
@@ -134,7 +136,7 @@ def _sketch(docs: DataFrame, text_col: str, ngram: int) -> DataFrame:
                 keys.append(signed[0])
                 bins.append(signed[1])
             added = [pa.array(texts, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *added], names=[*others, _TEXT, "n_shingles", _SET, "_wf_keys", "_wf_bins"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *added], names=[*others, _TEXT, _SIZE, _SET, "_wf_keys", "_wf_bins"])
 
     return mapped(rows.select(*others, text_col), sketch, schema)
 
@@ -172,19 +174,19 @@ def _confirm(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> Da
     return mapped(both, confirm, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", prefix: str = "") -> DataFrame:
     """docs with n_shingles long, component_id (type of the id), kept and keeper boolean.
 
     component_id is the smallest id that links reach, the row's own included; kept
     says that the row has that id. keeper is true for exactly one row of each
-    component, one with the smallest id: repeated ids are told apart. The text is
-    given back as it was.
+    component, one with the smallest id: repeated ids are told apart. The text comes
+    compressed (with_text gives it back). prefix goes before the names of all four.
     """
     sketched = materialize(_sketch(docs, text_col, ngram), "sketches")
     filled = sketched.where(F.col(_SET).isNotNull())
     # What a class needs: its first row, one row's sketch, its smallest id, the row that stays.
     smallest = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(ROW)))
-    classes = filled.groupBy(_SET).agg(F.min(ROW).alias("class"), F.first("n_shingles").alias("n"), F.first("_wf_keys").alias("keys"), F.first("_wf_bins").alias("bins"), F.min(id_col).alias("first_id"), smallest.alias("keeper_row"))
+    classes = filled.groupBy(_SET).agg(F.min(ROW).alias("class"), F.first(_SIZE).alias("n"), F.first("_wf_keys").alias("keys"), F.first("_wf_bins").alias("bins"), F.min(id_col).alias("first_id"), smallest.alias("keeper_row"))
     classes = materialize(classes, "classes")
     members = classes.select("class", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min(F.struct("class", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
@@ -204,11 +206,13 @@ def near_duplicates(docs: DataFrame, ngram: int = 5, percent: int = 80, id_col:
     moved = linked.select("class", "root").join(tops, "root").select("class", "top_id", "top_row")
     placed = classes.select(_SET, "class", "first_id", "keeper_row").join(moved, "class", "left")
     placed = placed.select(_SET, F.when(F.col("top_row").isNull(), F.col("first_id")).otherwise(F.col("top_id")).alias("component_id"), F.coalesce("top_row", "keeper_row")[ROW].alias("_wf_keeper"))
+    placed = placed.withColumnRenamed("component_id", "_wf_component")
     out = sketched.drop("_wf_keys", "_wf_bins").join(placed, _SET, "left")
     alone = F.col(_SET).isNull()
-    out = out.withColumn("component_id", F.when(alone, F.col(id_col)).otherwise(F.col("component_id")))
-    out = out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
-    return out.withColumn("keeper", alone | (F.col("_wf_keeper") == F.col(ROW))).drop(ROW, _SET, "_wf_keeper")
+    component = F.when(alone, F.col(id_col)).otherwise(F.col("_wf_component"))
+    told = {"n_shingles": F.col(_SIZE), "component_id": component, "kept": F.col(id_col).eqNullSafe(component), "keeper": alone | (F.col("_wf_keeper") == F.col(ROW))}
+    told = {prefix + name: c for name, c in told.items()}
+    return out.select(*(c for c in docs.columns if c != text_col and c not in told), *(c.alias(name) for name, c in told.items()), _TEXT)
 
 
 def _labels(links: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ pairs of chunks. Equal vectors form one class with a weight first.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different lengths don't link; repeated
-rows and null ids take part row by row; empty tables give empty results.
+rows and null ids take part row by row; empty tables give empty results; numbers may
+be as large or small as doubles are; only the id and the vector are read.
 """
 
 from __future__ import annotations
@@ -83,6 +84,14 @@ def planted(n: int, dim: int, cosine: float, seed: int = 7):
     return a, cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * b
 
 
+def unit(x):
+    """Rows of length 1; scaled by their largest number first, so that no square overflows or vanishes."""
+    import numpy as np
+
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def sized(count: int, dim: int, cosine: float) -> tuple[int, int, int]:
     """Blocks, codewords and codes for so many vectors; no codes: one filter lists all."""
     import numpy as np
@@ -122,7 +131,7 @@ def _listed(classes: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> DataF
                     short = x.astype(np.float32)
                 for i, v, s, exact in zip(at, x, short, (short == x).all(1)):
                     packed[i] = (s if exact else v).tobytes()
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(x)
                 if dim not in decode:
                     decode[dim] = decoder(dim, *sizes[dim])
                 names = [n + (k << 40) for k, n in enumerate(decode[dim](x))] or [np.zeros((len(x), 1), np.int64)]
@@ -163,7 +172,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
             ids, weights = np.array([g[1] for g in group]), np.array([g[2] for g in group], float)
             dim = name >> 44
             x = np.array([np.frombuffer(g[3], np.float32 if len(g[3]) == 4 * dim else float) for g in group], float)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = unit(x)
             linked = x @ x.T >= cosine
             np.fill_diagonal(linked, False)
             if c1 != c2:

@@ -14,7 +14,8 @@ frequent in toxic than in ordinary documents.
 Edge cases: a null text counts as empty; an empty text has no window and gets the
 score of no savings; texts are taken whole; null labels are not learned from;
 with labels of one kind only, or none, every score is the share of toxic labels
-(0 without labels); repeated rows and null ids keep their rows.
+(0 without labels); repeated rows and null ids keep their rows; only the id and the
+text are read, so names of other columns can't clash.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from wayfold.llm.common import mapped
 #: scores calibrated, chosen by a hash of the id; longer texts are not learned from.
 LEARN_ROWS, LEARN_CHARS = 3000, 50_000
 WINDOW = 8
-#: Bytes of the ordinary dictionary, letters of a sequence, passages that are kept.
-ORDINARY_BYTES, SEQUENCE, PASSAGES = 32_768, 5, 80
+#: Bytes of the ordinary dictionary and of the passages at most, letters of a sequence.
+ORDINARY_BYTES, PASSAGE_BYTES, SEQUENCE = 32_768, 16_384, 5
+#: Windows that the ordinary dictionary is trained on at most, evenly spread over those of the learned texts.
+TRAIN_WINDOWS = 100_000
 LEVEL = 4
 
 
@@ -60,10 +63,13 @@ def _train(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     for text in toxic:
         passages.update({run for word in {b" " + w for w in _words(text)} for run in _covered(word, telling)})
     kept: list[bytes] = []
-    for passage, n in passages.most_common(PASSAGES):
-        if n >= least and not any(passage in other or other in passage for other in kept):
+    room = PASSAGE_BYTES
+    for passage, n in sorted(passages.items(), key=lambda x: (-x[1], x[0])):
+        if n >= least and len(passage) <= room and not any(passage in other or other in passage for other in kept):
             kept.append(passage)
-    samples = [w for text in ordinary for w in _windows(text)][:100_000]
+            room -= len(passage) + 2
+    samples = [w for text in ordinary for w in _windows(text)]
+    samples = samples[:: -(-len(samples) // TRAIN_WINDOWS) or 1]
     try:
         base = zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself
@@ -110,21 +116,21 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
     """
     import numpy as np
 
-    marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn_from).groupBy(id_col).agg(F.max(label_col).alias("_label")).select(id_col, (F.col("_label") > 0).alias("_label"))
-    totals = {r[0]: r[1] for r in marked.groupBy("_label").count().collect()}
+    marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn_from).groupBy(id_col).agg(F.max(label_col).alias("_wf_label")).select(id_col, (F.col("_wf_label") > 0).alias("_wf_label"))
+    totals = {r[0]: r[1] for r in marked.groupBy("_wf_label").count().collect()}
     if len(totals) < 2:
         return {"dictionaries": None, "share": 1.0 if totals.get(True) else 0.0}
-    chosen = marked.where((F.col("_label") & _sampled(id_col, totals[True])) | (~F.col("_label") & _sampled(id_col, totals[False])))
+    chosen = marked.where((F.col("_wf_label") & _sampled(id_col, totals[True])) | (~F.col("_wf_label") & _sampled(id_col, totals[False])))
     # The chosen rows are few: they are matched where the texts are, so that no text is shuffled.
-    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("t")).where(F.length("t") <= LEARN_CHARS)
-    rows = texts.join(F.broadcast(chosen), id_col).select(F.xxhash64(id_col).alias("h"), "t", "_label").collect()
+    texts = docs.select(F.col(id_col), F.coalesce(text_col, F.lit("")).alias("t")).where(F.length("t") <= LEARN_CHARS)
+    rows = texts.join(F.broadcast(chosen), id_col).select(F.xxhash64(id_col).alias("h"), "t", F.col("_wf_label").alias("label")).collect()
     rows.sort(key=lambda r: (r.h, r.t))
     half = [[r for r in rows if (r.h >> 21 & 1) == k] for k in (0, 1)]
-    if any(len({r._label for r in h}) < 2 for h in half):
+    if any(len({r.label for r in h}) < 2 for h in half):
         half = [rows, rows]
-    toxic, ordinary = _train([r.t for r in half[0] if r._label], [r.t for r in half[0] if not r._label])
+    toxic, ordinary = _train([r.t for r in half[0] if r.label], [r.t for r in half[0] if not r.label])
     of = _savings(toxic, ordinary)
-    x, y = np.array([of(r.t) for r in half[1]]), np.array([r._label for r in half[1]], float)
+    x, y = np.array([of(r.t) for r in half[1]]), np.array([r.label for r in half[1]], float)
     share = totals[True] / (totals[True] + totals[False])
     weight = np.where(y > 0, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     mean, scale = x.mean(0), x.std(0) + 1e-9

@@ -8,17 +8,29 @@ Edge cases: a null URL or one without `://` has an empty host and path, fits no
 rule, and is judged by its features like any other; without labelled URLs of both
 kinds all votes are equal, so what rules don't decide is allowed; repeated rows and
 null ids keep their rows; empty tables give empty results; URLs of any length are
-taken whole; only the named columns are read.
+taken whole. What judge adds (host, path, rule, score, verdict) replaces columns of
+these names; names that begin with _wf_ are reserved.
+
+The rules' URLs are the only labels. The share of blocked URLs of a suffix is told to
+the trees from the other FOLDS of the learned URLs, so that they can't read a URL's
+own label back from it (leaving out that one URL would tell it, the wrong way round);
+all suffixes of the learned URLs count, drawn to the mean where few were seen.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled URLs, about, that trees are grown from, chosen by a hash of the URL.
 LEARN_ROWS = 20_000
-TREES, DEPTH, BINS, RATE = 30, 3, 32, 0.2
+TREES, DEPTH, BINS, RATE = 30, 3, 32, 0.1
+#: Rows of a leaf at least, as a share of those learned from and as a number: trees that follow single URLs say little of others.
+LEAF_SHARE, LEAF_ROWS = 0.05, 20
+#: Weight of the mean in a suffix's share, in URLs, and folds of the learned URLs.
+PRIOR_URLS, FOLDS = 20, 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -47,8 +59,12 @@ def rule(rules: list[tuple[str, str]], host_col: Column, path_col: Column) -> Co
     return out
 
 
-def features(url: Column, host_col: Column, path_col: Column, suffixes: dict[str, float], prior: float) -> dict[str, Column]:
-    """Lexical features; suffix_rate is the share of blocked URLs among those learned from with that suffix."""
+def suffix(host_col: Column) -> Column:
+    return F.regexp_extract(host_col, r"([^.]*)$", 1)
+
+
+def features(url: Column, host_col: Column, path_col: Column, rate: Column) -> dict[str, Column]:
+    """Lexical features; rate is the share of blocked URLs among those learned from with that suffix."""
     text = F.coalesce(url, F.lit(""))
 
     def counted(where: Column, characters: str) -> Column:
@@ -58,10 +74,6 @@ def features(url: Column, host_col: Column, path_col: Column, suffixes: dict[str
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
     share = F.transform(F.array_distinct(F.split(text, "")), lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / F.greatest(F.length(text), F.lit(1)))
     entropy = F.aggregate(share, F.lit(0.0), lambda acc, p: acc - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
-    suffix = F.regexp_extract(host_col, r"([^.]*)$", 1)
-    rate = F.lit(float(prior))
-    for name, value in sorted(suffixes.items()):
-        rate = F.when(suffix == name, F.lit(float(value))).otherwise(rate)
     return {
         "length": size,
         "host_length": F.length(host_col).cast("double"),
@@ -76,7 +88,7 @@ def features(url: Column, host_col: Column, path_col: Column, suffixes: dict[str
         "entropy": entropy,
         "secure": F.when(text.startswith("https"), 1.0).otherwise(0.0),
         "suffix_rate": rate,
-        "suffix_length": F.length(suffix).cast("double"),
+        "suffix_length": F.length(suffix(host_col)).cast("double"),
     }
 
 
@@ -88,11 +100,11 @@ def _grow(x, y):
     base = float(np.log(share / (1 - share)))
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], 1)  # bin b: x <= cuts[b]
-    raw, trees = np.full(len(y), base), []
+    raw, trees, least = np.full(len(y), base), [], max(LEAF_ROWS, int(LEAF_SHARE * len(y)))
 
     def grow(rows, depth, g, h):
         value = RATE * float(g[rows].sum() / (h[rows].sum() + 1.0))
-        if depth == 0 or len(rows) < 20:
+        if depth == 0 or len(rows) < 2 * least:
             raw[rows] += value
             return value
         best, total_g, total_h = (1e-6, None, None), g[rows].sum(), h[rows].sum()
@@ -101,7 +113,9 @@ def _grow(x, y):
                 continue
             left_g = np.bincount(binned[rows, j], g[rows], BINS + 1).cumsum()[: len(c)]
             left_h = np.bincount(binned[rows, j], h[rows], BINS + 1).cumsum()[: len(c)]
+            size = np.bincount(binned[rows, j], minlength=BINS + 1).cumsum()[: len(c)]
             gain = left_g**2 / (left_h + 1) + (total_g - left_g) ** 2 / (total_h - left_h + 1) - total_g**2 / (total_h + 1)
+            gain[(size < least) | (len(rows) - size < least)] = 0
             b = int(np.argmax(gain))
             if gain[b] > best[0]:
                 best = (gain[b], j, b)
@@ -122,19 +136,23 @@ def learn(urls: DataFrame, rules: list[tuple[str, str]], url_col: str = "url") -
     """Trees from the URLs that rules label; about LEARN_ROWS of them reach the driver."""
     import numpy as np
 
+    urls = urls.select(url_col)
     verdicts = dict((text, verdict) for verdict, text in rules)
     h, p = host(F.col(url_col)), path(F.col(url_col))
     labelled = urls.select(url_col, h.alias("h"), p.alias("p")).select("*", rule(rules, F.col("h"), F.col("p")).alias("rule")).where("rule IS NOT NULL")
     total = labelled.count()
     chosen = labelled.where(F.pmod(F.xxhash64(url_col), F.lit(1 << 20)) < int(min(1.0, LEARN_ROWS / max(1, total)) * (1 << 20)) + 1)
     bad = F.col("rule").isin([t for t, v in verdicts.items() if v == "block"]).cast("double")
-    suffix = F.regexp_extract("h", r"([^.]*)$", 1)
-    stats = chosen.groupBy(suffix.alias("suffix")).agg(F.sum(bad).alias("bad"), F.count("*").alias("n")).orderBy(F.desc("n"), "suffix").limit(100).collect()
-    n, blocked = sum(r.n for r in stats), sum(r.bad for r in stats)
+    chosen = chosen.select(F.col(url_col).alias("u"), "h", "p", bad.alias("y"), suffix(F.col("h")).alias("s"), F.pmod(F.xxhash64(F.lit(1), url_col), F.lit(FOLDS)).alias("fold"))
+    told = chosen.groupBy("s").agg(F.sum("y").alias("bad"), F.count("*").alias("n")).collect()  # at most a row for each learned URL
+    n, blocked = sum(r.n for r in told), sum(r.bad for r in told)
     prior = blocked / n if n else 0.0
-    suffixes = {r.suffix: (r.bad + 20 * prior) / (r.n + 20) for r in stats}  # drawn to the mean where few were seen
-    named = features(F.col(url_col), F.col("h"), F.col("p"), suffixes, prior)
-    rows = chosen.select(F.xxhash64(url_col).alias("k"), bad.alias("y"), *(c.alias(k) for k, c in named.items())).collect()
+    suffixes = {r.s: (r.bad + PRIOR_URLS * prior) / (r.n + PRIOR_URLS) for r in told}
+    part = chosen.groupBy("s", "fold").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    whole = chosen.groupBy("s").agg(F.sum("y").alias("all_bad"), F.count("*").alias("all_n"))
+    others = part.join(F.broadcast(whole), "s").select("s", "fold", ((F.col("all_bad") - F.col("bad") + PRIOR_URLS * prior) / (F.col("all_n") - F.col("n") + PRIOR_URLS)).alias("share"))
+    named = features(F.col("u"), F.col("h"), F.col("p"), F.col("share"))
+    rows = chosen.join(F.broadcast(others), ["s", "fold"]).select(F.xxhash64("u").alias("k"), "y", *(c.alias(k) for k, c in named.items())).collect()
     rows = np.array(sorted([tuple(r[1:]) for r in rows]), float).reshape(-1, 1 + len(named))
     if not len(rows) or rows[:, 0].min() == rows[:, 0].max():
         return {"base": -1.0, "trees": [], "suffixes": suffixes, "prior": prior}
@@ -153,11 +171,14 @@ def judge(urls: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", m
     """urls with host, path, rule, score (chance to be blocked, by features) and verdict."""
     model = model or learn(urls, rules, url_col)
     verdicts = dict((text, verdict) for verdict, text in rules)
-    rows = urls.withColumn("host", host(F.col(url_col))).withColumn("path", path(F.col(url_col)))
-    rows = rows.withColumn("rule", rule(rules, F.col("host"), F.col("path")))
-    named = {f"_wf_{k}": c for k, c in features(F.col(url_col), F.col("host"), F.col("path"), model["suffixes"], model["prior"]).items()}
+    rows = urls.select("*", F.col(url_col).alias("_wf_url"), host(F.col(url_col)).alias("_wf_host"), path(F.col(url_col)).alias("_wf_path"))
+    rows = rows.withColumns({"host": F.col("_wf_host"), "path": F.col("_wf_path"), "rule": rule(rules, F.col("_wf_host"), F.col("_wf_path")), "_wf_suffix": suffix(F.col("_wf_host"))})
+    # the learned shares, at most LEARN_ROWS of them, as rows that travel to the URLs
+    shares = urls.sparkSession.range(1).select(F.explode(F.from_json(F.lit(json.dumps(model["suffixes"])), "map<string,double>")).alias("_wf_suffix", "_wf_share"))
+    rows = rows.join(F.broadcast(shares), "_wf_suffix", "left")
+    named = {f"_wf_f_{k}": c for k, c in features(F.col("_wf_url"), F.col("_wf_host"), F.col("_wf_path"), F.coalesce("_wf_share", F.lit(float(model["prior"])))).items()}
     total = " + ".join([f"{float(model['base'])!r}D", *(f"({_votes(t, list(named))})" for t in model["trees"])])
-    rows = rows.withColumns(named).withColumn("score", F.expr(f"1 / (1 + exp(-({total})))")).drop(*named)
+    rows = rows.withColumns(named).withColumn("score", F.expr(f"1 / (1 + exp(-({total})))")).drop(*named, "_wf_url", "_wf_host", "_wf_path", "_wf_suffix", "_wf_share")
     by_rule = F.lit(None).cast("string")
     for text, verdict in verdicts.items():
         by_rule = F.when(F.col("rule") == text, F.lit(verdict)).otherwise(by_rule)

@@ -1,11 +1,13 @@
 """Web archives in ZIP packages: writing WARC records, and reading them by range.
 
-A package holds two stored (not compressed) members: data/pages.warc.gz, whose
-records are gzip members of their own, and indexes/index.cdxj, one line for each
-record with its offset and length. The reader parses the central directory, in its
-ZIP64 form where a package has it, finds stored archives and indexes, and reads
-each record by its range; nothing is extracted, and no member is read whole but
-the index.
+A package holds stored (not compressed) members: archive/pages.warc.gz, whose
+records are gzip members of their own, indexes/index.cdxj, one line for each record
+(key, timestamp, JSON with offset and length), and datapackage.json. The reader
+parses the central directory, in its ZIP64 form where a package has it, finds stored
+archives (*.warc, *.warc.gz in any folder) and indexes (*.cdxj, *.cdx.gz; plain,
+gzipped or compressed in the ZIP), and reads each record by its range; nothing is
+extracted, and no archive is read whole but one that no index names, which is
+scanned record by record. So packages of other writers are read too.
 
 Files are opened where the path says (file:, hdfs:, s3: ...) by pyarrow's file
 systems, in the shared folder. A task writes under a name of its own attempt, and
@@ -13,9 +15,10 @@ only packages of tasks that ended well are in the manifest, so lost executors an
 second attempts leave no wrong records.
 
 Edge cases: a null html is an empty payload; a null URL has no target header;
-control characters in URLs are percent-encoded; a null page_id is an empty id; of
-repeated rows with the smallest page_id each is a response; empty tables make no
-package and read back as no rows; other columns are not read.
+control characters in URLs are percent-encoded, ids wholly; a null page_id has a
+name of its own, apart from an empty one; of repeated rows with the smallest page_id
+each is a response; empty tables make no package and read back as no rows; other
+columns are not read. Of other writers' records, page_id and refers_to are null.
 """
 
 from __future__ import annotations
@@ -33,8 +36,23 @@ PACKAGE_BYTES = 16_000_000
 #: Fixed values of the formats.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
-ID = "urn:wayfold:page:"
-DATA, INDEX = "data/pages.warc.gz", "indexes/index.cdxj"
+STAMP = "19700101000000"
+ID, NO_ID = "urn:wayfold:page:", "urn:wayfold:no-page"
+DATA, INDEX, ABOUT = "archive/pages.warc.gz", "indexes/index.cdxj", "datapackage.json"
+
+
+def urn(page_id: str | None) -> str:
+    from urllib.parse import quote
+
+    return NO_ID if page_id is None else ID + quote(page_id, safe="")
+
+
+def id_of(text: str | None) -> str | None:
+    """The page_id of a record's name; null if it is none of ours."""
+    from urllib.parse import unquote
+
+    text = (text or "").strip("<>")
+    return unquote(text[len(ID) :]) if text.startswith(ID) else None
 
 
 def record(page_id: str | None, url: str | None, payload: bytes, size: int, digest: str, refers_to: str | None) -> bytes:
@@ -42,12 +60,12 @@ def record(page_id: str | None, url: str | None, payload: bytes, size: int, dige
     revisit = refers_to is not None
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http if revisit else http + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{ID}{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{urn(page_id)}>", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url))
     lines.append(f"WARC-Payload-Digest: sha256:{digest}")
     if revisit:
-        lines += [f"WARC-Refers-To: <{ID}{refers_to}>", f"WARC-Profile: {REVISIT_PROFILE}"]
+        lines += [f"WARC-Refers-To: <{urn(refers_to)}>", f"WARC-Profile: {REVISIT_PROFILE}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -59,9 +77,12 @@ def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     def fields(lines):
         return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
-    warc = fields(head.decode().split("\r\n")[1:])
-    http, _, payload = rest[: int(warc["content-length"])].partition(b"\r\n\r\n")
-    return warc, fields(http.decode().split("\r\n")[1:]), payload
+    warc = fields(head.decode(errors="replace").split("\r\n")[1:])
+    block = rest[: int(warc["content-length"])]
+    if not warc.get("content-type", "").startswith("application/http"):
+        return warc, {}, block
+    http, _, payload = block.partition(b"\r\n\r\n")
+    return warc, fields(http.decode(errors="replace").split("\r\n")[1:]), payload
 
 
 def central_directory(read, size: int) -> dict[str, dict]:
@@ -120,6 +141,63 @@ def data_offset(read, member: dict) -> int:
     return member["header"] + 30 + name + extra
 
 
+def index_key(url: str | None) -> str:
+    """The sort key of a URL: its host backwards with commas, then path and query; without blanks."""
+    host, _, rest = (url or "").partition("://")[2].partition("/")
+    key = ",".join(reversed(host.lower().split("."))) + ")/" + rest.lower()
+    return "".join(c if c > " " and c != "{" else f"%{ord(c):02X}" for c in key)
+
+
+def index_entries(text: bytes) -> list[dict]:
+    """The JSON of CDXJ lines: `key timestamp {...}`, or bare; header lines (!) and blank ones have none."""
+    import json
+
+    lines = (line.partition(b"{") for line in text.splitlines() if not line.startswith(b"!"))
+    return [json.loads(brace + rest) for _, brace, rest in lines if brace]
+
+
+def records_of(read, start: int, size: int):
+    """All records of an archive that no index names, one after the other: gzip members, or plain."""
+    import re
+    import zlib
+
+    at, end, plain, inflate, held = start, start + size, b"", None, b""
+    packed = read(start, 2) == b"\x1f\x8b"
+    while at < end or held or plain:
+        if packed:
+            if not held and at < end:
+                held = read(at, min(1 << 20, end - at))
+                at += len(held)
+            inflate = inflate or zlib.decompressobj(31)
+            plain += inflate.decompress(held)
+            held = inflate.unused_data if inflate.eof else b""
+            if inflate.eof:
+                inflate = None
+        elif at < end:
+            plain += read(at, min(1 << 20, end - at))
+            at = min(end, at + (1 << 20))
+        while (head := plain.find(b"\r\n\r\n")) >= 0 and (told := re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", plain[:head])):
+            stop = head + 4 + int(told[1])
+            if len(plain) < stop:
+                break
+            yield plain[:stop]
+            plain = plain[stop:].lstrip(b"\r\n")
+        if at >= end and not held:
+            return
+
+
+def member_bytes(read, member: dict) -> bytes:
+    """A member's content, whole: stored or compressed, gzipped or not. For indexes."""
+    import gzip
+    import zlib
+
+    if member["method"] not in (0, 8):
+        raise ValueError(f"compression method {member['method']} of an index")
+    data = read(data_offset(read, member | {"method": 0}), member["packed"])
+    data = zlib.decompress(data, -15) if member["method"] == 8 else data
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes the packages and returns their manifest: (path string, records long).
 
@@ -136,6 +214,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.select(F.col("id").cast("string"), "url", F.when(~revisit, F.col("payload")).alias("payload"), "size", "digest", F.col("refers_to").cast("string"))
 
     def write(batches):
+        import hashlib
         import io
         import json
         import uuid
@@ -155,7 +234,9 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             out = io.BytesIO()
             with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as package:
                 package.writestr(DATA, data.getbuffer())
-                package.writestr(INDEX, "".join(lines))
+                package.writestr(INDEX, "".join(sorted(lines)))
+                told = [{"name": n.rsplit("/", 1)[-1], "path": n, "hash": "sha256:" + hashlib.sha256(d).hexdigest(), "bytes": len(d)} for n, d in ((DATA, data.getbuffer()), (INDEX, "".join(sorted(lines)).encode()))]
+                package.writestr(ABOUT, json.dumps({"profile": "data-package", "wacz_version": "1.1.1", "resources": told}))
             with store.open_output_stream(name) as f:
                 f.write(out.getbuffer())
             batch = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(lines)], pa.int64())], names=["path", "records"])
@@ -169,7 +250,8 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 page, url, content, size, digest, refers_to = (c[i].as_py() for c in batch.columns)
                 gz = zlib.compressobj(6, zlib.DEFLATED, 31)
                 packed = gz.compress(record(page, url, content or b"", size, digest, refers_to)) + gz.flush()
-                lines.append(json.dumps({"offset": data.tell(), "length": len(packed), "filename": DATA}) + "\n")
+                told = {"url": url, "digest": f"sha256:{digest}", "offset": data.tell(), "length": len(packed), "filename": DATA.rsplit("/", 1)[-1]}
+                lines.append(f"{index_key(url)} {STAMP} {json.dumps(told)}\n")
                 data.write(packed)
                 if data.tell() >= PACKAGE_BYTES:
                     yield flush()
@@ -182,13 +264,14 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload) of all records.
 
-    payload is null for revisits; their size and digest are those of the payload
-    they stand for. A response whose payload doesn't match its digest is an error.
+    manifest needs a column path, first. payload is null for revisits; their size and
+    digest are those of the payload they stand for, where the record tells them. A
+    response whose payload doesn't match its SHA-256 digest is an error. Records of
+    other types (warcinfo, request, metadata) are passed over.
     """
 
     def read_all(batches):
         import hashlib
-        import json
         import zlib
 
         from pyarrow import fs
@@ -197,8 +280,19 @@ def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> Da
         kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
         names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
 
-        def own_id(text: str) -> str | None:
-            return text.strip("<>").removeprefix(ID) or None
+        def records(read, size):
+            members = central_directory(read, size)
+            archives = {n: m for n, m in members.items() if n.endswith((".warc", ".warc.gz")) and m["method"] == 0}
+            by_name = {n.rsplit("/", 1)[-1]: n for n in archives} | {n: n for n in archives}
+            starts, seen = {n: data_offset(read, m) for n, m in archives.items()}, set()
+            for name in sorted(n for n in members if n.endswith((".cdxj", ".cdx.gz", ".cdxj.gz"))):
+                for entry in index_entries(member_bytes(read, members[name])):
+                    archive = by_name[entry["filename"]]
+                    seen.add(archive)
+                    data = read(starts[archive] + int(entry["offset"]), int(entry["length"]))
+                    yield zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
+            for name in sorted(set(archives) - seen):
+                yield from records_of(read, starts[name], archives[name]["size"])
 
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -208,24 +302,25 @@ def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> Da
                         f.seek(offset)
                         return f.read(length)
 
-                    members = central_directory(read, f.size())
-                    starts = {n: data_offset(read, m) for n, m in members.items() if n.startswith("data/") and m["method"] == 0}
                     rows, held = [], 0
-                    for name in sorted(n for n in members if n.startswith("indexes/")):
-                        listed = read(data_offset(read, members[name]), members[name]["size"])
-                        for line in listed.splitlines():
-                            entry = json.loads(line)
-                            data = zlib.decompress(read(starts[entry["filename"]] + entry["offset"], entry["length"]), 31)
-                            warc, http, payload = parse_record(data)
-                            digest = warc["warc-payload-digest"].removeprefix("sha256:")
-                            revisit = warc["warc-type"] == "revisit"
-                            if not revisit and hashlib.sha256(payload).hexdigest() != digest:
+                    for data in records(read, f.size()):
+                        warc, http, payload = parse_record(data)
+                        kind = warc["warc-type"]
+                        if kind not in ("response", "revisit", "resource"):
+                            continue
+                        revisit, told = kind == "revisit", warc.get("warc-payload-digest", "")
+                        digest = told.removeprefix("sha256:") if told.startswith("sha256:") else None
+                        if not revisit:
+                            own = hashlib.sha256(payload).hexdigest()
+                            if digest is not None and len(digest) == 64 and own != digest:
                                 raise ValueError(f"{path}: the payload of {warc['warc-record-id']} doesn't match its digest")
-                            rows.append((own_id(warc["warc-record-id"]), warc.get("warc-target-uri"), warc["warc-type"], own_id(warc["warc-refers-to"]) if revisit else None, int(http["content-length"]), digest, None if revisit else payload))
-                            held += len(payload) + 500
-                            if held > 4_000_000:
-                                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-                                rows, held = [], 0
+                            digest = own
+                        size = int(http["content-length"]) if "content-length" in http and (revisit or http.get("content-encoding") is None) else len(payload)
+                        rows.append((id_of(warc["warc-record-id"]), warc.get("warc-target-uri"), kind, id_of(warc.get("warc-refers-to")) if revisit else None, size, digest, None if revisit else payload))
+                        held += len(payload) + 500
+                        if held > 4_000_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                            rows, held = [], 0
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
