@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over documents, each written as Parquet and reread.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
-kept; all but the last return the columns of documents.
+kept; all but the last return the columns of documents, of whatever names (those that
+begin with _wf_ are reserved).
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ LEAST_QUALITY = 0.3
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a learned language; rejects those without letters or in none of them."""
     model = language.learn(docs, F.col("doc_id").isNotNull() & ~in_remainder("doc_id", 4, 2))
-    named = language.predict(docs, model)
-    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    named = language.predict(docs, model, lang_out="_wf_lang", score_out="_wf_score")
+    kept = (F.col("_wf_lang") != language.UNKNOWN) & (F.col("_wf_score") >= LEAST_LANGUAGE_SCORE)
     return named.where(kept).select(*docs.columns)
 
 
@@ -39,7 +40,7 @@ def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked at similarity 0.8 of five-word shingles."""
-    return minhash.with_text(minhash.near_duplicates(docs).where("keeper"), docs).select(*docs.columns)
+    return minhash.with_text(minhash.near_duplicates(docs, prefix="_wf_").where("_wf_keeper"), docs).select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
