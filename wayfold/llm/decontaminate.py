@@ -31,6 +31,8 @@ from wayfold.llm.common import materialize
 WINDOW = 10
 #: Bits of the set for each window, and at least and at most in all (2^28 are 32 MB).
 BITS, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 28
+#: Texts with hits up to which their keys are broadcast, so that no document is shuffled.
+BROADCAST_TEXTS = 1_000_000
 #: What stands between words, which are runs of 0-9, a-z and all beyond ASCII, after A-Z were lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,7 +90,8 @@ def found(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     passed = passed.select(*_KEY, "at", "c.len", F.array_join(F.slice("w", F.col("at") + 1, F.col("c.len")), " ").alias("window")).distinct()
     hits = passed.join(windows, ["len", "window"])
     told = hits.groupBy(*_KEY).agg(F.collect_list(F.struct("at", "len", "window")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return told
+    # written, so that Spark knows its size: it is broadcast where small, and else hot texts of the other side can be split
+    return materialize(told, "hits")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -116,8 +119,13 @@ def covered_words(hits: Column) -> Column:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """docs without the rows that hold any benchmark window."""
+    """docs without the rows that hold any benchmark window.
+
+    The keys of texts with hits, 20 bytes each, go to the documents where they are at
+    most BROADCAST_TEXTS; else documents and keys are joined as Spark chooses.
+    """
     hits = found(docs, benchmark, text_col, window).select(*_KEY)
+    hits = F.broadcast(hits) if hits.count() <= BROADCAST_TEXTS else hits
     return docs.select("*", *_keys(F.col(text_col))).join(hits, _KEY, "left_anti").select(*docs.columns)
 
 
