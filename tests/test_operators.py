@@ -97,6 +97,44 @@ def test_matching_by_region_gives_the_rows_of_the_whole_network(spark, monkeypat
     assert run() == whole
 
 
+def test_polygons_hold_what_crosses_them(spark):
+    line = lambda name, *ps: (name, "a", "b", f"{name}_f", None, 3, [{"lon": x, "lat": y} for x, y in ps])
+    rows = spark.createDataFrame([line("through", (-1.0, 0.5), (2.0, 0.5)), line("in", (0.2, 0.2), (0.8, 0.8)), line("out", (2.0, 0.0), (2.0, 1.0)), line("half", (0.5, 0.5), (3.0, 3.0))], ROAD)
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    assert sorted(r.geom_id for r in network.filter_roads(rows, [], ring).collect()) == ["half", "in", "through"]
+    assert [r.geom_id for r in network.filter_roads(rows, [], ring, within=True).collect()] == ["in"]
+
+
+def test_unbounded_nearest_long_segments_and_dense_cells(spark):
+    line = lambda name, *ps: (name, "a", "b", f"{name}_f", None, 3, [{"lon": x, "lat": y} for x, y in ps])
+    rows = spark.createDataFrame([line("far", (11.0, 0.0), (11.0, 0.01)), line("diagonal", (10.0, 0.2), (10.5, 0.7))], ROAD)
+    points = spark.createDataFrame([(1, 10.9, 0.0), (2, 10.25, 0.4501)], "id long, lon double, lat double")
+    assert sorted((r.id, r.geom_id) for r in spatial.nearest_join(points, rows, "id").collect()) == [(1, "far"), (2, "diagonal")]
+    assert spatial.nearest_join(points, rows.limit(0), "id").count() == 0
+    assert spatial.listed_segments(rows.where("geom_id = 'diagonal'"), 25.0).count() < 10_000  # its box has a million cells
+
+
+def test_route_geometry_and_intersection(spark):
+    e = network.edges(queries.grid(spark))
+    parts = spark.createDataFrame([("r", 0, "H_0_0_f", 0.25, 1.0), ("r", 1, "H_1_0_f", 0.0, 0.75)], "id string, place int, ref_id string, start_fraction double, end_fraction double")
+    (r,) = network.route_geometry(parts, e, "id").collect()
+    assert [round((p.lon + 96.8) / 0.002, 6) for p in r.geometry] == [0.25, 0.5, 1.0, 1.5, 1.75]
+    length = e.where("ref_id = 'H_0_0_f'").first().length_m
+    assert abs(r.length_m - 1.5 * length) < 1e-6 and r.time_s > 0
+    x = one(spark, geo.intersect((10.0, 50.0), (10.01, 50.01), (10.0, 50.01), (10.01, 50.0)), geo.intersect((0, 0), (1, 0), (0, 0), (1, 0)))
+    assert abs(x[0].lon - 10.005) < 1e-6 and abs(x[0].lat - 50.005) < 1e-6 and x[1] is None
+
+
+def test_offline_trips_and_filter_estimates(spark, sf):
+    points, network_ = queries._points(spark, sf), queries.grid(spark)
+    offline = match.match_offline(points, network_, MatchConfig(filter_estimates=True), 50.0, 20_000)
+    kinds = {r.kind: r.n for r in offline.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds["filtered"] > 50 and offline.where("kind = 'filtered' AND NOT probability BETWEEN 0.0 AND 1.000001").count() == 0
+    whole = match.match(points, network_).where("kind = 'estimate'").count()
+    trips = match.match_trips(points, network_, gap_ms=10**9).where("kind = 'estimate'")
+    assert trips.count() == whole and trips.select("trip").distinct().count() == 1
+
+
 def test_streams(spark, sf, tmp_path):
     points = queries._points(spark, sf).select("vehicle_id", F.col("true_ms").alias("time_ms"), "lat", "lon", "event_data")
     points.coalesce(1).write.parquet(str(tmp_path / "in"))
@@ -104,6 +142,11 @@ def test_streams(spark, sf, tmp_path):
     q = speeds.writeStream.format("memory").queryName("speeds").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("speeds").count() == points.count() - points.select("vehicle_id").distinct().count()
+    near = queries._points(spark, sf).select("vehicle_id", (F.col("time_ms") + 86_400_000).alias("time_ms"), "lat", "lon", "event_data")  # what is at time 0 is late
+    near.coalesce(1).write.parquet(str(tmp_path / "near"))
+    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark)).writeStream.format("memory").queryName("on_road").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert spark.table("on_road").count() == near.count() and spark.table("on_road").where("ref_id IS NULL").count() == 0
     hours = replay.hourly_counts(replay.replay(spark, str(tmp_path / "in")))
     q = hours.writeStream.format("memory").queryName("hours").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination(120)

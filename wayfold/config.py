@@ -19,6 +19,7 @@ class MatchConfig:
     max_inputs: int = 1000
     connect: bool = True  # False: routes within one edge only
     bin_size_m: float = 10.0
+    filter_estimates: bool = False  # rows of kind `filtered` too: the likeliest candidate of each sample so far
 
     @classmethod
     def from_properties(cls, text: str, **changes) -> MatchConfig:

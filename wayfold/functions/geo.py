@@ -141,6 +141,40 @@ def azimuth_at(segs: Column, fraction: Column) -> Column:
     return azimuth(hit["ax"], hit["ay"], hit["bx"], hit["by"])
 
 
+def part(segs: Column, start: Column, end: Column) -> Column:
+    """The polyline between two fractions of segments(): its positions at both, and the vertices between."""
+    last = F.element_at(segs, -1)
+    total = last["start_m"] + last["len_m"]
+    between = F.filter(segs, lambda s: (s["start_m"] > start * total) & (s["start_m"] < end * total))
+    inner = F.transform(between, lambda s: F.struct(s["ax"].alias("lon"), s["ay"].alias("lat")))
+    return F.concat(F.array(position_at(segs, start)), inner, F.array(position_at(segs, end)))
+
+
+def intersect(a: tuple, b: tuple, c: tuple, d: tuple) -> Column:
+    """struct(lon, lat) where the great circles through a and b, and c and d, meet nearest to a; null if they are one.
+
+    Positions are (lon, lat). Directions are taken as on a sphere: for lines as long as
+    roads that is the geodesics' intersection.
+    """
+
+    def unit(p):
+        lon, lat = (_c(x) * _RAD for x in p)
+        return F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)
+
+    def cross(p, q):
+        return p[1] * q[2] - p[2] * q[1], p[2] * q[0] - p[0] * q[2], p[0] * q[1] - p[1] * q[0]
+
+    start = unit(a)
+    v = F.array(*cross(cross(start, unit(b)), cross(unit(c), unit(d))))
+
+    def place(v):
+        size = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+        side = F.when(v[0] * start[0] + v[1] * start[1] + v[2] * start[2] < 0, -1.0).otherwise(1.0)
+        return F.when(size > 0, F.struct(F.degrees(F.atan2(side * v[1], side * v[0])).alias("lon"), F.degrees(F.asin(side * v[2] / size)).alias("lat")))
+
+    return F.get(F.transform(F.array(v), place), F.lit(0))
+
+
 def envelope(lon: Column, lat: Column, radius_m: float) -> Column:
     """struct(min_lon, min_lat, max_lon, max_lat) of a circle."""
     kx, ky = metres_per_degree(lat)

@@ -29,6 +29,30 @@ def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str)
     return spatial.segment_hits(own, roads, config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
 
 
+def trace_of(rows, graph, radius_m: float) -> list[tuple]:
+    """Samples (time_ms, lon, lat, has_event, candidates) in order, of rows as _samples gives them.
+
+    Of several segments of a road near a sample the nearest counts; each direction of
+    the road is a candidate (edge, fraction, metres, lon, lat).
+    """
+    from wayfold.operators import kernel
+
+    samples: dict[tuple, dict] = {}
+    for *sample, geom, forward, backward, place, along, x, y in rows:
+        found = samples.setdefault(tuple(sample), {})
+        if geom is not None and (geom not in found or (place["d"], place["i"]) < found[geom][0]):
+            found[geom] = ((place["d"], place["i"]), forward, backward, along, x, y)
+    trace = []
+    for (t, lon, lat, has, _), found in sorted(samples.items(), key=lambda s: (s[0][:3], s[0][4])):
+        candidates = []
+        for _, forward, backward, along, x, y in found.values():
+            metres = kernel.planar_m(lon, lat, x, y)
+            if metres <= radius_m:
+                candidates += [(graph.number[r], f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r in graph.number]
+        trace.append((t, lon, lat, has, candidates))
+    return trace
+
+
 def _edge_columns(edges: DataFrame) -> DataFrame:
     cost = rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority"))
     return edges.select("ref_id", "src", "dst", "length_m", cost.alias("cost"))
@@ -79,20 +103,8 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
     def run(group, graph):
         import pyarrow as pa
 
-        samples: dict[tuple, dict] = {}
         columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE))
-        for *sample, geom, forward, backward, place, along, x, y in zip(*columns):
-            found = samples.setdefault(tuple(sample), {})
-            if geom is not None and (geom not in found or (place["d"], place["i"]) < found[geom][0]):
-                found[geom] = ((place["d"], place["i"]), forward, backward, along, x, y)
-        trace = []
-        for (t, lon, lat, has, _), found in sorted(samples.items(), key=lambda s: (s[0][:3], s[0][4])):
-            candidates = []
-            for _, forward, backward, along, x, y in found.values():
-                metres = kernel.planar_m(lon, lat, x, y)
-                if metres <= config.radius_m:
-                    candidates += [(graph.number[r], f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r in graph.number]
-            trace.append((t, lon, lat, has, candidates))
+        trace = trace_of(zip(*columns), graph, config.radius_m)
         out = kernel.match_trace(trace, graph, config)
         name = group.column(key)[0].as_py()
         kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
@@ -127,6 +139,25 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
     return samples.groupBy(key).cogroup(own.groupBy("_trace")).applyInArrow(together, schema)
 
 
+def match_offline(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), min_distance_m: float = 10.0, min_interval_ms: int = 5000, key: str = "vehicle_id") -> DataFrame:
+    """match() of whole traces after thinning by either distance or time; no sample is thinned out later."""
+    from dataclasses import replace
+
+    from wayfold.operators.traces import thin
+
+    return match(thin(points, min_distance_m, min_interval_ms, key, either=True), roads, replace(config, min_distance_m=0.0, min_interval_ms=0), key)
+
+
+def match_trips(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), gap_ms: int = 600_000, key: str = "vehicle_id") -> DataFrame:
+    """match() with traces cut where no sample comes for gap_ms: a vehicle's years are many groups, not one. Adds trip."""
+    from wayfold.operators.traces import split_traces
+
+    cut = split_traces(points, gap_ms, key).withColumn("_trip", F.to_json(F.struct(F.col(key).alias("k"), "trip")))
+    matched = match(cut, roads, config, "_trip")
+    told = F.from_json("_trip", f"k {points.schema[key].dataType.simpleString()}, trip long")
+    return matched.select(told["k"].alias(key), told["trip"].alias("trip"), *(c for c in matched.columns if c != "_trip"))
+
+
 def speed_edges(matched: DataFrame) -> DataFrame:
     return matched.where("kind = 'speed'")
 

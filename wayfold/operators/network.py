@@ -61,6 +61,22 @@ def costs(edge_rows: DataFrame) -> DataFrame:
     return edge_rows.withColumns({"cost_distance": roads.cost_distance(m), "cost_time": roads.cost_time(m, v), "cost_time_priority": roads.cost_time_priority(m, v, p)})
 
 
+def route_geometry(parts: DataFrame, edge_rows: DataFrame, *keys: str, order: str = "place") -> DataFrame:
+    """(keys, geometry, length_m, time_s) of routes.
+
+    parts has ref_id, start_fraction, end_fraction and its place in the route; the
+    first edge counts from its start fraction, the last to its end fraction. Vertices
+    that two edges share come once.
+    """
+    shapes = edge_rows.select("ref_id", geo.segments(F.col("geometry")).alias("_segs"), "length_m", "max_speed")
+    share = F.col("end_fraction") - F.col("start_fraction")
+    cut = parts.join(shapes, "ref_id").select(*keys, order, geo.part(F.col("_segs"), F.col("start_fraction"), F.col("end_fraction")).alias("g"), (F.col("length_m") * share).alias("m"), (roads.cost_time(F.col("length_m"), F.col("max_speed")) * share).alias("s"))
+    whole = cut.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, "g"))).alias("p"), F.sum("m").alias("length_m"), F.sum("s").alias("time_s"))
+    line = F.flatten(F.transform("p", lambda x: x["g"]))
+    fresh = F.filter(line, lambda p, i: (i == 0) | (F.abs(p["lon"] - F.get(line, i - 1)["lon"]) > 1e-12) | (F.abs(p["lat"] - F.get(line, i - 1)["lat"]) > 1e-12))
+    return whole.select(*keys, fresh.alias("geometry"), "length_m", "time_s")
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): each node that a link names, and the smallest node it reaches.
 

@@ -42,6 +42,11 @@ def read_roads(spark: SparkSession, path: str, excluded_classes: list[int] = (),
     return filter_roads(rows, excluded_classes, ring)
 
 
+def write_roads(rows: DataFrame, path: str) -> None:
+    """Roads as Parquet, to be read by read_roads; refuses a path that exists."""
+    rows.write.mode("errorifexists").parquet(path)
+
+
 def fetch_tiles(tiles: list[str], folder: str, fetch: Callable[[str], bytes], source: str = "osm/planet", base: str = "") -> list[str]:
     """Downloads tiles that folder lacks, by the given fetch; returns their paths.
 
