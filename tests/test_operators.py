@@ -135,6 +135,67 @@ def test_offline_trips_and_filter_estimates(spark, sf):
     assert trips.count() == whole and trips.select("trip").distinct().count() == 1
 
 
+def test_hmm_match_is_the_best_of_all_sequences(spark, sf):
+    """Short traces against an enumeration of all candidate sequences, with routes by Floyd and Warshall."""
+    import itertools
+    import math
+
+    import numpy as np
+
+    from wayfold.operators import kernel
+
+    config, edge_rows = MatchConfig(), network.costs(network.edges(queries.grid(spark))).collect()
+    points = queries._points(spark, sf).where("time_ms <= 40000")
+    nodes = sorted({n for e in edge_rows for n in (e.src, e.dst)})
+    at = {n: i for i, n in enumerate(nodes)}
+    away = np.full((len(nodes), len(nodes)), math.inf)
+    np.fill_diagonal(away, 0.0)
+    for e in edge_rows:
+        away[at[e.src], at[e.dst]] = min(away[at[e.src], at[e.dst]], e.cost_time_priority)
+    for k in range(len(nodes)):
+        away = np.minimum(away, away[:, k, None] + away[None, k, :])
+    graph = kernel.Graph(*map(list, zip(*((e.ref_id, e.src, e.dst, e.length_m, e.cost_time_priority) for e in edge_rows))), [None] * len(edge_rows))
+    edge = {e.ref_id: e for e in edge_rows}
+
+    def near(lon, lat):
+        out = []
+        for e in edge_rows:
+            (ax, ay), (bx, by) = ((p.lon, p.lat) for p in (e.geometry[0], e.geometry[-1]))
+            kx = math.cos(math.radians(lat))
+            dx, dy = (bx - ax) * kx, by - ay
+            f = min(1.0, max(0.0, ((lon - ax) * kx * dx + (lat - ay) * dy) / (dx * dx + dy * dy)))
+            x, y = ax + f * (bx - ax), ay + f * (by - ay)
+            if (m := kernel.chord_m(lon, lat, x, y)) <= config.radius_m:
+                out.append((graph.number[e.ref_id], f, m))
+        return kernel.minset(graph, sorted(out))
+
+    def chance(sequence, samples):
+        total = 0.0
+        for i, (e, f, m) in enumerate(sequence):
+            total += -0.5 * (m / config.sigma) ** 2
+            if i:
+                p, g, _ = sequence[i - 1]
+                one, two = edge[graph.refs[p]], edge[graph.refs[e]]
+                cost = one.cost_time_priority * (f - g) if e == p and f >= g else one.cost_time_priority * (1 - g) + away[at[one.dst], at[two.src]] + two.cost_time_priority * f
+                base = kernel.chord_m(*samples[i - 1], *samples[i]) / 60
+                total -= config.beta_lambda * max(0.0, cost - base)
+        return total
+
+    traces = {}
+    for r in points.orderBy("vehicle_id", "time_ms").collect():
+        traces.setdefault(r.vehicle_id, []).append((r.lon, r.lat))
+    got = {}
+    for r in match.match(points, queries.grid(spark), config).where("kind = 'estimate'").orderBy("vehicle_id", "time_ms").collect():
+        got.setdefault(r.vehicle_id, []).append(r.ref_id)
+    checked = 0
+    for name, samples in traces.items():
+        if len(samples) == 5 and all(b[0] > a[0] for a, b in zip(samples, samples[1:])):
+            best = max(itertools.product(*(near(*s) for s in samples)), key=lambda q: chance(q, samples))
+            assert got[name] == [graph.refs[e] for e, _, _ in best[1:]], name
+            checked += 1
+    assert checked >= 8
+
+
 def test_streams(spark, sf, tmp_path):
     points = queries._points(spark, sf).select("vehicle_id", F.col("true_ms").alias("time_ms"), "lat", "lon", "event_data")
     points.coalesce(1).write.parquet(str(tmp_path / "in"))
