@@ -12,7 +12,7 @@ Vectors that share a filter are compared in double precision.
 Within a filter all pairs are compared, but none is emitted: a task gives each
 vector's number of links and a root to reach. A pair that shares several filters
 counts in the smallest only. Filters with more than CHUNK vectors are dealt out as
-pairs of chunks. Equal vectors form one class with a weight first.
+pairs of chunks. Equal vectors (of one 128-bit hash) form one class with a weight first.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different lengths don't link; repeated
@@ -25,6 +25,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from wayfold.llm.common import ROW, mapped, materialize, partitions
 from wayfold.operators.network import connected_components
@@ -149,14 +150,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     that links reach; kept says that the row has that id.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    raw = F.col(vector_col)
+    of_floats = vectors.select(raw.alias("v")).schema["v"].dataType == ArrayType(FloatType())
+    rows = vectors.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).alias("id"), (raw if of_floats else raw.cast("array<double>")).alias("v"))
     fine = F.coalesce(F.size("v") > 0, F.lit(False)) & ~F.exists("v", lambda c: F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(True))) & F.exists("v", lambda c: c != 0)
-    rows = materialize(rows.withColumn("v", F.when(fine, F.col("v"))), "vectors")
-    classes = materialize(rows.where("v IS NOT NULL").groupBy("v").agg(F.min(ROW).alias("class"), F.count("*").alias("weight"), F.min("id").alias("first_id")), "vector-classes")
+    # equal vectors are told by 128 bits, so that the vectors themselves are shuffled once
+    hashes = {f"h{i}": F.when(fine, F.xxhash64(F.lit(i), F.size("v"), "v")) for i in (1, 2)}
+    rows = materialize(rows.withColumns(hashes).withColumn("v", F.when(F.col("h1").isNotNull(), F.col("v"))), "vectors")
+    classes = rows.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(ROW).alias("class"), F.count("*").alias("weight"), F.min("id").alias("first_id"), F.min_by("v", ROW).alias("v"))
+    classes = materialize(classes, "vector-classes")
     counts = {r[0]: r[1] for r in classes.groupBy(F.size("v")).count().collect()}  # a row for each length
     index = materialize(_listed(classes, {dim: sized(n, dim, cosine) for dim, n in counts.items()}), "filters")
     entries = index.select("*", F.posexplode("filters").alias("at", "filter")).withColumn("smaller", F.slice("filters", F.lit(1), F.col("at"))).drop("filters", "at")
     large = entries.groupBy("filter").count().where(F.col("count") > CHUNK).select("filter", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
+    large = materialize(large, "large-filters")  # of known size: entries aren't shuffled to meet few of them
     entries = entries.join(large, "filter", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     # a chunk meets itself and each other chunk once
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -230,11 +237,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     found = materialize(mapped(dealt, compare, "class long, root long, n long"), "vector-links")
     n_links = found.groupBy("class").agg(F.sum("n").alias("n"))
     labels = connected_components(found.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
-    placed = classes.join(n_links, "class", "left").join(labels, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    placed = classes.drop("v").join(n_links, "class", "left").join(labels, "class", "left").withColumn("root", F.coalesce("root", "class"))
     tops = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    placed = placed.join(tops, "root").select("v", "weight", "n", "component_id")
-    out = rows.join(placed, "v", "left")
-    alone = F.col("v").isNull()
+    placed = placed.join(tops, "root").select("h1", "h2", "weight", "n", "component_id")
+    out = rows.select("id", "h1", "h2").join(placed, ["h1", "h2"], "left")
+    alone = F.col("h1").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.when(alone, 0).otherwise(F.coalesce("n", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
