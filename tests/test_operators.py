@@ -1,7 +1,9 @@
 """Expressions and plans on literals, and every query with SQL against DuckDB."""
 
 import glob
+import json
 import os
+import time
 
 import duckdb
 import pandas as pd
@@ -214,6 +216,28 @@ def test_streams(spark, sf, tmp_path):
     assert spark.table("hours").agg(F.sum("n")).first()[0] == points.count()
 
 
+def test_paced_replay_keeps_the_cadence(spark, tmp_path):
+    rows = [("v", 1_000_000 + t, 1.0, 2.0) for t in (4000, 0, 900, 2100)] + [("v", None, 1.0, 2.0)]
+    spark.createDataFrame(rows, "vehicle_id string, time_ms long, lat double, lon double").write.parquet(str(tmp_path / "drive"))
+    stream = replay.paced(spark, spark.read.parquet(str(tmp_path / "drive")))
+    came: list[tuple[int, float]] = []
+    began = time.monotonic()
+    q = stream.writeStream.foreachBatch(lambda df, _: came.extend((r.time_ms - 1_000_000, time.monotonic()) for r in df.collect())).option("checkpointLocation", str(tmp_path / "c")).start()
+    while len(came) < 4 and time.monotonic() - began < 90:
+        time.sleep(0.2)
+    q.stop()
+    assert sorted(t for t, _ in came) == [0, 900, 2100, 4000] and [t // 1000 for t, _ in came] == sorted(t // 1000 for t, _ in came)
+
+
+def test_matching_on_streams_tells_all_candidates(spark, sf, tmp_path):
+    near = queries._points(spark, sf).where("vehicle_id = 'v1'").select("vehicle_id", (F.col("time_ms") + 86_400_000).alias("time_ms"), "lat", "lon", "event_data")
+    near.coalesce(1).write.parquet(str(tmp_path / "near"))
+    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark), monitor=True).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    told = spark.table("monitored").collect()
+    assert len(told) == near.count() and all(json.loads(r.monitor)["time"] == r.time_ms for r in told)
+
+
 @pytest.fixture(scope="module")
 def duck(sf):
     con = duckdb.connect()

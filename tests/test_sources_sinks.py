@@ -108,3 +108,23 @@ def test_properties():
 def test_unknown_format(spark):
     with pytest.raises(ValueError):
         events.read_events(spark, "x.doc")
+
+
+def test_models_go_to_json_lines_and_back(spark):
+    schema = "ref_id string, n int, x double, geometry array<struct<lon:double,lat:double>>, at map<string,double>"
+    rows = [("a", 1, 0.1 + 0.2, [(1.5, -2.25), (1e-12, 3.0)], {"k": 1.0}), ("b\n\"", None, float("inf"), [], None), (None, None, None, None, {})]
+    told = geojson.as_lines(spark.createDataFrame(rows, schema))
+    assert told.columns == ["value"] and '"n":null' in told.collect()[1].value
+    assert [tuple(r) for r in requests.of_lines(told, schema).collect()] == rows
+    with pytest.raises(Exception):
+        requests.of_lines(lines(spark, "{"), schema).collect()
+
+
+def test_states_with_roads_named_by_their_base_and_nodes(spark):
+    matched = spark.createDataFrame([("v", "estimate", 2, 9, "e"), ("v", "estimate", 1, 5, "f"), ("v", "speed", 3, 9, "e")], "vehicle_id string, kind string, seq int, time_ms long, ref_id string")
+    matched = matched.selectExpr("*", "0.5D AS end_fraction", "1D AS lon", "2D AS lat", "3D AS speed_mps")
+    edges = spark.createDataFrame([("e", "g", "n1", "n2"), ("f", "g", "n2", "n1")], "ref_id string, geom_id string, src string, dst string")
+    (row,) = geojson.render_states(matched, "osm", edges=edges).collect()
+    assert [r["ref_id"] for r in json.loads(row.rendering)] == ["g:n2:n1", "g:n1:n2"]
+    with pytest.raises(Exception, match="road not found in map: f"):
+        geojson.render_states(matched, "osm", edges=edges.where("ref_id = 'e'")).collect()

@@ -48,14 +48,26 @@ def trace(matched: DataFrame, edges: DataFrame, key: str = "vehicle_id") -> Data
     return collection(lines.unionByName(failed).unionByName(speeds).unionByName(events), key)
 
 
+def as_lines(rows: DataFrame) -> DataFrame:
+    """(value): rows of any model (edges, candidates, routes, matches) as JSON objects, nulls named; sources.requests.of_lines reads them."""
+    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def write_traces(collections: DataFrame, path: str, key: str = "vehicle_id") -> None:
     """Text files in a folder for each trace."""
     collections.write.mode("overwrite").partitionBy(key).text(path)
 
 
-def render_states(matched: DataFrame, kind: str = "slimjson", key: str = "vehicle_id") -> DataFrame:
-    """(key, rendering) of matched samples: json and debug with all that is known, slimjson with road and fraction, geojson as points."""
+def render_states(matched: DataFrame, kind: str = "slimjson", key: str = "vehicle_id", edges: DataFrame | None = None) -> DataFrame:
+    """(key, rendering) of matched samples: json and debug with all that is known, slimjson with road and fraction, geojson as points.
+
+    osm is json with roads named base:source:target, by edges; a road that edges lack is an error.
+    """
     rows = matched.where("kind = 'estimate'")
+    if kind == "osm":
+        named = edges.select("ref_id", F.concat_ws(":", "geom_id", "src", "dst").alias("_road"))
+        missing = F.raise_error(F.concat(F.lit("road not found in map: "), "ref_id")).cast("string")
+        rows, kind = rows.join(named, "ref_id", "left").withColumn("ref_id", F.coalesce("_road", missing)), "json"
     if kind == "geojson":
         return collection(rows.withColumn("feature", point(F.col("lon"), F.col("lat"), time=F.col("time_ms"), ref=F.col("ref_id"))), key).withColumnRenamed("geojson", "rendering")
     columns = {"slimjson": ["time_ms", "ref_id", "end_fraction"], "json": ["time_ms", "ref_id", "end_fraction", "lon", "lat", "speed_mps"], "debug": ["time_ms", "ref_id", "end_fraction", "lon", "lat", "speed_mps", "seqprob_delta"]}[kind]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfold.functions.geo import normalise_azimuth
 from wayfold.functions.time import parse_ms
@@ -30,3 +31,8 @@ def parse_requests(requests: DataFrame, column: str = "value", key: str = "reque
     time = F.coalesce(F.col("s.time").try_cast("long"), parse_ms(zone))
     number = lambda k: F.regexp_extract("s.point", r"(?i)point\s*\(\s*(-?[0-9.eE+-]+)\s+(-?[0-9.eE+-]+)\s*\)", k).try_cast("double")
     return rows.select(key, "format", F.col("s.id").alias("sample_id"), time.alias("time_ms"), number(1).alias("lon"), number(2).alias("lat"), normalise_azimuth(F.col("s.azimuth")).alias("azimuth"))
+
+
+def of_lines(lines: DataFrame, schema: StructType | str) -> DataFrame:
+    """Rows from JSON objects as sinks.geojson.as_lines writes them; what doesn't fit the schema fails."""
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

@@ -17,19 +17,32 @@ def replay(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFr
     return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def paced(spark: SparkSession, events: DataFrame, speed: int = 1) -> DataFrame:
+    """Events as a stream in their own cadence, speed times as fast.
+
+    A second of event time since the first event is a tick of Spark's clock; events
+    come with their tick, so in order of time however they are stored. Every trigger
+    looks through events: let it be a recorded drive, not an archive.
+    """
+    first = F.lit(events.agg(F.min("time_ms")).first()[0]).cast("long")
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", speed).load().select(F.col("value").alias("_tick"))
+    return events.withColumn("_tick", F.floor((F.col("time_ms") - first) / 1000)).join(ticks, "_tick").drop("_tick")
+
+
 def hourly_counts(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """Events by tumbling hour and hour of the week; what comes later than the watermark is dropped."""
     stamped = events.withColumn("ts", F.timestamp_millis("time_ms")).withWatermark("ts", late)
     return stamped.groupBy(F.window("ts", "1 hour"), tm.hour_of_week(F.col("time_ms")).alias("period")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), "period", "n")
 
 
-def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id") -> DataFrame:
+def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id", monitor: bool = False) -> DataFrame:
     """(key, time_ms, lon, lat, ref_id, fraction, probability): each sample's likeliest road position so far.
 
     Candidates come from a join of the stream with the roads; a vehicle's state is
     kernel.Online as JSON, of at most k steps back and tau_ms. Late samples are
     dropped; a vehicle silent for max_age_ms loses its state, by event time. The
     network goes to every executor and so may have match.BROADCAST_EDGES edges.
+    With monitor, a column of that name has all candidates in JSON.
     """
     from wayfold.operators import kernel, match, network, spatial
 
@@ -37,7 +50,7 @@ def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConf
     if len(columns[0]) > match.BROADCAST_EDGES:
         raise ValueError(f"more than {match.BROADCAST_EDGES} edges: match regions of the network on their own")
     shared = events.sparkSession.sparkContext.broadcast(kernel.Graph(*map(list, columns), [None] * len(columns[0]), config.connect))
-    output = f"{key} string, time_ms long, lon double, lat double, ref_id string, fraction double, probability double"
+    output = f"{key} string, time_ms long, lon double, lat double, ref_id string, fraction double, probability double" + (", monitor string" if monitor else "")
 
     def step(name, frames: Iterator, held) -> Iterator:
         import pandas as pd
@@ -54,11 +67,11 @@ def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConf
         for t, lon, lat, _, found in match.trace_of(rows, graph, config.radius_m):
             c = online.add(t, lon, lat, found)
             if c is not None:
-                out.append((name[0], t, lon, lat, graph.refs[c.edge], c.fraction, c.filt))
+                out.append((name[0], t, lon, lat, graph.refs[c.edge], c.fraction, c.filt, *([online.monitor()] if monitor else [])))
         if online.steps:
             held.update((online.to_json(),))
             held.setTimeoutTimestamp(max(online.steps[-1][0][0], held.getCurrentWatermarkMs()) + max_age_ms)
-        yield pd.DataFrame(out, columns=[key, "time_ms", "lon", "lat", "ref_id", "fraction", "probability"])
+        yield pd.DataFrame(out, columns=[key, "time_ms", "lon", "lat", "ref_id", "fraction", "probability", *(["monitor"] if monitor else [])])
 
     stamped = events.where("time_ms IS NOT NULL").withColumn("ts", F.timestamp_millis("time_ms")).withWatermark("ts", "10 minutes").select(key, "time_ms", "lon", "lat", "ts")
     near = spatial.segment_hits(stamped, roads, config.radius_m).select(key, "time_ms", "lon", "lat", "ts", "geom_id", "fwd_ref", "back_ref", "place.d", "place.i", "along", "road_lon", "road_lat")
