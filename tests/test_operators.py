@@ -1,5 +1,6 @@
 """Expressions and plans on literals, and every query with SQL against DuckDB."""
 
+import datetime
 import glob
 import json
 import os
@@ -257,3 +258,13 @@ def test_query_against_sql(spark, sf, duck, name):
     ours, theirs = driver.queries()[name](spark, sf).toPandas(), duck.execute(driver.oracle_sql()[name]).fetchdf()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert _rows(ours) == _rows(theirs)
+
+
+@pytest.mark.parametrize("name", ["snap_binned"])
+def test_bins_at_the_ends_of_roads_against_sql(spark, tmp_path, name):
+    """Five rows of nodes, met at each of their 3,000 longitudes: the last bit of a fraction decides the bin there."""
+    rows = [(17 + 41 * i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=i), [2, 5, 6, 11, 12][i % 5], "view", 1.0) for i in range(15_000)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert _rows(driver.queries()[name](spark, str(tmp_path)).toPandas()) == _rows(con.execute(driver.oracle_sql()[name]).fetchdf())

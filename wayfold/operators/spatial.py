@@ -30,14 +30,13 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
     """One row for each segment of a road and each cell (cx, cy) near it.
 
     Has geom_id, fwd_ref, back_ref, road_class, i, the segment's ends (ax, ay, bx, by),
-    its direction, and the fractions of the road where it starts and that it makes up.
+    its direction, the metres of the road where it starts and that it has, and the road's.
     """
     rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
     last = F.element_at("segs", -1)
     rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode("segs").alias("i", "s"))
-    part = lambda c: F.when(F.col("total_m") > 0, F.col(f"s.{c}") / F.col("total_m")).otherwise(0.0)
     direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
-    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", "s.bx", "s.by", part("start_m").alias("start"), part("len_m").alias("share"), direction.alias("direction"))
+    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", "s.bx", "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction"))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     north = F.least(F.lit(89.9), F.greatest(F.abs("ay"), F.abs("by")) + radius_m / 110_000.0)
     kx, ky = geo.metres_per_degree(north)
@@ -60,12 +59,14 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
 def _foot(lon: str, lat: str) -> tuple[Column, Column]:
     """Of a point on a segment: the fraction of the nearest position, and the planar distance squared.
 
-    _kx and _ky are the metres of a degree at the point.
+    _kx and _ky are the metres of a degree at the point. Operations come in the order of
+    the SQL (fixtures.sql_candidates): at a road's end the last bit of the fraction decides
+    the bin.
     """
-    x, y = (F.col(lon) - F.col("ax")) * F.col("_kx"), (F.col(lat) - F.col("ay")) * F.col("_ky")
-    dx, dy = (F.col("bx") - F.col("ax")) * F.col("_kx"), (F.col("by") - F.col("ay")) * F.col("_ky")
-    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx + y * dy, dx * dx + dy * dy), F.lit(0.0))))
-    ox, oy = x - f * dx, y - f * dy
+    x, y = F.col(lon) - F.col("ax"), F.col(lat) - F.col("ay")
+    dx, dy, kx, ky = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"), F.col("_kx"), F.col("_ky")
+    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx * kx * kx + y * dy * ky * ky, (dx * kx) * (dx * kx) + (dy * ky) * (dy * ky)), F.lit(0.0))))
+    ox, oy = (x - f * dx) * kx, (y - f * dy) * ky
     return f, ox * ox + oy * oy
 
 
@@ -90,7 +91,7 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
     x, y = geo.interpolate(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), F.col("_h.f"))
     met = met.withColumns({"road_lon": x, "road_lat": y})
     return met.select(
-        *points.columns, "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_h.d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), (F.col("start") + F.col("_h.f") * F.col("share")).alias("along"),
+        *points.columns, "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_h.d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), F.when(F.col("total_m") > 0, (F.col("start_m") + F.col("_h.f") * F.col("len_m")) / F.col("total_m")).otherwise(0.0).alias("along"),
         "road_lon", "road_lat", "direction",
     )
 
