@@ -260,7 +260,7 @@ def test_query_against_sql(spark, sf, duck, name):
     assert _rows(ours) == _rows(theirs)
 
 
-@pytest.mark.parametrize("name", ["snap_binned"])
+@pytest.mark.parametrize("name", ["snap_binned", "binned_events_weekly"])
 def test_bins_at_the_ends_of_roads_against_sql(spark, tmp_path, name):
     """Five rows of nodes, met at each of their 3,000 longitudes: the last bit of a fraction decides the bin there."""
     rows = [(17 + 41 * i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=i), [2, 5, 6, 11, 12][i % 5], "view", 1.0) for i in range(15_000)]
