@@ -15,9 +15,10 @@ import __spark_entry__ as driver
 from wayfold.config import MatchConfig
 from wayfold.functions import geo, roads, tile
 from wayfold.functions import time as tm
-from wayfold.operators import aggregate, match, network, spatial
+from wayfold.operators import aggregate, match, network, spatial, traces
 from wayfold.plans import batch, queries
 from wayfold.schema import ROAD
+from wayfold.sinks import tiles
 from wayfold.streaming import replay
 
 
@@ -239,6 +240,19 @@ def test_matching_on_streams_tells_all_candidates(spark, sf, tmp_path):
     assert len(told) == near.count() and all(json.loads(r.monitor)["time"] == r.time_ms for r in told)
 
 
+def test_dust_of_a_frequent_start_makes_several_messages(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "DUST_BYTES", 1000)
+    rows = [("v", t, float(t), 1.0, t % 3 == 0, "e", t / 4000) for t in range(3001)]
+    marked = spark.createDataFrame(rows, "vehicle_id string, time_ms long, lon double, lat double, good boolean, ref_id string, fraction double")
+    runs = traces.failure_runs(marked, fraction="fraction")
+    expected = sorted(("e", "e", t / 4000, (t + 3) / 4000, [t + 1.0, 1.0, t + 2.0, 1.0]) for t in range(0, 3000, 3))
+    for failures in (runs, aggregate.failure_clusters(runs)):
+        messages = tiles.encoded_dust(failures)
+        sizes = [len(r.message) for r in messages.collect()]
+        assert len(sizes) > 50 and max(sizes) < 1200
+        assert sorted((*r[:4], list(r[4])) for r in tiles.decoded_dust(messages).collect()) == expected
+
+
 @pytest.fixture(scope="module")
 def duck(sf):
     con = duckdb.connect()

@@ -77,15 +77,17 @@ def failure_runs(rows: DataFrame, key: str = "vehicle_id", time: str = "time_ms"
     """Runs of failed points between two good rows: (key, run, start_ref, end_ref, start_fraction, end_fraction, n_points, lonlats).
 
     The fractions are those of the good rows, null without such a column. Runs at a trace's start or end are not closed on both sides and don't count.
+
+    Each run but the first begins with its good row, so a run ends at the place of the
+    next run: one shuffle, and no frame that is read to its end for each row.
     """
-    w = _per(key, time)
-    marked = rows.withColumn("run", F.sum(F.col(good).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    marked = rows.withColumn("run", F.sum(F.col(good).cast("int")).over(_per(key, time).rowsBetween(W.unboundedPreceding, 0)))
     place = F.when(F.col(good), F.struct(F.col(ref).alias("ref"), (F.col(fraction) if fraction else F.lit(None)).cast("double").alias("at")))
-    marked = marked.withColumns({"_from": F.last(place, True).over(w.rowsBetween(W.unboundedPreceding, -1)), "_to": F.first(place, True).over(w.rowsBetween(1, W.unboundedFollowing))})
-    failed = marked.where(~F.col(good) & F.col("_from.ref").isNotNull() & F.col("_to.ref").isNotNull())
-    points = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col("lon").alias("lon"), F.col("lat").alias("lat"))))
-    out = failed.groupBy(key, "run").agg(F.first("_from.ref").alias("start_ref"), F.first("_to.ref").alias("end_ref"), F.first("_from.at").alias("start_fraction"), F.first("_to.at").alias("end_fraction"), F.count("*").alias("n_points"), points.alias("p"))
-    return out.withColumn("lonlats", F.flatten(F.transform("p", lambda x: F.array(x["lon"], x["lat"])))).drop("p")
+    failed = F.when(~F.col(good), F.struct(F.col(time).alias("t"), F.col("lon").alias("lon"), F.col("lat").alias("lat")))
+    runs = marked.groupBy(key, "run").agg(F.first(place, True).alias("_from"), F.count(failed).alias("n_points"), F.array_sort(F.collect_list(failed)).alias("p"))
+    runs = runs.withColumn("_to", F.lead("_from").over(W.partitionBy(key).orderBy("run")))
+    out = runs.where(F.col("n_points") > 0).select(key, "run", F.col("_from.ref").alias("start_ref"), F.col("_to.ref").alias("end_ref"), F.col("_from.at").alias("start_fraction"), F.col("_to.at").alias("end_fraction"), "n_points", "p")
+    return out.where("start_ref IS NOT NULL AND end_ref IS NOT NULL").withColumn("lonlats", F.flatten(F.transform("p", lambda x: F.array(x["lon"], x["lat"])))).drop("p")
 
 
 def consecutive_candidates(candidates: DataFrame, key: str = "vehicle_id", seq: str = "seq") -> DataFrame:

@@ -460,10 +460,10 @@ def dust_clusters(spark, sf_dir):
 SELECT e.ref_id AS start_ref, e.end_ref, e.fraction AS start_fraction, e.end_fraction, count(*) AS n_points, min(m.time_ms) AS first_ms FROM placed m JOIN ends e USING (vehicle_id, run)
 WHERE NOT m.good AND e.end_ref IS NOT NULL GROUP BY e.vehicle_id, run, 1, 2, 3, 4""".replace("min(m.time_ms) AS first_ms", f"{rounded_sql('sum(m.lon + m.lat)', 6)} AS coordinates"))
 def dust_messages(spark, sf_dir):
-    """Failure clusters through the wire format and back: what a reader of the messages gets."""
+    """Failures through the wire format and back: what a reader of the messages gets."""
     steps = _steps(spark, sf_dir).withColumn("fraction", (F.col("event_id") % 8).cast("double") / 8)
-    clusters = aggregate.failure_clusters(traces.failure_runs(steps, fraction="fraction"))
-    told = tiles.decoded_dust(tiles.encoded_dust(clusters)).select("start_ref", "end_ref", "start_fraction", "end_fraction", (F.size("lonlats") / 2).cast("long").alias("n_points"), F.aggregate("lonlats", F.lit(0.0), lambda a, v: a + v).alias("coordinates"))
+    messages = tiles.encoded_dust(traces.failure_runs(steps, fraction="fraction"))
+    told = tiles.decoded_dust(messages).select("start_ref", "end_ref", "start_fraction", "end_fraction", (F.size("lonlats") / 2).cast("long").alias("n_points"), F.aggregate("lonlats", F.lit(0.0), lambda a, v: a + v).alias("coordinates"))
     return told.withColumn("coordinates", rounded(F.col("coordinates"), 6))
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from wayfold.functions import tile
 from wayfold.sinks import wire
 
+#: Bytes of traces from which on a dust message is closed, and another of its start begun.
+DUST_BYTES = 1 << 20
+#: Failures, about, that a batch of decoded messages holds.
+DECODED_ROWS = 10_000
+
 
 def with_tiles(records: DataFrame, edges: DataFrame, ref: str = "ref_id", zoom: int = tile.DATA_ZOOM, last: bool = True) -> DataFrame:
     """records, once for each tile of their road's ends (or its start alone)."""
@@ -58,13 +63,53 @@ def encoded_binned(binned: DataFrame, ref: str = "ref_id") -> DataFrame:
     return _encoded(nested.select(ref, "week", "length_cm", "n_bins", "entries"), encode, ref)
 
 
-def encoded_dust(clusters: DataFrame) -> DataFrame:
-    """(start_ref, message): failure clusters as delimited messages."""
+def encoded_dust(failures: DataFrame) -> DataFrame:
+    """(start_ref, message): failure runs, or clusters of them, as delimited messages.
+
+    Traces are encoded where they are, and only their bytes are brought together by
+    start. A start has one message, or several where its traces are more than
+    DUST_BYTES or AQE dealt them to several tasks, as in a file that was appended to.
+    """
+    import pyarrow as pa
+
+    if "failures" in failures.columns:
+        failures = failures.select("start_ref", F.inline("failures"))
+    order = ["start_ref", *(c for c in ("end_ref", "vehicle_id", "run") if c in failures.columns)]
+    runs = failures.select(*order, F.struct("end_ref", "start_fraction", "end_fraction", "lonlats").alias("trace"))
+
+    def encode(batches):
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.column(len(order)).flatten()]
+            traces = pa.array([wire.encode_trace(*row) for row in zip(*columns)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(order)], traces], names=[*order, "trace"])
 
-    def encode(start_ref, failures):
-        return wire.delimited(wire.encode_dust(start_ref, [(f["end_ref"], f["start_fraction"], f["end_fraction"], list(f["lonlats"])) for f in failures]))
+    def pack(batches):
+        start, traces, size = None, [], 0
+        done = []
 
-    return _encoded(clusters.select("start_ref", "failures"), encode, "start_ref")
+        def close():
+            if traces:
+                done.append((start, wire.delimited(wire.dust(start, traces))))
+
+        def told():
+            rows = [pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.binary())]
+            done.clear()
+            return pa.RecordBatch.from_arrays(rows, names=["start_ref", "message"])
+
+        for batch in batches:
+            for ref, trace in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if ref != start or size >= DUST_BYTES:
+                    close()
+                    start, traces, size = ref, [], 0
+                traces.append(trace)
+                size += len(trace)
+            yield told()
+        close()
+        yield told()
+
+    encoded = runs.mapInArrow(encode, runs.withColumn("trace", F.lit(b"")).schema)
+    dealt = encoded.hint("rebalance", "start_ref").sortWithinPartitions(*order)
+    return dealt.select("start_ref", "trace").mapInArrow(pack, "start_ref string, message binary")
 
 
 def decoded_dust(messages: DataFrame) -> DataFrame:
@@ -75,9 +120,20 @@ def decoded_dust(messages: DataFrame) -> DataFrame:
 
         names = ["start_ref", "end_ref", "start_fraction", "end_fraction", "lonlats"]
         kinds = [pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.float64())]
+
+        def told(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+
+        rows = []
         for batch in batches:
-            rows = [(start, *f) for data in batch.column(0).to_pylist() for m in wire.frames(data) for start, failures in [wire.decode_dust(m)] for f in failures]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+            for data in batch.column(0):
+                for m in wire.frames(data.as_py()):
+                    start, failures = wire.decode_dust(m)
+                    rows.extend((start, *f) for f in failures)
+                    if len(rows) >= DECODED_ROWS:
+                        yield told(rows)
+                        rows = []
+        yield told(rows)
 
     return messages.select("message").mapInArrow(work, "start_ref string, end_ref string, start_fraction double, end_fraction double, lonlats array<double>")
 
