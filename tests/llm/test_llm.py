@@ -93,6 +93,25 @@ def test_op2_held_out(spark, odd, empty):
     assert quality.score(quality.features(empty, ["doc_id"]), model).count() == 0
 
 
+def test_op2_learns_from_all_pairs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, len(quality.FEATURES)))
+    y = x[:, 0] - x[:, 1] ** 2 / 2 + rng.normal(size=400) > 0
+    measured = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], f"doc_id long, {quality.FEATURES_COL} array<double>")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    model = quality.learn(measured, labels, F.lit(True))
+    z = quality._expand(x, x.mean(0), x.std(0))
+    diff = (z[y][:, None] - z[~y][None]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(20):
+        p = 1 / (1 + np.exp(diff @ w))
+        w += np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + 1e-3 * np.eye(len(w)), diff.T @ p / len(diff) - 1e-3 * w)
+    assert np.abs(np.array(model["weights"]) - w).max() < 5e-3  # bins; 200,000 drawn pairs were 0.013 off
+    assert abs(model["at"] - np.sort(z @ w)[int(399 * (1 - y.mean()))]) < 0.01
+
+
 def test_op4_finds_planted_words(spark, odd, empty):
     import random
 
