@@ -274,6 +274,30 @@ def test_query_against_sql(spark, sf, duck, name):
     assert _rows(ours) == _rows(theirs)
 
 
+def test_weekly_bins_of_odd_events_against_sql(spark, tmp_path):
+    """Null, infinite and huge values, groups of nulls alone, events without type or time."""
+    values = [None, 1.25, None, float("nan"), float("inf"), -float("inf"), 3e15, -3e15, -0.125, 2.0**52 / 1e4, None]
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(i, None if i % 53 == 0 else start + datetime.timedelta(minutes=9 * i), i % 48, None if i % 7 == 0 else "abc"[i % 3], values[i % 11]) for i in range(4_000)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    rows_of = lambda told: sorted(tuple(str(v) for v in r) for r in told)
+    theirs = con.execute(driver.oracle_sql()["binned_events_weekly"])
+    names = [c[0] for c in theirs.description]
+    ours = driver.queries()["binned_events_weekly"](spark, str(tmp_path)).select(*names)
+    theirs = rows_of(theirs.fetchall())
+    assert rows_of(map(tuple, ours.collect())) == theirs
+    assert {"None", "nan", "inf", "-inf", str(3e15)} <= {r[-1] for r in theirs} and {"None"} < {r[6] for r in theirs} and {"None"} < {r[1] for r in theirs}
+
+
+def test_messages_of_binned_events_have_0_for_sums_of_nulls(spark):
+    rows = [("r", 0.5, 100.0, 0, "a", None), ("r", 0.5, 100.0, 0, "b", 2.0)]
+    binned = aggregate.weekly_binned_events(spark.createDataFrame(rows, "ref_id string, fraction double, length_m double, time_ms long, event_type string, event_value double"), 10.0)
+    assert sorted((r.event_type, r["count"], r.value) for r in binned.collect()) == [("a", 1, None), ("b", 1, 2.0)]
+    assert tiles.encoded_binned(binned).collect() == tiles.encoded_binned(binned.fillna(0.0, ["value"])).collect()
+
+
 @pytest.mark.parametrize("name", ["snap_binned", "binned_events_weekly"])
 def test_bins_at_the_ends_of_roads_against_sql(spark, tmp_path, name):
     """Five rows of nodes, met at each of their 3,000 longitudes: the last bit of a fraction decides the bin there."""

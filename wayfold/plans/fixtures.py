@@ -14,7 +14,7 @@ NODES = 16
 def gps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vehicle_id, event_id, time_ms (a clock of 10 s steps), true_ms, lon, lat, event_data."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
-    rn = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long") - 1
+    rn = F.row_number().over(W.partitionBy("user_id").orderBy(F.asc_nulls_last("ts"), F.asc_nulls_last("event_id"))).cast("long") - 1
     e = e.withColumn("rn", rn)
     lon = F.lit(-96.8) + ((F.col("rn") * 37 + F.col("user_id") * 11) % 3000).cast("double") / 100000.0
     lat = F.lit(32.9) + (F.col("user_id") % 16).cast("double") * 0.002 + ((F.col("event_id") * 7919) % 41 - 20).cast("double") / 100000.0

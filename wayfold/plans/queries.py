@@ -42,6 +42,12 @@ def rounded(x: Column, digits: int) -> Column:
     return F.floor(x * float(10**digits) + 0.5) / float(10**digits)
 
 
+def rounded_sum(x: Column, digits: int) -> Column:
+    """rounded() of any double: floor gives a long, which infinities, NaN and sums beyond it don't fit; a double of 2^52 or more is whole."""
+    scaled = x * float(10**digits) + 0.5
+    return F.when(F.abs(scaled) < 2.0**52, F.floor(scaled)).otherwise(scaled) / float(10**digits)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -345,7 +351,7 @@ _BINNED = "CAST(floor(length_m / 10) + 1 AS INTEGER)"
 SELECT ref_id, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM binned GROUP BY 1, 2, 3, 4""")
 def snap_binned(spark, sf_dir):
     binned = batch.fast_snap(_points(spark, sf_dir), grid(spark), "event_id")
-    return binned.select("ref_id", "n_bins", "bin", "event_type", "count", rounded(F.col("value"), 4).alias("value"))
+    return binned.select("ref_id", "n_bins", "bin", "event_type", "count", rounded_sum(F.col("value"), 4).alias("value"))
 
 
 # Traces
@@ -503,16 +509,17 @@ def consecutive_candidates(spark, sf_dir):
 @query(f"""{_SNAP}, lens AS (SELECT geom_id, sum(len) AS length_m FROM seg_lens GROUP BY 1), binned AS (SELECT s.*, {_BINNED} AS n_bins, CAST(floor(length_m * 100 + 0.5) AS BIGINT) AS length_cm FROM snapped s JOIN lens USING (geom_id))
 SELECT ref_id, CAST(CAST(date_trunc('week', epoch_ms(true_ms)) AS DATE) AS VARCHAR) AS week, length_cm, CAST((isodow(epoch_ms(true_ms)) - 1) * 24 + hour(epoch_ms(true_ms)) AS INTEGER) AS period, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM binned GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def binned_events_weekly(spark, sf_dir):
-    snapped = batch._with_lengths(spatial.snap(_points(spark, sf_dir), grid(spark), "event_id"), grid(spark))
-    e = snapped.select("ref_id", "fraction", "length_m", F.col("true_ms").alias("time_ms"), F.explode("event_data").alias("event_type", "event_value"))
-    return aggregate.weekly_binned_events(e, 10.0).withColumns({"value": rounded(F.col("value"), 4), "week": F.col("week").cast("string")})
+    g = gps(spark, sf_dir).select("event_id", F.col("true_ms").alias("time_ms"), "lon", "lat", "event_type", F.col("value").alias("event_value"))
+    snapped = batch._with_lengths(spatial.snap(g, grid(spark), "event_id"), grid(spark))
+    e = snapped.select("ref_id", "fraction", "length_m", "time_ms", "event_type", "event_value")
+    return aggregate.weekly_binned_events(e, 10.0).withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})
 
 
 @query(f"WITH {GPS_SQL} SELECT vehicle_id AS ref_id, CAST(11 AS INTEGER) AS n_bins, CAST(rn % 11 AS INTEGER) AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM gps GROUP BY 1, 2, 3, 4")
 def binned_events_flat(spark, sf_dir):
     g = gps(spark, sf_dir)
     e = g.select(F.col("vehicle_id").alias("ref_id"), ((F.col("rn") % 11 + 0.5) / 11.0).alias("fraction"), F.lit(100.0).alias("length_m"), "event_type", F.col("value").alias("event_value"))
-    return aggregate.binned_events(e, 10.0).withColumn("value", rounded(F.col("value"), 4))
+    return aggregate.binned_events(e, 10.0).withColumn("value", rounded_sum(F.col("value"), 4))
 
 
 # Renderings

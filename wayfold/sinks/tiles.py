@@ -50,8 +50,8 @@ def encoded_speeds(cycle: DataFrame, ref: str = "ref_id") -> DataFrame:
 
 
 def encoded_binned(binned: DataFrame, ref: str = "ref_id") -> DataFrame:
-    """(ref, week, message): weekly binned events as delimited messages."""
-    entry = F.struct("bin", "period", "event_type", "count", "value")
+    """(ref, week, message): weekly binned events as delimited messages, which have 0 for the sum of nulls alone."""
+    entry = F.struct("bin", "period", "event_type", "count", F.coalesce("value", F.lit(0.0)).alias("value"))
     nested = binned.groupBy(ref, "week", "length_cm", "n_bins").agg(F.collect_list(entry).alias("entries"))
 
     def encode(ref_id, length_cm, n_bins, entries):
