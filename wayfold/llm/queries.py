@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, decontaminate, language, minhash, quality, spherical_caps, token_count, toxicity, url_filter, warc_zip
+from wayfold.llm import byte_bpe, decontaminate, language, line_dedup, minhash, periodic_runs, quality, spherical_caps, token_count, toxicity, url_filter, warc_zip, whitening
 from wayfold.llm.common import in_remainder, materialize, new_path
 
 
@@ -73,6 +73,28 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    chosen = F.when(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, periodic_runs.split_words(F.col("text")))
+    docs = docs.withColumn("_wf_words", F.explode(F.array(chosen)))  # explode of one item binds the words once
+    found = periodic_runs.periodic_runs(docs.select("doc_id", periodic_runs.planted().alias("text")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period", F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality": op2_quality,
@@ -84,10 +106,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
     "op10_warc_zip": op10_warc_zip,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_spherical_caps": spherical_caps.LINKS_SQL,
     "op6_decontaminate": decontaminate.DIGEST_SQL,
     "op9_minhash": minhash.COMPONENTS_SQL,
     "op10_warc_zip": warc_zip.RECORDS_SQL,
+    "op11_line_dedup": line_dedup.KEPT_SQL,
 }
