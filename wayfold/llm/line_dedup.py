@@ -77,10 +77,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, t
 
 KEPT_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at FROM documents
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place FROM documents
 ), keyed AS (SELECT *, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
-), common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 10)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (FROM common)) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE key NOT IN (FROM common)), '')) AS kept_sha256
-FROM keyed GROUP BY 1
+), common AS (SELECT key AS hit FROM keyed WHERE length(key) >= 1 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 10
+), judged AS (SELECT keyed.*, hit FROM keyed LEFT JOIN common ON key = hit)
+SELECT doc_id, count(*) AS n_lines, count(hit) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE hit IS NULL), '')) AS kept_sha256
+FROM judged GROUP BY 1
 """
