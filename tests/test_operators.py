@@ -69,10 +69,10 @@ def test_components_of_a_long_chain(spark):
 
 def test_all_outputs(spark, sf, tmp_path):
     points = queries._points(spark, sf)
-    outputs = batch.match_all(points, queries.grid(spark))
+    outputs = batch.match_all(points, queries.grid(spark, sf))
     assert outputs["matched"].where("kind = 'speed'").count() > 100
     assert outputs["matched"].where("start_fraction < 0 OR end_fraction > 1").count() == 0
-    batch.write_all(outputs, queries.grid(spark), str(tmp_path / "out"))
+    batch.write_all(outputs, queries.grid(spark, sf), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out/speeds")).count() > 0
     assert {os.path.basename(p) for p in glob.glob(str(tmp_path / "out/*"))} == {"speeds", "events", "dust", "traces"}
 
@@ -85,8 +85,37 @@ def test_nearest_reaches_the_largest_radius(spark):
     assert sorted(r.id for r in spatial.knn_join(points, roads_, "id", 1, 100.0, 700.0).collect()) == [1, 2]
 
 
-def test_matching_by_region_gives_the_rows_of_the_whole_network(spark, monkeypatch):
-    """Edges that start tiles away, routes through tiles without samples, and the 180th meridian."""
+def whole_graph(roads_):
+    """kernel.Graph of all roads, by the names that candidates have."""
+    from wayfold.operators import graphstore, kernel
+
+    e = network.costs(network.edges(roads_)).join(graphstore.named_roads(roads_).select(F.explode(F.array("fwd_ref", "back_ref")).alias("name")).where("name IS NOT NULL"), F.col("ref_id") == F.substring_index("name", ":", -1)).collect()
+    graph = kernel.Graph(*([r[c] for r in e] for c in ("ref_id", "src", "dst", "length_m", "cost_time_priority")), [None] * len(e))
+    names = {r.name: r.ref_id for r in e}
+    graph.find = lambda name: graph.number.get(names.get(name, name))
+    return graph
+
+
+def matched_by_one(points, roads_, config):
+    """The kernel over the whole network, trace by trace, on the driver."""
+    from wayfold.operators import kernel
+
+    graph, traces_ = whole_graph(roads_), {}
+    for r in match._samples(points, roads_, config, "vehicle_id").collect():
+        traces_.setdefault(r[0], []).append(r[1:])
+    return [(name, row) for name, rows in traces_.items() for row in kernel.match_trace(match.trace_of(rows, graph, config.radius_m), graph, config)]
+
+
+def as_rows(pairs):
+    from wayfold.schema import MATCHED
+
+    columns = [c.split()[0] for c in MATCHED.split(", ")][1:]
+    told = lambda v: round(v, 7) if isinstance(v, float) else v
+    return sorted(((name, *(told(row.get(c)) for c in columns)) for name, row in pairs), key=str)
+
+
+def test_matching_by_stored_tiles_gives_the_rows_of_the_whole_network(spark):
+    """Edges that start tiles away, routes through tiles without samples, the 180th meridian, a node told in two places."""
     road = lambda name, a, b, *line: (name, a, b, f"{name}_f", f"{name}_b", 3, [{"lon": x, "lat": y} for x, y in line])
     rows = [road("long", "l0", "l1", (10.0, 60.0), (11.0, 60.0)), road("west", "w", "m", (179.99, 60.0), (180.0, 60.0)), road("east", "m", "e", (-180.0, 60.0), (-179.99, 60.0))]
     rows += [road(f"c{i}", f"n{i}", f"n{i + 1}", (10 + 0.018 * i, 60.2), (10 + 0.018 * (i + 1), 60.2)) for i in range(20)]
@@ -94,11 +123,43 @@ def test_matching_by_region_gives_the_rows_of_the_whole_network(spark, monkeypat
     at += [("far apart", 0, 10.001, 60.2), ("far apart", 300_000, 10.33, 60.2)]
     at += [("meridian", 0, 179.995, 60.0), ("meridian", 30_000, -179.995, 60.0), ("nowhere", 0, 50.0, 0.0), (None, 0, 10.6, 60.0), (None, 30_000, 10.605, 60.0)]
     network_, points = spark.createDataFrame(rows, ROAD), spark.createDataFrame(at, "vehicle_id string, time_ms long, lon double, lat double")
-    run = lambda: sorted((tuple(r) for r in match.match(points, network_, MatchConfig(max_distance_m=20_000.0, beta_lambda=0.001)).collect()), key=str)
-    whole = run()
-    assert {r[0] for r in whole if r[1] == "speed"} == {"by the long edge", "far apart", "meridian", None}
-    monkeypatch.setattr(match, "BROADCAST_EDGES", 0)
-    assert run() == whole
+    config = MatchConfig(max_distance_m=20_000.0, beta_lambda=0.001)
+    got = [(r.vehicle_id, r.asDict()) for r in match.match(points, network_, config).collect()]
+    assert {name for name, r in got if r["kind"] == "speed"} == {"by the long edge", "far apart", "meridian", None}
+    assert as_rows(got) == as_rows(matched_by_one(points, network_, config))
+
+
+def test_stored_graph(spark, sf):
+    from wayfold.operators import graphstore
+
+    roads_ = queries.grid(spark, sf)
+    path = graphstore.write(roads_)
+    stored, whole = graphstore.TileGraph(path), whole_graph(roads_)
+    names = [r[0] for r in graphstore.named_roads(roads_).select(F.explode(F.array("fwd_ref", "back_ref"))).collect() if r[0]]
+    assert len(names) == len(whole.refs) and stored.find("1:none") is None
+    for name in names:
+        ref = stored.find(name)
+        n = whole.number[ref]
+        assert stored.length[ref] == whole.length[n] and stored.cost[ref] == whole.cost[n] and stored.next[ref] == [whole.refs[x] for x in whole.next[n]]
+        assert stored.find(stored.name(ref)) == ref
+    fresh = graphstore.TileGraph(path)
+    fresh.find(names[0])
+    assert len(fresh.loaded) == 1 < len(stored.loaded)
+    points = queries._points(spark, sf)
+    one, two = (sorted(map(str, match.match(points, roads_, graph=g).collect())) for g in (path, None))
+    assert one == two and one
+
+
+def test_roads_over_the_180th_meridian(spark):
+    line = lambda name, *ps: (name, "a", "b", f"{name}_f", None, 3, [{"lon": x, "lat": y} for x, y in ps])
+    rows = spark.createDataFrame([line("ends", (179.99, 10.0), (179.99999, 10.0)), line("across", (179.9995, 11.0), (-179.9995, 11.0)), line("whole", (-180.0, 12.0), (-180.0, 12.01))], ROAD)
+    at = [(1, -179.99999, 10.0), (2, 179.99999, 10.0), (3, 180.0, 11.0), (4, -180.0, 11.0), (5, -179.9999, 11.0), (6, 179.9999, 11.0), (7, 180.0, 12.005), (8, 179.99999, 12.005)]
+    points = spark.createDataFrame(at, "id long, lon double, lat double")
+    got = {r.id: r for r in spatial.radius_join(points, rows, 25.0).collect()}
+    assert {i: r.geom_id for i, r in got.items()} == {1: "ends", 2: "ends", 3: "across", 4: "across", 5: "across", 6: "across", 7: "whole", 8: "whole"}
+    assert all(r.distance_m < 2.5 and abs(r.road_lon) <= 180 for r in got.values()) and abs(got[3].fraction - 0.5) < 1e-6 and abs(got[5].fraction - 0.6) < 1e-6
+    assert {r.id for r in spatial.nearest_join(points, rows, "id", 10.0, 100.0).where("geom_id = 'across'").collect()} == {3, 4, 5, 6}
+    assert sorted(r.id for r in spatial.snap(points, rows, "id").collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
 
 
 def test_polygons_hold_what_crosses_them(spark):
@@ -119,7 +180,7 @@ def test_unbounded_nearest_long_segments_and_dense_cells(spark):
 
 
 def test_route_geometry_and_intersection(spark):
-    e = network.edges(queries.grid(spark))
+    e = network.edges(queries.grid(spark, sf))
     parts = spark.createDataFrame([("r", 0, "H_0_0_f", 0.25, 1.0), ("r", 1, "H_1_0_f", 0.0, 0.75)], "id string, place int, ref_id string, start_fraction double, end_fraction double")
     (r,) = network.route_geometry(parts, e, "id").collect()
     assert [round((p.lon + 96.8) / 0.002, 6) for p in r.geometry] == [0.25, 0.5, 1.0, 1.5, 1.75]
@@ -130,7 +191,7 @@ def test_route_geometry_and_intersection(spark):
 
 
 def test_offline_trips_and_filter_estimates(spark, sf):
-    points, network_ = queries._points(spark, sf), queries.grid(spark)
+    points, network_ = queries._points(spark, sf), queries.grid(spark, sf)
     offline = match.match_offline(points, network_, MatchConfig(filter_estimates=True), 50.0, 20_000)
     kinds = {r.kind: r.n for r in offline.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     assert kinds["filtered"] > 50 and offline.where("kind = 'filtered' AND NOT probability BETWEEN 0.0 AND 1.000001").count() == 0
@@ -148,7 +209,7 @@ def test_hmm_match_is_the_best_of_all_sequences(spark, sf):
 
     from wayfold.operators import kernel
 
-    config, edge_rows = MatchConfig(), network.costs(network.edges(queries.grid(spark))).collect()
+    config, edge_rows = MatchConfig(), network.costs(network.edges(queries.grid(spark, sf))).collect()
     points = queries._points(spark, sf).where("time_ms <= 40000")
     nodes = sorted({n for e in edge_rows for n in (e.src, e.dst)})
     at = {n: i for i, n in enumerate(nodes)}
@@ -189,7 +250,7 @@ def test_hmm_match_is_the_best_of_all_sequences(spark, sf):
     for r in points.orderBy("vehicle_id", "time_ms").collect():
         traces.setdefault(r.vehicle_id, []).append((r.lon, r.lat))
     got = {}
-    for r in match.match(points, queries.grid(spark), config).where("kind = 'estimate'").orderBy("vehicle_id", "time_ms").collect():
+    for r in match.match(points, queries.grid(spark, sf), config).where("kind = 'estimate'").orderBy("vehicle_id", "time_ms").collect():
         got.setdefault(r.vehicle_id, []).append(r.ref_id)
     checked = 0
     for name, samples in traces.items():
@@ -209,7 +270,7 @@ def test_streams(spark, sf, tmp_path):
     assert spark.table("speeds").count() == points.count() - points.select("vehicle_id").distinct().count()
     near = queries._points(spark, sf).select("vehicle_id", (F.col("time_ms") + 86_400_000).alias("time_ms"), "lat", "lon", "event_data")  # what is at time 0 is late
     near.coalesce(1).write.parquet(str(tmp_path / "near"))
-    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark)).writeStream.format("memory").queryName("on_road").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
+    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark, sf)).writeStream.format("memory").queryName("on_road").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("on_road").count() == near.count() and spark.table("on_road").where("ref_id IS NULL").count() == 0
     hours = replay.hourly_counts(replay.replay(spark, str(tmp_path / "in")))
@@ -234,7 +295,7 @@ def test_paced_replay_keeps_the_cadence(spark, tmp_path):
 def test_matching_on_streams_tells_all_candidates(spark, sf, tmp_path):
     near = queries._points(spark, sf).where("vehicle_id = 'v1'").select("vehicle_id", (F.col("time_ms") + 86_400_000).alias("time_ms"), "lat", "lon", "event_data")
     near.coalesce(1).write.parquet(str(tmp_path / "near"))
-    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark), monitor=True).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark, sf), monitor=True).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     told = spark.table("monitored").collect()
     assert len(told) == near.count() and all(json.loads(r.monitor)["time"] == r.time_ms for r in told)

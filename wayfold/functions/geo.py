@@ -55,11 +55,16 @@ def distance(lon1, lat1, lon2, lat2) -> Column:
     return r2 * F.asin(F.least(F.lit(1.0), chord / r2))
 
 
+def short_way(degrees: Column) -> Column:
+    """A longitude, or a difference of two, in [-180, 180]; what is there already stays as it is."""
+    return F.when(F.abs(degrees) > 180, degrees - 360 * F.signum(degrees)).otherwise(degrees)
+
+
 def azimuth(lon1, lat1, lon2, lat2) -> Column:
     """Degrees from north, in [0, 360), of the direction from the first position to the second."""
     lon1, lat1, lon2, lat2 = map(_c, (lon1, lat1, lon2, lat2))
     kx, ky = metres_per_degree(lat1)
-    return normalise_azimuth(F.degrees(F.atan2((lon2 - lon1) * kx, (lat2 - lat1) * ky)))
+    return normalise_azimuth(F.degrees(F.atan2(short_way(lon2 - lon1) * kx, (lat2 - lat1) * ky)))
 
 
 def normalise_azimuth(degrees: Column) -> Column:

@@ -6,15 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.config import MatchConfig
-from wayfold.functions import geo, tile
-from wayfold.functions import roads as rd
-from wayfold.operators import network, spatial
+from wayfold.operators import graphstore, spatial
 from wayfold.schema import MATCHED
+from wayfold.shared import materialize
 
-#: Edges up to which the whole network travels to every executor, some 500 bytes each in a worker.
-BROADCAST_EDGES = 250_000
-#: Tiles of the regional network of a trace, when the whole one is too large.
-REGION_ZOOM = 12
 _CANDIDATE = ["fwd_ref", "back_ref", "place", "along", "road_lon", "road_lat"]
 
 
@@ -26,7 +21,7 @@ def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str)
     """
     has = F.coalesce(F.size("event_data") > 0, F.lit(False)) if "event_data" in points.columns else F.lit(False)
     own = points.where(F.col("time_ms").isNotNull()).select(F.monotonically_increasing_id().alias("_n"), F.col(key), "time_ms", "lon", "lat", has.alias("has_event"))
-    return spatial.segment_hits(own, roads, config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
+    return spatial.segment_hits(own, graphstore.named_roads(roads), config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
 
 
 def trace_of(rows, graph, radius_m: float) -> list[tuple]:
@@ -48,95 +43,52 @@ def trace_of(rows, graph, radius_m: float) -> list[tuple]:
         for _, forward, backward, along, x, y in found.values():
             metres = kernel.planar_m(lon, lat, x, y)
             if metres <= radius_m:
-                candidates += [(graph.number[r], f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r in graph.number]
+                candidates += [(e, f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r is not None and (e := graph.find(r)) is not None]
         trace.append((t, lon, lat, has, candidates))
     return trace
 
 
-def _edge_columns(edges: DataFrame) -> DataFrame:
-    cost = rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority"))
-    return edges.select("ref_id", "src", "dst", "length_m", cost.alias("cost"))
+def region(samples: DataFrame, key: str) -> DataFrame:
+    """samples with _region: the tile of their trace's first sample."""
+    where = graphstore.tile_number(F.struct("lon", "lat"))
+    first = samples.groupBy(F.col(key).alias("_trace")).agg(F.min(F.struct("time_ms", where.alias("tile")))["tile"].alias("_region"))
+    return samples.join(first, F.col(key).eqNullSafe(F.col("_trace"))).drop("_trace")
 
 
-def _span(low, high, of):
-    return F.sequence(F.least(of(low, REGION_ZOOM), of(high, REGION_ZOOM)), F.greatest(of(low, REGION_ZOOM), of(high, REGION_ZOOM)))
+def as_table(rows: list[dict], schema: str, **constant):
+    """Rows of dicts as an Arrow table of a schema given as `name type, ...`."""
+    import pyarrow as pa
 
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.Table.from_arrays([pa.array([constant[c]] * len(rows) if c in constant else [r.get(c) for r in rows], kinds[kind]) for c, kind in fields], names=[c for c, _ in fields])
 
-def _region(samples: DataFrame, reach_m: float, key: str) -> DataFrame:
-    """(_trace, x, y): the tiles within reach_m of a trace's samples, also beyond the 180th meridian."""
-    lon, lat = F.col("lon"), F.col("lat")
-    dy = reach_m * 1.01 / F.least(*(geo.metres_per_degree(F.lit(x))[1] for x in (0.0, 90.0)))
-    kx = geo.metres_per_degree(F.least(F.lit(90.0), F.abs(lat) + dy))[0]
-    dx = F.least(F.lit(180.0), reach_m * 1.01 / F.greatest(kx, F.lit(1e-3)))
-    none = F.array().cast("array<int>")
-    west = F.when(lon - dx < -180, _span(lon - dx + 360, F.lit(180.0), tile.tile_x)).otherwise(none)
-    east = F.when(lon + dx > 180, _span(F.lit(-180.0), lon + dx - 360, tile.tile_x)).otherwise(none)
-    xs = F.array_distinct(F.concat(_span(lon - dx, lon + dx, tile.tile_x), west, east))
-    ranges = samples.select(F.col(key).alias("_trace"), xs.alias("xs"), _span(lat - dy, lat + dy, tile.tile_y).alias("ys")).distinct()
-    return ranges.withColumn("x", F.explode("xs")).select("_trace", "x", F.explode("ys").alias("y")).distinct()
 
-
-def _tiled(edges: DataFrame) -> DataFrame:
-    """edges with one row for each tile (x, y) that their box touches."""
-    lons, lats = F.transform("geometry", lambda p: p["lon"]), F.transform("geometry", lambda p: p["lat"])
-    xs, ys = (_span(F.array_min(v), F.array_max(v), of) for v, of in ((lons, tile.tile_x), (lats, tile.tile_y)))
-    return edges.withColumns({"xs": xs, "ys": ys}).drop("geometry").withColumn("x", F.explode("xs")).withColumn("y", F.explode("ys")).drop("xs", "ys")
-
-
-def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), key: str = "vehicle_id") -> DataFrame:
+def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), key: str = "vehicle_id", graph: str | None = None) -> DataFrame:
     """Flat rows of schema MATCHED for all traces; see kernel.match_trace for kinds.
 
-    points needs key, time_ms, lon, lat and may have event_data. The network is
-    broadcast where it has at most BROADCAST_EDGES edges; else each trace is
-    cogrouped with the edges whose boxes touch a tile within the search bound of one
-    of its samples. Whatever a search looks at starts there or is a candidate, so
-    both ways give the same rows.
+    points needs key, time_ms, lon, lat and may have event_data. graph is what
+    graphstore.write gave for these roads; without it the graph is written first. Tasks
+    open the tiles that their searches reach, and traces are dealt by range of their
+    first sample's tile, so that a task has to open few: ranges follow the rows, so a
+    city with most of them is many tasks. A trace is one group; match_trips and
+    pieces.match_long cut it.
     """
     from wayfold.operators import kernel
 
-    samples = _samples(points, roads, config, key)
-    edges = _edge_columns(network.edges(roads))
-
-    def graph_of(refs, srcs, dsts, lengths, costs):
-        return kernel.Graph(list(refs), list(srcs), list(dsts), list(lengths), list(costs), [None] * len(refs), config.connect)
-
-    def run(group, graph):
-        import pyarrow as pa
-
-        columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE))
-        trace = trace_of(zip(*columns), graph, config.radius_m)
-        out = kernel.match_trace(trace, graph, config)
-        name = group.column(key)[0].as_py()
-        kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-        fields = [f.split() for f in schema.split(", ")]
-        columns = [pa.array([name] * len(out) if c == key else [r.get(c) for r in out], kinds[kind]) for c, kind in fields]
-        return pa.Table.from_arrays(columns, names=[c for c, _ in fields])
-
+    path = graph or graphstore.write(roads)
+    samples = region(materialize(_samples(points, roads, config, key), "samples"), key)
     schema = MATCHED.replace("vehicle_id", key, 1)
-    few = edges.limit(BROADCAST_EDGES + 1).collect()
-    samples = samples.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)  # matching is work, however few the bytes
-    if len(few) <= BROADCAST_EDGES:
-        columns = list(zip(*few)) or [[]] * 5
-        shared = points.sparkSession.sparkContext.broadcast(graph_of(*columns))
-        return samples.groupBy(key).applyInArrow(lambda g: run(g, shared.value), schema)
-    near = _region(samples, max(1000.0, config.max_distance_m) + config.radius_m, key)  # the longest bound of kernel.match_trace
-    placed = _tiled(network.edges(roads))
-    own = placed.join(near, ["x", "y"])
-    own = own.select("_trace", "ref_id", "src", "dst", "length_m", rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority")).alias("cost")).dropDuplicates(["_trace", "ref_id"])
-
-    def together(group, part):
-        if not group.num_rows:
-            return run_nothing()
-        return run(group, graph_of(*(part.column(c).to_pylist() for c in ("ref_id", "src", "dst", "length_m", "cost"))))
-
-    def run_nothing():
-        import pyarrow as pa
 
-        kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-        fields = [f.split() for f in schema.split(", ")]
-        return pa.Table.from_arrays([pa.array([], kinds[kind]) for _, kind in fields], names=[c for c, _ in fields])
+    def run(group):
+        opened = graphstore.opened(path, config.connect)
+        columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE))
+        trace = trace_of(zip(*columns), opened, config.radius_m)
+        return as_table(kernel.match_trace(trace, opened, config), schema, **{key: group.column(key)[0].as_py()})
 
-    return samples.groupBy(key).cogroup(own.groupBy("_trace")).applyInArrow(together, schema)
+    # matching is work, however few the bytes
+    dealt = samples.repartitionByRange(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_region", key)
+    return dealt.groupBy("_region", key).applyInArrow(run, schema)
 
 
 def match_offline(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), min_distance_m: float = 10.0, min_interval_ms: int = 5000, key: str = "vehicle_id") -> DataFrame:

@@ -56,6 +56,25 @@ def adjacency(edge_rows: DataFrame) -> DataFrame:
     return a.join(b, "node").select("ref_id", "next_ref")
 
 
+def minset(candidates: DataFrame, edge_rows: DataFrame, *keys: str) -> DataFrame:
+    """candidates (keys, ref_id, fraction, ...) of each key without those that stand for one node again.
+
+    First go those at the start of an edge that follows another candidate's; of the
+    rest, those at the end of an edge all of whose successors are among the rest. An
+    edge comes once a key. Joins are on the edge and on key and edge; nothing is gathered.
+    """
+    near, on = 1e-8, [*keys, "ref_id"]
+    candidates = materialize(candidates, "candidates")
+    steps = adjacency(edge_rows)
+    at_start, at_end = F.abs("fraction") < near, F.abs(F.col("fraction") - 1) < near
+    follows = candidates.select(on).join(steps, "ref_id").select(*keys, F.col("next_ref").alias("ref_id"))
+    rest = candidates.where(~at_start).unionByName(candidates.where(at_start).join(follows, on, "left_anti").select(candidates.columns))
+    rest = materialize(rest, "rest")
+    ends, left = rest.where(at_end), rest.select(*keys, F.col("ref_id").alias("next_ref"))
+    onward = ends.select(on).join(steps, "ref_id").join(left, [*keys, "next_ref"], "left_anti").select(on)
+    return rest.where(~at_end).unionByName(ends.join(onward, on, "left_semi").select(candidates.columns))
+
+
 def costs(edge_rows: DataFrame) -> DataFrame:
     m, v, p = F.col("length_m"), F.col("max_speed"), F.col("priority")
     return edge_rows.withColumns({"cost_distance": roads.cost_distance(m), "cost_time": roads.cost_time(m, v), "cost_time_priority": roads.cost_time_priority(m, v, p)})

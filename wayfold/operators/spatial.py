@@ -26,17 +26,27 @@ def _cell(x, size: float):
     return F.floor(x / size).cast("long")
 
 
+def _around(cell: float) -> tuple[float, int]:
+    """The least size of a cell, from this one on, of which a whole number goes around the globe, and that number."""
+    n = max(1, int(360.0 / cell + 1e-9))
+    return (cell if abs(n * cell - 360.0) < 1e-9 else 360.0 / n), n
+
+
 def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
     """One row for each segment of a road and each cell (cx, cy) near it.
 
     Has geom_id, fwd_ref, back_ref, road_class, i, the segment's ends (ax, ay, bx, by),
     its direction, the metres of the road where it starts and that it has, and the road's.
+    A segment takes the short way over the 180th meridian, and is listed on each side with
+    the longitudes of that side, be they beyond 180 degrees: its points compare with it as they are.
     """
+    cell, n = _around(cell)
     rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
     last = F.element_at("segs", -1)
     rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode("segs").alias("i", "s"))
     direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
-    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", "s.bx", "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction"))
+    bx = F.when(F.abs(F.col("s.bx") - F.col("s.ax")) > 180, F.col("s.bx") - 360 * F.signum(F.col("s.bx") - F.col("s.ax"))).otherwise(F.col("s.bx"))
+    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", bx.alias("bx"), "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction"))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     north = F.least(F.lit(89.9), F.greatest(F.abs("ay"), F.abs("by")) + radius_m / 110_000.0)
     kx, ky = geo.metres_per_degree(north)
@@ -53,7 +63,11 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
         return F.flatten(F.transform(span("ax", dx, "_gx"), lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
 
     listed = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), cells)))
-    return rows.withColumn("_c", F.explode(listed)).select("*", "_c.cx", "_c.cy").drop("_c", "_gx", "_gy", "_n")
+    west = -(n // 2)  # cells go from the 180th meridian to the 180th meridian
+    turns = F.floor((F.col("_c.cx") - west) / n)
+    rows = rows.withColumn("_c", F.explode(listed)).withColumn("_turns", turns)
+    home = {c: F.when(F.col("_turns") == 0, F.col(c)).otherwise(F.col(c) - 360.0 * F.col("_turns")) for c in ("ax", "bx")}
+    return rows.select(*(home[c].alias(c) if c in home else c for c in rows.columns), (F.col("_c.cx") - n * F.col("_turns")).alias("cx"), "_c.cy").drop("_c", "_gx", "_gy", "_n", "_turns")
 
 
 def _foot(lon: str, lat: str) -> tuple[Column, Column]:
@@ -73,7 +87,8 @@ def _foot(lon: str, lat: str) -> tuple[Column, Column]:
 def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL, how: str = "inner") -> DataFrame:
     """points (with lon and lat) joined with the segments within radius_m by the plane, a little more included.
 
-    Points that meet several segments of one road have a row for each; how="left"
+    Points that meet several segments of one road have a row for each; road_lon is on the
+    point's side of the 180th meridian, be it beyond 180 degrees; how="left"
     keeps points that meet none. One equi-join, nothing else is shuffled. Adds
     geom_id, fwd_ref, back_ref, road_class, place (segments of a road in order of
     nearness), along (fraction of the road), road_lon, road_lat, direction.
@@ -82,9 +97,11 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
     bytes, and interpreting them costs tens of times as much.
     """
     near = listed_segments(roads, radius_m, cell)
+    cell, _ = _around(cell)
     kx, ky = geo.metres_per_degree(F.col("lat"))
-    own = points.withColumns({"_cx": _cell(F.col("lon"), cell), "_cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
-    f, d2 = _foot("lon", "lat")
+    x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
+    own = points.withColumns({"_x": x, "_cx": _cell(x, cell), "_cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
+    f, d2 = _foot("_x", "lat")
     met = own.join(near, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")) & (d2 <= (radius_m * 1.01) ** 2), how)
     # explode of one item binds f and d2 once; filters on what follows would else repeat them
     met = met.withColumn("_h", F.explode(F.array(F.struct(f.alias("f"), d2.alias("d2")))))
@@ -114,7 +131,7 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
     backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
     both = pairs.withColumn("way", F.explode(F.array(forward, backward))).where("way.ref_id IS NOT NULL")
-    return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", "road_lon", "road_lat", "road_class")
+    return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class")
 
 
 def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick, enough) -> DataFrame:

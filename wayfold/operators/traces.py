@@ -104,6 +104,13 @@ def split_traces(points: DataFrame, gap_ms: int, key: str = "vehicle_id", time:
 
 
 def with_event_data(snapped: DataFrame, events: DataFrame, key: str = "vehicle_id", time: str = "time_ms") -> DataFrame:
-    """One row for each event of a matched point: event type and value of the same vehicle and time."""
+    """One row for each event of a matched vehicle and time: event type and value, on the place of the first matched point there.
+
+    Several samples of a vehicle at one time have their events put on one place, each
+    event once: the place smallest in ref_id, then in the other columns.
+    """
+    told = [c for c in snapped.columns if c not in (key, time)]
+    order = sorted(told, key=lambda c: c != "ref_id")
+    places = snapped.groupBy(key, time).agg(F.min(F.struct(*order)).alias("_place")).select(key, time, *(F.col("_place")[c].alias(c) for c in told))
     data = events.select(key, time, F.explode_outer("event_data").alias("event_type", "event_value")).where("event_type IS NOT NULL")
-    return snapped.join(data, [key, time])
+    return places.join(data, [key, time])

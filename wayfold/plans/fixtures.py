@@ -21,12 +21,17 @@ def gps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("vehicle_id"), "event_id", (F.col("rn") * 10000).alias("time_ms"), tm.to_ms("ts").alias("true_ms"), lon.alias("lon"), lat.alias("lat"), F.create_map("event_type", "value").alias("event_data"), "event_type", "value", "rn")
 
 
-def grid(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """480 roads between 16 x 16 nodes, 96 of them one-way; rows as in schema.ROAD."""
-    nodes = spark.range(NODES * NODES).select((F.col("id") / NODES).cast("int").alias("i"), (F.col("id") % NODES).cast("int").alias("j"))
-    east = nodes.where(F.col("i") < NODES - 1).select(F.lit("H").alias("d"), "i", "j", (F.col("i") + 1).alias("i2"), F.col("j").alias("j2"))
-    north = nodes.where(F.col("j") < NODES - 1).select(F.lit("V").alias("d"), "i", "j", F.col("i").alias("i2"), (F.col("j") + 1).alias("j2"))
-    rows = east.union(north)
+def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A road for each part, a fifth of them one-way; rows as in schema.ROAD.
+
+    Part k lies in row k // 31 of a band 16 nodes wide: the first 15 of a row's roads
+    lead east along it, the other 16 north to the next, so the band grows with the table.
+    """
+    k = F.col("p_partkey")
+    j, r = F.floor(k / (2 * NODES - 1)).cast("int"), (k % (2 * NODES - 1)).cast("int")
+    east = r < NODES - 1
+    i = F.when(east, r).otherwise(r - (NODES - 1))
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.when(east, "H").otherwise("V").alias("d"), i.alias("i"), j.alias("j"), (i + east.cast("int")).alias("i2"), (j + (~east).cast("int")).alias("j2"))
     name = F.concat_ws("_", "d", "i", "j")
     x, y = (lambda i: F.lit(-96.8) + F.col(i).cast("double") * 0.002), (lambda j: F.lit(32.9) + F.col(j).cast("double") * 0.002)
     oneway = (F.col("i") * 7 + F.col("j") * 3) % 5 == 0
@@ -52,8 +57,8 @@ GRID_SQL = """grid AS (
     CAST((i + 2 * j) % 9 AS INTEGER) AS road_class,
     CAST(-96.8 AS DOUBLE) + CAST(i AS DOUBLE) * CAST(0.002 AS DOUBLE) AS x0, CAST(32.9 AS DOUBLE) + CAST(j AS DOUBLE) * CAST(0.002 AS DOUBLE) AS y0,
     CAST(-96.8 AS DOUBLE) + CAST(i2 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS x2, CAST(32.9 AS DOUBLE) + CAST(j2 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS y2
-  FROM (SELECT 'H' AS d, i, j, i + 1 AS i2, j AS j2 FROM range(15) a(i), range(16) b(j)
-        UNION ALL SELECT 'V', i, j, i, j + 1 FROM range(16) a(i), range(15) b(j))
+  FROM (SELECT 'H' AS d, p_partkey % 31 AS i, p_partkey // 31 AS j, p_partkey % 31 + 1 AS i2, p_partkey // 31 AS j2 FROM part WHERE p_partkey % 31 < 15
+        UNION ALL SELECT 'V', p_partkey % 31 - 15, p_partkey // 31, p_partkey % 31 - 15, p_partkey // 31 + 1 FROM part WHERE p_partkey % 31 >= 15)
 ), segs AS (
   SELECT geom_id, 0 AS k, x0 AS sx, y0 AS sy, (x0 + x2) / 2 AS ex, (y0 + y2) / 2 AS ey FROM grid
   UNION ALL SELECT geom_id, 1, (x0 + x2) / 2, (y0 + y2) / 2, x2, y2 FROM grid

@@ -90,7 +90,7 @@ def tile_order(spark, sf_dir):
 
 @query(f"WITH {GRID_SQL} SELECT geom_id, unnest(list_distinct([{sql_tile(16, 'x0', 'y0')}, {sql_tile(16, 'x2', 'y2')}])) AS tile FROM grid")
 def record_tiles(spark, sf_dir):
-    return grid(spark).select("geom_id", F.explode(tile.record_tiles(F.col("geometry"), 16)).alias("tile"))
+    return grid(spark, sf_dir).select("geom_id", F.explode(tile.record_tiles(F.col("geometry"), 16)).alias("tile"))
 
 
 @query("SELECT CAST((isodow(ts) - 1) * 24 + hour(ts) AS INTEGER) AS period, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -167,15 +167,16 @@ def parse_request(spark, sf_dir):
 @query(f"WITH {GRID_SQL} SELECT geom_id, CAST(k AS INTEGER) AS k, lon, lat FROM (SELECT geom_id, 0 AS k, x0 AS lon, y0 AS lat FROM grid UNION ALL SELECT geom_id, 1, (x0 + x2) / 2, (y0 + y2) / 2 FROM grid UNION ALL SELECT geom_id, 2, x2, y2 FROM grid)")
 def decode_coordinates(spark, sf_dir):
     text = F.to_json(F.struct(F.transform("geometry", lambda p: F.array(p["lon"], p["lat"])).alias("coordinates")))
-    lines = grid(spark).select("geom_id", text.alias("t"))
+    lines = grid(spark, sf_dir).select("geom_id", text.alias("t"))
     return lines.select("geom_id", F.posexplode(road_sources.decode_coordinates(F.col("t"))).alias("k", "p")).select("geom_id", "k", "p.lon", "p.lat")
 
 
-@query("SELECT 'highway' AS tag, 'class' || i AS value, CAST(i AS INTEGER) AS id, CAST(1 + i / 10.0 AS DOUBLE) AS priority, CAST(130 - 10 * i AS DOUBLE) AS maxspeed FROM range(9) t(i)")
+@query(f"WITH {GRID_SQL} SELECT DISTINCT 'highway' AS tag, 'class' || road_class AS value, road_class AS id, CAST(1 + road_class / 10.0 AS DOUBLE) AS priority, CAST(130 - 10 * road_class AS DOUBLE) AS maxspeed FROM grid")
 def road_types(spark, sf_dir):
-    i = F.col("id")
+    """The document of the classes that the network has, written as JSON and read back."""
+    i = F.col("road_class")
     value = F.struct(F.concat(F.lit("class"), i.cast("string")).alias("name"), i.alias("id"), (1 + i / 10.0).alias("priority"), (130 - 10 * i).cast("double").alias("maxspeed"))
-    document = spark.range(9).agg(F.collect_list(value).alias("values")).select(F.to_json(F.struct(F.array(F.struct(F.lit("highway").alias("tag"), "values")).alias("tags"))).alias("value"))
+    document = grid(spark, sf_dir).select("road_class").distinct().agg(F.collect_list(value).alias("values")).select(F.to_json(F.struct(F.array(F.struct(F.lit("highway").alias("tag"), "values")).alias("tags"))).alias("value"))
     return road_sources.parse_road_types(document)
 
 
@@ -191,18 +192,18 @@ EDGES_SQL = f"""{GRID_SQL}, edges AS (
 
 @query(f"WITH {EDGES_SQL} SELECT ref_id, geom_id, is_forward, src, dst, road_class, priority, max_speed, {rounded_sql('length_m', 4)} AS length_m, x0 AS first_lon, y2 AS last_lat FROM edges")
 def edges_from_roads(spark, sf_dir):
-    e = network.edges(grid(spark))
+    e = network.edges(grid(spark, sf_dir))
     return e.select("ref_id", "geom_id", "is_forward", "src", "dst", roads.valid_class(F.col("road_class")).alias("road_class"), "priority", "max_speed", rounded(F.col("length_m"), 4).alias("length_m"), F.col("geometry")[0]["lon"].alias("first_lon"), F.element_at("geometry", -1)["lat"].alias("last_lat"))
 
 
 @query(f"WITH {EDGES_SQL} SELECT a.ref_id, b.ref_id AS next_ref FROM edges a, edges b WHERE b.src = a.dst")
 def adjacency(spark, sf_dir):
-    return network.adjacency(network.edges(grid(spark)))
+    return network.adjacency(network.edges(grid(spark, sf_dir)))
 
 
 @query(f"WITH {EDGES_SQL} SELECT ref_id, {rounded_sql('length_m', 4)} AS cost_distance, {rounded_sql('3.6 * length_m / least(max_speed, 130)', 5)} AS cost_time, {rounded_sql('3.6 * length_m / least(max_speed, 130) * greatest(priority, 1)', 5)} AS cost_time_priority, {rounded_sql('length_m * 0.25', 4)} AS quarter FROM edges")
 def road_costs(spark, sf_dir):
-    c = network.costs(network.edges(grid(spark)))
+    c = network.costs(network.edges(grid(spark, sf_dir)))
     return c.select("ref_id", rounded(F.col("cost_distance"), 4).alias("cost_distance"), rounded(F.col("cost_time"), 5).alias("cost_time"), rounded(F.col("cost_time_priority"), 5).alias("cost_time_priority"), rounded(roads.fractional(F.col("cost_distance"), F.lit(0.25)), 4).alias("quarter"))
 
 
@@ -212,23 +213,23 @@ RING = [(-96.7951, 32.9049), (-96.7849, 32.9049), (-96.7849, 32.9151), (-96.7951
 
 @query(f"WITH {GRID_SQL} SELECT geom_id, road_class FROM grid WHERE road_class NOT IN (0, 8) AND greatest(x0, x2) >= -96.7951 AND least(x0, x2) <= -96.7849 AND greatest(y0, y2) >= 32.9049 AND least(y0, y2) <= 32.9151")
 def roads_filtered(spark, sf_dir):
-    return network.filter_roads(grid(spark), [0, 8], RING).select("geom_id", "road_class")
+    return network.filter_roads(grid(spark, sf_dir), [0, 8], RING).select("geom_id", "road_class")
 
 
 @query(f"WITH {GRID_SQL} SELECT geom_id FROM grid WHERE least(x0, x2) > -96.7951 AND greatest(x0, x2) < -96.7849 AND least(y0, y2) > 32.9049 AND greatest(y0, y2) < 32.9151")
 def roads_within(spark, sf_dir):
-    return network.filter_roads(grid(spark), [], RING, within=True).select("geom_id")
+    return network.filter_roads(grid(spark, sf_dir), [], RING, within=True).select("geom_id")
 
 
 @query(f"WITH {GRID_SQL} SELECT geom_id, min(tile) AS tile FROM (SELECT geom_id, {sql_tile(16, 'x0', 'y0')} AS tile FROM grid UNION ALL SELECT geom_id, {sql_tile(16, 'x2', 'y2')} FROM grid) GROUP BY 1")
 def roads_dedup(spark, sf_dir):
-    placed = grid(spark).withColumn("tile", F.explode(tile.record_tiles(F.col("geometry"), 16)))
+    placed = grid(spark, sf_dir).withColumn("tile", F.explode(tile.record_tiles(F.col("geometry"), 16)))
     return network.dedup_roads(placed).select("geom_id", "tile")
 
 
 @query(f"WITH RECURSIVE {GRID_SQL}, both_ways AS (SELECT from_node AS a, to_node AS b FROM grid UNION SELECT to_node, from_node FROM grid), reach(a, b) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a) SELECT a AS node, min(b) AS component FROM reach GROUP BY 1")
 def components(spark, sf_dir):
-    return network.components(grid(spark))
+    return network.components(grid(spark, sf_dir))
 
 
 _REACH = f"""WITH RECURSIVE {EDGES_SQL}, reach(source, node, cost, hops) AS (
@@ -239,14 +240,14 @@ SELECT source, node, {rounded_sql('min(cost)', 3)} AS cost FROM reach GROUP BY 1
 
 @query(_REACH)
 def shortest_path_costs(spark, sf_dir):
-    e = network.edges(grid(spark))
+    e = network.edges(grid(spark, sf_dir))
     sources_ = e.select(F.col("src").alias("node")).distinct()
     return network.shortest_costs(e, sources_, 900.0, 5).select("source", "node", rounded(F.col("cost"), 3).alias("cost"))
 
 
 @query(f"WITH {GPS_SQL}, {GRID_SQL} SELECT DISTINCT geom_id FROM (SELECT geom_id, {sql_tile(16, 'x0', 'y0')} AS tile FROM grid UNION SELECT geom_id, {sql_tile(16, 'x2', 'y2')} FROM grid) WHERE tile IN (SELECT {sql_tile(16)} FROM gps)")
 def demand_tiles(spark, sf_dir):
-    return spatial.demanded_roads(gps(spark, sf_dir), grid(spark), 16).select("geom_id")
+    return spatial.demanded_roads(gps(spark, sf_dir), grid(spark, sf_dir), 16).select("geom_id")
 
 
 # Geodesy
@@ -277,14 +278,14 @@ def azimuth(spark, sf_dir):
 
 @query(f"WITH {GRID_SQL} SELECT geom_id, {rounded_sql(_LENGTH, 4)} AS length_m FROM grid")
 def polyline_length(spark, sf_dir):
-    return batch.road_lengths(grid(spark)).select("geom_id", rounded(F.col("length_m"), 4).alias("length_m"))
+    return batch.road_lengths(grid(spark, sf_dir)).select("geom_id", rounded(F.col("length_m"), 4).alias("length_m"))
 
 
 @query(f"""WITH {GRID_SQL}, lens AS (SELECT *, {sql_distance('x0', 'y0', '(x0 + x2) / 2', '(y0 + y2) / 2')} AS a, {sql_distance('(x0 + x2) / 2', '(y0 + y2) / 2', 'x2', 'y2')} AS b FROM grid),
 spots AS (SELECT geom_id, f, CASE WHEN f * (a + b) <= a THEN f * (a + b) / a / 2 ELSE 0.5 + (f * (a + b) - a) / b / 2 END AS g, x0, y0, x2, y2 FROM lens, (VALUES (CAST(0.0 AS DOUBLE)), (0.2), (0.7), (1.0)) t(f))
 SELECT geom_id, CAST(f AS DOUBLE) AS f, {rounded_sql('x0 + g * (x2 - x0)', 8)} AS lon, {rounded_sql('y0 + g * (y2 - y0)', 8)} AS lat FROM spots""")
 def interpolate(spark, sf_dir):
-    g = grid(spark).select("geom_id", geo.segments(F.col("geometry")).alias("segs")).withColumn("f", F.explode(F.array(*map(F.lit, (0.0, 0.2, 0.7, 1.0)))))
+    g = grid(spark, sf_dir).select("geom_id", geo.segments(F.col("geometry")).alias("segs")).withColumn("f", F.explode(F.array(*map(F.lit, (0.0, 0.2, 0.7, 1.0)))))
     p = geo.position_at(F.col("segs"), F.col("f"))
     return g.select("geom_id", "f", rounded(p["lon"], 8).alias("lon"), rounded(p["lat"], 8).alias("lat"))
 
@@ -317,17 +318,17 @@ def _points(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {sql_candidates(25)} SELECT {_TOLD} FROM candidates")
 def radius_candidates(spark, sf_dir):
-    return _told(spatial.radius_join(_points(spark, sf_dir), grid(spark), 25.0))
+    return _told(spatial.radius_join(_points(spark, sf_dir), grid(spark, sf_dir), 25.0))
 
 
 @query(f"WITH {sql_candidates(60)}, r AS (SELECT *, rank() OVER (PARTITION BY event_id ORDER BY floor(distance_m * 1e6)) AS place FROM candidates) SELECT {_TOLD} FROM r WHERE place = 1")
 def nearest_road(spark, sf_dir):
-    return _told(spatial.nearest_join(_points(spark, sf_dir), grid(spark), "event_id", 15.0, 60.0))
+    return _told(spatial.nearest_join(_points(spark, sf_dir), grid(spark, sf_dir), "event_id", 15.0, 60.0))
 
 
 @query(f"WITH {sql_candidates(80)}, r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY distance_m, ref_id) AS place FROM candidates) SELECT event_id, CAST(place AS BIGINT) AS rank, {rounded_sql('distance_m', 3)} AS distance_m FROM r WHERE place <= 3")
 def knn_roads(spark, sf_dir):
-    found = spatial.knn_join(_points(spark, sf_dir), grid(spark), "event_id", 3, 20.0, 80.0)
+    found = spatial.knn_join(_points(spark, sf_dir), grid(spark, sf_dir), "event_id", 3, 20.0, 80.0)
     return found.select("event_id", F.col("rank").cast("long").alias("rank"), rounded(F.col("distance_m"), 3).alias("distance_m"))
 
 
@@ -341,7 +342,7 @@ _SNAP = f"""WITH {sql_candidates(10)}, facing AS (
 
 @query(f"{_SNAP} SELECT {_TOLD} FROM snapped")
 def snap_events(spark, sf_dir):
-    return _told(spatial.snap(_points(spark, sf_dir), grid(spark), "event_id"))
+    return _told(spatial.snap(_points(spark, sf_dir), grid(spark, sf_dir), "event_id"))
 
 
 _BINNED = "CAST(floor(length_m / 10) + 1 AS INTEGER)"
@@ -350,7 +351,7 @@ _BINNED = "CAST(floor(length_m / 10) + 1 AS INTEGER)"
 @query(f"""{_SNAP}, lens AS (SELECT geom_id, sum(len) AS length_m FROM seg_lens GROUP BY 1), binned AS (SELECT s.*, {_BINNED} AS n_bins FROM snapped s JOIN lens USING (geom_id))
 SELECT ref_id, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM binned GROUP BY 1, 2, 3, 4""")
 def snap_binned(spark, sf_dir):
-    binned = batch.fast_snap(_points(spark, sf_dir), grid(spark), "event_id")
+    binned = batch.fast_snap(_points(spark, sf_dir), grid(spark, sf_dir), "event_id")
     return binned.select("ref_id", "n_bins", "bin", "event_type", "count", rounded_sum(F.col("value"), 4).alias("value"))
 
 
@@ -478,7 +479,7 @@ def dust_messages(spark, sf_dir):
 
 @query(f"WITH {sql_candidates(25)} SELECT event_id, ref_id, {rounded_sql('exp(-0.5 * distance_m * distance_m / (4.07 * 4.07)) / sqrt(2 * pi() * 4.07 * 4.07)', 8)} AS emission, {rounded_sql('greatest(0.01, exp(-0.5 * least(abs(((rn * 37) % 360) - azimuth), 360 - abs(((rn * 37) % 360) - azimuth)) / 100) / sqrt(2 * pi() * 100))', 8)} AS facing FROM candidates")
 def emission_prob(spark, sf_dir):
-    c = spatial.radius_join(gps(spark, sf_dir).select("event_id", "rn", "lon", "lat"), grid(spark), 25.0)
+    c = spatial.radius_join(gps(spark, sf_dir).select("event_id", "rn", "lon", "lat"), grid(spark, sf_dir), 25.0)
     return c.select("event_id", "ref_id", rounded(hmm.emission(F.col("distance_m"), 4.07), 8).alias("emission"), rounded(hmm.azimuth_factor(((F.col("rn") * 37) % 360).cast("double"), F.col("azimuth")), 8).alias("facing"))
 
 
@@ -499,10 +500,38 @@ def route_bound(spark, sf_dir):
 
 @query(f"WITH {sql_candidates(25)} SELECT b.vehicle_id, b.rn AS seq, a.ref_id AS from_ref, b.ref_id FROM candidates a JOIN candidates b ON a.vehicle_id = b.vehicle_id AND a.rn + 1 = b.rn")
 def consecutive_candidates(spark, sf_dir):
-    c = spatial.radius_join(gps(spark, sf_dir).select("vehicle_id", F.col("rn").alias("seq"), "lon", "lat"), grid(spark), 25.0)
+    c = spatial.radius_join(gps(spark, sf_dir).select("vehicle_id", F.col("rn").alias("seq"), "lon", "lat"), grid(spark, sf_dir), 25.0)
     return traces.consecutive_candidates(c).select("vehicle_id", "seq", "from_ref", "ref_id")
 
 
+# Events of matched points
+
+
+@query(f"""{_SNAP}, places AS (SELECT vehicle_id, rn // 3 * 30000 AS time_ms, min(ref_id) AS ref_id FROM snapped GROUP BY 1, 2)
+SELECT vehicle_id, time_ms, ref_id, event_type, value AS event_value FROM (SELECT * REPLACE (rn // 3 * 30000 AS time_ms) FROM gps) JOIN places USING (vehicle_id, time_ms)""")
+def events_at_repeated_times(spark, sf_dir):
+    """Three samples of a vehicle share a time: each of their events comes once."""
+    g = gps(spark, sf_dir).select("event_id", "vehicle_id", (F.floor(F.col("rn") / 3) * 30000).alias("time_ms"), "lon", "lat", "event_data")
+    snapped = spatial.snap(g, grid(spark, sf_dir), "event_id").select("vehicle_id", "time_ms", "ref_id", "fraction")
+    return traces.with_event_data(snapped, g).select("vehicle_id", "time_ms", "ref_id", "event_type", "event_value")
+
+
+_AT_NODES = f"""{GPS_SQL.replace('gps AS', 'events_gps AS', 1)}, gps AS (SELECT * REPLACE (
+  CAST(-96.8 AS DOUBLE) + CAST(rn % 16 AS DOUBLE) * CAST(0.002 AS DOUBLE) + CAST(event_id % 3 AS DOUBLE) / CAST(50000.0 AS DOUBLE) AS lon, CAST(32.9 AS DOUBLE) + CAST(event_id % 6 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lat) FROM events_gps)"""
+
+
+@query(f"""WITH {sql_candidates(25).replace(GPS_SQL, _AT_NODES, 1)}, {EDGES_SQL.removeprefix(GRID_SQL + ", ")}, steps AS (SELECT a.ref_id, b.ref_id AS next_ref FROM edges a JOIN edges b ON b.src = a.dst
+), rest AS (SELECT event_id, ref_id, fraction FROM candidates c WHERE NOT (fraction < 1e-8 AND EXISTS (SELECT 1 FROM candidates o JOIN steps ON o.ref_id = steps.ref_id WHERE o.event_id = c.event_id AND next_ref = c.ref_id)))
+SELECT event_id, ref_id, {rounded_sql('fraction', 6)} AS fraction FROM rest c WHERE fraction <= 1 - 1e-8 OR EXISTS (SELECT 1 FROM steps WHERE steps.ref_id = c.ref_id AND next_ref NOT IN (SELECT ref_id FROM rest o WHERE o.event_id = c.event_id))""")
+def minset_candidates(spark, sf_dir):
+    """Candidates of points at or beside nodes, where several stand for one place."""
+    lon = F.lit(-96.8) + (F.col("rn") % 16).cast("double") * 0.002 + (F.col("event_id") % 3).cast("double") / 50000.0
+    at = gps(spark, sf_dir).select("event_id", lon.alias("lon"), (F.lit(32.9) + (F.col("event_id") % 6).cast("double") * 0.002).alias("lat"))
+    roads_ = grid(spark, sf_dir)
+    left = network.minset(spatial.radius_join(at, roads_, 25.0).select("event_id", "ref_id", "fraction"), network.edges(roads_), "event_id")
+    return left.select("event_id", "ref_id", rounded(F.col("fraction"), 6).alias("fraction"))
+
+
 # Binned events on snapped points
 
 
@@ -510,7 +539,7 @@ def consecutive_candidates(spark, sf_dir):
 SELECT ref_id, CAST(CAST(date_trunc('week', epoch_ms(true_ms)) AS DATE) AS VARCHAR) AS week, length_cm, CAST((isodow(epoch_ms(true_ms)) - 1) * 24 + hour(epoch_ms(true_ms)) AS INTEGER) AS period, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM binned GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def binned_events_weekly(spark, sf_dir):
     g = gps(spark, sf_dir).select("event_id", F.col("true_ms").alias("time_ms"), "lon", "lat", "event_type", F.col("value").alias("event_value"))
-    snapped = batch._with_lengths(spatial.snap(g, grid(spark), "event_id"), grid(spark))
+    snapped = batch._with_lengths(spatial.snap(g, grid(spark, sf_dir), "event_id"), grid(spark, sf_dir))
     e = snapped.select("ref_id", "fraction", "length_m", "time_ms", "event_type", "event_value")
     return aggregate.weekly_binned_events(e, 10.0).withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})
 
@@ -535,42 +564,42 @@ def geojson_points(spark, sf_dir):
 
 
 def _matched(spark, sf_dir) -> DataFrame:
-    return materialize(match.match(_points(spark, sf_dir), grid(spark), MatchConfig()), "matched")
+    return materialize(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig()), "matched")
 
 
 @query()
 def hmm_match(spark, sf_dir):
-    return match.match(_points(spark, sf_dir), grid(spark), MatchConfig())
+    return match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
 
 
 @query()
 def hmm_weekly_speeds(spark, sf_dir):
-    return aggregate.weekly_speed_cycle(match.speed_edges(match.match(_points(spark, sf_dir), grid(spark), MatchConfig())))
+    return aggregate.weekly_speed_cycle(match.speed_edges(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())))
 
 
 @query()
 def hmm_weekly_events(spark, sf_dir):
-    m = match.match(_points(spark, sf_dir), grid(spark), MatchConfig())
+    m = match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
     snapped = match.snapped_events(m).select("vehicle_id", "time_ms", "ref_id", "fraction")
-    return aggregate.weekly_binned_events(batch._with_lengths(traces.with_event_data(snapped, _points(spark, sf_dir)), grid(spark)), 10.0)
+    return aggregate.weekly_binned_events(batch._with_lengths(traces.with_event_data(snapped, _points(spark, sf_dir)), grid(spark, sf_dir)), 10.0)
 
 
 @query()
 def hmm_dust(spark, sf_dir):
-    return aggregate.failure_clusters(match.failures(match.match(_points(spark, sf_dir), grid(spark), MatchConfig(seqprob_delta_min=-2.0))))
+    return aggregate.failure_clusters(match.failures(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(seqprob_delta_min=-2.0))))
 
 
 @query()
 def hmm_trace_geojson(spark, sf_dir):
-    return geojson.trace(_matched(spark, sf_dir), network.edges(grid(spark)))
+    return geojson.trace(_matched(spark, sf_dir), network.edges(grid(spark, sf_dir)))
 
 
 @query()
 def align_error(spark, sf_dir):
     """How far the matched roads are from those that samples are nearest to."""
     m = _matched(spark, sf_dir).where("kind = 'estimate'").select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
-    nearest = spatial.snap(_points(spark, sf_dir), grid(spark), "event_id", 25.0).select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
-    return match.align_error(nearest, m, network.edges(grid(spark)))
+    nearest = spatial.snap(_points(spark, sf_dir), grid(spark, sf_dir), "event_id", 25.0).select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
+    return match.align_error(nearest, m, network.edges(grid(spark, sf_dir)))
 
 
 @query()

@@ -35,21 +35,18 @@ def hourly_counts(events: DataFrame, late: str = "1 hour") -> DataFrame:
     return stamped.groupBy(F.window("ts", "1 hour"), tm.hour_of_week(F.col("time_ms")).alias("period")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), "period", "n")
 
 
-def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id", monitor: bool = False) -> DataFrame:
+def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id", monitor: bool = False, graph: str | None = None) -> DataFrame:
     """(key, time_ms, lon, lat, ref_id, fraction, probability): each sample's likeliest road position so far.
 
     Candidates come from a join of the stream with the roads; a vehicle's state is
     kernel.Online as JSON, of at most k steps back and tau_ms. Late samples are
     dropped; a vehicle silent for max_age_ms loses its state, by event time. The
-    network goes to every executor and so may have match.BROADCAST_EDGES edges.
+    network is that of graphstore.write (graph, or written here) and opened by tile.
     With monitor, a column of that name has all candidates in JSON.
     """
-    from wayfold.operators import kernel, match, network, spatial
+    from wayfold.operators import graphstore, kernel, match, spatial
 
-    columns = list(zip(*match._edge_columns(network.edges(roads)).limit(match.BROADCAST_EDGES + 1).collect())) or [[]] * 5
-    if len(columns[0]) > match.BROADCAST_EDGES:
-        raise ValueError(f"more than {match.BROADCAST_EDGES} edges: match regions of the network on their own")
-    shared = events.sparkSession.sparkContext.broadcast(kernel.Graph(*map(list, columns), [None] * len(columns[0]), config.connect))
+    path = graph or graphstore.write(roads)
     output = f"{key} string, time_ms long, lon double, lat double, ref_id string, fraction double, probability double" + (", monitor string" if monitor else "")
 
     def step(name, frames: Iterator, held) -> Iterator:
@@ -58,7 +55,7 @@ def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConf
         if held.hasTimedOut:
             held.remove()
             return
-        graph, rows = shared.value, []
+        graph, rows = graphstore.opened(path, config.connect), []
         online = kernel.Online.from_json(held.get[0], graph, config) if held.exists else kernel.Online(graph, config, k, tau_ms)
         for frame in frames:
             told = zip(frame.time_ms, frame.lon, frame.lat, frame.geom_id, frame.fwd_ref, frame.back_ref, frame.d, frame.i, frame.along, frame.road_lon, frame.road_lat)
@@ -67,14 +64,14 @@ def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConf
         for t, lon, lat, _, found in match.trace_of(rows, graph, config.radius_m):
             c = online.add(t, lon, lat, found)
             if c is not None:
-                out.append((name[0], t, lon, lat, graph.refs[c.edge], c.fraction, c.filt, *([online.monitor()] if monitor else [])))
+                out.append((name[0], t, lon, lat, graph.ref(c.edge), c.fraction, c.filt, *([online.monitor()] if monitor else [])))
         if online.steps:
             held.update((online.to_json(),))
             held.setTimeoutTimestamp(max(online.steps[-1][0][0], held.getCurrentWatermarkMs()) + max_age_ms)
         yield pd.DataFrame(out, columns=[key, "time_ms", "lon", "lat", "ref_id", "fraction", "probability", *(["monitor"] if monitor else [])])
 
     stamped = events.where("time_ms IS NOT NULL").withColumn("ts", F.timestamp_millis("time_ms")).withWatermark("ts", "10 minutes").select(key, "time_ms", "lon", "lat", "ts")
-    near = spatial.segment_hits(stamped, roads, config.radius_m).select(key, "time_ms", "lon", "lat", "ts", "geom_id", "fwd_ref", "back_ref", "place.d", "place.i", "along", "road_lon", "road_lat")
+    near = spatial.segment_hits(stamped, graphstore.named_roads(roads), config.radius_m).select(key, "time_ms", "lon", "lat", "ts", "geom_id", "fwd_ref", "back_ref", "place.d", "place.i", "along", "road_lon", "road_lat")
     return near.groupBy(key).applyInPandasWithState(step, output, "state string", "append", "EventTimeTimeout")
 
 
