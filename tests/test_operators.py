@@ -272,7 +272,8 @@ def test_streams(spark, sf, tmp_path):
     near.coalesce(1).write.parquet(str(tmp_path / "near"))
     q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark, sf)).writeStream.format("memory").queryName("on_road").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.table("on_road").count() == near.count() and spark.table("on_road").where("ref_id IS NULL").count() == 0
+    on_road = spatial.radius_join(near, queries.grid(spark, sf), MatchConfig().radius_m).select("vehicle_id", "time_ms").distinct().count()
+    assert spark.table("on_road").count() == on_road > 100 and spark.table("on_road").where("ref_id IS NULL").count() == 0
     hours = replay.hourly_counts(replay.replay(spark, str(tmp_path / "in")))
     q = hours.writeStream.format("memory").queryName("hours").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination(120)
@@ -298,7 +299,7 @@ def test_matching_on_streams_tells_all_candidates(spark, sf, tmp_path):
     q = replay.matched(replay.replay(spark, str(tmp_path / "near")), queries.grid(spark, sf), monitor=True).writeStream.format("memory").queryName("monitored").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     told = spark.table("monitored").collect()
-    assert len(told) == near.count() and all(json.loads(r.monitor)["time"] == r.time_ms for r in told)
+    assert len(told) == near.count() > 0 and all(json.loads(r.monitor)["time"] == r.time_ms for r in told)
 
 
 def test_dust_of_a_frequent_start_makes_several_messages(spark, monkeypatch):

@@ -24,11 +24,11 @@ def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str)
     return spatial.segment_hits(own, graphstore.named_roads(roads), config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
 
 
-def trace_of(rows, graph, radius_m: float) -> list[tuple]:
+def trace_of(rows, graph, radius_m: float, numbered: bool = False) -> list[tuple]:
     """Samples (time_ms, lon, lat, has_event, candidates) in order, of rows as _samples gives them.
 
     Of several segments of a road near a sample the nearest counts; each direction of
-    the road is a candidate (edge, fraction, metres, lon, lat).
+    the road is a candidate (edge, fraction, metres, lon, lat). numbered adds _n at the end.
     """
     from wayfold.operators import kernel
 
@@ -38,13 +38,13 @@ def trace_of(rows, graph, radius_m: float) -> list[tuple]:
         if geom is not None and (geom not in found or (place["d"], place["i"]) < found[geom][0]):
             found[geom] = ((place["d"], place["i"]), forward, backward, along, x, y)
     trace = []
-    for (t, lon, lat, has, _), found in sorted(samples.items(), key=lambda s: (s[0][:3], s[0][4])):
+    for (t, lon, lat, has, n), found in sorted(samples.items(), key=lambda s: (s[0][:3], s[0][4])):
         candidates = []
         for _, forward, backward, along, x, y in found.values():
             metres = kernel.planar_m(lon, lat, x, y)
             if metres <= radius_m:
                 candidates += [(e, f, metres, x, y) for r, f in ((forward, along), (backward, 1 - along)) if r is not None and (e := graph.find(r)) is not None]
-        trace.append((t, lon, lat, has, candidates))
+        trace.append((t, lon, lat, has, candidates, *([n] if numbered else [])))
     return trace
 
 
