@@ -85,12 +85,12 @@ def test_nearest_reaches_the_largest_radius(spark):
     assert sorted(r.id for r in spatial.knn_join(points, roads_, "id", 1, 100.0, 700.0).collect()) == [1, 2]
 
 
-def whole_graph(roads_):
+def whole_graph(roads_, connect=True):
     """kernel.Graph of all roads, by the names that candidates have."""
     from wayfold.operators import graphstore, kernel
 
     e = network.costs(network.edges(roads_)).join(graphstore.named_roads(roads_).select(F.explode(F.array("fwd_ref", "back_ref")).alias("name")).where("name IS NOT NULL"), F.col("ref_id") == F.substring_index("name", ":", -1)).collect()
-    graph = kernel.Graph(*([r[c] for r in e] for c in ("ref_id", "src", "dst", "length_m", "cost_time_priority")), [None] * len(e))
+    graph = kernel.Graph(*([r[c] for r in e] for c in ("ref_id", "src", "dst", "length_m", "cost_time_priority")), [None] * len(e), connect)
     names = {r.name: r.ref_id for r in e}
     graph.find = lambda name: graph.number.get(names.get(name, name))
     return graph
@@ -100,7 +100,7 @@ def matched_by_one(points, roads_, config):
     """The kernel over the whole network, trace by trace, on the driver."""
     from wayfold.operators import kernel
 
-    graph, traces_ = whole_graph(roads_), {}
+    graph, traces_ = whole_graph(roads_, config.connect), {}
     for r in match._samples(points, roads_, config, "vehicle_id").collect():
         traces_.setdefault(r[0], []).append(r[1:])
     return [(name, row) for name, rows in traces_.items() for row in kernel.match_trace(match.trace_of(rows, graph, config.radius_m), graph, config)]
@@ -162,6 +162,46 @@ def test_roads_over_the_180th_meridian(spark):
     assert sorted(r.id for r in spatial.snap(points, rows, "id").collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
 
 
+def test_many_routes_like_dijkstra(spark):
+    """A random graph against the kernel: loops, dead ends, targets behind their source, long routes; paths add up."""
+    import random
+
+    from wayfold.operators import kernel, routing
+
+    rng = random.Random(11)
+    rows = [(f"e{k:03}", f"n{rng.randrange(40)}", f"n{rng.randrange(40)}", rng.uniform(1, 50)) for k in range(110)] + [(f"chain{k:02}", f"c{k}", f"c{k + 1}", 1.0) for k in range(40)]
+    edges_ = spark.createDataFrame(rows, "ref_id string, src string, dst string, length_m double")
+    pick = lambda: rng.choice(rows)[0]
+    sources = [(i, pick(), rng.random()) for i in range(15)] + [(99, "chain00", 0.0)]
+    targets = [(i, pick(), rng.random()) for i in range(25)] + [(98, "chain39", 1.0), (97, sources[0][1], sources[0][2]), (96, sources[1][1], 0.0)]
+    graph = kernel.Graph([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], [r[3] for r in rows], [None] * len(rows))
+    at = {i: (graph.number[e], f) for i, e, f in sources + targets}
+    want = {(s[0], targets[k][0]): (c, m) for s in sources for k, (c, m, _) in kernel.routes(graph, at[s[0]] if s[0] == 99 else (graph.number[s[1]], s[2]), [(graph.number[e], f) for _, e, f in targets], 120.0).items()}
+    frames = spark.createDataFrame(sources, "source long, ref_id string, fraction double"), spark.createDataFrame(targets, "target long, ref_id string, fraction double")
+    for delta in (None, 15.0):
+        got = {(r.source, r.target): r for r in routing.routes(edges_, *frames, 120.0, delta=delta).collect()}
+        assert got.keys() == want.keys() and len(got) > 50
+        for pair, r in got.items():
+            assert abs(r.cost - want[pair][0]) < 1e-9
+            s, t = next(x for x in sources if x[0] == pair[0]), next(x for x in targets if x[0] == pair[1])
+            path, one, two = [graph.number[e] for e in r.path], (graph.number[s[1]], s[2]), (graph.number[t[1]], t[2])
+            assert kernel.valid_path(graph, one, two, path) and abs(kernel.measured(graph, one, two, path)[0] - r.metres) < 1e-9
+    assert got[99, 98].path == [f"chain{k:02}" for k in range(40)]
+    assert routing.routes(edges_, frames[0].limit(0), frames[1], 120.0).count() == 0
+
+
+def test_routes_that_meet_within_an_edge_are_joined(spark):
+    from wayfold.operators import routing
+
+    rows = [("a", "1", "2", 10.0), ("b", "2", "3", 10.0)]
+    edges_ = spark.createDataFrame(rows, "ref_id string, src string, dst string, length_m double")
+    ddl = "k int, place int, ref_id string, start_fraction double, end_fraction double"
+    first = spark.createDataFrame([(1, 0, "a", 0.2, 1.0), (1, 1, "b", 0.0, 0.5), (2, 0, "a", 0.0, 0.4), (3, 7, "a", 0.0, 1.0)], ddl)
+    second = spark.createDataFrame([(1, 0, "b", 0.5, 0.9), (2, 0, "b", 0.0, 1.0), (3, 3, "b", 0.0, 1.0)], ddl)
+    got = sorted(map(tuple, routing.joined_routes(first, second, edges_, "k").collect()))
+    assert got == [(1, 0, "a", 0.2, 1.0), (1, 1, "b", 0.0, 0.9), (3, 7, "a", 0.0, 1.0), (3, 8, "b", 0.0, 1.0)]
+
+
 def test_polygons_hold_what_crosses_them(spark):
     line = lambda name, *ps: (name, "a", "b", f"{name}_f", None, 3, [{"lon": x, "lat": y} for x, y in ps])
     rows = spark.createDataFrame([line("through", (-1.0, 0.5), (2.0, 0.5)), line("in", (0.2, 0.2), (0.8, 0.8)), line("out", (2.0, 0.0), (2.0, 1.0)), line("half", (0.5, 0.5), (3.0, 3.0))], ROAD)

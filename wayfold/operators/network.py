@@ -133,21 +133,10 @@ def components(rows: DataFrame) -> DataFrame:
     return alone.join(connected_components(links), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def shortest_costs(edge_rows: DataFrame, sources: DataFrame, bound: float, max_hops: int) -> DataFrame:
-    """(source, node, cost): cheapest distances in metres within bound and max_hops edges.
+def shortest_costs(edge_rows: DataFrame, sources: DataFrame, bound: float, cost: str = "length_m", delta: float | None = None) -> DataFrame:
+    """(source, node, cost): cheapest costs from each node of sources (column node) within bound, however many edges that takes."""
+    from wayfold.operators.routing import labels
 
-    sources has a column node. Relational relaxation: each round extends only what
-    the last one improved, and is written out, so plans stay short.
-    """
-    steps = edge_rows.groupBy("src", "dst").agg(F.min("length_m").alias("m"))
-    best = materialize(sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("cost")).distinct(), "reached")
-    fresh = best
-    for _ in range(max_hops):
-        tried = fresh.join(steps, F.col("node") == F.col("src")).select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("m")).alias("cost")).where(F.col("cost") <= bound)
-        tried = tried.groupBy("source", "node").agg(F.min("cost").alias("cost"))
-        known = best.withColumnRenamed("cost", "known")
-        fresh = materialize(tried.join(known, ["source", "node"], "left").where("known IS NULL OR cost < known").select("source", "node", "cost"), "fresh")
-        if fresh.isEmpty():
-            break
-        best = materialize(best.union(fresh).groupBy("source", "node").agg(F.min("cost").alias("cost")), "reached")
-    return best
+    kind, none = sources.schema["node"].dataType, F.lit(None)
+    starts = sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("cost"), F.lit(0.0).alias("metres"), none.cast("string").alias("via"), none.cast(kind).alias("back")).distinct()
+    return labels(edge_rows, starts, bound, cost, delta).select("source", "node", "cost")

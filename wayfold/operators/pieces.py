@@ -179,13 +179,28 @@ _STEP = f"trace string, piece long, id long, t long, lon double, lat double, has
 _TRANSFER = "trace string, rank long, constant boolean, width int, cells array<double>"
 
 
+def _arrow(kind: str):
+    """The Arrow type of a DDL type, for tasks: Spark's own parser lives on the driver."""
+    import pyarrow as pa
+
+    if kind.startswith("array<"):
+        return pa.list_(_arrow(kind[6:-1]))
+    if kind.startswith("struct<"):
+        parts, depth, start, inner = [], 0, 0, kind[7:-1] + ","
+        for i, c in enumerate(inner):
+            depth += (c == "<") - (c == ">")
+            if c == "," and depth == 0:
+                parts.append(inner[start:i].split(":", 1))
+                start = i + 1
+        return pa.struct([(name, _arrow(t)) for name, t in parts])
+    return {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[kind]
+
+
 def _table(rows: list[tuple], ddl: str):
     import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    schema = to_arrow_schema(StructType.fromDDL(ddl))
-    return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    fields = [f.split() for f in ddl.split(", ")]
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], _arrow(kind)) for i, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
 
 
 def _records(group) -> list[dict]:
@@ -318,16 +333,12 @@ def _viterbi(rows: list[dict], v: list | None):
             seq, by = [_NONE] * len(r["logs"]), [None] * len(r["logs"])
             for link in r["links"]:  # by candidate, then by the one before, so that ties go to the smaller
                 q = v[link["a"]] + link["log"] + r["logs"][link["b"]]
-                if q > seq[link["b"]]:
+                if q > seq[link["b"]] + kernel.TIE:
                     seq[link["b"]], by[link["b"]] = q, link
         v = seq
         yield seq, by
 
 
-def _best(seq: list) -> int:
-    return seq.index(max(seq))
-
-
 def _chain(rows: list[dict], v: list | None, end: int):
     """Each row's candidate on the way to candidate `end` of the last row: (candidate, its log probability, link); and the candidate before the first."""
     told = list(_viterbi(rows, v))
@@ -336,7 +347,7 @@ def _chain(rows: list[dict], v: list | None, end: int):
         seq, by = told[i]
         out.append((c, seq[c], by[c]))
         before = told[i - 1][0] if i else v
-        c = by[c]["a"] if by[c] is not None else None if before is None else _best(before)
+        c = by[c]["a"] if by[c] is not None else None if before is None else kernel.leader(before)
     return out[::-1], c
 
 
@@ -344,7 +355,7 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
     """Rows of schema MATCHED as match gives them with max_inputs off, but of kind `filtered`; a trace is spread over its pieces.
 
     Log probabilities are added in another order than along a whole trace: they agree
-    but for rounding, and sequences of equal probability may be told apart by it.
+    but for rounding. Ties are told as along a trace, but for those at the edge of kernel.TIE.
     """
     path = graph or graphstore.write(roads)
     rows = match._samples(points, roads, config, key).where("geom_id IS NOT NULL")
@@ -400,19 +411,18 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
         trace, v, rank = rows[0]["trace"], rows[0]["v"], rows[0]["rank"]
         ends = list(_viterbi(rows, v))[-1][0]
         if rows[0]["is_last"]:
-            out.append((trace, -rank - 1, True, len(ends), [0.0 if k == _best(ends) else _NONE for k in range(len(ends))]))
+            out.append((trace, -rank - 1, True, len(ends), [0.0 if k == kernel.leader(ends) else _NONE for k in range(len(ends))]))
         if v is not None:
             ways = [_chain(rows, v, k)[1] for k in range(len(ends))]
             out.append((trace, -rank, False, len(v), [0.0 if k == way else _NONE for way in ways for k in range(len(v))]))
+        else:
+            out.append((trace, -rank, True, 1, [0.0]))  # nothing comes before, but something is to be entered
         return _table(out, _TRANSFER)
 
     with_entry = steps.join(entered, ["trace", "piece"])
-    lowest = W.partitionBy("trace")
     transfers = materialize(with_entry.groupBy("trace", "piece").applyInArrow(back, _TRANSFER), "back")
     # ranks from 0 up, from the last piece to the first
-    transfers = transfers.withColumn("rank", F.col("rank") - F.min("rank").over(lowest))
-    first = materialize(transfers, "backward")
-    backward = _after(first)
+    backward = _after(materialize(transfers.withColumn("rank", F.col("rank") - F.min("rank").over(W.partitionBy("trace"))), "backward"))
     ends = entered.join(entered.groupBy("trace").agg(F.max("rank").alias("top")), "trace").withColumn("up", F.col("top") - F.col("rank")).join(backward.select("trace", F.col("rank").alias("up"), F.col("v").alias("end")), ["trace", "up"])
     out_ddl = f"{MATCHED.removeprefix('vehicle_id string, ')}, trace string, piece long, open_start boolean, open_end boolean, n_routes int"
     names = [f.split()[0] for f in out_ddl.split(", ")]
@@ -420,7 +430,7 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
     def told(group):
         rows = _records(group)
         head = rows[0]
-        chain, c = _chain(rows, head["v"], _best(head["end"]))
+        chain, c = _chain(rows, head["v"], head["end"].index(0.0))
         before = None if c is None else (head["v"][c], head["fractions_before"][c], head["t_before"])
         out, seq, good, first, waiting = [], 0, None, None, []
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from wayfold.config import MatchConfig
 from wayfold.functions import geo, hmm, roads, tile
 from wayfold.functions import time as tm
-from wayfold.operators import aggregate, match, network, spatial, traces
+from wayfold.operators import aggregate, match, network, pieces, routing, spatial, traces
 from wayfold.plans import batch
 from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_distance, sql_scales
 from wayfold.shared import materialize
@@ -232,9 +232,9 @@ def components(spark, sf_dir):
     return network.components(grid(spark, sf_dir))
 
 
-_REACH = f"""WITH RECURSIVE {EDGES_SQL}, reach(source, node, cost, hops) AS (
-  SELECT src, src, CAST(0 AS DOUBLE), 0 FROM edges
-  UNION SELECT r.source, e.dst, r.cost + e.length_m, r.hops + 1 FROM reach r JOIN edges e ON e.src = r.node WHERE r.hops < 5 AND r.cost + e.length_m <= 900)
+_REACH = f"""WITH RECURSIVE {EDGES_SQL}, reach(source, node, cost) AS (
+  SELECT src, src, CAST(0 AS DOUBLE) FROM edges
+  UNION SELECT r.source, e.dst, r.cost + e.length_m FROM reach r JOIN edges e ON e.src = r.node WHERE r.cost + e.length_m <= 900)
 SELECT source, node, {rounded_sql('min(cost)', 3)} AS cost FROM reach GROUP BY 1, 2"""
 
 
@@ -242,7 +242,69 @@ SELECT source, node, {rounded_sql('min(cost)', 3)} AS cost FROM reach GROUP BY 1
 def shortest_path_costs(spark, sf_dir):
     e = network.edges(grid(spark, sf_dir))
     sources_ = e.select(F.col("src").alias("node")).distinct()
-    return network.shortest_costs(e, sources_, 900.0, 5).select("source", "node", rounded(F.col("cost"), 3).alias("cost"))
+    return network.shortest_costs(e, sources_, 900.0).select("source", "node", rounded(F.col("cost"), 3).alias("cost"))
+
+
+# Positions on roads: suppliers are sources, parts are targets in the middle of their road.
+_PLACES = f"""{EDGES_SQL}, road_of AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 31 < 15 THEN 'H_' || p_partkey % 31 || '_' || p_partkey // 31 ELSE 'V_' || (p_partkey % 31 - 15) || '_' || p_partkey // 31 END || '_f' AS ref_id FROM part
+), sources AS (SELECT s_suppkey AS source, ref_id, CAST(s_suppkey % 10 AS DOUBLE) / 10 AS fraction, src, dst, length_m FROM supplier JOIN road_of ON k = s_suppkey JOIN edges USING (ref_id)
+), targets AS (SELECT k AS target, ref_id, CAST(0.5 AS DOUBLE) AS fraction, src, length_m FROM road_of JOIN edges USING (ref_id))"""
+
+
+def _places(spark, sf_dir):
+    named = grid(spark, sf_dir).select(F.col("fwd_ref").alias("ref_id"), F.split("geom_id", "_").alias("n"))
+    number = F.col("n")[2].cast("long") * 31 + F.col("n")[1].cast("long") + F.when(F.col("n")[0] == "V", 15).otherwise(0)
+    named = named.select("ref_id", number.alias("k"))
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey")
+    sources_ = suppliers.join(named, F.col("k") == F.col("s_suppkey")).select(F.col("k").alias("source"), "ref_id", ((F.col("k") % 10).cast("double") / 10).alias("fraction"))
+    return sources_, named.select(F.col("k").alias("target"), "ref_id", F.lit(0.5).alias("fraction"))
+
+
+@query(f"""WITH RECURSIVE {_PLACES}, reach(source, node, cost) AS (
+  SELECT source, dst, (1 - fraction) * length_m FROM sources
+  UNION SELECT r.source, e.dst, r.cost + e.length_m FROM reach r JOIN edges e ON e.src = r.node WHERE r.cost + e.length_m <= 900)
+SELECT source, target, {rounded_sql('min(cost)', 3)} AS cost FROM (
+  SELECT source, target, r.cost + t.length_m * t.fraction AS cost FROM reach r JOIN targets t ON t.src = r.node
+  UNION ALL SELECT source, target, s.length_m * (t.fraction - s.fraction) FROM sources s JOIN targets t USING (ref_id) WHERE t.fraction >= s.fraction) WHERE cost <= 900 GROUP BY 1, 2""")
+def routes_many_to_many(spark, sf_dir):
+    e = network.edges(grid(spark, sf_dir))
+    return routing.routes(e, *_places(spark, sf_dir), 900.0).select("source", "target", rounded(F.col("cost"), 3).alias("cost"))
+
+
+_DRIVEN = f"""{EDGES_SQL}, steps AS (SELECT DISTINCT a.ref_id, b.ref_id AS next_ref FROM edges a JOIN edges b ON b.src = a.dst
+), parts AS (SELECT p_partkey // 4 AS route, p_partkey % 4 AS place, 'H_' || p_partkey % 31 || '_' || p_partkey // 31 || '_f' AS ref_id, CAST(p_size % 3 AS DOUBLE) / 4 AS start_fraction, CAST(1 AS DOUBLE) - CAST(p_size % 2 AS DOUBLE) / 8 AS end_fraction FROM part WHERE p_partkey % 31 < 15)"""
+
+
+def _parts(spark, sf_dir):
+    """Routes of up to four roads in a row of the grid; where a row of 15 ends there is a gap."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    ref = F.concat(F.lit("H_"), k % 31, F.lit("_"), F.floor(k / 31), F.lit("_f"))
+    return spark.read.parquet(f"{sf_dir}/part.parquet").where(k % 31 < 15).select(F.floor(k / 4).alias("route"), (k % 4).alias("place"), ref.alias("ref_id"), ((size % 3).cast("double") / 4).alias("start_fraction"), (1 - (size % 2).cast("double") / 8).alias("end_fraction"))
+
+
+@query(f"""WITH {_DRIVEN} SELECT p.route, count(*) FILTER (WHERE n.ref_id IS NULL OR steps.ref_id IS NULL) = 1 AS valid
+FROM parts p LEFT JOIN parts n ON n.route = p.route AND n.place = p.place + 1 LEFT JOIN steps ON steps.ref_id = p.ref_id AND next_ref = n.ref_id GROUP BY 1""")
+def routes_valid(spark, sf_dir):
+    return routing.valid_routes(_parts(spark, sf_dir), network.edges(grid(spark, sf_dir)), "route")
+
+
+@query(f"""WITH {_DRIVEN} SELECT route, {rounded_sql('sum(length_m * (end_fraction - start_fraction))', 4)} AS metres, {rounded_sql('sum(3.6 * length_m / least(max_speed, 130) * greatest(priority, 1) * (end_fraction - start_fraction))', 4)} AS cost FROM parts JOIN edges USING (ref_id) GROUP BY 1""")
+def routes_measured(spark, sf_dir):
+    told = routing.measured_routes(_parts(spark, sf_dir), network.costs(network.edges(grid(spark, sf_dir))), "route")
+    return told.select("route", rounded(F.col("metres"), 4).alias("metres"), rounded(F.col("cost"), 4).alias("cost"))
+
+
+@query(f"""WITH {_DRIVEN}, a AS (SELECT route // 2 AS pair, place, ref_id, start_fraction, CASE WHEN route % 3 = 0 THEN 1 ELSE end_fraction END AS end_fraction FROM parts WHERE route % 2 = 0
+), b AS (SELECT route // 2 AS pair, place, ref_id, CASE WHEN route % 3 = 1 THEN 0 ELSE start_fraction END AS start_fraction, end_fraction FROM parts WHERE route % 2 = 1
+), ends AS (SELECT pair, max_by(ref_id, place) AS ref_id, max_by(end_fraction, place) AS f, max(place) AS last FROM a GROUP BY 1), begins AS (SELECT pair, min_by(ref_id, place) AS ref_id, min_by(start_fraction, place) AS f, min(place) AS first FROM b GROUP BY 1
+), met AS (SELECT pair, last, first FROM ends JOIN begins USING (pair) JOIN steps ON steps.ref_id = ends.ref_id AND next_ref = begins.ref_id WHERE abs(ends.f - 1) < 1e-8 AND abs(begins.f) < 1e-8)
+SELECT pair, place, ref_id, CAST(start_fraction AS DOUBLE) AS start_fraction, CAST(end_fraction AS DOUBLE) AS end_fraction FROM a JOIN met USING (pair) UNION ALL SELECT pair, place + last - first + 1, ref_id, start_fraction, end_fraction FROM b JOIN met USING (pair)""")
+def routes_joined(spark, sf_dir):
+    """Each second route continues the one before where both end at one node."""
+    p, pair = _parts(spark, sf_dir), F.floor(F.col("route") / 2).alias("pair")
+    a = p.where("route % 2 = 0").select(pair, "place", "ref_id", "start_fraction", F.when(F.col("route") % 3 == 0, 1.0).otherwise(F.col("end_fraction")).alias("end_fraction"))
+    b = p.where("route % 2 = 1").select(pair, "place", "ref_id", F.when(F.col("route") % 3 == 1, 0.0).otherwise(F.col("start_fraction")).alias("start_fraction"), "end_fraction")
+    return routing.joined_routes(a, b, network.edges(grid(spark, sf_dir)), "pair")
 
 
 @query(f"WITH {GPS_SQL}, {GRID_SQL} SELECT DISTINCT geom_id FROM (SELECT geom_id, {sql_tile(16, 'x0', 'y0')} AS tile FROM grid UNION SELECT geom_id, {sql_tile(16, 'x2', 'y2')} FROM grid) WHERE tile IN (SELECT {sql_tile(16)} FROM gps)")
@@ -424,6 +486,13 @@ def thin_either(spark, sf_dir):
     return traces.thin(g, 80.0, 30000, either=True).select("vehicle_id", "event_id")
 
 
+@query(_thin_sql("({d} >= 50 AND g.time_ms - r.time_ms >= 20000)"))
+def thin_by_pieces(spark, sf_dir):
+    """thin_distance_interval with each five minutes of a trace in a task of its own."""
+    g = gps(spark, sf_dir).select("vehicle_id", "event_id", "time_ms", "lon", "lat")
+    return pieces.thin(g, 50.0, 20000, piece_ms=300_000).select("vehicle_id", "event_id")
+
+
 @query(f"WITH {GPS_SQL}, w AS (SELECT *, min(time_ms) OVER (PARTITION BY vehicle_id) AS t0, max(time_ms) OVER (PARTITION BY vehicle_id) AS t9 FROM gps) SELECT vehicle_id, event_id FROM w WHERE time_ms IN (t0, t9) OR ((time_ms - t0) // 1000) % 60 = 0")
 def subsample_interval(spark, sf_dir):
     return traces.subsample(gps(spark, sf_dir).select("vehicle_id", "event_id", "time_ms"), 60).select("vehicle_id", "event_id")
