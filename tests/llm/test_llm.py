@@ -205,9 +205,29 @@ def test_op5_very_large_and_small_numbers(spark):
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)}
 
 
-@pytest.mark.parametrize("count", [2_000, 80_000, 1_000_000])
+def test_op5_links_of_two_thousand_vectors(spark):
+    """Pairs planted around the threshold among others, found by filters: no link too many, hardly one too few."""
+    import numpy as np
+
+    parts, seeds = [], range(20)
+    for seed in seeds:
+        parts += spherical_caps.planted(40, 64, 0.94 + 0.003 * seed, seed)
+    parts.append(np.random.default_rng(9).standard_normal((400, 64)))
+    x = np.concatenate(parts)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.95
+    np.fill_diagonal(linked, False)
+    blocks, words, codes = spherical_caps.sized(len(x), 64, 0.95)
+    assert words**blocks > 400 and codes > 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in spherical_caps.near_duplicates(rows).collect()}
+    assert all(got[i] <= n for i, n in enumerate(linked.sum(1))) and sum(got.values()) >= 0.99 * linked.sum() > 1000
+
+
+@pytest.mark.parametrize("count", [1, 20, 500, 2_000, 80_000, 1_000_000])
 def test_op5_pairs_share_a_filter_at_every_count(count):
     size = spherical_caps.sized(count, 64, 0.95)
+    assert size[1] ** size[0] >= spherical_caps.LEAST_FILTERS and size[2] >= 1
     for cosine in (0.95, 0.97, 0.99):
         a, b = (spherical_caps.decoder(64, *size)(side) for side in spherical_caps.planted(1000, 64, cosine, seed=11))
         met = sum((x[:, :, None] == y[:, None, :]).any((1, 2)) for x, y in zip(a, b)) > 0
@@ -215,10 +235,9 @@ def test_op5_pairs_share_a_filter_at_every_count(count):
 
 
 @pytest.mark.parametrize("dim", [1, 2, 3, 8, 64])
-def test_op5_planted_pairs_are_found(spark, dim, monkeypatch):
+def test_op5_planted_pairs_are_found(spark, dim):
     import numpy as np
 
-    monkeypatch.setattr(spherical_caps, "ALL_PAIRS", 100)
     n = 1500 if dim > 3 else 150
     both = np.concatenate(spherical_caps.planted(n, dim, 0.951, seed=3)) if dim > 1 else np.random.default_rng(3).standard_normal((2 * n, 1))
     unit = both / np.linalg.norm(both, axis=1, keepdims=True)

@@ -6,8 +6,9 @@ with the TOP filters nearest to it, found by list decoding: block by block, keep
 the best so far. Several codes are used, each with its own cut and codewords: as many
 as let RECALL of random pairs at the least cosine share a filter. That chance depends
 on nothing but count, length and cosine, and is measured before the tables are read;
-if MOST_CODES don't reach it, filters become fewer and wider, one for all in the end.
-Vectors that share a filter are compared in double precision.
+if MOST_CODES don't reach it, filters become fewer and wider, but never fewer than
+LEAST_FILTERS: the decoder runs at every count. Vectors that share a filter are compared
+in double precision.
 
 Within a filter all pairs are compared, but none is emitted: a task gives each
 vector's number of links and a root to reach. A pair that shares several filters
@@ -36,8 +37,8 @@ TOP, FILL = 4, 16
 RECALL, PLANTED = 0.995, 2000
 #: Codes at most, before filters are made wider.
 MOST_CODES = 8
-#: Vectors of one length up to which all pairs are compared.
-ALL_PAIRS = 1000
+#: Filters of a code at least: with these, MOST_CODES let more than RECALL of any linked pairs meet.
+LEAST_FILTERS = 16
 #: Most codewords of a block, and vectors that one task compares with as many others.
 CODEWORDS, CHUNK = 2048, 1500
 
@@ -81,7 +82,9 @@ def planted(n: int, dim: int, cosine: float, seed: int = 7):
     a, b = np.random.default_rng(seed).standard_normal((2, n, dim))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b -= (a * b).sum(1, keepdims=True) * a
-    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)  # one number has no other direction
+    if dim == 1:
+        return a, a
     return a, cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * b
 
 
@@ -94,12 +97,12 @@ def unit(x):
 
 
 def sized(count: int, dim: int, cosine: float) -> tuple[int, int, int]:
-    """Blocks, codewords and codes for so many vectors; no codes: one filter lists all."""
+    """Blocks, codewords and codes for so many vectors."""
     import numpy as np
 
-    filters = count * TOP // FILL if count > ALL_PAIRS and dim > 1 else 0
-    a, b = planted(PLANTED if filters else 0, dim, cosine)
-    while filters > TOP:
+    filters = max(LEAST_FILTERS, count * TOP // FILL)
+    a, b = planted(PLANTED, dim, cosine)
+    while True:
         blocks = 2 if dim >= 8 else 1
         while CODEWORDS**blocks < filters and blocks < dim // 4:
             blocks += 1
@@ -109,8 +112,9 @@ def sized(count: int, dim: int, cosine: float) -> tuple[int, int, int]:
             met |= (x[:, :, None] == y[:, None, :]).any((1, 2))
             if met.mean() >= RECALL:
                 return blocks, words, codes
-        filters = min(filters, words**blocks) // 4
-    return 1, 1, 0
+        if filters == LEAST_FILTERS:
+            return blocks, words, MOST_CODES
+        filters = max(LEAST_FILTERS, min(filters, words**blocks) // 4)
 
 
 def _listed(classes: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> DataFrame:
@@ -135,7 +139,7 @@ def _listed(classes: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> DataF
                 x = unit(x)
                 if dim not in decode:
                     decode[dim] = decoder(dim, *sizes[dim])
-                names = [n + (k << 40) for k, n in enumerate(decode[dim](x))] or [np.zeros((len(x), 1), np.int64)]
+                names = [n + (k << 40) for k, n in enumerate(decode[dim](x))]
                 for i, own in zip(at, np.sort(np.concatenate(names, axis=1), axis=1) + (dim << 44)):
                     lists[i] = own
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["class", "weight", "packed", "filters"])
