@@ -1,5 +1,6 @@
 """Readers and writers on small inputs of our own."""
 
+import os
 import json
 
 import pytest
@@ -128,3 +129,61 @@ def test_states_with_roads_named_by_their_base_and_nodes(spark):
     assert [r["ref_id"] for r in json.loads(row.rendering)] == ["g:n2:n1", "g:n1:n2"]
     with pytest.raises(Exception, match="road not found in map: f"):
         geojson.render_states(matched, "osm", edges=edges.where("ref_id = 'e'")).collect()
+
+
+def test_delimited_files_are_split_at_messages(spark, tmp_path):
+    from wayfold.sources import delimited, events
+
+    rows = [(f"v{i % 7}", 1000 + i, i / 10, -i / 10, {"kind": float(i), "x" * (i % 300): 1.0}) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vehicle_id string, time_ms long, lat double, lon double, event_data map<string,double>")
+    path = f"file://{tmp_path}/events"
+    delimited.write(df.coalesce(1), path, "event")
+    (file,) = [f for f in os.listdir(tmp_path / "events")]
+    index = spark.read.parquet(delimited.splits(spark, path, 20_000)).orderBy("start").collect()
+    assert len(index) > 20 and [r.start for r in index[1:]] == [r.end for r in index[:-1]] and index[-1].end == os.path.getsize(tmp_path / "events" / file)
+    told = lambda d: sorted((r.vehicle_id, r.time_ms, r.lat, r.lon, tuple(sorted(r.event_data.items()))) for r in d.collect())
+    read = events.read_delimited(spark, path, split_bytes=20_000)
+    assert told(read) == told(df) and read.rdd.getNumPartitions() > 20
+    assert told(events.read_delimited(spark, path)) == told(df)  # one split
+    with pytest.raises(FileExistsError):
+        delimited.write(df, path, "event")
+    delimited.write(df.limit(5), path, "event", overwrite=True)
+    assert events.read_delimited(spark, path).count() == 5
+    (tmp_path / "cut.pbf").write_bytes((tmp_path / "events" / os.listdir(tmp_path / "events")[0]).read_bytes()[:-3])
+    with pytest.raises(Exception, match="cut short"):
+        events.read_delimited(spark, str(tmp_path / "cut.pbf")).count()
+
+
+def test_delimited_files_beyond_two_gigabytes(spark, tmp_path):
+    """A sparse file: one message of 3 GB that no task reads, between two events."""
+    from wayfold.sources import delimited
+
+    size = 3 << 30
+    first, last = (wire.delimited(wire.encode_event("v", t, 1.0, 2.0, {})) for t in (1, 2))
+    with open(tmp_path / "big.pbf", "wb") as f:
+        f.write(first + wire.varint(size))
+        f.seek(size, 1)
+        f.write(last)
+    index = sorted(map(tuple, spark.read.parquet(delimited.splits(spark, str(tmp_path / "big.pbf"))).collect()))
+    head, end = len(first), len(first) + len(wire.varint(size)) + size
+    assert [r[1:] for r in index] == [(0, end), (end, end + len(last))]
+    with open(tmp_path / "big.pbf", "rb") as f:
+        assert [then for then, _ in delimited._walk(f, 0, end + len(last), False)] == [head, end, end + len(last)]
+        assert [wire.decode_event(m)[1] for _, m in delimited._walk(f, end, end + len(last), True)] == [2]
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    from wayfold.sources import delimited
+
+    df = spark.range(100).repartition(4).selectExpr("string(id) AS vehicle_id", "id AS time_ms", "if(id = 50, double(raise_error('no')), 1D) AS lat", "0D AS lon", "map('e', 1D) AS event_data")
+    with pytest.raises(Exception, match="no"):
+        delimited.write(df, f"file://{tmp_path}/out", "event")
+    assert not (tmp_path / "out").exists() or os.listdir(tmp_path / "out") == []
+
+
+def test_a_large_tile_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tiles, "PART_BYTES", 1000)
+    rows = [("hot", bytes([i % 256]) * 50) for i in range(200)] + [("cold", b"x" * 50)]
+    told = {os.path.relpath(r.path, str(tmp_path)): r.records for r in tiles.write_pbf(spark.createDataFrame(rows, "tile string, message binary"), f"file://{tmp_path}", "speeds").collect()}
+    assert told["speeds/cold.speeds.pbf"] == 1 and sum(told.values()) == 201 and len(told) > 8
+    assert sum(os.path.getsize(tmp_path / p) for p in told) == 201 * 50

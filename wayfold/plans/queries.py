@@ -16,10 +16,10 @@ from wayfold.functions import time as tm
 from wayfold.operators import aggregate, match, network, pieces, routing, spatial, traces
 from wayfold.plans import batch
 from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_distance, sql_scales
-from wayfold.shared import materialize
+from wayfold.shared import materialize, new_path
 from wayfold.sinks import geojson, tiles
 from wayfold.sources import events as sources
-from wayfold.sources import requests
+from wayfold.sources import delimited, requests
 from wayfold.sources import roads as road_sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,24 @@ def road_types(spark, sf_dir):
     return road_sources.parse_road_types(document)
 
 
+@query(f"WITH {GPS_SQL} SELECT vehicle_id, true_ms AS time_ms, lat, lon, event_type, coalesce(value, 0) AS event_value FROM gps")
+def delimited_events(spark, sf_dir):
+    """Events written as delimited messages and read back by splits that begin inside of files."""
+    path = new_path(spark, "delimited-events")
+    tiles.write_delimited(gps(spark, sf_dir).withColumn("time_ms", F.col("true_ms")), path)
+    read = sources.read_delimited(spark, path, split_bytes=65_536)
+    return read.select("vehicle_id", "time_ms", "lat", "lon", F.explode("event_data").alias("event_type", "event_value"))
+
+
+@query(f"WITH {GRID_SQL} SELECT geom_id, from_node, to_node, fwd_ref, back_ref, road_class, x0 AS first_lon, y2 AS last_lat FROM grid")
+def delimited_roads(spark, sf_dir):
+    """Roads written as geometry messages and read back."""
+    path = new_path(spark, "delimited-roads")
+    delimited.write(grid(spark, sf_dir), path, "geometry")
+    read = delimited.read(spark, path, "geometry", split_bytes=16_384)
+    return read.select("geom_id", "from_node", "to_node", "fwd_ref", "back_ref", "road_class", F.col("geometry")[0]["lon"].alias("first_lon"), F.element_at("geometry", -1)["lat"].alias("last_lat"))
+
+
 # Roads and costs
 
 _SPEED = "CASE road_class WHEN 0 THEN 130.0 WHEN 1 THEN 120.0 WHEN 2 THEN 110.0 ELSE 80.0 END"

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.functions import tile
+from wayfold.shared import materialize
 from wayfold.sinks import wire
 
 #: Bytes of traces from which on a dust message is closed, and another of its start begun.
 DUST_BYTES = 1 << 20
+#: Bytes of messages, about, that a file of a tile holds before the tile has several.
+PART_BYTES = 64 << 20
 #: Failures, about, that a batch of decoded messages holds.
 DECODED_ROWS = 10_000
 
@@ -25,6 +28,13 @@ def write_events(events: DataFrame, path: str) -> None:
     events.write.mode("errorifexists").parquet(path)
 
 
+def write_delimited(events: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Events as length-delimited messages, as sources.events.read_delimited reads them; all files of a job or none."""
+    from wayfold.sources import delimited
+
+    delimited.write(events, path, "event", overwrite)
+
+
 def write_parquet(records: DataFrame, path: str, kind: str, week: str | None = "week") -> None:
     """One folder for each week, type and tile; overwrites what it writes again.
 
@@ -172,12 +182,17 @@ def _encoded(nested: DataFrame, encode, ref: str) -> DataFrame:
 def write_pbf(messages: DataFrame, folder: str, kind: str) -> DataFrame:
     """One file for each week and tile, <week>/<kind>/<tile>.<kind>.pbf; returns (path, records).
 
-    messages needs tile, message and may have week. folder is a URI that all
+    A tile of more than PART_BYTES is several files, <tile>.<part>.<kind>.pbf, each of
+    about so many bytes and written by a task of its own. messages needs tile, message and may have week. folder is a URI that all
     executors reach. A file is replaced, not appended to, when written again; it gets
     its name when it is whole, so that second attempts leave no torn files.
     """
     week = F.col("week").cast("string") if "week" in messages.columns else F.lit("")
     rows = messages.select(F.coalesce(week, F.lit("")).alias("week"), "tile", "message")
+    rows = materialize(rows, "messages")
+    parts = rows.groupBy("week", "tile").agg(F.ceil(F.sum(F.length("message")) / PART_BYTES).alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("message"), F.col("parts"))  # by content, so that a task that runs again deals alike
+    rows = rows.join(parts, ["week", "tile"], "left").select("week", F.when(F.col("parts") > 1, F.concat_ws(".", "tile", part)).otherwise(F.col("tile")).alias("tile"), "message")
     rows = rows.repartition("week", "tile").sortWithinPartitions("week", "tile", "message")
 
     def write(batches):

@@ -108,24 +108,11 @@ def read_gpx(spark: SparkSession, path: str, speeds: bool = True, compat_drop_la
     return out[0].unionByName(out[1])
 
 
-def read_delimited(spark: SparkSession, path: str) -> DataFrame:
-    """Length-delimited event messages, of one or many files."""
-    from wayfold.sinks.wire import decode_event, frames
+def read_delimited(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Length-delimited event messages, of one or many files of any size."""
+    from wayfold.sources import delimited
 
-    def decode(batches):
-        import pyarrow as pa
-
-        kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.map_(pa.string(), pa.float64())]
-        for batch in batches:
-            for content in batch.column(0).to_pylist():
-                rows = [decode_event(m) for m in frames(content)]
-                for at in range(0, len(rows), 20_000):
-                    part = list(zip(*rows[at : at + 20_000]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds)], names=["vehicle_id", "time_ms", "lat", "lon", "event_data"])
-
-    from wayfold.schema import EVENT
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, EVENT)
+    return delimited.read(spark, path, "event", **options)
 
 
 def _lines(parse):

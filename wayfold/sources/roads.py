@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.operators.network import dedup_roads, filter_roads
-from wayfold.schema import ROAD
 
 
 def read_tiles(spark: SparkSession, path: str) -> DataFrame:
@@ -16,24 +15,10 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
 
     A file of any other name can be read by naming it. Roads in several tiles come once.
     """
-    from wayfold.sinks.wire import decode_geometry, frames
-
-    def decode(batches):
-        import pyarrow as pa
-
-        point = pa.list_(pa.struct([("lon", pa.float64()), ("lat", pa.float64())]))
-        kinds = [*[pa.string()] * 5, pa.int32(), point, pa.string()]
-        names = ["geom_id", "from_node", "to_node", "fwd_ref", "back_ref", "road_class", "geometry", "tile"]
-        for batch in batches:
-            for file, content in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = [(*decode_geometry(m), file.rsplit("/", 1)[-1].split(".")[0]) for m in frames(content)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-
-    files = spark.read.format("binaryFile")
-    if ".geometry." not in path.rsplit("/", 1)[-1] and "*" not in path:
-        files = files.option("pathGlobFilter", "*.geometry.*")
-    return dedup_roads(files.load(path).select("path", "content").mapInArrow(decode, f"{ROAD}, tile string"))
+    from wayfold.sources import delimited
+
+    named = ".geometry." in path.rsplit("/", 1)[-1] or "*" in path
+    return dedup_roads(delimited.read(spark, path, "geometry", glob=None if named else "*.geometry.*"))
 
 
 def read_roads(spark: SparkSession, path: str, excluded_classes: list[int] = (), ring: list[tuple[float, float]] | None = None) -> DataFrame:
