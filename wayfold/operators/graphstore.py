@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import roads as rd
 from wayfold.functions import tile as tl
 from wayfold.operators import network
-from wayfold.shared import new_path
+from wayfold.shared import materialize, new_path
 
 ZOOM = 13
 #: Edges that a worker keeps from one trace to the next.
@@ -49,6 +49,7 @@ def write(roads: DataFrame, path: str | None = None) -> str:
     cost = rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority"))
     first, last = tile_number(F.element_at("geometry", 1)), tile_number(F.element_at("geometry", -1))
     edges = network.edges(roads.where(F.size("geometry") > 0)).select("ref_id", "src", "dst", "length_m", cost.alias("cost"), first.alias("first_tile"), last.alias("last_tile"))
+    edges = materialize(edges, "graph-edges")  # three joins read them
     ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("first_tile").alias("t")), F.struct(F.col("dst").alias("node"), F.col("last_tile").alias("t")))).alias("e"))
     homes = ends.groupBy("e.node").agg(F.min("e.t").alias("home"))
     kept = edges.join(homes.select(F.col("node").alias("src"), F.col("home").alias("tile")), "src").join(homes.select(F.col("node").alias("dst"), F.col("home").alias("next_tile")), "dst")
