@@ -55,6 +55,79 @@ def test_geodesy(spark):
     assert one(spark, geo.intercept(same, same, same, same, same, same), geo.distance(1, 1, 1, 1)) == (0.0, 0.0)
 
 
+def test_long_geodesics(spark):
+    """Arcs known in closed form or by quadrature, and the equations of geodesics integrated step by step."""
+    import math
+
+    from wayfold.functions.geo import E2, A
+
+    def meridian(lat):
+        n = 2000
+        f = lambda x: A * (1 - E2) / (1 - E2 * math.sin(x) ** 2) ** 1.5
+        h = math.radians(lat) / n
+        return h / 3 * sum((1 if k in (0, n) else 4 if k % 2 else 2) * f(k * h) for k in range(n + 1))
+
+    assert abs(one(spark, geo.inverse(10, 0, 10, 90))[0].metres - meridian(90)) < 1e-3 and abs(meridian(90) - 10001965.729) < 1e-3
+    assert abs(one(spark, geo.inverse(-20, 0, 25, 0))[0].metres - A * math.radians(45)) < 1e-6
+    over = one(spark, geo.inverse(179, 10, -179, 10), geo.inverse(-1, 10, 1, 10))
+    assert abs(over[0].metres - over[1].metres) < 1e-6 and over[0].azimuth == pytest.approx(over[1].azimuth)
+    assert tuple(one(spark, geo.inverse(5, 6, 5, 6))[0])[0] == 0.0 and one(spark, geo.inverse(0, 0.0, 179.9, 0.1))[0] is None
+
+    def walk(lon, lat, azimuth, metres, n=4000):
+        def slope(p):
+            lat, _, az = p
+            w = math.sqrt(1 - E2 * math.sin(lat) ** 2)
+            return math.cos(az) * w**3 / (A * (1 - E2)), math.sin(az) * w / (A * math.cos(lat)), math.sin(az) * math.tan(lat) * w / A
+
+        p, h = (math.radians(lat), math.radians(lon), math.radians(azimuth)), metres / n
+        add = lambda p, k, s: tuple(x + s * d for x, d in zip(p, k))
+        for _ in range(n):
+            a = slope(p)
+            b = slope(add(p, a, h / 2))
+            c = slope(add(p, b, h / 2))
+            d = slope(add(p, c, h))
+            p = tuple(x + h / 6 * (i + 2 * j + 2 * k + m) for x, i, j, k, m in zip(p, a, b, c, d))
+        return math.degrees(p[1]), math.degrees(p[0]), math.degrees(p[2])
+
+    for lon, lat, azimuth, metres in ((-73.8, 40.6, 51.2, 5_000_000.0), (10.0, -55.0, 200.0, 3_000_000.0), (0.0, 0.0, 90.0, 1000.0), (30.0, 60.0, 300.0, 5_000_000.0)):
+        x, y, arrival = walk(lon, lat, azimuth, metres)
+        there, back = one(spark, geo.direct(lon, lat, azimuth, metres), geo.inverse(lon, lat, x, y))
+        assert abs(there.lat - y) < 1e-8 and abs(there.lon - x) < 1e-8 and abs((there.arrival - arrival + 180) % 360 - 180) < 1e-8
+        assert abs(back.metres - metres) < 1e-3 and abs((back.azimuth - azimuth + 180) % 360 - 180) < 1e-6 and abs((back.arrival - arrival + 180) % 360 - 180) < 1e-6
+
+
+def test_replay_of_an_archive_reads_its_own_seconds(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from wayfold.streaming import clock
+
+    monkeypatch.setattr(clock, "GROUP_BYTES", 20_000)
+    rows = spark.range(20_000).selectExpr("concat('v', id % 7) AS vehicle_id", "if(id % 500 = 3, null, 1000000 + id * 10) AS time_ms", "1D AS lat", "2D AS lon", "map('e', double(id)) AS event_data")
+    clock.write_archive(rows, str(tmp_path / "archive"))
+    known = rows.where("time_ms IS NOT NULL").count()
+    began = int(time.time() * 1000)
+    stream = clock.replay(spark, f"file://{tmp_path}/archive", speed=20.0, began_ms=began)  # 200 s in 10
+    seen: list[tuple[int, int, int]] = []
+
+    def run(until):
+        q = stream.writeStream.foreachBatch(lambda df, n: seen.append((df.count(), *df.agg(F.min("time_ms"), F.max("time_ms")).first()))).option("checkpointLocation", str(tmp_path / "c")).start()
+        while sum(s[0] for s in seen) < until and time.time() * 1000 - began < 90_000:
+            time.sleep(0.1)
+        q.stop()
+
+    run(1)
+    run(known)  # from the checkpoint on
+    spans = [s for s in seen if s[0]]
+    assert sum(s[0] for s in spans) == known and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+    schema = spark.read.parquet(str(tmp_path / "archive/events")).schema
+    reader = clock._Reader({"path": f"file://{tmp_path}/archive", "time": "time_ms", "began": "0", "speed": "1", "columns": json.dumps(schema.names)})
+    (span,) = reader.partitions({"time": 1_050_000}, {"time": 1_050_100})
+    assert sum(b.num_rows for b in reader.read(span)) == 9  # one of the ten has no time
+    file = pq.ParquetFile(span.file.removeprefix("file://"))
+    assert len(reader.groups(span, file)) == 1 < file.metadata.num_row_groups or file.metadata.num_rows < 6000
+    assert reader.latestOffset() == {"time": reader.last} and reader.partitions({"time": 5}, {"time": 5}) == []
+
+
 def test_histograms_merge_in_any_order(spark):
     h = spark.createDataFrame([("r", 5, 1), ("r", 5, 2), ("r", 6, 3)], "ref_id string, speed_bin int, n long")
     merged = aggregate.merge_histograms(h, "ref_id")

@@ -220,3 +220,112 @@ def contains(ring: list[tuple[float, float]], lon: Column, lat: Column) -> Colum
             crosses = ((F.lit(y1) > lat) != (F.lit(y2) > lat)) & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
             inside = inside != crosses
     return inside
+
+
+# Geodesics of the ellipsoid, of any length
+
+
+def _let(value: Column, then) -> Column:
+    """then(value), with value computed once: functions over arrays bind what a Column would repeat."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _series(c2: Column) -> tuple[Column, Column]:
+    """The coefficients of arc length, of the square of the cosine of the geodesic's azimuth at the equator."""
+    u2 = c2 * (E2 / (1 - E2))
+    return 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))), u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
+
+
+def _bend(b: Column, s: Column, c: Column, m: Column) -> Column:
+    """The difference of the angular distance from its first approximation; m is the cosine at twice the middle."""
+    return b * s * (m + b / 4 * (c * (2 * m * m - 1) - b / 6 * m * (4 * s * s - 3) * (4 * m * m - 3)))
+
+
+def _turn(c2: Column, sa: Column, sigma: Column, s: Column, c: Column, m: Column) -> Column:
+    """What the longitude on the ellipsoid is behind that on the auxiliary sphere."""
+    k = FLAT / 16 * c2 * (4 + FLAT * (4 - 3 * c2))
+    return (1 - k) * FLAT * sa * (sigma + k * s * (m + k * c * (2 * m * m - 1)))
+
+
+def inverse(lon1, lat1, lon2, lat2, rounds: int = 20) -> Column:
+    """struct(metres, azimuth, arrival): the geodesic between two positions, with its directions in degrees at both.
+
+    Vincenty's iteration in a fixed number of rounds; 20 do for all but positions nearly
+    opposite to each other, for which the result is null. Within a millimetre at any
+    length. For one position with itself metres is 0 and the directions are 0.
+    """
+    lon1, lat1, lon2, lat2 = map(_c, (lon1, lat1, lon2, lat2))
+    u1, u2 = (F.atan((1 - FLAT) * F.tan(lat * _RAD)) for lat in (lat1, lat2))
+    base = F.struct(F.sin(u1).alias("s1"), F.cos(u1).alias("c1"), F.sin(u2).alias("s2"), F.cos(u2).alias("c2"), (short_way(lon2 - lon1) * _RAD).alias("l"))
+
+    def solve(v):
+        def sphere(lam):
+            """Angular distance and the rest of the great circle of the auxiliary sphere at this difference of longitude."""
+
+            def one(p):
+                x, y = v["c2"] * p["s"], v["c1"] * v["s2"] - v["s1"] * v["c2"] * p["c"]
+                return F.struct(F.sqrt(x * x + y * y).alias("ss"), (v["s1"] * v["s2"] + v["c1"] * v["c2"] * p["c"]).alias("cs"), p["s"].alias("s"))
+
+            def two(p):
+                sa = F.when(p["ss"] == 0, 0.0).otherwise(v["c1"] * v["c2"] * p["s"] / p["ss"])
+                return F.struct(p["ss"].alias("ss"), p["cs"].alias("cs"), F.atan2(p["ss"], p["cs"]).alias("sigma"), sa.alias("sa"))
+
+            def three(p):
+                c2 = 1 - p["sa"] * p["sa"]
+                m = F.when(c2 < 1e-15, 0.0).otherwise(p["cs"] - 2 * v["s1"] * v["s2"] / c2)
+                return F.struct(p["ss"].alias("ss"), p["cs"].alias("cs"), p["sigma"].alias("sigma"), p["sa"].alias("sa"), c2.alias("c2"), m.alias("m"))
+
+            return _let(_let(_let(F.struct(F.sin(lam).alias("s"), F.cos(lam).alias("c")), one), two), three)
+
+        def onward(state, _):
+            return _let(sphere(state["lam"]), lambda p: F.struct((v["l"] + _turn(p["c2"], p["sa"], p["sigma"], p["ss"], p["cs"], p["m"])).alias("lam"), state["lam"].alias("last")))
+
+        def told(state):
+            def measured(p):
+                a, b = _series(p["c2"])
+                metres = A * (1 - FLAT) * a * (p["sigma"] - _bend(b, p["ss"], p["cs"], p["m"]))
+                s, c = F.sin(state["lam"]), F.cos(state["lam"])
+                out = F.degrees(F.atan2(v["c2"] * s, v["c1"] * v["s2"] - v["s1"] * v["c2"] * c))
+                back = F.degrees(F.atan2(v["c1"] * s, v["c1"] * v["s2"] * c - v["s1"] * v["c2"]))
+                met = F.abs(state["lam"] - state["last"]) < 1e-11
+                return F.when(met & (F.abs(state["lam"]) <= 3.2), F.struct(metres.alias("metres"), normalise_azimuth(out).alias("azimuth"), normalise_azimuth(back).alias("arrival")))
+
+            return _let(sphere(state["lam"]), measured)
+
+        start = F.struct(v["l"].alias("lam"), F.lit(9.0).alias("last"))
+        return _let(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, onward), told)
+
+    return _let(base, solve)
+
+
+def direct(lon, lat, azimuth_deg, metres, rounds: int = 10) -> Column:
+    """struct(lon, lat, arrival): where the geodesic from a position in a direction is after so many metres, and its direction there."""
+    lon, lat, azimuth_deg, metres = map(_c, (lon, lat, azimuth_deg, metres))
+    u = F.atan((1 - FLAT) * F.tan(lat * _RAD))
+    base = F.struct(F.sin(u).alias("su"), F.cos(u).alias("cu"), F.sin(azimuth_deg * _RAD).alias("s1"), F.cos(azimuth_deg * _RAD).alias("c1"), lon.alias("lon"), metres.alias("metres"))
+
+    def begin(v):
+        sa = v["cu"] * v["s1"]
+        return F.struct(*(v[c].alias(c) for c in ("su", "cu", "s1", "c1", "lon")), sa.alias("sa"), (1 - sa * sa).alias("c2"), F.atan2(v["su"], v["cu"] * v["c1"]).alias("from"), v["metres"].alias("metres"))
+
+    def solve(v):
+        a, b = _series(v["c2"])
+        flat = v["metres"] / (A * (1 - FLAT) * a)
+
+        def iterate(k):
+            onward = lambda sigma, _: k["flat"] + _bend(k["b"], F.sin(sigma), F.cos(sigma), F.cos(2 * v["from"] + sigma))
+            return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), k["flat"], onward)
+
+        def told(p):
+            s, c = p["s"], p["c"]
+            y = v["su"] * s - v["cu"] * c * v["c1"]
+            north = F.atan2(v["su"] * c + v["cu"] * s * v["c1"], (1 - FLAT) * F.sqrt(v["sa"] * v["sa"] + y * y))
+            lam = F.atan2(s * v["s1"], v["cu"] * c - v["su"] * s * v["c1"])
+            east = lam - _turn(v["c2"], v["sa"], p["sigma"], s, c, F.cos(2 * v["from"] + p["sigma"]))
+            far = F.pmod(v["lon"] + F.degrees(east) + 180, F.lit(360.0)) - 180
+            return F.struct(far.alias("lon"), F.degrees(north).alias("lat"), normalise_azimuth(F.degrees(F.atan2(v["sa"], -y))).alias("arrival"))
+
+        sigma = _let(F.struct(flat.alias("flat"), b.alias("b")), iterate)
+        return _let(_let(sigma, lambda g: F.struct(g.alias("sigma"), F.sin(g).alias("s"), F.cos(g).alias("c"))), told)
+
+    return _let(_let(base, begin), solve)

@@ -112,3 +112,50 @@ def sql_candidates(radius: float) -> str:
   SELECT n.*, g.fwd_ref AS ref_id, true AS is_forward, g.road_class FROM near n JOIN grid g USING (geom_id) WHERE distance_m <= {radius}
   UNION ALL SELECT n.* REPLACE (1 - fraction AS fraction, (azimuth + 180) % 360 AS azimuth), g.back_ref, false, g.road_class FROM near n JOIN grid g USING (geom_id) WHERE distance_m <= {radius} AND g.back_ref IS NOT NULL
 )"""
+
+
+_F = "(1 / CAST(298.257223563 AS DOUBLE))"
+_E2 = f"({_F} * (2 - {_F}))"
+
+
+def _sql_series(c2: str) -> tuple[str, str]:
+    u = f"({c2} * {_E2} / (1 - {_E2}))"
+    return f"(1 + {u} / 16384 * (4096 + {u} * (-768 + {u} * (320 - 175 * {u}))))", f"({u} / 1024 * (256 + {u} * (-128 + {u} * (74 - 47 * {u}))))"
+
+
+def _sql_bend(b: str, s: str, c: str, m: str) -> str:
+    return f"({b} * {s} * ({m} + {b} / 4 * ({c} * (2 * {m} * {m} - 1) - {b} / 6 * {m} * (4 * {s} * {s} - 3) * (4 * {m} * {m} - 3))))"
+
+
+def _sql_turn(c2: str, sa: str, sigma: str, s: str, c: str, m: str) -> str:
+    k = f"({_F} / 16 * {c2} * (4 + {_F} * (4 - 3 * {c2})))"
+    return f"((1 - {k}) * {_F} * {sa} * ({sigma} + {k} * {s} * ({m} + {k} * {c} * (2 * {m} * {m} - 1))))"
+
+
+def sql_inverse(points: str, rounds: int) -> str:
+    """CTEs after points (id, lon1, lat1, lon2, lat2) that end in geodesics (id, metres, azimuth)."""
+    u = [f"atan((1 - {_F}) * tan(radians(lat{k})))" for k in (1, 2)]
+    out = f"r0 AS (SELECT id, sin({u[0]}) AS s1, cos({u[0]}) AS c1, sin({u[1]}) AS s2, cos({u[1]}) AS c2, radians(lon2 - lon1) AS l, radians(lon2 - lon1) AS lam FROM {points})"
+    for k in range(rounds + 1):
+        out += f""", a{k} AS (SELECT *, sqrt(pow(c2 * sin(lam), 2) + pow(c1 * s2 - s1 * c2 * cos(lam), 2)) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs FROM r{k}
+), b{k} AS (SELECT *, atan2(ss, cs) AS sigma, CASE WHEN ss = 0 THEN 0 ELSE c1 * c2 * sin(lam) / ss END AS sa FROM a{k}
+), d{k} AS (SELECT *, 1 - sa * sa AS q, CASE WHEN 1 - sa * sa < 1e-15 THEN 0 ELSE cs - 2 * s1 * s2 / (1 - sa * sa) END AS m FROM b{k}
+), r{k + 1} AS (SELECT id, s1, c1, s2, c2, l, l + {_sql_turn('q', 'sa', 'sigma', 'ss', 'cs', 'm')} AS lam FROM d{k})"""
+    a, b = _sql_series("q")
+    metres = f"CAST(6378137.0 AS DOUBLE) * (1 - {_F}) * {a} * (sigma - {_sql_bend(b, 'ss', 'cs', 'm')})"
+    return out + f", geodesics AS (SELECT id, {metres} AS metres, (degrees(atan2(c2 * sin(lam), c1 * s2 - s1 * c2 * cos(lam))) + 360) % 360 AS azimuth FROM d{rounds})"
+
+
+def sql_direct(points: str, rounds: int) -> str:
+    """CTEs after points (id, lon, lat, azimuth, metres) that end in reached (id, lon, lat)."""
+    u = f"atan((1 - {_F}) * tan(radians(lat)))"
+    a, b = _sql_series("c2")
+    out = f"""o0 AS (SELECT id, lon, metres, sin({u}) AS su, cos({u}) AS cu, sin(radians(azimuth)) AS s1, cos(radians(azimuth)) AS c1 FROM {points}
+), o1 AS (SELECT *, cu * s1 AS sa, 1 - cu * s1 * cu * s1 AS c2, atan2(su, cu * c1) AS f FROM o0
+), o2 AS (SELECT *, metres / (CAST(6378137.0 AS DOUBLE) * (1 - {_F}) * {a}) AS flat, {b} AS b FROM o1
+), t0 AS (SELECT *, flat AS sigma FROM o2)"""
+    for k in range(rounds):
+        out += f", t{k + 1} AS (SELECT * REPLACE (flat + {_sql_bend('b', 'sin(sigma)', 'cos(sigma)', 'cos(2 * f + sigma)')} AS sigma) FROM t{k})"
+    turn = _sql_turn("c2", "sa", "sigma", "sin(sigma)", "cos(sigma)", "cos(2 * f + sigma)")
+    return out + f""", t AS (SELECT *, sin(sigma) AS s, cos(sigma) AS c FROM t{rounds}
+), reached AS (SELECT id, lon + degrees(atan2(s * s1, cu * c - su * s * c1) - {turn}) AS far, degrees(atan2(su * c + cu * s * c1, (1 - {_F}) * sqrt(sa * sa + pow(su * s - cu * c * c1, 2)))) AS lat FROM t)"""

@@ -15,7 +15,7 @@ from wayfold.functions import geo, hmm, roads, tile
 from wayfold.functions import time as tm
 from wayfold.operators import aggregate, match, network, pieces, routing, spatial, traces
 from wayfold.plans import batch
-from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_distance, sql_scales
+from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_direct, sql_distance, sql_inverse, sql_scales
 from wayfold.shared import materialize, new_path
 from wayfold.sinks import geojson, tiles
 from wayfold.sources import events as sources
@@ -382,6 +382,62 @@ def intercept(spark, sf_dir):
     return _pairs(spark, sf_dir).select("event_id", rounded(f, 6).alias("fraction"))
 
 
+_WORLD = f"""{GPS_SQL}, far AS (SELECT event_id AS id, rn, CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 AS lon1, CAST((event_id * 104729) % 17000 AS DOUBLE) / 100 - 85 AS lat1,
+  CAST((event_id * 7919) % 36000 AS DOUBLE) / 100 - 180 + (CAST((event_id * 31) % 12000 AS DOUBLE) / 100 - 60) AS lon2, CAST((event_id * 15485863) % 17000 AS DOUBLE) / 100 - 85 AS lat2 FROM gps)"""
+
+
+def _world(spark, sf_dir):
+    """Two positions anywhere for each event, up to 60 degrees of longitude apart."""
+    e = F.col("event_id")
+    lon, lat = ((e * 7919) % 36000).cast("double") / 100 - 180, ((e * 104729) % 17000).cast("double") / 100 - 85
+    return gps(spark, sf_dir).select("event_id", "rn", lon.alias("lon1"), lat.alias("lat1"), (lon + (((e * 31) % 12000).cast("double") / 100 - 60)).alias("lon2"), (((e * 15485863) % 17000).cast("double") / 100 - 85).alias("lat2"))
+
+
+@query(f"WITH {_WORLD}, {sql_inverse('far', 10)} SELECT id AS event_id, {rounded_sql('metres', 3)} AS metres, {rounded_sql('azimuth', 6)} AS azimuth FROM geodesics")
+def geodesic_inverse(spark, sf_dir):
+    g = _world(spark, sf_dir).select("event_id", geo.inverse(*map(F.col, ("lon1", "lat1", "lon2", "lat2")), 10).alias("g"))
+    return g.select("event_id", rounded(F.col("g.metres"), 3).alias("metres"), rounded(F.col("g.azimuth"), 6).alias("azimuth"))
+
+
+@query(f"WITH {_WORLD}, sent AS (SELECT id, lon1 AS lon, lat1 AS lat, CAST((rn * 37) % 360 AS DOUBLE) AS azimuth, CAST((id * 7919) % 5000000 AS DOUBLE) AS metres FROM far), {sql_direct('sent', 8)} SELECT id AS event_id, {rounded_sql('far - 360 * floor((far + 180) / 360)', 8)} AS lon, {rounded_sql('lat', 8)} AS lat FROM reached")
+def geodesic_direct(spark, sf_dir):
+    g = _world(spark, sf_dir).select("event_id", geo.direct(F.col("lon1"), F.col("lat1"), ((F.col("rn") * 37) % 360).cast("double"), ((F.col("event_id") * 7919) % 5000000).cast("double"), 8).alias("g"))
+    return g.select("event_id", rounded(F.col("g.lon"), 8).alias("lon"), rounded(F.col("g.lat"), 8).alias("lat"))
+
+
+@query(f"WITH {GRID_SQL} SELECT geom_id, CASE k WHEN 0 THEN CAST(0.3 AS DOUBLE) ELSE 0.7 END AS f, {rounded_sql(f'(degrees(atan2((ex - sx) * {sql_scales("sy")[0]}, (ey - sy) * {sql_scales("sy")[1]})) + 360) % 360', 6)} AS degrees FROM segs")
+def polyline_azimuth(spark, sf_dir):
+    g = grid(spark, sf_dir).select("geom_id", geo.segments(F.col("geometry")).alias("segs")).withColumn("f", F.explode(F.array(F.lit(0.3), F.lit(0.7))))
+    return g.select("geom_id", "f", rounded(geo.azimuth_at(F.col("segs"), F.col("f")), 6).alias("degrees"))
+
+
+def _sql_unit(lon: str, lat: str) -> str:
+    return f"[cos(radians({lat})) * cos(radians({lon})), cos(radians({lat})) * sin(radians({lon})), sin(radians({lat}))]"
+
+
+def _sql_cross(p: str, q: str) -> str:
+    return "[" + ", ".join(f"{p}[{a}] * {q}[{b}] - {p}[{b}] * {q}[{a}]" for a, b in ((2, 3), (3, 1), (1, 2))) + "]"
+
+
+@query(f"""WITH {GRID_SQL}, v AS (SELECT geom_id, {_sql_unit('x0', 'y0')} AS a, {_sql_unit('x2', 'y2')} AS b, {_sql_unit('x0 + 0.0005', 'y0 - 0.001')} AS c, {_sql_unit('x0 + 0.0007', 'y0 + 0.001')} AS d FROM grid WHERE geom_id LIKE 'H%'
+), n AS (SELECT geom_id, a, {_sql_cross('a', 'b')} AS m, {_sql_cross('c', 'd')} AS o FROM v), w AS (SELECT geom_id, a, {_sql_cross('m', 'o')} AS w FROM n
+), s AS (SELECT geom_id, w, CASE WHEN w[1] * a[1] + w[2] * a[2] + w[3] * a[3] < 0 THEN -1 ELSE 1 END AS side FROM w)
+SELECT geom_id, {rounded_sql('degrees(atan2(side * w[2], side * w[1]))', 6)} AS lon, {rounded_sql('degrees(asin(side * w[3] / sqrt(w[1] * w[1] + w[2] * w[2] + w[3] * w[3])))', 6)} AS lat FROM s""")
+def roads_intersect(spark, sf_dir):
+    """Where a line across each road that leads east meets it."""
+    ends = grid(spark, sf_dir).where("geom_id LIKE 'H%'").select("geom_id", F.col("geometry")[0].alias("a"), F.element_at("geometry", -1).alias("b"))
+    x, y = F.col("a.lon"), F.col("a.lat")
+    met = ends.select("geom_id", geo.intersect((x, y), (F.col("b.lon"), F.col("b.lat")), (x + 0.0005, y - 0.001), (x + 0.0007, y + 0.001)).alias("p"))
+    return met.select("geom_id", rounded(F.col("p.lon"), 6).alias("lon"), rounded(F.col("p.lat"), 6).alias("lat"))
+
+
+@query(f"""WITH {_DRIVEN}, placed AS (SELECT route, place, x0 + start_fraction * (x2 - x0) AS first, x0 + end_fraction * (x2 - x0) AS last, length_m * (end_fraction - start_fraction) AS m, 3.6 * length_m / least(max_speed, 130) * (end_fraction - start_fraction) AS s FROM parts JOIN edges USING (ref_id))
+SELECT route, {rounded_sql('min_by(first, place)', 6)} AS first_lon, {rounded_sql('max_by(last, place)', 6)} AS last_lon, {rounded_sql('sum(m)', 4)} AS length_m, {rounded_sql('sum(s)', 4)} AS time_s FROM placed GROUP BY 1""")
+def route_shapes(spark, sf_dir):
+    shapes = network.route_geometry(_parts(spark, sf_dir), network.edges(grid(spark, sf_dir)), "route")
+    return shapes.select("route", rounded(F.col("geometry")[0]["lon"], 6).alias("first_lon"), rounded(F.element_at("geometry", -1)["lon"], 6).alias("last_lon"), rounded(F.col("length_m"), 4).alias("length_m"), rounded(F.col("time_s"), 4).alias("time_s"))
+
+
 # Spatial joins
 
 
@@ -638,6 +694,26 @@ def binned_events_flat(spark, sf_dir):
     return aggregate.binned_events(e, 10.0).withColumn("value", rounded_sum(F.col("value"), 4))
 
 
+# Messages, written and read
+
+
+@query(f"{_SPEEDS} SELECT vehicle_id AS ref_id, CAST(CAST(date_trunc('week', epoch_ms(true_ms)) AS DATE) AS VARCHAR) AS week, CAST((isodow(epoch_ms(true_ms)) - 1) * 24 + hour(epoch_ms(true_ms)) AS INTEGER) AS period, speed_bin, count(*) AS n FROM binned GROUP BY 1, 2, 3, 4")
+def speed_messages_read(spark, sf_dir):
+    """Weekly speeds as their messages tell them to a reader."""
+    read = tiles.decoded_speeds(tiles.encoded_speeds(aggregate.weekly_speed_cycle(_speeds(spark, sf_dir), "vehicle_id", "true_ms"), "vehicle_id"))
+    return read.withColumn("week", F.col("week").cast("string"))
+
+
+@query(ORACLE_SQL["binned_events_weekly"].replace(rounded_sql("sum(value)", 4), f"coalesce({rounded_sql('sum(value)', 4)}, 0)"))
+def event_messages_read(spark, sf_dir):
+    """Weekly binned events as their messages tell them to a reader: sums of nulls alone are 0."""
+    g = gps(spark, sf_dir).select("event_id", F.col("true_ms").alias("time_ms"), "lon", "lat", "event_type", F.col("value").alias("event_value"))
+    snapped = batch._with_lengths(spatial.snap(g, grid(spark, sf_dir), "event_id"), grid(spark, sf_dir))
+    binned = aggregate.weekly_binned_events(snapped.select("ref_id", "fraction", "length_m", "time_ms", "event_type", "event_value"), 10.0)
+    read = tiles.decoded_binned(tiles.encoded_binned(binned))
+    return read.withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})
+
+
 # Renderings
 
 

@@ -67,7 +67,7 @@ def encoded_binned(binned: DataFrame, ref: str = "ref_id") -> DataFrame:
     def encode(ref_id, length_cm, n_bins, entries):
         bins: dict = {}
         for e in entries:
-            bins.setdefault(e["bin"], {}).setdefault(e["period"], []).append((e["event_type"], e["count"], e["value"]))
+            bins.setdefault(e["bin"], {}).setdefault(e["period"], []).append((e["event_type"] or "", e["count"], e["value"]))
         return wire.delimited(wire.encode_binned(ref_id, length_cm, n_bins, bins))
 
     return _encoded(nested.select(ref, "week", "length_cm", "n_bins", "entries"), encode, ref)
@@ -148,6 +148,50 @@ def decoded_dust(messages: DataFrame) -> DataFrame:
     return messages.select("message").mapInArrow(work, "start_ref string, end_ref string, start_fraction double, end_fraction double, lonlats array<double>")
 
 
+def _decoded(messages: DataFrame, decode, schema: str) -> DataFrame:
+    """(week, ...) of messages with their week, in batches of about DECODED_ROWS."""
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "date": pa.date32()}
+    fields = [f.split() for f in schema.split(", ")]
+
+    def told(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
+
+    def work(batches):
+        rows = []
+        for batch in batches:
+            for week, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for m in wire.frames(data.as_py()):
+                    rows.extend((week, *r) for r in decode(m))
+                    if len(rows) >= DECODED_ROWS:
+                        yield told(rows)
+                        rows = []
+        yield told(rows)
+
+    return messages.select("week", "message").mapInArrow(work, schema)
+
+
+def decoded_speeds(messages: DataFrame) -> DataFrame:
+    """(week, ref_id, period, speed_bin, n) of weekly speed messages."""
+
+    def rows(m):
+        ref, entries = wire.decode_speeds(m)
+        return [(ref, *e) for e in entries]
+
+    return _decoded(messages, rows, "week date, ref_id string, period int, speed_bin int, n long")
+
+
+def decoded_binned(messages: DataFrame) -> DataFrame:
+    """(week, ref_id, length_cm, n_bins, bin, period, event_type, count, value) of weekly messages of binned events."""
+
+    def rows(m):
+        ref, length_cm, n_bins, entries = wire.decode_binned(m)
+        return [(ref, length_cm, n_bins, *e) for e in entries]
+
+    return _decoded(messages, rows, "week date, ref_id string, length_cm long, n_bins int, bin int, period int, event_type string, count long, value double")
+
+
 def ranked(placed: DataFrame) -> DataFrame:
     """Tiles (z, x, y) with their place from 1 in the total order of tiles.
 
