@@ -1,14 +1,12 @@
 """The network as a table of edges by tile, opened by the tasks that need it.
 
-write() puts each directed edge into the tile of the node it starts at, once, as
-Parquet under the shared folder. A task that routes opens tiles as its search reaches
-them: the edges that leave a node lie in one tile, and each edge names the tile of the
-node it leads to. So neither the driver nor a task ever holds the network, and no edge
-is shuffled to a trace.
+write() puts each directed edge into the tile of its own first vertex, once, as Parquet
+under the shared folder. A task that routes opens tiles as its search reaches them: an
+edge names the tile in which it ends, and there are the edges that leave its node. So
+neither the driver nor a task ever holds the network, and no edge is shuffled to a trace.
 
-A node lies in the smallest of the tiles in which some road says it is; an edge whose
-own first vertex lies in another one leaves a note there of where it is kept. Candidates
-know their road's geometry, so they find their edge by the tile of its first vertex.
+Where roads tell of one node in several tiles, each of these has a note of the others.
+Candidates know their road's geometry, so they find their edge by its first vertex.
 
 A tile is written and read as a whole: ZOOM is such that the densest cities have some
 ten thousand edges in one.
@@ -22,7 +20,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import roads as rd
 from wayfold.functions import tile as tl
 from wayfold.operators import network
-from wayfold.shared import materialize, new_path
+from wayfold.shared import new_path
 
 ZOOM = 13
 #: Edges that a worker keeps from one trace to the next.
@@ -48,15 +46,13 @@ def write(roads: DataFrame, path: str | None = None) -> str:
     path = path or new_path(spark, "graph")
     cost = rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority"))
     first, last = tile_number(F.element_at("geometry", 1)), tile_number(F.element_at("geometry", -1))
-    edges = network.edges(roads.where(F.size("geometry") > 0)).select("ref_id", "src", "dst", "length_m", cost.alias("cost"), first.alias("first_tile"), last.alias("last_tile"))
-    edges = materialize(edges, "graph-edges")  # three joins read them
-    ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("first_tile").alias("t")), F.struct(F.col("dst").alias("node"), F.col("last_tile").alias("t")))).alias("e"))
-    homes = ends.groupBy("e.node").agg(F.min("e.t").alias("home"))
-    kept = edges.join(homes.select(F.col("node").alias("src"), F.col("home").alias("tile")), "src").join(homes.select(F.col("node").alias("dst"), F.col("home").alias("next_tile")), "dst")
-    own = F.struct("tile", "dst", "next_tile", "length_m", "cost", "src")
-    none = F.lit(None)
-    note = F.when(F.col("first_tile") != F.col("tile"), F.struct(F.col("first_tile").alias("tile"), none.cast("string").alias("dst"), F.col("tile").alias("next_tile"), none.cast("double").alias("length_m"), none.cast("double").alias("cost"), none.cast("string").alias("src")))
-    rows = kept.select("ref_id", F.explode(F.array(own, note)).alias("e")).where("e IS NOT NULL").select("ref_id", "e.*")
+    edges = network.edges(roads.where(F.size("geometry") > 0))
+    none = F.lit(None).cast("array<long>").alias("others")
+    own = edges.select(first.alias("tile"), "ref_id", "src", "dst", last.alias("next_tile"), "length_m", cost.alias("cost"), none)
+    ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("node"), first.alias("t")), F.struct(F.col("dst").alias("node"), last.alias("t")))).alias("e"))
+    apart = ends.groupBy("e.node").agg(F.sort_array(F.collect_set("e.t")).alias("others")).where(F.size("others") > 1)
+    notes = apart.select(F.explode("others").alias("tile"), F.col("node").alias("src"), "others")
+    rows = own.unionByName(notes, allowMissingColumns=True)
     rows.repartition("tile").sortWithinPartitions("tile", "ref_id").write.partitionBy("tile").parquet(path)
     return path
 
@@ -70,7 +66,9 @@ class _Successors(dict):
         graph = self.graph
         node, tile = graph.to[ref]
         graph.load(tile)
-        self[ref] = found = graph.out.get(node, []) if graph.connect else []
+        for other in graph.notes.get(node, ()):
+            graph.load(other)
+        self[ref] = found = sorted(graph.out.get(node, [])) if graph.connect else []
         return found
 
 
@@ -86,7 +84,7 @@ class TileGraph:
 
     def clear(self) -> None:
         self.length, self.cost, self.to, self.tile_of, self.out = {}, {}, {}, {}, {}
-        self.notes: dict[tuple[int, str], int] = {}
+        self.notes: dict[str, list[int]] = {}
         self.loaded: set[int] = set()
         self.next = _Successors(self)
 
@@ -100,10 +98,10 @@ class TileGraph:
         listed = self.store.get_file_info(fs.FileSelector(f"{self.root}/tile={tile}", allow_not_found=True))
         for file in sorted(f.path for f in listed if f.base_name.endswith(".parquet")):
             with self.store.open_input_file(file) as f:
-                columns = pq.ParquetFile(f).read(columns=["ref_id", "src", "dst", "next_tile", "length_m", "cost"])
-            for ref, src, dst, onward, metres, cost in zip(*(c.to_pylist() for c in columns.columns)):
-                if src is None:
-                    self.notes[tile, ref] = onward
+                columns = pq.ParquetFile(f).read(columns=["ref_id", "src", "dst", "next_tile", "length_m", "cost", "others"])
+            for ref, src, dst, onward, metres, cost, others in zip(*(c.to_pylist() for c in columns.columns)):
+                if ref is None:
+                    self.notes[src] = others
                     continue
                 self.length[ref], self.cost[ref], self.to[ref], self.tile_of[ref] = metres, cost, (dst, onward), tile
                 self.out.setdefault(src, []).append(ref)
@@ -112,8 +110,6 @@ class TileGraph:
         """The edge of a name `tile:reference`; None if there is none."""
         tile, ref = name.split(":", 1)
         self.load(int(tile))
-        if ref not in self.length and (int(tile), ref) in self.notes:
-            self.load(self.notes[int(tile), ref])
         return ref if ref in self.length else None
 
     def name(self, ref: str) -> str:

@@ -10,6 +10,8 @@ from wayfold.operators import graphstore, spatial
 from wayfold.schema import MATCHED
 from wayfold.shared import materialize
 
+#: Deals of traces for each task of the matching: some tasks have more of them than others.
+DEALS = 8
 _CANDIDATE = ["fwd_ref", "back_ref", "place", "along", "road_lon", "road_lat"]
 
 
@@ -20,8 +22,9 @@ def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str)
     where _n tells repeated ones apart.
     """
     has = F.coalesce(F.size("event_data") > 0, F.lit(False)) if "event_data" in points.columns else F.lit(False)
-    own = points.where(F.col("time_ms").isNotNull()).select(F.monotonically_increasing_id().alias("_n"), F.col(key), "time_ms", "lon", "lat", has.alias("has_event"))
-    return spatial.segment_hits(own, graphstore.named_roads(roads), config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)
+    deal = ["_deal"] if "_deal" in points.columns else []
+    own = points.where(F.col("time_ms").isNotNull()).select(F.monotonically_increasing_id().alias("_n"), F.col(key), "time_ms", "lon", "lat", has.alias("has_event"), *deal)
+    return spatial.segment_hits(own, graphstore.named_roads(roads), config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE, *deal)
 
 
 def trace_of(rows, graph, radius_m: float, numbered: bool = False) -> list[tuple]:
@@ -48,11 +51,18 @@ def trace_of(rows, graph, radius_m: float, numbered: bool = False) -> list[tuple
     return trace
 
 
-def region(samples: DataFrame, key: str) -> DataFrame:
-    """samples with _region: the tile of their trace's first sample."""
+def dealt(points: DataFrame, key: str) -> DataFrame:
+    """points with _deal: a number of traces whose first samples lie near each other.
+
+    Traces are ranged by the tile of their first sample, so a city with most of them has
+    many numbers; only one row for each trace is sorted for that.
+    """
+    known = points.where(F.col("time_ms").isNotNull())
     where = graphstore.tile_number(F.struct("lon", "lat"))
-    first = samples.groupBy(F.col(key).alias("_trace")).agg(F.min(F.struct("time_ms", where.alias("tile")))["tile"].alias("_region"))
-    return samples.join(first, F.col(key).eqNullSafe(F.col("_trace"))).drop("_trace")
+    first = known.groupBy(F.col(key).alias("_trace")).agg(F.min(F.struct("time_ms", where.alias("tile")))["tile"].alias("_tile"))
+    n = DEALS * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deals = materialize(first.repartitionByRange(n, "_tile", "_trace").select("_trace", F.spark_partition_id().alias("_deal")), "deals")
+    return known.join(deals, F.col(key).eqNullSafe(F.col("_trace"))).drop("_trace")
 
 
 def as_table(rows: list[dict], schema: str, **constant):
@@ -69,15 +79,14 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
 
     points needs key, time_ms, lon, lat and may have event_data. graph is what
     graphstore.write gave for these roads; without it the graph is written first. Tasks
-    open the tiles that their searches reach, and traces are dealt by range of their
-    first sample's tile, so that a task has to open few: ranges follow the rows, so a
-    city with most of them is many tasks. A trace is one group; match_trips and
+    open the tiles that their searches reach, and traces that begin near each other are
+    dealt to one task, so that it has to open few. A trace is one group; match_trips and
     pieces.match_long cut it.
     """
     from wayfold.operators import kernel
 
     path = graph or graphstore.write(roads)
-    samples = region(materialize(_samples(points, roads, config, key), "samples"), key)
+    samples = _samples(dealt(points, key), roads, config, key)
     schema = MATCHED.replace("vehicle_id", key, 1)
 
     def run(group):
@@ -87,8 +96,8 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
         return as_table(kernel.match_trace(trace, opened, config), schema, **{key: group.column(key)[0].as_py()})
 
     # matching is work, however few the bytes
-    dealt = samples.repartitionByRange(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_region", key)
-    return dealt.groupBy("_region", key).applyInArrow(run, schema)
+    samples = samples.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_deal")
+    return samples.groupBy("_deal", key).applyInArrow(run, schema)
 
 
 def match_offline(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), min_distance_m: float = 10.0, min_interval_ms: int = 5000, key: str = "vehicle_id") -> DataFrame:

@@ -212,11 +212,22 @@ def _records(group) -> list[dict]:
     return sorted(latest.values(), key=lambda r: (r["t"], r["lon"], r["lat"], r["id"]))
 
 
-def _steps(graph, config, samples: list[dict], last, before: list, known: dict, turn: int):
+class _Roads:
+    """What _steps asks of a stored graph: a sample's candidates and the routes to them."""
+
+    def __init__(self, path: str, config: MatchConfig):
+        self.graph, self.config = graphstore.opened(path, config.connect), config
+        self.find, self.name, self.ref = self.graph.find, self.graph.name, self.graph.ref
+
+    def prepared(self, before: list, last, s: dict):
+        found = [(self.find(c["edge"]), c["fraction"], c["metres"], c["x"], c["y"]) for c in s["found"]]
+        return kernel.prepared(self.graph, self.config, before, last, s["t"], s["lon"], s["lat"], found)
+
+
+def _steps(graph, samples: list[dict], last, before: list, known: dict, turn: int):
     """Rows of _STEP for samples after a vector before; stops where what follows is known already."""
     for s in samples:
-        found = [(graph.find(c["edge"]), c["fraction"], c["metres"], c["x"], c["y"]) for c in s["found"]]
-        now, transition = kernel.prepared(graph, config, before, last, s["t"], s["lon"], s["lat"], found)
+        now, transition = graph.prepared(before, last, s)
         links, reached = [], set()
         for a, p in enumerate(before):
             for k, (prob, (_, metres, path)) in transition(p).items():
@@ -234,21 +245,20 @@ def _steps(graph, config, samples: list[dict], last, before: list, known: dict,
             return
 
 
-def _linked(samples: DataFrame, path: str, config: MatchConfig) -> DataFrame:
-    """Rows of _STEP of all samples; some come for several rounds, of which the last counts."""
+def _linked(samples: DataFrame, opened) -> DataFrame:
+    """Rows of _STEP of all samples; some come for several rounds, of which the last counts. Tasks call opened()."""
 
     def started(group):
-        graph = graphstore.opened(path, config.connect)
-        return _table(list(_steps(graph, config, _records(group), None, [], {}, 0)), _STEP)
+        return _table(list(_steps(opened(), _records(group), None, [], {}, 0)), _STEP)
 
     def restarted(group, old):
         rows = _records(group)
         if not rows:
             return _table([], _STEP)
-        graph, e = graphstore.opened(path, config.connect), rows[0]["entry"]
+        graph, e = opened(), rows[0]["entry"]
         before = [kernel.Candidate(graph.find(n), f, x, y) for n, f, x, y in zip(e["edges"], e["fractions"], e["xs"], e["ys"])]
         known = {r["id"]: r for r in _records(old)}
-        return _table(list(_steps(graph, config, rows, (e["t"], e["lon"], e["lat"]), before, known, rows[0]["turn"])), _STEP)
+        return _table(list(_steps(graph, rows, (e["t"], e["lon"], e["lat"]), before, known, rows[0]["turn"])), _STEP)
 
     done = materialize(samples.groupBy("trace", "piece").applyInArrow(started, _STEP), "steps")
     state = F.struct("t", "lon", "lat", "edges", "fractions", "xs", "ys")
@@ -270,13 +280,14 @@ def _linked(samples: DataFrame, path: str, config: MatchConfig) -> DataFrame:
         turn += 1
 
 
-def _times(left, right):
-    """(max, +) product of two transfers (constant, matrix): first left, then right."""
-    import numpy as np
-
+def _times(left, right, sums: bool = False):
+    """(max, +) product of two transfers (constant, matrix), or that of sums scaled to 1: first left, then right."""
     if right[0]:
         return right
-    return left[0], (left[1][:, :, None] + right[1][None]).max(1) if right[1].size else np.empty((len(left[1]), 0))
+    if sums:
+        m = left[1] @ right[1]
+        return left[0], m / (m.max() or 1.0)
+    return left[0], (left[1][:, :, None] + right[1][None]).max(1)
 
 
 def _transfers(rows: list[dict]) -> list:
@@ -285,8 +296,8 @@ def _transfers(rows: list[dict]) -> list:
     return [(r["constant"], np.array(r["cells"], float).reshape(-1, r["width"])) for r in rows]
 
 
-def entering(transfers: DataFrame) -> DataFrame:
-    """(trace, rank, v): the vector with which each transfer of a trace is entered, null for the first.
+def entering(transfers: DataFrame, sums: bool = False) -> DataFrame:
+    """(trace, rank, v): the vector with which each transfer of a trace is entered, null for the first; of sums up to a factor.
 
     Products of FAN transfers, then of these products, then back down: a tree of three
     levels. The first transfer of a trace is a constant.
@@ -297,7 +308,7 @@ def entering(transfers: DataFrame) -> DataFrame:
         rows = sorted(group.to_pylist(), key=lambda r: r["rank"])
         all_, whole = _transfers(rows), None
         for m in all_:
-            whole = m if whole is None else _times(whole, m)
+            whole = m if whole is None else _times(whole, m, sums)
         return _table([(rows[0]["trace"], rows[0]["block"], whole[0], whole[1].shape[1], whole[1].ravel().tolist())], _TRANSFER)
 
     def prefixes(rows, v):
@@ -305,7 +316,7 @@ def entering(transfers: DataFrame) -> DataFrame:
         out = []
         for m in _transfers(rows):
             out.append(v)
-            v = (m[1] if m[0] or v is None else _times((True, v[None]), m)[1])[0]
+            v = (m[1] if m[0] or v is None else _times((True, v[None]), m, sums)[1])[0]
         return out
 
     def of_blocks(group):
@@ -351,6 +362,72 @@ def _chain(rows: list[dict], v: list | None, end: int):
     return out[::-1], c
 
 
+def _matrix(rows: list[dict], sums: bool = False):
+    """Whether a piece starts anew within, and its transfer from the candidates before it to its last."""
+    import numpy as np
+
+    of = (lambda x: 10.0 ** np.array(x, float)) if sums else (lambda x: np.array(x, float))
+    constant, m = False, None
+    for i, r in enumerate(rows):
+        if r["broke"]:
+            constant, m = True, of(r["logs"])[None]
+        else:
+            one = np.full((rows[0]["n_before"] if i == 0 else m.shape[1], len(r["logs"])), 0.0 if sums else _NONE)
+            for k in r["links"]:
+                one[k["a"], k["b"]] = of(k["log"] + r["logs"][k["b"]])
+            m = one if m is None else _times((constant, m), (False, one), sums)[1]
+        if sums:
+            m = m / (m.max() or 1.0)
+    return constant, m
+
+
+def _pieces(steps: DataFrame) -> DataFrame:
+    """A row for each piece: its rank in the trace, the samples before it, what the piece before ends with."""
+    order, final = W.partitionBy("trace").orderBy("piece"), F.struct("round", "edges", "fractions", "t")
+    by_sample = steps.groupBy("trace", "piece", "id").agg(F.max(F.struct("t", "lon", "lat", "id")).alias("at"), F.max_by(final, "round").alias("s"))
+    pieces = by_sample.groupBy("trace", "piece").agg(F.count("*").alias("n"), F.max_by("s", "at").alias("s")).select(
+        "trace", "piece", (F.row_number().over(order) - 1).cast("long").alias("rank"), F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+        F.coalesce(F.size(F.lag("s.edges").over(order)), F.lit(0)).alias("n_before"), F.lag("s.edges").over(order).alias("edges_before"), F.lag("s.fractions").over(order).alias("fractions_before"), F.lag("s.t").over(order).alias("t_before"), F.lead("piece").over(order).isNull().alias("is_last"))
+    return materialize(pieces, "pieces")
+
+
+def _entered(steps: DataFrame, pieces: DataFrame, sums: bool = False) -> DataFrame:
+    """pieces with v: the log probabilities, or the probabilities, with which each is entered."""
+
+    def transfer(group):
+        rows = _records(group)
+        constant, m = _matrix(rows, sums)
+        return _table([(rows[0]["trace"], rows[0]["rank"], constant, m.shape[1], m.ravel().tolist())], _TRANSFER)
+
+    known = steps.join(pieces.select("trace", "piece", "rank", "n_before"), ["trace", "piece"])
+    vectors = entering(materialize(known.groupBy("trace", "piece").applyInArrow(transfer, _TRANSFER), "matrices"), sums)
+    return materialize(pieces.join(vectors, ["trace", "rank"]), "entered")
+
+
+def _scanned(steps: DataFrame) -> DataFrame:
+    """A row for each piece with v, the log probabilities that it is entered with, and end: 0 for the candidate that it ends with."""
+    entered = _entered(steps, _pieces(steps))
+
+    def back(group):
+        """From which candidate of the piece before each of the last candidates comes, as a transfer; of the last piece the likeliest too."""
+        rows, out = _records(group), []
+        trace, v, rank = rows[0]["trace"], rows[0]["v"], rows[0]["rank"]
+        ends = list(_viterbi(rows, v))[-1][0]
+        if rows[0]["is_last"]:
+            out.append((trace, -rank - 1, True, len(ends), [0.0 if k == kernel.leader(ends) else _NONE for k in range(len(ends))]))
+        if v is not None:
+            ways = [_chain(rows, v, k)[1] for k in range(len(ends))]
+            out.append((trace, -rank, False, len(v), [0.0 if k == way else _NONE for way in ways for k in range(len(v))]))
+        else:
+            out.append((trace, -rank, True, 1, [0.0]))  # nothing comes before, but something is to be entered
+        return _table(out, _TRANSFER)
+
+    transfers = materialize(steps.join(entered, ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(back, _TRANSFER), "back")
+    # ranks from 0 up, from the last piece to the first
+    backward = _after(materialize(transfers.withColumn("rank", F.col("rank") - F.min("rank").over(W.partitionBy("trace"))), "backward"))
+    return entered.join(entered.groupBy("trace").agg(F.max("rank").alias("top")), "trace").withColumn("up", F.col("top") - F.col("rank")).join(backward.select("trace", F.col("rank").alias("up"), F.col("v").alias("end")), ["trace", "up"])
+
+
 def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), key: str = "vehicle_id", piece_ms: int = PIECE_MS, graph: str | None = None) -> DataFrame:
     """Rows of schema MATCHED as match gives them with max_inputs off, but of kind `filtered`; a trace is spread over its pieces.
 
@@ -376,54 +453,9 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
     if config.min_distance_m > 0 or config.min_interval_ms > 0:
         ids = kept(samples.select("trace", "piece", "id", "t", F.col("lon").alias("x"), F.col("lat").alias("y"), "has"), config.min_distance_m, config.min_interval_ms, metres=kernel.planar_m)
         samples = materialize(samples.join(ids, ["trace", "piece", "id"], "left_semi"), "kept-samples")
-    steps = materialize(_linked(samples, path, config), "linked")
-
-    def matrix(group):
-        import numpy as np
-
-        rows = _records(group)
-        width = max((k["a"] for k in rows[0]["links"]), default=-1) + 1
-        constant, m = False, None
-        for i, r in enumerate(rows):
-            logs = np.array(r["logs"], float)
-            if r["broke"]:
-                constant, m = True, logs[None]
-                continue
-            one = np.full((rows[0]["n_before"] if i == 0 else m.shape[1], len(logs)), _NONE)
-            for k in r["links"]:
-                one[k["a"], k["b"]] = k["log"] + logs[k["b"]]
-            m = one if m is None else (m[:, :, None] + one[None]).max(1)
-        return _table([(rows[0]["trace"], rows[0]["rank"], constant, m.shape[1], m.ravel().tolist())], _TRANSFER)
-
-    order = W.partitionBy("trace").orderBy("piece")
-    final = F.struct("round", "edges", "fractions", "t")
-    by_sample = steps.groupBy("trace", "piece", "id").agg(F.max(F.struct("t", "lon", "lat", "id")).alias("at"), F.max_by(final, "round").alias("s"))
-    pieces = by_sample.groupBy("trace", "piece").agg(F.count("*").alias("n"), F.max_by("s", "at").alias("s")).select(
-        "trace", "piece", (F.row_number().over(order) - 1).cast("long").alias("rank"), F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
-        F.coalesce(F.size(F.lag("s.edges").over(order)), F.lit(0)).alias("n_before"), F.lag("s.fractions").over(order).alias("fractions_before"), F.lag("s.t").over(order).alias("t_before"), F.lead("piece").over(order).isNull().alias("is_last"))
-    pieces = materialize(pieces, "pieces")
-    forward = entering(materialize(steps.join(pieces.select("trace", "piece", "rank", "n_before"), ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(matrix, _TRANSFER), "matrices"))
-    entered = materialize(pieces.join(forward, ["trace", "rank"]), "entered")
+    steps = materialize(_linked(samples, lambda: _Roads(path, config)), "linked")
 
-    def back(group):
-        """From which candidate of the piece before each of the last candidates comes, as a transfer; of the last piece the likeliest too."""
-        rows, out = _records(group), []
-        trace, v, rank = rows[0]["trace"], rows[0]["v"], rows[0]["rank"]
-        ends = list(_viterbi(rows, v))[-1][0]
-        if rows[0]["is_last"]:
-            out.append((trace, -rank - 1, True, len(ends), [0.0 if k == kernel.leader(ends) else _NONE for k in range(len(ends))]))
-        if v is not None:
-            ways = [_chain(rows, v, k)[1] for k in range(len(ends))]
-            out.append((trace, -rank, False, len(v), [0.0 if k == way else _NONE for way in ways for k in range(len(v))]))
-        else:
-            out.append((trace, -rank, True, 1, [0.0]))  # nothing comes before, but something is to be entered
-        return _table(out, _TRANSFER)
-
-    with_entry = steps.join(entered, ["trace", "piece"])
-    transfers = materialize(with_entry.groupBy("trace", "piece").applyInArrow(back, _TRANSFER), "back")
-    # ranks from 0 up, from the last piece to the first
-    backward = _after(materialize(transfers.withColumn("rank", F.col("rank") - F.min("rank").over(W.partitionBy("trace"))), "backward"))
-    ends = entered.join(entered.groupBy("trace").agg(F.max("rank").alias("top")), "trace").withColumn("up", F.col("top") - F.col("rank")).join(backward.select("trace", F.col("rank").alias("up"), F.col("v").alias("end")), ["trace", "up"])
+    ends = _scanned(steps)
     out_ddl = f"{MATCHED.removeprefix('vehicle_id string, ')}, trace string, piece long, open_start boolean, open_end boolean, n_routes int"
     names = [f.split()[0] for f in out_ddl.split(", ")]
 
@@ -471,6 +503,7 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
         return match.as_table(out, out_ddl)
 
     pieced = materialize(steps.join(ends.select("trace", "piece", "v", "end", "offset", "fractions_before", "t_before"), ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(told, out_ddl), "told")
+    order = W.partitionBy("trace").orderBy("piece")
     own = pieced.where("kind = '_piece'")
     up, down = order.rowsBetween(W.unboundedPreceding, -1), W.partitionBy("trace").orderBy(F.desc("piece")).rowsBetween(W.unboundedPreceding, -1)
     own = own.withColumn("earlier", F.coalesce(F.sum("n_routes").over(up), F.lit(0)).cast("int"))
