@@ -83,3 +83,34 @@ def test_matching_by_pieces(spark, town, changes, monkeypatch):
     assert as_rows((r.vehicle_id, r.asDict()) for r in got.collect()) == want and len(want) > 100
     kinds = {r[1] for r in want}
     assert {"estimate", "speed", "snapped"} <= kinds and (config.seqprob_delta_min != -2.0 or "failure" in kinds)
+
+
+def test_chains_like_the_kernel(spark, monkeypatch):
+    """Filter, sequence and the states chosen, with breaks, dead ends, gaps in the numbers and a null key."""
+    from wayfold.operators import kernel, markov
+
+    monkeypatch.setattr(pieces, "FAN", 3)
+    rng, emissions, transitions, want = random.Random(5), [], [], []
+    for name, n in (("a", 150), (None, 40), ("one", 1)):
+        vectors, last = [], []
+        for t in sorted(rng.sample(range(4 * n), n)):
+            states = {f"s{k}": rng.choice([0.0, rng.random(), rng.random()]) for k in range(rng.randint(1, 5))}
+            ways = {(a, b): rng.random() for a in last for b in states if rng.random() < (0.15 if rng.random() < 0.1 else 0.7)}
+            emissions += [(name, t, s, p) for s, p in states.items()]
+            transitions += [(name, t, a, b, p) for (a, b), p in ways.items()]
+            alive = [s for s, p in states.items() if p > 0]
+            if not alive:
+                continue
+            now = [(kernel.Candidate(s, 0.0, 0, 0), states[s]) for s in sorted(alive)]
+            place = {c.edge: k for k, (c, _) in enumerate(now)}
+            before = vectors[-1][1] if vectors else []
+            vector = kernel.filter_step(before, now, lambda p: {place[b]: (x, None) for (a, b), x in ways.items() if a == p.edge and b in place})
+            if before and all(c.before is None for c in vector):
+                vectors[-1] = (vectors[-1][0], vectors[-1][1], [before[kernel.leader([c.seq for c in before])]])
+            vectors.append((t, vector, vector))
+            last = alive
+        chosen = kernel.backtrace([v for _, _, v in vectors])
+        want += [(name, t, c.edge, round(c.filt, 9), round(c.seq, 8), c.before and c.before.edge, c is best) for (t, vector, _), best in zip(vectors, chosen) for c in vector]
+    frames = spark.createDataFrame(emissions, "trace string, t long, state string, probability double"), spark.createDataFrame(transitions, "trace string, t long, from_state string, state string, probability double")
+    got = [(r.trace, r.t, r.state, round(r.filter, 9), round(r.log, 8), r.before, r.chosen) for r in markov.decode(*frames, piece=40).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(w[5] is None for w in want) > 5

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from wayfold.config import MatchConfig
 from wayfold.operators import graphstore, spatial
 from wayfold.schema import MATCHED
-from wayfold.shared import materialize
 
 #: Deals of traces for each task of the matching: some tasks have more of them than others.
-DEALS = 8
+DEALS = 2
 _CANDIDATE = ["fwd_ref", "back_ref", "place", "along", "road_lon", "road_lat"]
 
 
@@ -61,7 +60,7 @@ def dealt(points: DataFrame, key: str) -> DataFrame:
     where = graphstore.tile_number(F.struct("lon", "lat"))
     first = known.groupBy(F.col(key).alias("_trace")).agg(F.min(F.struct("time_ms", where.alias("tile")))["tile"].alias("_tile"))
     n = DEALS * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    deals = materialize(first.repartitionByRange(n, "_tile", "_trace").select("_trace", F.spark_partition_id().alias("_deal")), "deals")
+    deals = first.repartitionByRange(n, "_tile", "_trace").select("_trace", F.spark_partition_id().alias("_deal"))
     return known.join(deals, F.col(key).eqNullSafe(F.col("_trace"))).drop("_trace")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from wayfold.config import MatchConfig
 from wayfold.functions import geo, hmm, roads, tile
 from wayfold.functions import time as tm
-from wayfold.operators import aggregate, match, network, pieces, routing, spatial, traces
+from wayfold.operators import aggregate, markov, match, network, pieces, routing, spatial, traces
 from wayfold.plans import batch
 from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_direct, sql_distance, sql_inverse, sql_scales
 from wayfold.shared import materialize, new_path
@@ -647,6 +647,33 @@ def consecutive_candidates(spark, sf_dir):
     return traces.consecutive_candidates(c).select("vehicle_id", "seq", "from_ref", "ref_id")
 
 
+_CHAIN = f"""WITH RECURSIVE {sql_candidates(25)}, em AS (
+  SELECT vehicle_id, CAST(dense_rank() OVER (PARTITION BY vehicle_id ORDER BY rn) AS BIGINT) AS k, ref_id AS state, exp(-0.5 * distance_m * distance_m / (4.07 * 4.07)) / sqrt(2 * pi() * 4.07 * 4.07) AS p, road_lon AS x, road_lat AS y FROM candidates
+), far AS (SELECT b.vehicle_id, b.k, a.state AS from_state, b.state, {sql_distance('a.x', 'a.y', 'b.x', 'b.y')} AS d FROM em a JOIN em b ON a.vehicle_id = b.vehicle_id AND a.k + 1 = b.k
+), tr AS (SELECT *, 1 / (1 + d / 50) AS p FROM far WHERE d <= 100
+), chain(vehicle_id, k, state, log, filter) AS (
+  SELECT vehicle_id, k, state, log10(p), p / sum(p) OVER (PARTITION BY vehicle_id) FROM em WHERE k = 1
+  UNION ALL SELECT vehicle_id, k, state, CASE WHEN met THEN q ELSE 0 END + log10(p), CASE WHEN met THEN f ELSE 1 END * p / sum(CASE WHEN met THEN f ELSE 1 END * p) OVER (PARTITION BY vehicle_id) FROM (
+    SELECT *, max(f) OVER (PARTITION BY vehicle_id) IS NOT NULL AS met FROM (
+      SELECT e.vehicle_id, e.k, e.state, e.p, max(c.log + log10(tr.p)) AS q, sum(c.filter * tr.p) AS f
+      FROM em e JOIN (SELECT DISTINCT vehicle_id, k + 1 AS k FROM chain) n ON n.vehicle_id = e.vehicle_id AND n.k = e.k LEFT JOIN tr ON tr.vehicle_id = e.vehicle_id AND tr.k = e.k AND tr.state = e.state
+      LEFT JOIN chain c ON c.vehicle_id = tr.vehicle_id AND c.k + 1 = tr.k AND c.state = tr.from_state GROUP BY 1, 2, 3, 4)) WHERE NOT met OR f IS NOT NULL)"""
+
+
+@query(f"{_CHAIN} SELECT vehicle_id, k, state, {rounded_sql('filter', 6)} AS filter, {rounded_sql('log', 5)} AS log FROM chain")
+def chain_probabilities(spark, sf_dir):
+    """Filter and sequence probabilities of roads along each trace, by pieces of 25 steps; jumps of 100 m break it."""
+    from pyspark.sql import Window as W
+
+    c = spatial.radius_join(gps(spark, sf_dir).select("vehicle_id", "rn", "lon", "lat"), grid(spark, sf_dir), 25.0)
+    k = F.dense_rank().over(W.partitionBy("vehicle_id").orderBy("rn")).cast("long")
+    em = materialize(c.select("vehicle_id", k.alias("k"), F.col("ref_id").alias("state"), hmm.emission(F.col("distance_m"), 4.07).alias("probability"), "road_lon", "road_lat"), "emissions")
+    before = em.select("vehicle_id", (F.col("k") + 1).alias("k"), F.col("state").alias("from_state"), F.col("road_lon").alias("x"), F.col("road_lat").alias("y"))
+    far = em.join(before, ["vehicle_id", "k"]).withColumn("d", geo.distance(F.col("x"), F.col("y"), F.col("road_lon"), F.col("road_lat"))).where("d <= 100")
+    told = markov.decode(em, far.select("vehicle_id", "k", "from_state", "state", (1 / (1 + F.col("d") / 50)).alias("probability")), 25, "vehicle_id", "k")
+    return told.select("vehicle_id", "k", "state", rounded(F.col("filter"), 6).alias("filter"), rounded(F.col("log"), 5).alias("log"))
+
+
 # Events of matched points
 
 
@@ -735,6 +762,12 @@ def hmm_match(spark, sf_dir):
     return match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
 
 
+@query()
+def hmm_match_pieces(spark, sf_dir):
+    """Matching with every five minutes of a trace in a task of its own; tests hold it against hmm_match's kernel."""
+    return pieces.match_long(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(), piece_ms=300_000)
+
+
 @query()
 def hmm_weekly_speeds(spark, sf_dir):
     return aggregate.weekly_speed_cycle(match.speed_edges(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())))
