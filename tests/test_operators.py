@@ -107,17 +107,17 @@ def test_replay_of_an_archive_reads_its_own_seconds(spark, tmp_path, monkeypatch
     known = rows.where("time_ms IS NOT NULL").count()
     began = int(time.time() * 1000)
     stream = clock.replay(spark, f"file://{tmp_path}/archive", speed=20.0, began_ms=began)  # 200 s in 10
-    seen: list[tuple[int, int, int]] = []
+    seen: dict[int, tuple[int, int, int]] = {}  # by batch: one that was stopped halfway comes again
 
     def run(until):
-        q = stream.writeStream.foreachBatch(lambda df, n: seen.append((df.count(), *df.agg(F.min("time_ms"), F.max("time_ms")).first()))).option("checkpointLocation", str(tmp_path / "c")).start()
-        while sum(s[0] for s in seen) < until and time.time() * 1000 - began < 90_000:
+        q = stream.writeStream.foreachBatch(lambda df, n: seen.update({n: (df.count(), *df.agg(F.min("time_ms"), F.max("time_ms")).first())})).option("checkpointLocation", str(tmp_path / "c")).start()
+        while sum(s[0] for s in seen.values()) < until and time.time() * 1000 - began < 90_000:
             time.sleep(0.1)
         q.stop()
 
     run(1)
     run(known)  # from the checkpoint on
-    spans = [s for s in seen if s[0]]
+    spans = [s for _, s in sorted(seen.items()) if s[0]]
     assert sum(s[0] for s in spans) == known and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
     schema = spark.read.parquet(str(tmp_path / "archive/events")).schema
     reader = clock._Reader({"path": f"file://{tmp_path}/archive", "time": "time_ms", "began": "0", "speed": "1", "columns": json.dumps(schema.names)})
@@ -292,7 +292,7 @@ def test_unbounded_nearest_long_segments_and_dense_cells(spark):
     assert spatial.listed_segments(rows.where("geom_id = 'diagonal'"), 25.0).count() < 10_000  # its box has a million cells
 
 
-def test_route_geometry_and_intersection(spark):
+def test_route_geometry_and_intersection(spark, sf):
     e = network.edges(queries.grid(spark, sf))
     parts = spark.createDataFrame([("r", 0, "H_0_0_f", 0.25, 1.0), ("r", 1, "H_1_0_f", 0.0, 0.75)], "id string, place int, ref_id string, start_fraction double, end_fraction double")
     (r,) = network.route_geometry(parts, e, "id").collect()
@@ -322,7 +322,8 @@ def test_hmm_match_is_the_best_of_all_sequences(spark, sf):
 
     from wayfold.operators import kernel
 
-    config, edge_rows = MatchConfig(), network.costs(network.edges(queries.grid(spark, sf))).collect()
+    roads_ = queries.grid(spark, "/root/testdata/sf0.01")  # has roads by all samples of the smaller table
+    config, edge_rows = MatchConfig(), network.costs(network.edges(roads_)).collect()
     points = queries._points(spark, sf).where("time_ms <= 40000")
     nodes = sorted({n for e in edge_rows for n in (e.src, e.dst)})
     at = {n: i for i, n in enumerate(nodes)}
@@ -363,7 +364,7 @@ def test_hmm_match_is_the_best_of_all_sequences(spark, sf):
     for r in points.orderBy("vehicle_id", "time_ms").collect():
         traces.setdefault(r.vehicle_id, []).append((r.lon, r.lat))
     got = {}
-    for r in match.match(points, queries.grid(spark, sf), config).where("kind = 'estimate'").orderBy("vehicle_id", "time_ms").collect():
+    for r in match.match(points, roads_, config).where("kind = 'estimate'").orderBy("vehicle_id", "time_ms").collect():
         got.setdefault(r.vehicle_id, []).append(r.ref_id)
     checked = 0
     for name, samples in traces.items():
@@ -455,8 +456,10 @@ def test_weekly_bins_of_odd_events_against_sql(spark, tmp_path):
     start = datetime.datetime(2024, 1, 1)
     rows = [(i, None if i % 53 == 0 else start + datetime.timedelta(minutes=9 * i), i % 48, None if i % 7 == 0 else "abc"[i % 3], values[i % 11]) for i in range(4_000)]
     spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(2000).selectExpr("id AS p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    for table in ("events", "part"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
     rows_of = lambda told: sorted(tuple(str(v) for v in r) for r in told)
     theirs = con.execute(driver.oracle_sql()["binned_events_weekly"])
     names = [c[0] for c in theirs.description]
@@ -478,6 +481,8 @@ def test_bins_at_the_ends_of_roads_against_sql(spark, tmp_path, name):
     """Five rows of nodes, met at each of their 3,000 longitudes: the last bit of a fraction decides the bin there."""
     rows = [(17 + 41 * i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=i), [2, 5, 6, 11, 12][i % 5], "view", 1.0) for i in range(15_000)]
     spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(2000).selectExpr("id AS p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    for table in ("events", "part"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
     assert _rows(driver.queries()[name](spark, str(tmp_path)).toPandas()) == _rows(con.execute(driver.oracle_sql()[name]).fetchdf())
