@@ -151,3 +151,29 @@ def align_error(truth: DataFrame, matched: DataFrame, edges: DataFrame, key: str
         return pa.table({key: pa.array([group.column(key)[0].as_py()], pa.string()), "unmatched_m": [metres], "error": [error]})
 
     return rows.groupBy(key).applyInArrow(compare, f"{key} string, unmatched_m double, error double")
+
+
+def align_pairs(truth: DataFrame, matched: DataFrame, edges: DataFrame, key: str = "vehicle_id", ref: str = "ref_id", seq: str = "seq") -> DataFrame:
+    """(key, true_seq, matched_seq, ref): which edges of two sequences belong together, leaving least length unmatched.
+
+    A trace is a group, in the space of its sequences: see kernel.aligned. Edges without
+    a length are left out; a key that only one side has gives no row.
+    """
+    from wayfold.operators import kernel
+
+    lengths = edges.select(ref, "length_m").dropDuplicates([ref])
+    both = [df.select(key, F.col(seq).cast("long").alias("at"), ref, F.lit(side).alias("side")) for side, df in enumerate((truth, matched))]
+    rows = both[0].unionByName(both[1]).join(lengths, ref).where(F.col("at").isNotNull())
+    kind = rows.schema[key].dataType.simpleString()
+
+    def pair(group):
+        import pyarrow as pa
+
+        listed = sorted(zip(*(group.column(c).to_pylist() for c in ("side", "at", ref))))
+        sides = [[r[1:] for r in listed if r[0] == side] for side in (0, 1)]
+        length = dict(zip(group.column(ref).to_pylist(), group.column("length_m").to_pylist()))
+        pairs = kernel.aligned(*([r[1] for r in side] for side in sides), length)
+        name = group.column(key)[0]
+        return pa.table({key: pa.array([name.as_py()] * len(pairs), name.type), "true_seq": pa.array([sides[0][i][0] for i, _ in pairs], pa.int64()), "matched_seq": pa.array([sides[1][j][0] for _, j in pairs], pa.int64()), ref: pa.array([sides[0][i][1] for i, _ in pairs], pa.string())})
+
+    return rows.groupBy(key).applyInArrow(pair, f"{key} {kind}, true_seq long, matched_seq long, {ref} string")

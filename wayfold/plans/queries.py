@@ -790,6 +790,32 @@ def hmm_trace_geojson(spark, sf_dir):
     return geojson.trace(_matched(spark, sf_dir), network.edges(grid(spark, sf_dir)))
 
 
+_ALIGNED = f"""WITH RECURSIVE {GPS_SQL}, lens AS (SELECT 'e' || i AS ref, CAST(10 * (1 + i) AS DOUBLE) AS len FROM range(5) t(i)
+), a AS (SELECT vehicle_id, rn + 1 AS i, 'e' || event_id % 5 AS ref, len FROM gps JOIN lens ON ref = 'e' || event_id % 5
+), b AS (SELECT vehicle_id, rn + 1 AS j, 'e' || (event_id * 3 + rn) % 5 AS ref, len FROM gps JOIN lens ON ref = 'e' || (event_id * 3 + rn) % 5
+), ahead AS (SELECT vehicle_id, j, ref, sum(len) OVER (PARTITION BY vehicle_id ORDER BY j) AS r FROM b UNION ALL SELECT DISTINCT vehicle_id, 0, NULL, CAST(0 AS DOUBLE) FROM b
+), rows_(vehicle_id, i, j, cost) AS (
+  SELECT vehicle_id, CAST(0 AS BIGINT), j, r FROM ahead
+  UNION ALL SELECT vehicle_id, i, j, r + min(best - r) OVER (PARTITION BY vehicle_id ORDER BY j) FROM (
+    SELECT o.vehicle_id, a.i, o.j, h.r, least(o.cost + a.len, CASE WHEN h.ref = a.ref THEN lag(o.cost) OVER (PARTITION BY o.vehicle_id ORDER BY o.j) END) AS best
+    FROM rows_ o JOIN a ON a.vehicle_id = o.vehicle_id AND a.i = o.i + 1 JOIN ahead h ON h.vehicle_id = o.vehicle_id AND h.j = o.j))"""
+
+
+@query(f"{_ALIGNED}, ends AS (SELECT vehicle_id, max(i) AS n FROM a GROUP BY 1) SELECT r.vehicle_id, {rounded_sql('cost', 3)} AS unmatched_m FROM rows_ r JOIN ends e ON e.vehicle_id = r.vehicle_id AND r.i = n AND r.j = n")
+def align_pairs(spark, sf_dir):
+    """What is left unmatched by the pairs of two sequences for each vehicle, of five kinds of edges."""
+    g = gps(spark, sf_dir)
+    name = lambda k: F.concat(F.lit("e"), k % 5)
+    one = g.select("vehicle_id", F.col("rn").alias("seq"), name(F.col("event_id")).alias("ref_id"))
+    two = g.select("vehicle_id", F.col("rn").alias("seq"), name(F.col("event_id") * 3 + F.col("rn")).alias("ref_id"))
+    length = lambda df: df.withColumn("m", 10.0 * (1 + F.substring("ref_id", 2, 1).cast("int")))
+    kinds = length(one.select("ref_id").union(two.select("ref_id")).distinct()).withColumnRenamed("m", "length_m")
+    pairs = match.align_pairs(one, two, kinds)
+    sums = [length(df).groupBy("vehicle_id").agg(F.sum("m").alias(c)) for df, c in ((one, "a"), (two, "b"), (pairs, "p"))]
+    told = sums[0].join(sums[1], "vehicle_id").join(sums[2], "vehicle_id", "left")
+    return told.select("vehicle_id", rounded(F.col("a") + F.col("b") - 2 * F.coalesce("p", F.lit(0.0)), 3).alias("unmatched_m"))
+
+
 @query()
 def align_error(spark, sf_dir):
     """How far the matched roads are from those that samples are nearest to."""
