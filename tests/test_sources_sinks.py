@@ -187,3 +187,22 @@ def test_a_large_tile_is_several_files(spark, tmp_path, monkeypatch):
     told = {os.path.relpath(r.path, str(tmp_path)): r.records for r in tiles.write_pbf(spark.createDataFrame(rows, "tile string, message binary"), f"file://{tmp_path}", "speeds").collect()}
     assert told["speeds/cold.speeds.pbf"] == 1 and sum(told.values()) == 201 and len(told) > 8
     assert sum(os.path.getsize(tmp_path / p) for p in told) == 201 * 50
+
+
+def test_tiles_are_fetched_by_tasks_and_kept(spark, tmp_path):
+    road = ("g", "a", "b", "g_f", None, 3, [(1.0, 2.0), (1.1, 2.0)])
+    (tmp_path / "calls").mkdir()
+
+    def fetch(address):
+        import uuid
+
+        (tmp_path / "calls" / uuid.uuid4().hex).write_text(address)
+        return wire.delimited(wire.encode_geometry(*road))
+
+    wanted = spark.createDataFrame([("12-1-1",), ("12-1-2",), ("12-1-1",), (None,)], "tile string")
+    for _ in range(2):
+        told = sorted(map(tuple, road_sources.fetched_tiles(wanted, f"file://{tmp_path}/cache", fetch, base="http://x/").collect()))
+        assert told == [(t, f"{tmp_path}/cache/{t}.geometry.6.pbf") for t in ("12-1-1", "12-1-2")]
+    assert sorted(p.read_text() for p in (tmp_path / "calls").iterdir()) == [f"http://x/osm/planet/12-1-{k}.geometry.6.pbf" for k in (1, 2)]
+    assert sorted(os.listdir(tmp_path / "cache")) == ["12-1-1.geometry.6.pbf", "12-1-2.geometry.6.pbf"]
+    assert [r.geom_id for r in road_sources.read_tiles(spark, f"file://{tmp_path}/cache").collect()] == ["g"]

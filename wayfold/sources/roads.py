@@ -32,24 +32,45 @@ def write_roads(rows: DataFrame, path: str) -> None:
     rows.write.mode("errorifexists").parquet(path)
 
 
+def _fetched(tile: str, folder: str, fetch: Callable[[str], bytes], address: str) -> str:
+    """The path of a tile under folder, downloaded unless it is there; it gets its name when it is whole."""
+    import uuid
+
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(folder)
+    path = f"{root}/{tile}.geometry.6.pbf"
+    if store.get_file_info(path).type == fs.FileType.NotFound:
+        data, part = fetch(f"{address}/{tile}.geometry.6.pbf"), f"{path}.{uuid.uuid4().hex}.part"
+        store.create_dir(root, recursive=True)
+        with store.open_output_stream(part) as f:
+            f.write(data)
+        store.move(part, path)
+    return path
+
+
 def fetch_tiles(tiles: list[str], folder: str, fetch: Callable[[str], bytes], source: str = "osm/planet", base: str = "") -> list[str]:
     """Downloads tiles that folder lacks, by the given fetch; returns their paths.
 
-    Without a network, fetch can read a mirror; nothing here opens connections.
+    folder is a URI that all executors reach, or a path. Without a network, fetch can
+    read a mirror; nothing here opens connections.
     """
-    import os
-
-    os.makedirs(folder, exist_ok=True)
-    paths = []
-    for tile in tiles:
-        path = os.path.join(folder, f"{tile}.geometry.6.pbf")
-        if not os.path.exists(path):
-            data = fetch(f"{base}{source}/{tile}.geometry.6.pbf")
-            with open(path + ".part", "wb") as f:
-                f.write(data)
-            os.replace(path + ".part", path)
-        paths.append(path)
-    return paths
+    return [_fetched(tile, folder, fetch, f"{base}{source}") for tile in tiles]
+
+
+def fetched_tiles(tiles: DataFrame, folder: str, fetch: Callable[[str], bytes], source: str = "osm/planet", base: str = "", column: str = "tile") -> DataFrame:
+    """(tile, path) of the distinct tiles, each downloaded by a task unless folder has it; written out, so that it runs once."""
+    from wayfold.shared import materialize
+
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_fetched(t, folder, fetch, f"{base}{source}") for t in names], pa.string())], names=["tile", "path"])
+
+    wanted = tiles.select(F.col(column).alias("tile")).where("tile IS NOT NULL").distinct()
+    return materialize(wanted.mapInArrow(work, "tile string, path string"), "fetched")
 
 
 def parse_road_types(documents: DataFrame, column: str = "value") -> DataFrame:
