@@ -408,7 +408,7 @@ def test_op10_ids_of_any_text(spark, tmp_path):
     assert {(r.page_id, bytes(r.payload).decode()) for r in got} == {(i, f"text {k}") for k, i in enumerate(ids)}
 
 
-@pytest.mark.parametrize("index", ["plain", "deflated", "gzip", "none", "none, plain archive"])
+@pytest.mark.parametrize("index", ["plain", "deflated", "gzip", "none", "none, plain archive", "two", "part", "other"])
 def test_op10_reads_packages_of_others(spark, tmp_path, index):
     import gzip
     import json
@@ -429,6 +429,13 @@ def test_op10_reads_packages_of_others(spark, tmp_path, index):
             z.writestr("indexes/index.cdxj", lines, zipfile.ZIP_DEFLATED if index == "deflated" else zipfile.ZIP_STORED)
         elif index == "gzip":
             z.writestr("indexes/index.cdx.gz", gzip.compress(lines.encode()))
+        elif index == "two":  # that tell the same
+            z.writestr("indexes/a.cdxj", lines)
+            z.writestr("indexes/b.cdxj", lines)
+        elif index == "part":  # that leaves out a record
+            z.writestr("indexes/index.cdxj", "\n".join(lines.splitlines()[:2]))
+        elif index == "other":  # of an archive that isn't here
+            z.writestr("indexes/index.cdxj", lines.replace("data.warc", "gone.warc"))
     manifest = spark.createDataFrame([(f"{tmp_path}/other.wacz",)], "path string")
     rows = warc_zip.read_packages(manifest, f"file://{tmp_path}").collect()
     assert [(r.page_id, r.url, r.record_type, bytes(r.payload)) for r in rows] == [(None, "http://x/", "response", html)] * 2

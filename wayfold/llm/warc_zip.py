@@ -284,15 +284,21 @@ def read_packages(manifest: DataFrame, folder: str, id_type: str = "long") -> Da
             members = central_directory(read, size)
             archives = {n: m for n, m in members.items() if n.endswith((".warc", ".warc.gz")) and m["method"] == 0}
             by_name = {n.rsplit("/", 1)[-1]: n for n in archives} | {n: n for n in archives}
-            starts, seen = {n: data_offset(read, m) for n, m in archives.items()}, set()
+            starts, told = {n: data_offset(read, m) for n, m in archives.items()}, {n: {} for n in archives}
             for name in sorted(n for n in members if n.endswith((".cdxj", ".cdx.gz", ".cdxj.gz"))):
                 for entry in index_entries(member_bytes(read, members[name])):
-                    archive = by_name[entry["filename"]]
-                    seen.add(archive)
-                    data = read(starts[archive] + int(entry["offset"]), int(entry["length"]))
+                    archive, offset, length = by_name.get(entry["filename"]), int(entry["offset"]), int(entry["length"])
+                    if archive is None or offset in told[archive]:  # of another package, or told by another index
+                        continue
+                    told[archive][offset] = length
+                    data = read(starts[archive] + offset, length)
                     yield zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
-            for name in sorted(set(archives) - seen):
-                yield from records_of(read, starts[name], archives[name]["size"])
+            for name, spans in sorted(told.items()):  # what no index tells lies between
+                at = 0
+                for offset, length in [*sorted(spans.items()), (archives[name]["size"], 0)]:
+                    if offset > at:
+                        yield from records_of(read, starts[name] + at, offset - at)
+                    at = max(at, offset + length)
 
         for batch in batches:
             for path in batch.column(0).to_pylist():
