@@ -6,8 +6,10 @@ records are gzip members of their own, indexes/index.cdxj, one line for each rec
 parses the central directory, in its ZIP64 form where a package has it, finds stored
 archives (*.warc, *.warc.gz in any folder) and indexes (*.cdxj, *.cdx.gz; plain,
 gzipped or compressed in the ZIP), and reads each record by its range; nothing is
-extracted, and no archive is read whole but one that no index names, which is
-scanned record by record. So packages of other writers are read too.
+extracted, and what no index names, of an archive or between the ranges that one tells,
+is scanned record by record. A record that several indexes tell comes once; entries of
+archives that the package doesn't hold are passed over. So packages of other writers
+are read too.
 
 Files are opened where the path says (file:, hdfs:, s3: ...) by pyarrow's file
 systems, in the shared folder. A task writes under a name of its own attempt, and
