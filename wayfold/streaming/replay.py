@@ -35,44 +35,30 @@ def hourly_counts(events: DataFrame, late: str = "1 hour") -> DataFrame:
     return stamped.groupBy(F.window("ts", "1 hour"), tm.hour_of_week(F.col("time_ms")).alias("period")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), "period", "n")
 
 
-def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id", monitor: bool = False, graph: str | None = None) -> DataFrame:
+def matched(events: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), k: int = 10, tau_ms: int = 60_000, max_age_ms: int = 3_600_000, key: str = "vehicle_id", monitor: bool = False, graph: str | None = None, late: bool = False) -> DataFrame:
     """(key, time_ms, lon, lat, ref_id, fraction, probability): each sample's likeliest road position so far.
 
     Candidates come from a join of the stream with the roads; a vehicle's state is
-    kernel.Online as JSON, of at most k steps back and tau_ms. Late samples are
-    dropped; a vehicle silent for max_age_ms loses its state, by event time. The
-    network is that of graphstore.write (graph, or written here) and opened by tile.
+    that of state.Matcher, of at most k steps back and tau_ms, in RocksDB (the session's
+    state store is set to it, if it is Spark's default). A vehicle silent for max_age_ms
+    loses its state, by event time. The network is that of graphstore.write (graph, or
+    written here) and opened by tile.
+
+    Samples older than their vehicle's last one are dropped; with late they give a row
+    without a position, where the column of that name is true. What is older than the
+    watermark of ten minutes Spark drops and counts itself (numRowsDroppedByWatermark).
     With monitor, a column of that name has all candidates in JSON.
     """
-    from wayfold.operators import graphstore, kernel, match, spatial
-
-    path = graph or graphstore.write(roads)
-    output = f"{key} string, time_ms long, lon double, lat double, ref_id string, fraction double, probability double" + (", monitor string" if monitor else "")
-
-    def step(name, frames: Iterator, held) -> Iterator:
-        import pandas as pd
-
-        if held.hasTimedOut:
-            held.remove()
-            return
-        graph, rows = graphstore.opened(path, config.connect), []
-        online = kernel.Online.from_json(held.get[0], graph, config) if held.exists else kernel.Online(graph, config, k, tau_ms)
-        for frame in frames:
-            told = zip(frame.time_ms, frame.lon, frame.lat, frame.geom_id, frame.fwd_ref, frame.back_ref, frame.d, frame.i, frame.along, frame.road_lon, frame.road_lat)
-            rows += [(int(t), x, y, False, 0, None if pd.isna(g) else g, f, None if pd.isna(b) else b, {"d": d, "i": i}, a, rx, ry) for t, x, y, g, f, b, d, i, a, rx, ry in told]
-        out = []
-        for t, lon, lat, _, found in match.trace_of(rows, graph, config.radius_m):
-            c = online.add(t, lon, lat, found)
-            if c is not None:
-                out.append((name[0], t, lon, lat, graph.ref(c.edge), c.fraction, c.filt, *([online.monitor()] if monitor else [])))
-        if online.steps:
-            held.update((online.to_json(),))
-            held.setTimeoutTimestamp(max(online.steps[-1][0][0], held.getCurrentWatermarkMs()) + max_age_ms)
-        yield pd.DataFrame(out, columns=[key, "time_ms", "lon", "lat", "ref_id", "fraction", "probability", *(["monitor"] if monitor else [])])
+    from wayfold.operators import graphstore, spatial
+    from wayfold.streaming import state
 
+    state.on_rocksdb(events.sparkSession)
+    output = f"{key} {events.schema[key].dataType.simpleString()}, time_ms long, lon double, lat double, ref_id string, fraction double, probability double" + (", late boolean" if late else "") + (", monitor string" if monitor else "")
+    columns = [key, "time_ms", "lon", "lat", "ref_id", "fraction", "probability", *(["late"] if late else []), *(["monitor"] if monitor else [])]
+    matcher = state.Matcher(graph or graphstore.write(roads), config, k, tau_ms, max_age_ms, columns, late, monitor)
     stamped = events.where("time_ms IS NOT NULL").withColumn("ts", F.timestamp_millis("time_ms")).withWatermark("ts", "10 minutes").select(key, "time_ms", "lon", "lat", "ts")
     near = spatial.segment_hits(stamped, graphstore.named_roads(roads), config.radius_m).select(key, "time_ms", "lon", "lat", "ts", "geom_id", "fwd_ref", "back_ref", "place.d", "place.i", "along", "road_lon", "road_lat")
-    return near.groupBy(key).applyInPandasWithState(step, output, "state string", "append", "EventTimeTimeout")
+    return near.groupBy(key).transformWithStateInPandas(matcher, output, "append", "EventTime")
 
 
 def ordered_speeds(events: DataFrame, max_age_ms: int = 3_600_000, key: str = "vehicle_id") -> DataFrame:
