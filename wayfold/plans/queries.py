@@ -16,6 +16,7 @@ from wayfold.functions import time as tm
 from wayfold.operators import aggregate, markov, match, network, pieces, routing, spatial, traces
 from wayfold.plans import batch
 from wayfold.plans.fixtures import GPS_SQL, GRID_SQL, gps, grid, rounded_sql, sql_candidates, sql_direct, sql_distance, sql_inverse, sql_scales
+from wayfold.plans.matching_sql import matched_ctes
 from wayfold.shared import materialize, new_path
 from wayfold.sinks import geojson, tiles
 from wayfold.sources import events as sources
@@ -757,32 +758,58 @@ def _matched(spark, sf_dir) -> DataFrame:
     return materialize(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig()), "matched")
 
 
-@query()
+def _matched_sql(least_delta: float) -> str:
+    return f"WITH RECURSIVE {matched_ctes(EDGES_SQL, least_delta)}"
+
+
+_ROUNDED = {"start_fraction": 6, "end_fraction": 6, "speed_mps": 5, "seqprob_delta": 4, "lon": 8, "lat": 8}
+_MATCHED = f"{_matched_sql(-10.0)} SELECT vehicle_id, kind, seq, time_ms, ref_id, start_ref, end_ref, {', '.join(f'{rounded_sql(c, n)} AS {c}' for c, n in _ROUNDED.items())} FROM matched"
+
+
+def _matched_told(m: DataFrame) -> DataFrame:
+    return m.select("vehicle_id", "kind", "seq", "time_ms", "ref_id", "start_ref", "end_ref", *(rounded(F.col(c), n).alias(c) for c, n in _ROUNDED.items()))
+
+
+@query(_MATCHED)
 def hmm_match(spark, sf_dir):
-    return match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
+    return _matched_told(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig()))
 
 
-@query()
+@query(_MATCHED)
 def hmm_match_pieces(spark, sf_dir):
-    """Matching with every five minutes of a trace in a task of its own; tests hold it against hmm_match's kernel."""
-    return pieces.match_long(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(), piece_ms=300_000)
+    """Matching with every five minutes of a trace in a task of its own."""
+    return _matched_told(pieces.match_long(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(), piece_ms=300_000))
 
 
-@query()
+_WEEK = "CAST(CAST(date_trunc('week', epoch_ms(time_ms)) AS DATE) AS VARCHAR) AS week"
+_PERIOD = "CAST((isodow(epoch_ms(time_ms)) - 1) * 24 + hour(epoch_ms(time_ms)) AS INTEGER) AS period"
+
+
+@query(f"{_matched_sql(-10.0)} SELECT ref_id, {_WEEK}, {_PERIOD}, CAST(floor(speed_mps * 3.6 + 0.5) AS INTEGER) AS speed_bin, count(*) AS n FROM matched WHERE kind = 'speed' GROUP BY 1, 2, 3, 4")
 def hmm_weekly_speeds(spark, sf_dir):
-    return aggregate.weekly_speed_cycle(match.speed_edges(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())))
+    m = match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
+    return aggregate.weekly_speed_cycle(match.speed_edges(m)).withColumn("week", F.col("week").cast("string"))
 
 
-@query()
+@query(f"""{_matched_sql(-10.0)}, snapped AS (SELECT m.vehicle_id, m.time_ms, m.ref_id, m.end_fraction AS fraction, g.event_type, g.value, {_BINNED} AS n_bins, CAST(floor(length_m * 100 + 0.5) AS BIGINT) AS length_cm
+  FROM matched m JOIN gps g USING (vehicle_id, time_ms) JOIN edges e ON e.ref_id = m.ref_id WHERE m.kind = 'snapped' AND g.event_type IS NOT NULL)
+SELECT ref_id, {_WEEK}, {_PERIOD}, length_cm, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM snapped GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def hmm_weekly_events(spark, sf_dir):
     m = match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig())
     snapped = match.snapped_events(m).select("vehicle_id", "time_ms", "ref_id", "fraction")
-    return aggregate.weekly_binned_events(batch._with_lengths(traces.with_event_data(snapped, _points(spark, sf_dir)), grid(spark, sf_dir)), 10.0)
+    binned = aggregate.weekly_binned_events(batch._with_lengths(traces.with_event_data(snapped, _points(spark, sf_dir)), grid(spark, sf_dir)), 10.0)
+    return binned.withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})
 
 
-@query()
+@query(f"""{_matched_sql(-2.0)}, runs AS (SELECT start_ref, end_ref, vehicle_id, seq AS run, {rounded_sql('start_fraction', 6)} AS start_fraction, {rounded_sql('end_fraction', 6)} AS end_fraction, count(*) AS n_points,
+  string_agg(CAST(floor(lon * 1e6 + 0.5) AS BIGINT) || ' ' || CAST(floor(lat * 1e6 + 0.5) AS BIGINT), ' ' ORDER BY time_ms, lon, lat) AS micro_degrees FROM matched WHERE kind = 'failure' GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT *, count(*) OVER (PARTITION BY start_ref) AS n_failures FROM runs""")
 def hmm_dust(spark, sf_dir):
-    return aggregate.failure_clusters(match.failures(match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(seqprob_delta_min=-2.0))))
+    """Failed stretches by the edge they start from, one row each, with their points."""
+    m = match.match(_points(spark, sf_dir), grid(spark, sf_dir), MatchConfig(seqprob_delta_min=-2.0))
+    each = aggregate.failure_clusters(match.failures(m)).select("start_ref", "n_failures", F.explode("failures").alias("f"))
+    places = F.array_join(F.transform("f.lonlats", lambda x: F.floor(x * 1e6 + 0.5).cast("long")), " ")
+    return each.select("start_ref", "n_failures", "f.end_ref", "f.vehicle_id", "f.run", rounded(F.col("f.start_fraction"), 6).alias("start_fraction"), rounded(F.col("f.end_fraction"), 6).alias("end_fraction"), "f.n_points", places.alias("micro_degrees"))
 
 
 @query()
@@ -816,12 +843,25 @@ def align_pairs(spark, sf_dir):
     return told.select("vehicle_id", rounded(F.col("a") + F.col("b") - 2 * F.coalesce("p", F.lit(0.0)), 3).alias("unmatched_m"))
 
 
-@query()
+_SNAPPED_25 = _SNAP.removeprefix(f"WITH {sql_candidates(10)}, ")
+
+
+@query(f"""{_matched_sql(-10.0)}, {_SNAPPED_25}, a AS MATERIALIZED (SELECT s.vehicle_id, row_number() OVER (PARTITION BY s.vehicle_id ORDER BY s.time_ms, s.ref_id) AS i, s.ref_id AS ref, length_m AS len FROM snapped s JOIN edges e ON e.ref_id = s.ref_id
+), b AS MATERIALIZED (SELECT m.vehicle_id, row_number() OVER (PARTITION BY m.vehicle_id ORDER BY m.time_ms, m.ref_id) AS j, m.ref_id AS ref, length_m AS len FROM matched m JOIN edges e ON e.ref_id = m.ref_id WHERE kind = 'estimate'
+), ahead AS MATERIALIZED (SELECT vehicle_id, j, ref, sum(len) OVER (PARTITION BY vehicle_id ORDER BY j) AS r FROM b UNION ALL SELECT vehicle_id, 0, NULL, CAST(0 AS DOUBLE) FROM (SELECT vehicle_id FROM a UNION SELECT vehicle_id FROM b)
+), rows_(vehicle_id, i, j, cost) AS (
+  SELECT vehicle_id, CAST(0 AS BIGINT), j, r FROM ahead
+  UNION ALL SELECT vehicle_id, i, j, r + min(best - r) OVER (PARTITION BY vehicle_id ORDER BY j) FROM (
+    SELECT o.vehicle_id, a.i, o.j, h.r, least(o.cost + a.len, CASE WHEN h.ref = a.ref THEN lag(o.cost) OVER (PARTITION BY o.vehicle_id ORDER BY o.j) END) AS best
+    FROM rows_ o JOIN a ON a.vehicle_id = o.vehicle_id AND a.i = o.i + 1 JOIN ahead h ON h.vehicle_id = o.vehicle_id AND h.j = o.j))
+SELECT vehicle_id, {rounded_sql('arg_max(cost, (i, j))', 3)} AS unmatched_m, {rounded_sql('CASE WHEN max(i) = 0 THEN 0 ELSE arg_max(cost, (i, j)) / any_value(total) END', 6)} AS error
+FROM rows_ LEFT JOIN (SELECT vehicle_id, sum(len) AS total FROM a GROUP BY 1) USING (vehicle_id) GROUP BY 1""")
 def align_error(spark, sf_dir):
     """How far the matched roads are from those that samples are nearest to."""
     m = _matched(spark, sf_dir).where("kind = 'estimate'").select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
     nearest = spatial.snap(_points(spark, sf_dir), grid(spark, sf_dir), "event_id", 25.0).select("vehicle_id", F.col("time_ms").alias("seq"), "ref_id")
-    return match.align_error(nearest, m, network.edges(grid(spark, sf_dir)))
+    e = match.align_error(nearest, m, network.edges(grid(spark, sf_dir)))
+    return e.select("vehicle_id", rounded(F.col("unmatched_m"), 3).alias("unmatched_m"), rounded(F.col("error"), 6).alias("error"))
 
 
 @query()
