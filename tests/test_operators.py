@@ -427,6 +427,12 @@ def test_dust_of_a_frequent_start_makes_several_messages(spark, monkeypatch):
         sizes = [len(r.message) for r in messages.collect()]
         assert len(sizes) > 50 and max(sizes) < 1200
         assert sorted((*r[:4], list(r[4])) for r in tiles.decoded_dust(messages).collect()) == expected
+    other = traces.failure_runs(marked.withColumns({"vehicle_id": F.lit("w"), "ref_id": F.lit("f")}).where("time_ms < 10"), fraction="fraction")
+    whole, cut = (aggregate.failure_clusters(runs.unionByName(other), n).collect() for n in (2006, 100))
+    assert sorted((r.start_ref, r.part, r.n_failures, len(r.failures)) for r in whole) == [("e", 0, 1000, 1000), ("f", 0, 3, 3)]
+    parts = [r for r in cut if r.start_ref == "e"]
+    assert 15 < len(parts) <= 20 and len(cut) == len(parts) + 1 and {r.n_failures for r in parts} == {1000}
+    assert max(len(r.failures) for r in parts) < 100 and sorted(f for r in cut for f in r.failures) == sorted(f for r in whole for f in r.failures)
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import roads
 from wayfold.functions import time as tm
+from wayfold.shared import materialize
+
+#: Failed points of one start that make one row; what has more is several.
+CLUSTER_POINTS = 1_000_000
 
 
 def speed_histogram(rows: DataFrame, *keys: str, mps: Column | str = "speed_mps") -> DataFrame:
@@ -59,7 +63,17 @@ def weekly_binned_events(events: DataFrame, bin_size_m: float, ref: str = "ref_i
     return binned_events(placed, bin_size_m, "week", "length_cm", "period", ref=ref)
 
 
-def failure_clusters(runs: DataFrame) -> DataFrame:
-    """(start_ref, n_failures, failures array<struct>): closed failure runs by the edge they start from."""
+def failure_clusters(runs: DataFrame, most_points: int = CLUSTER_POINTS) -> DataFrame:
+    """(start_ref, part, n_failures, failures array<struct>): closed failure runs by the edge they start from.
+
+    A start whose failures have more than most_points points is several rows: parts
+    from 0, dealt by hash, of about so many points each. n_failures is the start's
+    number, in each of them.
+    """
+    told = materialize(runs, "failures")
+    total = told.groupBy("start_ref").agg(F.count("*").alias("_all"), F.sum("n_points").alias("_points"))
+    hot = total.where(F.col("_points") > most_points).select("start_ref", "_all", F.ceil(F.col("_points") / most_points).alias("_parts"))
+    part = F.pmod(F.xxhash64("vehicle_id", "run", "end_ref"), F.coalesce("_parts", F.lit(1))).cast("int")
     failure = F.struct("end_ref", "vehicle_id", "run", "start_fraction", "end_fraction", "n_points", "lonlats")
-    return runs.groupBy("start_ref").agg(F.count("*").alias("n_failures"), F.array_sort(F.collect_list(failure)).alias("failures"))
+    parts = told.join(hot, "start_ref", "left").groupBy("start_ref", part.alias("part")).agg(F.coalesce(F.first("_all"), F.count("*")).alias("n_failures"), F.array_sort(F.collect_list(failure)).alias("failures"))
+    return parts.select("start_ref", "part", "n_failures", "failures")

@@ -603,7 +603,8 @@ def failure_runs(spark, sf_dir):
 @query(f"{_RUNS} SELECT start_ref, count(*) AS n_failures, CAST(sum(n_points) AS BIGINT) AS n_points, min(end_ref) AS first_end FROM runs GROUP BY 1")
 def dust_clusters(spark, sf_dir):
     c = aggregate.failure_clusters(traces.failure_runs(_steps(spark, sf_dir)))
-    return c.select("start_ref", "n_failures", F.aggregate("failures", F.lit(0).cast("long"), lambda a, f: a + f["n_points"]).alias("n_points"), F.array_min(F.transform("failures", lambda f: f["end_ref"])).alias("first_end"))
+    each = c.select("start_ref", "n_failures", F.explode("failures").alias("f"))
+    return each.groupBy("start_ref").agg(F.first("n_failures").alias("n_failures"), F.sum("f.n_points").alias("n_points"), F.min("f.end_ref").alias("first_end"))
 
 
 @query(f"""{_STEPS}, placed AS (SELECT *, CAST(event_id % 8 AS DOUBLE) / 8 AS fraction, sum(CAST(good AS INTEGER)) OVER (PARTITION BY vehicle_id ORDER BY time_ms) AS run FROM good
