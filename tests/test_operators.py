@@ -3,6 +3,7 @@
 import datetime
 import glob
 import json
+import math
 import os
 import time
 
@@ -292,6 +293,24 @@ def test_unbounded_nearest_long_segments_and_dense_cells(spark):
     assert spatial.listed_segments(rows.where("geom_id = 'diagonal'"), 25.0).count() < 10_000  # its box has a million cells
 
 
+def test_segments_near_the_poles_are_listed_in_few_cells_and_found(spark):
+    places = [(x, y) for x in (-179.9995, 0.0, 179.9995) for y in (-89.7, -85.2, 0.0, 60.0, 82.9, 89.3)]
+    lines = [(f"{x}_{y}", "a", "b", f"{x}_{y}_f", None, 3, [{"lon": x, "lat": y}, {"lon": x + 0.0004, "lat": y + 0.001}]) for x, y in places]
+    rows = spark.createDataFrame([*lines, ("beyond", "a", "b", "beyond_f", None, 3, [{"lon": 0.0, "lat": 110.0}, {"lon": 0.0, "lat": 110.001}])], ROAD)
+    counts = {r.geom_id: r["count"] for r in spatial.listed_segments(rows, 25.0).groupBy("geom_id").count().collect()}
+    assert len(counts) == len(lines) + 1 and max(counts.values()) < 60
+    shift = lambda y: 0.00015 / math.cos(math.radians(y))  # noqa: E731  16.7 metres
+    points = [(k, ((x + 0.0002 + d * shift(y)) + 180) % 360 - 180, y + 0.0005, geom) for k, (d, ((x, y), geom)) in enumerate((d, (p, r[0])) for d in (-1, 1, 4) for p, r in zip(places, lines))]
+    got = sorted((r.k, r.geom_id) for r in spatial.radius_join(spark.createDataFrame(points, "k long, lon double, lat double, own string"), rows, 25.0).collect())
+    assert [g for g in got if g in {(p[0], p[3]) for p in points}] == [(p[0], p[3]) for p in points if p[0] < 2 * len(lines)]
+
+
+def test_distances_in_steps_are_the_expression_to_the_bit(spark):
+    rows = spark.createDataFrame([(-96.8, 32.9, -96.79, 32.91), (179.9, -60.0, -179.9, -60.1), (1.0, 1.0, 1.0, 1.0), (None, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
+    told = geo.measured(rows, "m", "a", "b", "c", "d").select("m", geo.distance(*map(F.col, "abcd"))).collect()
+    assert len(told) == 4 and all(r[0] == r[1] for r in told)
+
+
 def test_route_geometry_and_intersection(spark, sf):
     e = network.edges(queries.grid(spark, sf))
     parts = spark.createDataFrame([("r", 0, "H_0_0_f", 0.25, 1.0), ("r", 1, "H_1_0_f", 0.0, 0.75)], "id string, place int, ref_id string, start_fraction double, end_fraction double")

@@ -9,6 +9,8 @@ box: what is longer than a cell is listed piece by piece.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,14 +24,19 @@ CELL = 0.0005
 FARTHEST_M = 20_100_000.0
 
 
-def _cell(x, size: float):
+def _cell(x: Column, size: float | Column) -> Column:
     return F.floor(x / size).cast("long")
 
 
-def _around(cell: float) -> tuple[float, int]:
-    """The least size of a cell, from this one on, of which a whole number goes around the globe, and that number."""
-    n = max(1, int(360.0 / cell + 1e-9))
-    return (cell if abs(n * cell - 360.0) < 1e-9 else 360.0 / n), n
+def _wide(cy: Column, cell: float) -> Column:
+    """How many times as wide as a cell of the equator those of row cy are: about as many as metres of longitude are fewer.
+
+    Told by comparing whole numbers, so that both sides of a join tell the same everywhere.
+    """
+    inner, out = F.when(cy >= 0, cy).otherwise(-cy - 1), F.lit(1.0)
+    for k in range(1, 10):  # up to the latitude that listed_segments counts metres at
+        out = F.when(inner >= math.ceil(math.degrees(math.acos(2.0**-k)) / cell), 2.0**k).otherwise(out)
+    return out
 
 
 def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
@@ -39,49 +46,54 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
     its direction, the metres of the road where it starts and that it has, and the road's.
     A segment takes the short way over the 180th meridian, and is listed on each side with
     the longitudes of that side, be they beyond 180 degrees: its points compare with it as they are.
+    In each row of cells it has those along its part beside the row. Cells are counted
+    from the 180th meridian; towards the poles they span more degrees of longitude, so that
+    a radius reaches few cells at any latitude.
     """
-    cell, n = _around(cell)
     rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
     last = F.element_at("segs", -1)
     rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode("segs").alias("i", "s"))
     direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
     bx = F.when(F.abs(F.col("s.bx") - F.col("s.ax")) > 180, F.col("s.bx") - 360 * F.signum(F.col("s.bx") - F.col("s.ax"))).otherwise(F.col("s.bx"))
-    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", bx.alias("bx"), "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction"))
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", bx.alias("bx"), "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction")).dropna(subset=["ax", "ay", "bx", "by"])
+    columns = rows.columns
     north = F.least(F.lit(89.9), F.greatest(F.abs("ay"), F.abs("by")) + radius_m / 110_000.0)
-    kx, ky = geo.metres_per_degree(north)
-    rows = rows.withColumns({"_gx": F.least(F.lit(360.0), radius_m * 1.01 / kx), "_gy": F.least(F.lit(180.0), radius_m * 1.01 / ky), "_n": F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / cell).cast("int"))})
-
-    def cells(k: Column) -> Column:
-        """The cells of piece k of _n, grown."""
-
-        def span(a: str, d: Column, grown: str) -> Column:
-            one, two = F.col(a) + d * k / F.col("_n"), F.col(a) + d * (k + 1) / F.col("_n")
-            return F.sequence(_cell(F.least(one, two) - F.col(grown), cell), _cell(F.greatest(one, two) + F.col(grown), cell))
-
-        ys = span("ay", dy, "_gy")
-        return F.flatten(F.transform(span("ax", dx, "_gx"), lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
-
-    listed = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), cells)))
-    west = -(n // 2)  # cells go from the 180th meridian to the 180th meridian
-    turns = F.floor((F.col("_c.cx") - west) / n)
-    rows = rows.withColumn("_c", F.explode(listed)).withColumn("_turns", turns)
-    home = {c: F.when(F.col("_turns") == 0, F.col(c)).otherwise(F.col(c) - 360.0 * F.col("_turns")) for c in ("ax", "bx")}
-    return rows.select(*(home[c].alias(c) if c in home else c for c in rows.columns), (F.col("_c.cx") - n * F.col("_turns")).alias("cx"), "_c.cy").drop("_c", "_gx", "_gy", "_n", "_turns")
-
-
-def _foot(lon: str, lat: str) -> tuple[Column, Column]:
-    """Of a point on a segment: the fraction of the nearest position, and the planar distance squared.
+    rows = rows.withColumn("_north", north)
+    kx, ky = geo.metres_per_degree(F.col("_north"))
+    slack = 1e-9  # more than roundings
+    rows = rows.withColumns({"_gx": F.least(F.lit(360.0), radius_m * 1.01 / kx) + slack, "_gy": F.least(F.lit(180.0), radius_m * 1.01 / ky) + slack})
+    rows = rows.withColumn("cy", F.explode(F.sequence(_cell(F.least("ay", "by") - F.col("_gy"), cell), _cell(F.greatest("ay", "by") + F.col("_gy"), cell))))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    clipped = lambda y: F.least(F.lit(1.0), F.greatest(F.lit(0.0), (y - F.col("ay")) / dy))
+    one = F.when(dy == 0, 0.0).otherwise(clipped(F.col("cy") * cell - F.col("_gy")))
+    two = F.when(dy == 0, 1.0).otherwise(clipped((F.col("cy") + 1) * cell + F.col("_gy")))
+    rows = rows.withColumns({"_one": F.col("ax") + dx * one, "_two": F.col("ax") + dx * two, "_width": cell * _wide(F.col("cy"), cell)})
+    rows = rows.withColumns({"_west": F.least("_one", "_two") - F.col("_gx"), "_east": F.greatest("_one", "_two") + F.col("_gx")})
+    turn = lambda x: F.floor((F.col(x) + 180) / 360).cast("long")
+    rows = rows.withColumn("_turn", F.explode(F.sequence(turn("_west"), turn("_east"))))
+    west, east = F.greatest(F.lit(-180.0), F.col("_west") - 360 * F.col("_turn")), F.least(F.lit(180.0), F.col("_east") - 360 * F.col("_turn"))
+    rows = rows.withColumn("cx", F.explode(F.sequence(_cell(west + 180, F.col("_width")), _cell(east + 180, F.col("_width")))))
+    home = {c: F.when(F.col("_turn") == 0, F.col(c)).otherwise(F.col(c) - 360.0 * F.col("_turn")).alias(c) for c in ("ax", "bx")}
+    return rows.select(*(home.get(c, c) for c in columns), "cx", "cy")
+
+
+def _foot() -> Column:
+    """Of a point (_x, _y) on a segment: the fraction of the nearest position.
 
     _kx and _ky are the metres of a degree at the point. Operations come in the order of
     the SQL (fixtures.sql_candidates): at a road's end the last bit of the fraction decides
     the bin.
     """
-    x, y = F.col(lon) - F.col("ax"), F.col(lat) - F.col("ay")
-    dx, dy, kx, ky = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"), F.col("_kx"), F.col("_ky")
-    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx * kx * kx + y * dy * ky * ky, (dx * kx) * (dx * kx) + (dy * ky) * (dy * ky)), F.lit(0.0))))
-    ox, oy = (x - f * dx) * kx, (y - f * dy) * ky
-    return f, ox * ox + oy * oy
+    x, y = F.col("_x") - F.col("ax"), F.col("_y") - F.col("ay")
+    dx, dy, kx, ky = F.col("_dx"), F.col("_dy"), F.col("_kx"), F.col("_ky")
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx * kx * kx + y * dy * ky * ky, (dx * kx) * (dx * kx) + (dy * ky) * (dy * ky)), F.lit(0.0))))
+
+
+def _off(f: Column) -> Column:
+    """The planar distance squared of a point and the position at the fraction f."""
+    x, y = F.col("_x") - F.col("ax"), F.col("_y") - F.col("ay")
+    ox, oy = (x - f * F.col("_dx")) * F.col("_kx"), (y - f * F.col("_dy")) * F.col("_ky")
+    return ox * ox + oy * oy
 
 
 def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL, how: str = "inner") -> DataFrame:
@@ -97,19 +109,20 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
     bytes, and interpreting them costs tens of times as much.
     """
     near = listed_segments(roads, radius_m, cell)
-    cell, _ = _around(cell)
-    kx, ky = geo.metres_per_degree(F.col("lat"))
+    near = near.withColumns({"_dx": F.col("bx") - F.col("ax"), "_dy": F.col("by") - F.col("ay")}).drop("bx", "by")
     x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
-    own = points.withColumns({"_x": x, "_cx": _cell(x, cell), "_cy": _cell(F.col("lat"), cell), "_kx": kx, "_ky": ky})
-    f, d2 = _foot("_x", "lat")
-    met = own.join(near, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")) & (d2 <= (radius_m * 1.01) ** 2), how)
-    # explode of one item binds f and d2 once; filters on what follows would else repeat them
-    met = met.withColumn("_h", F.explode(F.array(F.struct(f.alias("f"), d2.alias("d2")))))
-    x, y = geo.interpolate(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), F.col("_h.f"))
-    met = met.withColumns({"road_lon": x, "road_lat": y})
+    own = points.select(F.struct(*points.columns).alias("_own"), x.alias("_x"), F.col("lat").alias("_y"), _cell(F.col("lat"), cell).alias("_cy"))
+    kx, ky = geo.metres_per_degree(F.col("_y"))
+    own = own.withColumns({"_cx": _cell(F.col("_x") + 180, cell * _wide(F.col("_cy"), cell)), "_kx": kx, "_ky": ky})
+    most, same = (radius_m * 1.01) ** 2, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
+    met = own.join(near, same if how == "inner" else same & (_off(_foot()) <= most), how).drop("_cx", "_cy", "cx", "cy")
+    # explode of one item binds its value once; filters on what follows would else repeat it
+    met = met.withColumn("_f", F.explode(F.array(_foot()))).withColumn("_d2", F.explode(F.array(_off(F.col("_f")))))
+    if how == "inner":
+        met = met.where(F.col("_d2") <= most)
     return met.select(
-        *points.columns, "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_h.d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), F.when(F.col("total_m") > 0, (F.col("start_m") + F.col("_h.f") * F.col("len_m")) / F.col("total_m")).otherwise(0.0).alias("along"),
-        "road_lon", "road_lat", "direction",
+        "_own.*", "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), F.when(F.col("total_m") > 0, (F.col("start_m") + F.col("_f") * F.col("len_m")) / F.col("total_m")).otherwise(0.0).alias("along"),
+        (F.col("ax") + F.col("_dx") * F.col("_f")).alias("road_lon"), (F.col("ay") + F.col("_dy") * F.col("_f")).alias("road_lat"), "direction",
     )
 
 
@@ -125,8 +138,7 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     hits = segment_hits(own, roads, radius_m, cell)
     told = [c for c in hits.columns if c not in ("_wf_row", "geom_id", "place")]
     pairs = hits.groupBy("_wf_row", "geom_id").agg(F.min_by(F.struct(*told), "place").alias("hit"))
-    metres = geo.distance(F.col("hit.lon"), F.col("hit.lat"), F.col("hit.road_lon"), F.col("hit.road_lat"))
-    pairs = pairs.select("geom_id", "hit.*", F.explode(F.array(metres)).alias("distance_m")).where(F.col("distance_m") <= radius_m)
+    pairs = geo.measured(pairs.select("geom_id", "hit.*"), "distance_m", "lon", "lat", "road_lon", "road_lat").where(F.col("distance_m") <= radius_m)
     along, direction = F.col("along"), F.col("direction")
     forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
     backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
@@ -194,7 +206,9 @@ def snap(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 10.0)
     micro = lambda c: F.floor(c * 1e6 + 0.5) / 1e6
     n = micro(geo.azimuth(F.col("road_lon"), F.col("road_lat"), F.col("lon"), F.col("lat")))
     a = micro(F.col("azimuth"))
+    found = found.withColumn("_turns", F.explode(F.array(F.struct(n.alias("n"), a.alias("a")))))  # bound once
+    n, a = F.col("_turns.n"), F.col("_turns.a")
     eligible = ((n > 90) & (n - a >= 0)) | (a - 360 + n <= 90)
     millimetres = F.floor(F.col("distance_m") * 1000 + 0.5)  # what is nearer by less is equally near
     order = W.partitionBy(key).orderBy(millimetres, "ref_id")
-    return found.where(eligible).withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
+    return found.where(eligible).withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn", "_turns")

@@ -31,7 +31,9 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     j, r = F.floor(k / (2 * NODES - 1)).cast("int"), (k % (2 * NODES - 1)).cast("int")
     east = r < NODES - 1
     i = F.when(east, r).otherwise(r - (NODES - 1))
-    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.when(east, "H").otherwise("V").alias("d"), i.alias("i"), j.alias("j"), (i + east.cast("int")).alias("i2"), (j + (~east).cast("int")).alias("j2"))
+    # few bytes, but much work is done on each road
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    rows = parts.select(F.when(east, "H").otherwise("V").alias("d"), i.alias("i"), j.alias("j"), (i + east.cast("int")).alias("i2"), (j + (~east).cast("int")).alias("j2"))
     name = F.concat_ws("_", "d", "i", "j")
     x, y = (lambda i: F.lit(-96.8) + F.col(i).cast("double") * 0.002), (lambda j: F.lit(32.9) + F.col(j).cast("double") * 0.002)
     oneway = (F.col("i") * 7 + F.col("j") * 3) % 5 == 0
