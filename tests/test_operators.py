@@ -311,6 +311,20 @@ def test_distances_in_steps_are_the_expression_to_the_bit(spark):
     assert len(told) == 4 and all(r[0] == r[1] for r in told)
 
 
+def test_components_of_a_long_band_take_few_rounds(spark, monkeypatch):
+    k = F.col("id")
+    r, j = k % 31, F.floor(k / 31)
+    east, i = r < 15, F.when(r < 15, r).otherwise(r - 15)
+    node = lambda i, j: F.concat_ws("_", F.lit("n"), i.cast("string"), j.cast("string"))
+    band = spark.range(6_200).select(node(i, j).alias("a"), node(i + east.cast("int"), j + (~east).cast("int")).alias("b"))
+    written, plain = [], network.materialize
+    monkeypatch.setattr(network, "materialize", lambda df, name: written.append(name) or plain(df, name))
+    found = network.connected_components(band.union(spark.createDataFrame([("y", "x"), ("x", "z"), ("q", "q"), (None, "q")], "a string, b string"))).collect()
+    assert {(r.root, r.node) for r in found if r.node in "xyz"} == {("x", c) for c in "xyz"}
+    assert {r.root for r in found if r.node not in "xyz"} == {"n_0_0"} and len(found) == 16 * 201 + 3
+    assert written.count("roots") <= 14
+
+
 def test_route_geometry_and_intersection(spark, sf):
     e = network.edges(queries.grid(spark, sf))
     parts = spark.createDataFrame([("r", 0, "H_0_0_f", 0.25, 1.0), ("r", 1, "H_1_0_f", 0.0, 0.75)], "id string, place int, ref_id string, start_fraction double, end_fraction double")

@@ -99,18 +99,21 @@ def route_geometry(parts: DataFrame, edge_rows: DataFrame, *keys: str, order: st
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): each node that a link names, and the smallest node it reaches.
 
-    Every round points each node to its smallest neighbour, follows the pointers
-    once more, and contracts the graph to where they lead; rounds are about the
-    logarithm of the longest path. Each round is written to the shared folder, and
-    nothing but whether links remain reaches the driver. Links of a node with
-    itself and nulls are ignored. A hub's links are minima and thus pre-aggregated.
+    Every round points each node to the neighbour (or itself) that comes first in an order
+    drawn anew by hashing, follows the pointers once more, and contracts the graph to where
+    they lead: a fixed order would have graphs that shrink by a few nodes a round, here
+    rounds are about the logarithm of the nodes. Each round is written to the shared folder,
+    and nothing but whether links remain reaches the driver. The smallest node of each
+    component is found last. Links of a node with itself and nulls are ignored. A hub's
+    links are minima and thus pre-aggregated.
     """
     left = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
     left = materialize(left, "links")
     rounds = []
     while not left.isEmpty():
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))
+        drawn = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("node"))  # noqa: B023, E731
+        near = both.groupBy("a").agg(F.min(drawn("b")).alias("to")).select("a", F.least(drawn("a"), "to")["node"].alias("to"))
         onward = near.select(F.col("a").alias("to"), F.col("to").alias("then"))
         step = materialize(near.join(onward, "to").select(F.col("a").alias("node"), F.col("then").alias("root")), "roots")
         rounds.append(step)
@@ -119,11 +122,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         left = materialize(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
     if not rounds:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    found = rounds[0]
-    for step in rounds[1:]:
-        onward = step.select(F.col("node").alias("root"), F.col("root").alias("then"))
-        found = found.join(onward, "root", "left").select("node", F.coalesce("then", "root").alias("root"))
-    return found
+    found = rounds.pop()
+    for step in reversed(rounds):  # from the few nodes of the last rounds to all
+        onward = found.select(F.col("node").alias("root"), F.col("root").alias("then"))
+        found = step.join(onward, "root", "left").select("node", F.coalesce("then", "root").alias("root"))
+    found = materialize(found, "components")
+    return found.join(found.groupBy("root").agg(F.min("node").alias("least")), "root").select("node", F.col("least").alias("root"))
 
 
 def components(rows: DataFrame) -> DataFrame:
