@@ -305,6 +305,19 @@ def test_segments_near_the_poles_are_listed_in_few_cells_and_found(spark):
     assert [g for g in got if g in {(p[0], p[3]) for p in points}] == [(p[0], p[3]) for p in points if p[0] < 2 * len(lines)]
 
 
+def test_only_roads_about_the_points_are_listed(spark, monkeypatch):
+    """A long band of roads and points at three of them: the rest isn't listed, and Spark knows how many segments are."""
+    lines = [(f"r{k}", "a", "b", f"r{k}_f", None, 3, [{"lon": 10.0, "lat": -20.0 + k * 0.06}, {"lon": 10.0004, "lat": -20.0 + k * 0.06}]) for k in range(1900)]  # beyond a pole
+    across = ("across", "a", "b", "across_f", None, 3, [{"lon": 9.0, "lat": 0.03}, {"lon": 11.0, "lat": 0.03}])
+    rows, written, write = spark.createDataFrame([*lines, across], ROAD), {}, spatial.materialize
+    monkeypatch.setattr(spatial, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    points = spark.createDataFrame([(1, 10.0002, -20.0), (2, 10.0002, 40.0), (3, 370.0002, 88.0), (4, 10.5, 0.0301), (5, None, None)], "id long, lon double, lat double")
+    got = {(r.id, r.geom_id) for r in spatial.radius_join(points, rows, 25.0).collect()}
+    assert got == {(1, "r0"), (2, "r1000"), (3, "r1800"), (4, "across")}
+    assert {r.geom_id for r in written["segments"].select("geom_id").distinct().collect()} >= {g for _, g in got}
+    assert written["segments"].where("geom_id <> 'across'").select("geom_id").distinct().count() < 20
+
+
 def test_distances_in_steps_are_the_expression_to_the_bit(spark):
     rows = spark.createDataFrame([(-96.8, 32.9, -96.79, 32.91), (179.9, -60.0, -179.9, -60.1), (1.0, 1.0, 1.0, 1.0), (None, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
     told = geo.measured(rows, "m", "a", "b", "c", "d").select("m", geo.distance(*map(F.col, "abcd"))).collect()

@@ -22,6 +22,7 @@ from wayfold.shared import materialize
 CELL = 0.0005
 #: No two places are farther apart: where an unbounded search ends.
 FARTHEST_M = 20_100_000.0
+_ANY = -1_000_000_000
 
 
 def _cell(x: Column, size: float | Column) -> Column:
@@ -48,11 +49,12 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
     the longitudes of that side, be they beyond 180 degrees: its points compare with it as they are.
     In each row of cells it has those along its part beside the row. Cells are counted
     from the 180th meridian; towards the poles they span more degrees of longitude, so that
-    a radius reaches few cells at any latitude.
+    a radius reaches few cells at any latitude. Arrays are exploded as outer ones, none
+    being empty: Spark would else filter by their size where roads are read, in few tasks.
     """
     rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
     last = F.element_at("segs", -1)
-    rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode("segs").alias("i", "s"))
+    rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode_outer("segs").alias("i", "s"))
     direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
     bx = F.when(F.abs(F.col("s.bx") - F.col("s.ax")) > 180, F.col("s.bx") - 360 * F.signum(F.col("s.bx") - F.col("s.ax"))).otherwise(F.col("s.bx"))
     rows = rows.select("geom_id", "fwd_ref", "back_ref", "road_class", "i", "s.ax", "s.ay", bx.alias("bx"), "s.by", "s.start_m", "s.len_m", "total_m", direction.alias("direction")).dropna(subset=["ax", "ay", "bx", "by"])
@@ -77,6 +79,29 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
     return rows.select(*(home.get(c, c) for c in columns), "cx", "cy")
 
 
+def roads_about(points: DataFrame, roads: DataFrame, radius_m: float, side: float = 0.1) -> DataFrame:
+    """roads without those that lie in squares of side degrees which have no point within radius_m.
+
+    A road whose box, grown by the radius, is longer than a square is judged by the other
+    direction alone, and kept if that is longer too or has no number. So only roads that
+    something may be near to are measured; points give a row for each square of theirs.
+    """
+    cell = lambda x: F.floor(x / side).cast("long")
+    x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
+    held = points.select(cell(x).alias("x"), cell(F.col("lat")).alias("y")).distinct().dropna()
+    # a box begins in the square of a point in it or the one before; no number stands for any
+    for c in ("x", "y"):
+        held = held.withColumn(c, F.explode(F.array(F.col(c), F.col(c) - 1, F.lit(_ANY))))
+    held = materialize(held.distinct(), "squares")  # its size is known to the join
+    low, high = F.array_min("geometry.lat"), F.array_max("geometry.lat")
+    kx, ky = geo.metres_per_degree(F.least(F.lit(89.9), F.greatest(F.abs(low), F.abs(high)) + radius_m / 110_000.0))
+    gx, gy = F.least(F.lit(360.0), radius_m * 1.02 / kx) + 1e-8, F.least(F.lit(180.0), radius_m * 1.02 / ky) + 1e-8
+    west, east = F.array_min("geometry.lon") - gx, F.array_max("geometry.lon") + gx
+    begins = {"_x": F.when((east - west < side) & (west >= -180) & (east < 180), cell(west)), "_y": F.when(high - low + 2 * gy < side, cell(low - gy))}
+    placed = roads.withColumns({c: F.coalesce(v, F.lit(_ANY)) for c, v in begins.items()})
+    return placed.join(held, (F.col("_x") == F.col("x")) & (F.col("_y") == F.col("y")), "left_semi").drop(*begins)
+
+
 def _foot() -> Column:
     """Of a point (_x, _y) on a segment: the fraction of the nearest position.
 
@@ -101,14 +126,18 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
 
     Points that meet several segments of one road have a row for each; road_lon is on the
     point's side of the 180th meridian, be it beyond 180 degrees; how="left"
-    keeps points that meet none. One equi-join, nothing else is shuffled. Adds
+    keeps points that meet none. One equi-join, nothing else is shuffled; the listed
+    segments are written first, since Spark can't tell their number from that of the roads,
+    and broadcasts them only if they are few. Adds
     geom_id, fwd_ref, back_ref, road_class, place (segments of a road in order of
     nearness), along (fraction of the road), road_lon, road_lat, direction.
 
     Expressions are kept small: the JVM doesn't compile generated methods beyond 8,000
     bytes, and interpreting them costs tens of times as much.
     """
-    near = listed_segments(roads, radius_m, cell)
+    if not points.isStreaming:
+        roads = roads_about(points, roads, radius_m)
+    near = materialize(listed_segments(roads, radius_m, cell), "segments")
     near = near.withColumns({"_dx": F.col("bx") - F.col("ax"), "_dy": F.col("by") - F.col("ay")}).drop("bx", "by")
     x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
     own = points.select(F.struct(*points.columns).alias("_own"), x.alias("_x"), F.col("lat").alias("_y"), _cell(F.col("lat"), cell).alias("_cy"))
