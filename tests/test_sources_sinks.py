@@ -206,3 +206,17 @@ def test_tiles_are_fetched_by_tasks_and_kept(spark, tmp_path):
     assert sorted(p.read_text() for p in (tmp_path / "calls").iterdir()) == [f"http://x/osm/planet/12-1-{k}.geometry.6.pbf" for k in (1, 2)]
     assert sorted(os.listdir(tmp_path / "cache")) == ["12-1-1.geometry.6.pbf", "12-1-2.geometry.6.pbf"]
     assert [r.geom_id for r in road_sources.read_tiles(spark, f"file://{tmp_path}/cache").collect()] == ["g"]
+
+
+def test_small_splits_of_a_large_file_are_few_tasks(spark, tmp_path):
+    from wayfold.schema import ROAD
+    from wayfold.sources import delimited
+
+    line = [{"lon": 1.0, "lat": 2.0}, {"lon": 1.0, "lat": 2.001}]
+    rows = spark.range(6000).selectExpr("concat('g', id) AS geom_id").collect()
+    roads = spark.createDataFrame([(r.geom_id, "a", "b", r.geom_id, None, 1, line) for r in rows], ROAD).coalesce(1)
+    path = f"file://{tmp_path}/roads"
+    delimited.write(roads, path, "geometry")
+    read = delimited.read(spark, path, "geometry", split_bytes=256)
+    assert 100 < read.rdd.getNumPartitions() <= 2 * delimited.TASKS
+    assert sorted(r.geom_id for r in read.select("geom_id").collect()) == sorted(r.geom_id for r in rows)

@@ -4,7 +4,8 @@ Reading: an index of splits comes first, offsets at which a message starts, abou
 SPLIT_BYTES apart. Only files larger than that are looked through for it, each by one
 task that reads lengths and skips messages, in constant memory; it is a table in the
 shared folder. Then each partition reads its splits alone, small files packed together.
-So a file may be of any size, and no value holds more than a batch.
+So a file may be of any size, and no value holds more than a batch. Tasks don't grow in
+number with the bytes where splits are small.
 
 Writing: each task writes one file under a folder of the job's own; the job's commit
 moves them to their place, its abort takes the folder away. A failed attempt leaves nothing.
@@ -27,6 +28,8 @@ from wayfold.shared import new_path
 from wayfold.sinks import wire
 
 SPLIT_BYTES = 64 << 20
+#: Small splits are read several in a task, so that they are about so many tasks.
+TASKS = 200
 #: Bytes read at once, and rows of a batch.
 BUFFER, BATCH = 4 << 20, 10_000
 #: Kinds of messages and the rows they are.
@@ -109,9 +112,10 @@ class _Reader(DataSourceReader):
 
         store, root = fs.FileSystem.from_uri(self.index)
         rows = sorted(tuple(r.values()) for r in pq.read_table(root, filesystem=store, columns=["path", "start", "end"]).to_pylist())
+        most = max(self.most, min(SPLIT_BYTES, sum(r[2] - r[1] for r in rows) // TASKS))
         packed, size = [], 0
         for row in rows:
-            if not packed or size + row[2] - row[1] > self.most:
+            if not packed or size + row[2] - row[1] > most:
                 packed.append([])
                 size = 0
             packed[-1].append(row)
