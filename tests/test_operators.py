@@ -324,6 +324,15 @@ def test_distances_in_steps_are_the_expression_to_the_bit(spark):
     assert len(told) == 4 and all(r[0] == r[1] for r in told)
 
 
+def test_lengths_of_segments_are_the_expression_to_the_bit(spark):
+    lines = [[(-96.8, 32.9), (-96.799, 32.9), (-96.798, 32.91)], [(179.9, 60.0), (-179.9, 60.1), (10.0, -80.0), (10.0, -80.0)], [(1.0, 2.0)], [], None]
+    rows = spark.createDataFrame([(k, g) for k, g in enumerate(lines)], "k int, geometry array<struct<lon:double,lat:double>>")
+    told = rows.select("k", F.posexplode(geo.segments(F.col("geometry"))).alias("i", "s")).select("k", "i", "s.*", geo.distance(*(F.col(f"s.{c}") for c in ("ax", "ay", "bx", "by"))).alias("want")).orderBy("k", "i").collect()
+    assert [(r.k, r.i) for r in told] == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2)] and all(r.len_m == r.want for r in told)
+    assert told[1].start_m == told[0].len_m and told[4].start_m == told[2].len_m + told[3].len_m and told[4].len_m == 0
+    assert [r[0] for r in rows.orderBy("k").select(geo.length(F.col("geometry"))).collect()][2:] == [0.0, 0.0, 0.0]
+
+
 def test_components_of_a_long_band_take_few_rounds(spark, monkeypatch):
     k = F.col("id")
     r, j = k % 31, F.floor(k / 31)

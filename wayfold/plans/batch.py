@@ -24,8 +24,8 @@ def ingest(spark: SparkSession, path: str, out: str, kind: str | None = None, ti
 
 
 def _with_lengths(snapped: DataFrame, roads: DataFrame) -> DataFrame:
-    """Lengths of the snapped roads, looked up by id."""
-    lengths = network.edges(roads).select("ref_id", "length_m")
+    """Lengths of the snapped roads, looked up by id; they are written first, so that Spark knows how many there are."""
+    lengths = materialize(network.edges(roads).select("ref_id", "length_m"), "lengths")
     return snapped.join(lengths, "ref_id")
 
 
