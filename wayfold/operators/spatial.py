@@ -135,7 +135,7 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
     Expressions are kept small: the JVM doesn't compile generated methods beyond 8,000
     bytes, and interpreting them costs tens of times as much.
     """
-    if not points.isStreaming:
+    if not points.isStreaming and radius_m < 5_000:  # a wider box has no square
         roads = roads_about(points, roads, radius_m)
     near = materialize(listed_segments(roads, radius_m, cell), "segments")
     near = near.withColumns({"_dx": F.col("bx") - F.col("ax"), "_dy": F.col("by") - F.col("ay")}).drop("bx", "by")
@@ -175,10 +175,10 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class")
 
 
-def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick, enough) -> DataFrame:
+def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick) -> DataFrame:
     """What pick chooses of the road points within a radius that doubles for points without enough of them.
 
-    Each round's finds and the points that are left are written out, so that no round
+    pick also tells in _enough whether a row's point is served. Each round's finds and the points that are left are written out, so that no round
     repeats an earlier one. Without a maximum, rounds go on until no point is left or
     the radius spans the Earth.
     """
@@ -187,11 +187,11 @@ def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_
     while True:
         found = materialize(pick(radius_join(left, roads, radius, max(cell, radius / 50_000.0))), "near")
         if radius >= most:
-            ready = found
+            ready = found.drop("_enough")
         else:
-            served = enough(found)
-            ready = found.join(served, key, "left_semi")
-            left = materialize(left.join(served, key, "left_anti"), "left")
+            served = found.where("_enough")
+            ready = served.drop("_enough")
+            left = materialize(left.join(served.select(key).distinct(), key, "left_anti"), "left")
         done = ready if done is None else done.unionByName(ready)
         if radius >= most or left.isEmpty() or (max_radius_m is None and roads.isEmpty()):
             return done
@@ -206,15 +206,16 @@ def knn_join(points: DataFrame, roads: DataFrame, key: str, k: int, radius_m: fl
     Ties go to the smaller ref_id. Distances are planar: not meant for continents.
     """
     order = W.partitionBy(key).orderBy("distance_m", "ref_id")
-    pick = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick, lambda found: found.groupBy(key).count().where(F.col("count") >= k).select(key))
+    enough = (F.count("*").over(W.partitionBy(key)) >= k) & F.col(key).isNotNull()
+    pick = lambda df: df.withColumns({"rank": F.row_number().over(order), "_enough": enough}).where(F.col("rank") <= k)
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick)
 
 
 def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 100.0, max_radius_m: float | None = None, cell: float = CELL) -> DataFrame:
     """All directed road points at the least distance of each point; the radius doubles as in knn_join."""
     order = W.partitionBy(key).orderBy("distance_m")
-    pick = lambda df: df.withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank")
-    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick, lambda found: found.select(key).distinct())
+    pick = lambda df: df.withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank").withColumn("_enough", F.col(key).isNotNull())
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick)
 
 
 def demanded_roads(points: DataFrame, roads: DataFrame, zoom: int = tile.DATA_ZOOM) -> DataFrame:
