@@ -276,6 +276,18 @@ def test_routes_that_meet_within_an_edge_are_joined(spark):
     assert got == [(1, 0, "a", 0.2, 1.0), (1, 1, "b", 0.0, 0.9), (3, 7, "a", 0.0, 1.0), (3, 8, "b", 0.0, 1.0)]
 
 
+def test_edges_are_joined_by_their_own_size(spark):
+    """Not by that of the table of parts that they are made from: 36,000 edges are more than 100 kB."""
+    edges_ = network.edges(queries.grid(spark, "/root/testdata/sf0.1"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        plan = network.adjacency(edges_)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_polygons_hold_what_crosses_them(spark):
     line = lambda name, *ps: (name, "a", "b", f"{name}_f", None, 3, [{"lon": x, "lat": y} for x, y in ps])
     rows = spark.createDataFrame([line("through", (-1.0, 0.5), (2.0, 0.5)), line("in", (0.2, 0.2), (0.8, 0.8)), line("out", (2.0, 0.0), (2.0, 1.0)), line("half", (0.5, 0.5), (3.0, 3.0))], ROAD)

@@ -50,9 +50,14 @@ def edges(rows: DataFrame) -> DataFrame:
 
 
 def adjacency(edge_rows: DataFrame) -> DataFrame:
-    """(ref_id, next_ref): edges that start where an edge ends."""
-    a = edge_rows.select("ref_id", F.col("dst").alias("node"))
-    b = edge_rows.select(F.col("src").alias("node"), F.col("ref_id").alias("next_ref"))
+    """(ref_id, next_ref): edges that start where an edge ends.
+
+    Ends are written first: Spark takes edges to be as few bytes as the table that they
+    are made from, and would broadcast them all.
+    """
+    ends = materialize(edge_rows.select("ref_id", "src", "dst"), "ends")
+    a = ends.select("ref_id", F.col("dst").alias("node"))
+    b = ends.select(F.col("src").alias("node"), F.col("ref_id").alias("next_ref"))
     return a.join(b, "node").select("ref_id", "next_ref")
 
 
