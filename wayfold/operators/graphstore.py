@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import roads as rd
 from wayfold.functions import tile as tl
-from wayfold.operators import network
+from wayfold.operators import kernel, network
 from wayfold.shared import new_path
 
 ZOOM = 13
@@ -87,6 +87,7 @@ class TileGraph:
         self.notes: dict[str, list[int]] = {}
         self.loaded: set[int] = set()
         self.next = _Successors(self)
+        self.searches = kernel.Searches()
 
     def load(self, tile: int) -> None:
         if tile in self.loaded:

@@ -26,6 +26,23 @@ def _samples(points: DataFrame, roads: DataFrame, config: MatchConfig, key: str)
     return spatial.segment_hits(own, graphstore.named_roads(roads), config.radius_m, how="left").select(key, "time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE, *deal)
 
 
+def sample_rows(group):
+    """Rows of an Arrow group of _samples, as trace_of takes them; numbers go through numpy, in a tenth of the time that they take one by one.
+
+    Where no road is near, numbers of the candidate are NaN, which nothing reads.
+    """
+    import pyarrow as pa
+
+    def listed(values, of_candidate):
+        number = pa.types.is_integer(values.type) or pa.types.is_floating(values.type)
+        return values.to_numpy().tolist() if number and (of_candidate or not values.null_count) else values.to_pylist()
+
+    columns = {c: listed(group.column(c), c in _CANDIDATE) for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE) if c != "place"}
+    d, i = group.column("place").combine_chunks().flatten()
+    columns["place"] = [{"d": a, "i": b} for a, b in zip(listed(d, True), listed(i, True))]
+    return zip(*(columns[c] for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)))
+
+
 def trace_of(rows, graph, radius_m: float, numbered: bool = False) -> list[tuple]:
     """Samples (time_ms, lon, lat, has_event, candidates) in order, of rows as _samples gives them.
 
@@ -70,7 +87,7 @@ def as_table(rows: list[dict], schema: str, **constant):
 
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
     fields = [f.split() for f in schema.split(", ")]
-    return pa.Table.from_arrays([pa.array([constant[c]] * len(rows) if c in constant else [r.get(c) for r in rows], kinds[kind]) for c, kind in fields], names=[c for c, _ in fields])
+    return pa.Table.from_arrays([pa.repeat(pa.scalar(constant[c], kinds[kind]), len(rows)) if c in constant else pa.array([r.get(c) for r in rows], kinds[kind]) for c, kind in fields], names=[c for c, _ in fields])
 
 
 def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig(), key: str = "vehicle_id", graph: str | None = None) -> DataFrame:
@@ -90,8 +107,7 @@ def match(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchConfig
 
     def run(group):
         opened = graphstore.opened(path, config.connect)
-        columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE))
-        trace = trace_of(zip(*columns), opened, config.radius_m)
+        trace = trace_of(sample_rows(group), opened, config.radius_m)
         return as_table(kernel.match_trace(trace, opened, config), schema, **{key: group.column(key)[0].as_py()})
 
     # matching is work, however few the bytes

@@ -440,8 +440,7 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
 
     def gathered(group):
         opened, out = graphstore.opened(path, config.connect), []
-        columns = (group.column(c).to_pylist() for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *match._CANDIDATE))
-        numbered = match.trace_of(zip(*columns), opened, config.radius_m, numbered=True)
+        numbered = match.trace_of(match.sample_rows(group), opened, config.radius_m, numbered=True)
         for t, lon, lat, has, found, n in numbered:
             left = kernel.minset(opened, sorted(found))
             if left:
