@@ -38,7 +38,7 @@ def sample_rows(group):
         return values.to_numpy().tolist() if number and (of_candidate or not values.null_count) else values.to_pylist()
 
     columns = {c: listed(group.column(c), c in _CANDIDATE) for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE) if c != "place"}
-    d, i = group.column("place").combine_chunks().flatten()
+    d, i = (pa.chunked_array([c]) for c in group.column("place").combine_chunks().flatten())
     columns["place"] = [{"d": a, "i": b} for a, b in zip(listed(d, True), listed(i, True))]
     return zip(*(columns[c] for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", *_CANDIDATE)))
 
