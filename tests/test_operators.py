@@ -559,3 +559,34 @@ def test_bins_at_the_ends_of_roads_against_sql(spark, tmp_path, name):
     for table in ("events", "part"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
     assert _rows(driver.queries()[name](spark, str(tmp_path)).toPandas()) == _rows(con.execute(driver.oracle_sql()[name]).fetchdf())
+
+
+def test_searches_within_tasks_tell_what_rounds_tell(spark, sf, monkeypatch):
+    from wayfold.operators import routing
+    from wayfold.plans.fixtures import grid
+
+    edges_ = network.edges(grid(spark, sf))
+    nodes = edges_.select(F.col("src").alias("node")).union(edges_.select("dst")).distinct()  # dead ends too
+    costs = lambda delta: sorted(map(tuple, network.shortest_costs(edges_, nodes, 700.0, delta=delta).collect()))
+    places = edges_.where("is_forward").select("ref_id")
+    sources_ = places.select(F.col("ref_id").alias("source"), "ref_id", F.lit(0.3).alias("fraction")).union(spark.createDataFrame([("none", "none", 0.5)], "source string, ref_id string, fraction double"))
+    routes_ = lambda delta: sorted(map(tuple, routing.routes(edges_, sources_, places.select(F.col("ref_id").alias("target"), "ref_id", F.lit(0.6).alias("fraction")), 700.0, delta=delta).collect()))
+    by_rounds = costs(700.0), routes_(700.0)
+    assert len(by_rounds[0]) > 200 and len(by_rounds[1]) > 200
+    written, plain = [], routing.materialize
+    monkeypatch.setattr(routing, "materialize", lambda df, name: (written.append(name), plain(df, name))[1])
+    assert costs(None) == by_rounds[0] and routes_(None) == by_rounds[1]
+    assert "better" not in written and "open" not in written and "paths" not in written  # labels known aren't sent to and fro
+
+
+def test_searches_from_several_starts_of_a_source(spark):
+    from wayfold.operators import routing
+
+    p = lambda x: (-96.8 + 0.05 * x, 32.9)  # a tile or more apart
+    rows = [(f"e{k}", k, k + 1, 10.0, [p(k), p(k + 1)]) for k in range(6)] + [("far", 2, 9, None, [p(2), p(9)])]
+    edges_ = spark.createDataFrame(rows, "ref_id string, src long, dst long, length_m double, geometry array<struct<lon: double, lat: double>>")
+    starts = spark.createDataFrame([(1, 0, 0.0, 0.0, None), (1, 3, 5.0, 5.0, None), (1, 3, 7.0, 7.0, None), (2, 4, 99.0, 99.0, None), (3, 77, 1.0, 1.0, "x")], "source long, node long, cost double, metres double, via string").withColumn("back", F.lit(None).cast("long"))
+    told = lambda df: sorted(map(tuple, df.select("source", "node", "cost", "metres", "via", "back").collect()), key=str)
+    got = told(routing.labels(edges_, starts, 26.0))
+    assert got == told(routing.labels(edges_, starts, 26.0, delta=26.0))
+    assert (1, 5, 25.0, 25.0, "e4", 4) in got and (3, 77, 1.0, 1.0, "x", None) in got and not [r for r in got if r[0] == 2]

@@ -42,11 +42,13 @@ def named_roads(roads: DataFrame) -> DataFrame:
 
 def write(roads: DataFrame, path: str | None = None) -> str:
     """Writes the graph of roads under a path that executors share, a new one if none is given; returns it."""
-    spark = roads.sparkSession
-    path = path or new_path(spark, "graph")
-    cost = rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority"))
+    return write_edges(network.edges(roads.where(F.size("geometry") > 0)), rd.cost_time_priority(F.col("length_m"), F.col("max_speed"), F.col("priority")), path)
+
+
+def write_edges(edges: DataFrame, cost: Column, path: str | None = None) -> str:
+    """write() of rows as network.edges gives them; they need no speeds if cost needs none."""
+    path = path or new_path(edges.sparkSession, "graph")
     first, last = tile_number(F.element_at("geometry", 1)), tile_number(F.element_at("geometry", -1))
-    edges = network.edges(roads.where(F.size("geometry") > 0))
     none = F.lit(None).cast("array<long>").alias("others")
     own = edges.select(first.alias("tile"), "ref_id", "src", "dst", last.alias("next_tile"), "length_m", cost.alias("cost"), none)
     ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("node"), first.alias("t")), F.struct(F.col("dst").alias("node"), last.alias("t")))).alias("e"))
@@ -64,11 +66,7 @@ class _Successors(dict):
 
     def __missing__(self, ref):
         graph = self.graph
-        node, tile = graph.to[ref]
-        graph.load(tile)
-        for other in graph.notes.get(node, ()):
-            graph.load(other)
-        self[ref] = found = sorted(graph.out.get(node, [])) if graph.connect else []
+        self[ref] = found = graph.leaving(*graph.to[ref]) if graph.connect else []
         return found
 
 
@@ -107,6 +105,13 @@ class TileGraph:
                 self.length[ref], self.cost[ref], self.to[ref], self.tile_of[ref] = metres, cost, (dst, onward), tile
                 self.out.setdefault(src, []).append(ref)
 
+    def leaving(self, node, tile: int) -> list[str]:
+        """The edges that leave a node, known to be in a tile, in order."""
+        self.load(tile)
+        for other in self.notes.get(node, ()):
+            self.load(other)
+        return sorted(self.out.get(node, []))
+
     def find(self, name: str):
         """The edge of a name `tile:reference`; None if there is none."""
         tile, ref = name.split(":", 1)

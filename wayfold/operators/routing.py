@@ -7,6 +7,12 @@ by one join with the edges, one aggregate and one join with the labels known; wh
 improve is open again. A round is written out, so plans stay short and a lost executor
 costs a round at most; only whether labels are open reaches the driver. There is no limit
 on edges of a route, only on its cost.
+
+Such rounds send all labels known to and fro. Where edges have a geometry and no delta is
+given, the network is written once by tile instead (graphstore), sources are dealt by the
+tile they start in, and each is searched within its task, which opens the tiles that are
+reached: what is shuffled are the edges, once, and the sources. A task holds the labels of
+one source at a time.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.operators import network
+from wayfold.operators import graphstore, network
 from wayfold.shared import materialize
 
 _LABEL = ["source", "node", "cost", "metres", "via", "back"]
@@ -28,6 +34,8 @@ def labels(edge_rows: DataFrame, starts: DataFrame, bound: float, cost: str = "l
     via, then back. delta is how far labels of a source are relaxed in one round: much of
     bound means fewer rounds, and more labels that a later round improves.
     """
+    if delta is None and "geometry" in edge_rows.columns:
+        return searched(edge_rows, starts, bound, cost)
     delta = bound if delta is None else delta
     steps = edge_rows.where(F.col(cost) >= 0).select(F.col("src").alias("node"), F.col("dst"), F.col("ref_id"), F.col(cost).alias("_c"), F.col("length_m").alias("_m"))
     steps = materialize(steps, "steps")
@@ -48,6 +56,39 @@ def labels(edge_rows: DataFrame, starts: DataFrame, bound: float, cost: str = "l
     return best
 
 
+def searched(edge_rows: DataFrame, starts: DataFrame, bound: float, cost: str = "length_m", with_path: bool = False) -> DataFrame:
+    """labels() by searches within tasks, with path (as paths() tells it) on demand: edges need a geometry."""
+    path = graphstore.write_edges(edge_rows.where((F.col(cost) >= 0) & (F.size("geometry") > 0)), F.col(cost))
+    spark = edge_rows.sparkSession
+    tiles = spark.read.parquet(path).where("ref_id IS NOT NULL").groupBy(F.col("src").alias("node")).agg(F.min("tile").cast("long").alias("tile"))
+    label = F.min(F.struct("cost", "via", "metres"))
+    own = starts.where(F.col("cost") <= bound).groupBy("source", "node").agg(label.alias("l")).join(tiles, "node", "left")
+    own = own.groupBy("source").agg(F.collect_list(F.struct("node", "tile", "l.cost", "l.metres", "l.via")).alias("starts"), F.min("tile").alias("tile"))
+    # searching is work, however few the bytes
+    own = own.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "tile", "source").select("source", "starts")
+    source, node = (starts.schema[c].dataType.simpleString() for c in ("source", "node"))
+
+    names, more = [*_LABEL, *(["path"] if with_path else [])], ", path array<string>" if with_path else ""
+
+    def run(batches):
+        import pyarrow as pa
+
+        from wayfold.operators import kernel
+
+        for batch in batches:
+            of = {c: batch.schema.field("starts").type.value_type.field("node").type for c in ("node", "back")} | {"source": batch.schema.field("source").type, "via": pa.string(), "path": pa.list_(pa.string())}
+            rows: list[tuple] = []
+            for k, (s, begun) in enumerate(zip(batch.column("source").to_pylist(), batch.column("starts").to_pylist()), 1):
+                done = kernel.settled(graphstore.opened(path), begun, bound)
+                led = [(p,) for p in kernel.settled_paths(done)] if with_path else [()] * len(done)
+                rows += [(s, n, *told, *p) for (n, told), p in zip(done.items(), led)]
+                if rows and (len(rows) >= 10_000 or k == batch.num_rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, of.get(name, pa.float64())) for c, name in zip(zip(*rows), names)], names=names)
+                    rows = []
+
+    return own.mapInArrow(run, f"source {source}, node {node}, cost double, metres double, via string, back {node}{more}")
+
+
 def paths(found: DataFrame) -> DataFrame:
     """(source, node, path): the edges that lead to each label, from its source on, by pointer doubling."""
     out = found.select("source", "node", F.col("back").alias("up"), F.when(F.col("via").isNull(), F.array().cast("array<string>")).otherwise(F.array("via")).alias("path"))
@@ -70,13 +111,14 @@ def routes(edge_rows: DataFrame, sources: DataFrame, targets: DataFrame, bound:
     ended = materialize(targets.select("target", "ref_id", F.col("fraction").alias("to")).join(edge, "ref_id"), "targets")
     rest = 1 - F.col("fraction")
     starts = begun.select("source", F.col("dst").alias("node"), (F.col("_c") * rest).alias("cost"), (F.col("_m") * rest).alias("metres"), F.col("ref_id").alias("via"), F.lit(None).cast(edge.schema["src"].dataType).alias("back"))
-    found = labels(edge_rows, starts, bound, cost, delta)
+    local = delta is None and "geometry" in edge_rows.columns
+    found = materialize(searched(edge_rows, starts, bound, cost, with_path=True), "labels") if local else labels(edge_rows, starts, bound, cost, delta)
     around = found.join(ended, F.col("node") == F.col("src")).select("source", "target", (F.col("cost") + F.col("_c") * F.col("to")).alias("cost"), (F.col("metres") + F.col("_m") * F.col("to")).alias("metres"), "node", F.col("ref_id").alias("last"))
     share = F.col("to") - F.col("fraction")
     ahead = begun.join(ended.select("target", "ref_id", "to"), "ref_id").where(share >= 0).select("source", "target", (F.col("_c") * share).alias("cost"), (F.col("_m") * share).alias("metres"), F.lit(None).cast(edge.schema["src"].dataType).alias("node"), F.col("ref_id").alias("last"))
     every = ahead.unionByName(around).where(F.col("cost") <= bound)
     best = materialize(every.groupBy("source", "target").agg(F.min(F.struct("cost", "node", "last", "metres")).alias("b")).select("source", "target", "b.*"), "routes")
-    led = best.join(paths(found), ["source", "node"], "left")
+    led = best.join(found.select("source", "node", "path") if local else paths(found), ["source", "node"], "left")
     return led.select("source", "target", "cost", "metres", F.concat(F.coalesce("path", F.array().cast("array<string>")), F.array("last")).alias("path"))
 
 
