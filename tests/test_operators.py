@@ -5,6 +5,7 @@ import glob
 import json
 import math
 import os
+import random
 import time
 
 import duckdb
@@ -590,3 +591,26 @@ def test_searches_from_several_starts_of_a_source(spark):
     got = told(routing.labels(edges_, starts, 26.0))
     assert got == told(routing.labels(edges_, starts, 26.0, delta=26.0))
     assert (1, 5, 25.0, 25.0, "e4", 4) in got and (3, 77, 1.0, 1.0, "x", None) in got and not [r for r in got if r[0] == 2]
+
+
+def test_the_nearest_segment_of_each_road_is_found_where_it_is_met(spark):
+    """Roads with one, two and many segments in a cell; only the last kind is shuffled by point."""
+    rng = random.Random(8)
+    line = lambda name, lonlats: (name, "a", "b", name + "_f", name + "_b", 1, [{"lon": x, "lat": y} for x, y in lonlats])
+    plain = [line(f"p{k}", [(0.002 * k, y) for y in (0.0, 0.0012, 0.0024)]) for k in range(4)] + [line("corner", [(0.0, 0.001), (0.001, 0.001), (0.001, 0.0)])]
+    curved = [line("curve", [(0.0001 * k, 0.0016 + 0.0001 * rng.random()) for k in range(60)]), line("back", [(0.001, 0.002), (0.0011, 0.002), (0.001, 0.002)])]
+    corners = [(0.001, 0.001), (0.00105, 0.00105), (0.00095, 0.00095), (0.0, 0.0012), (0.00105, 0.002)]
+    places = corners + [(rng.uniform(-0.0003, 0.0065), rng.uniform(-0.0003, 0.0027)) for _ in range(600)]
+    points = spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(places)], "id long, lon double, lat double")
+    for roads_ in (plain, plain + curved):
+        rows = spark.createDataFrame(roads_, ROAD)
+        hits = spatial.segment_hits(points, rows, 25.0)
+        best = hits.groupBy("id", "geom_id").agg(F.min_by(F.struct("along", "direction", "road_lon", "road_lat"), "place").alias("b")).select("id", "geom_id", "b.*")
+        want = geo.measured(best.join(points, "id"), "distance_m", "lon", "lat", "road_lon", "road_lat").where("distance_m <= 25")
+        want = {(r.id, r.geom_id): (r.along, r.direction, r.distance_m) for r in want.collect()}
+        joined = spatial.radius_join(points, rows, 25.0).where("is_forward")
+        got = joined.collect()
+        assert len(got) == len(want) > 100
+        assert {(r.id, r.geom_id): (r.fraction, r.azimuth, r.distance_m) for r in got} == want
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert ("Aggregate" in plan) == (roads_ is not plain)

@@ -102,25 +102,58 @@ def roads_about(points: DataFrame, roads: DataFrame, radius_m: float, side: floa
     return placed.join(held, (F.col("_x") == F.col("x")) & (F.col("_y") == F.col("y")), "left_semi").drop(*begins)
 
 
-def _foot() -> Column:
-    """Of a point (_x, _y) on a segment: the fraction of the nearest position.
+def _foot(start: str = "a", step: str = "_d") -> Column:
+    """Of a point (_x, _y) on a segment, told by its start and step: the fraction of the nearest position.
 
     _kx and _ky are the metres of a degree at the point. Operations come in the order of
     the SQL (fixtures.sql_candidates): at a road's end the last bit of the fraction decides
     the bin.
     """
-    x, y = F.col("_x") - F.col("ax"), F.col("_y") - F.col("ay")
-    dx, dy, kx, ky = F.col("_dx"), F.col("_dy"), F.col("_kx"), F.col("_ky")
+    x, y = F.col("_x") - F.col(start + "x"), F.col("_y") - F.col(start + "y")
+    dx, dy, kx, ky = F.col(step + "x"), F.col(step + "y"), F.col("_kx"), F.col("_ky")
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(x * dx * kx * kx + y * dy * ky * ky, (dx * kx) * (dx * kx) + (dy * ky) * (dy * ky)), F.lit(0.0))))
 
 
-def _off(f: Column) -> Column:
+def _off(f: Column, start: str = "a", step: str = "_d") -> Column:
     """The planar distance squared of a point and the position at the fraction f."""
-    x, y = F.col("_x") - F.col("ax"), F.col("_y") - F.col("ay")
-    ox, oy = (x - f * F.col("_dx")) * F.col("_kx"), (y - f * F.col("_dy")) * F.col("_ky")
+    x, y = F.col("_x") - F.col(start + "x"), F.col("_y") - F.col(start + "y")
+    ox, oy = (x - f * F.col(step + "x")) * F.col("_kx"), (y - f * F.col(step + "y")) * F.col("_ky")
     return ox * ox + oy * oy
 
 
+def _near(points: DataFrame, roads: DataFrame, radius_m: float, cell: float) -> DataFrame:
+    """listed_segments of the roads about points, with the steps _dx and _dy from end to end."""
+    if not points.isStreaming and radius_m < 5_000:  # a wider box has no square
+        roads = roads_about(points, roads, radius_m)
+    near = listed_segments(roads, radius_m, cell)
+    return near.withColumns({"_dx": F.col("bx") - F.col("ax"), "_dy": F.col("by") - F.col("ay")}).drop("bx", "by")
+
+
+def _met(points: DataFrame, near: DataFrame, radius_m: float, cell: float, how: str = "inner") -> DataFrame:
+    """points, as _own, joined with the segments of their cells within radius_m; _f is the foot, _d2 how far it is."""
+    x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
+    own = points.select(F.struct(*points.columns).alias("_own"), x.alias("_x"), F.col("lat").alias("_y"), _cell(F.col("lat"), cell).alias("_cy"))
+    kx, ky = geo.metres_per_degree(F.col("_y"))
+    own = own.withColumns({"_cx": _cell(F.col("_x") + 180, cell * _wide(F.col("_cy"), cell)), "_kx": kx, "_ky": ky})
+    most, same = (radius_m * 1.01) ** 2, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
+    met = own.join(near, same if how == "inner" else same & (_off(_foot()) <= most), how).drop("_cx", "_cy", "cx", "cy")
+    # explode of one item binds its value once; filters on what follows would else repeat it
+    met = met.withColumn("_f", F.explode(F.array(_foot()))).withColumn("_d2", F.explode(F.array(_off(F.col("_f")))))
+    return met.where(F.col("_d2") <= most) if how == "inner" else met
+
+
+def _hit() -> list:
+    """Columns of what _met gives: the road, the segment's place in order of nearness and the position on it."""
+    return [
+        "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(_micro(F.col("_d2")).alias("d"), F.col("i").alias("i")).alias("place"), F.when(F.col("total_m") > 0, (F.col("start_m") + F.col("_f") * F.col("len_m")) / F.col("total_m")).otherwise(0.0).alias("along"),
+        (F.col("ax") + F.col("_dx") * F.col("_f")).alias("road_lon"), (F.col("ay") + F.col("_dy") * F.col("_f")).alias("road_lat"), "direction",
+    ]
+
+
+def _micro(d2: Column) -> Column:
+    return F.floor(d2 * 1e6)
+
+
 def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL, how: str = "inner") -> DataFrame:
     """points (with lon and lat) joined with the segments within radius_m by the plane, a little more included.
 
@@ -135,39 +168,22 @@ def segment_hits(points: DataFrame, roads: DataFrame, radius_m: float, cell: flo
     Expressions are kept small: the JVM doesn't compile generated methods beyond 8,000
     bytes, and interpreting them costs tens of times as much.
     """
-    if not points.isStreaming and radius_m < 5_000:  # a wider box has no square
-        roads = roads_about(points, roads, radius_m)
-    near = materialize(listed_segments(roads, radius_m, cell), "segments")
-    near = near.withColumns({"_dx": F.col("bx") - F.col("ax"), "_dy": F.col("by") - F.col("ay")}).drop("bx", "by")
-    x = F.when(F.col("lon") >= 180, F.col("lon") - 360).otherwise(F.col("lon"))
-    own = points.select(F.struct(*points.columns).alias("_own"), x.alias("_x"), F.col("lat").alias("_y"), _cell(F.col("lat"), cell).alias("_cy"))
-    kx, ky = geo.metres_per_degree(F.col("_y"))
-    own = own.withColumns({"_cx": _cell(F.col("_x") + 180, cell * _wide(F.col("_cy"), cell)), "_kx": kx, "_ky": ky})
-    most, same = (radius_m * 1.01) ** 2, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
-    met = own.join(near, same if how == "inner" else same & (_off(_foot()) <= most), how).drop("_cx", "_cy", "cx", "cy")
-    # explode of one item binds its value once; filters on what follows would else repeat it
-    met = met.withColumn("_f", F.explode(F.array(_foot()))).withColumn("_d2", F.explode(F.array(_off(F.col("_f")))))
-    if how == "inner":
-        met = met.where(F.col("_d2") <= most)
-    return met.select(
-        "_own.*", "geom_id", "fwd_ref", "back_ref", "road_class", F.struct(F.floor(F.col("_d2") * 1e6).alias("d"), F.col("i").alias("i")).alias("place"), F.when(F.col("total_m") > 0, (F.col("start_m") + F.col("_f") * F.col("len_m")) / F.col("total_m")).otherwise(0.0).alias("along"),
-        (F.col("ax") + F.col("_dx") * F.col("_f")).alias("road_lon"), (F.col("ay") + F.col("_dy") * F.col("_f")).alias("road_lat"), "direction",
-    )
+    near = materialize(_near(points, roads, radius_m, cell), "segments")
+    return _met(points, near, radius_m, cell, how).select("_own.*", *_hit())
 
 
-def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL) -> DataFrame:
+def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: float = CELL, written: bool = False) -> DataFrame:
     """points joined with the directed road points within radius_m.
 
     points needs lon and lat; its other columns pass through. Adds geom_id, ref_id,
     is_forward, fraction (along the direction), distance_m, road_lon, road_lat,
-    azimuth, road_class. A pair gives one row for each direction of the road: only
-    hits are shuffled, to find the nearest segment of each road.
+    azimuth, road_class. A pair gives one row for each direction of the road. Points are
+    read for their squares and for the join, so they are written first, unless the caller
+    tells that reading them is all there is to do (written).
     """
-    own = points.select(F.monotonically_increasing_id().alias("_wf_row"), "lon", "lat", F.struct(*points.columns).alias("_wf_own"))
-    hits = segment_hits(own, roads, radius_m, cell)
-    told = [c for c in hits.columns if c not in ("_wf_row", "geom_id", "place")]
-    pairs = hits.groupBy("_wf_row", "geom_id").agg(F.min_by(F.struct(*told), "place").alias("hit"))
-    pairs = geo.measured(pairs.select("geom_id", "hit.*"), "distance_m", "lon", "lat", "road_lon", "road_lat").where(F.col("distance_m") <= radius_m)
+    points = points if written else materialize(points, "points")
+    pairs = _nearest_segments(points, roads, radius_m, cell)
+    pairs = geo.measured(pairs, "distance_m", "lon", "lat", "road_lon", "road_lat").where(F.col("distance_m") <= radius_m)
     along, direction = F.col("along"), F.col("direction")
     forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
     backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
@@ -175,6 +191,34 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class")
 
 
+def _nearest_segments(points: DataFrame, roads: DataFrame, radius_m: float, cell: float) -> DataFrame:
+    """points, as lon, lat and _wf_own, with the nearest segment of each road within radius_m.
+
+    A point's cell lists all segments of a road that may be near it. One that has at most
+    one other segment of its road beside it there carries that one's ends, and a pair is
+    judged where it is met; only pairs with three or more segments in a cell are shuffled.
+    """
+    cells = W.partitionBy("cx", "cy", "geom_id")
+    order = cells.orderBy("i", "ax", "ay")
+    near = _near(points, roads, radius_m, cell).withColumn("_here", F.struct("ax", "ay", "_dx", "_dy"))
+    near = near.withColumns({"_nth": F.row_number().over(order), "_of": F.count("*").over(cells), "_other": F.coalesce(F.lead("_here").over(order), F.lag("_here").over(order))})
+    other = {"_ox": "ax", "_oy": "ay", "_odx": "_dx", "_ody": "_dy"}
+    near = materialize(near.withColumns({c: F.when(F.col("_of") == 2, F.col("_other")[v]) for c, v in other.items()}).drop("_here", "_other"), "segments")
+    own = points.select("lon", "lat", F.struct(*points.columns).alias("_wf_own"))
+    told = ["_own.lon", "_own.lat", "_own._wf_own"]
+    few = _met(own, near.where("_of <= 2"), radius_m, cell)
+    off = F.when(F.col("_of") == 2, _off(_foot("_o", "_od"), "_o", "_od"))
+    few = few.withColumn("_off", F.explode(F.array(off)))
+    nearer = (_micro(F.col("_off")) < _micro(F.col("_d2"))) | ((_micro(F.col("_off")) == _micro(F.col("_d2"))) & (F.col("_nth") == 2))
+    found = few.where(~F.coalesce((F.col("_off") <= (radius_m * 1.01) ** 2) & nearer, F.lit(False))).select(*told, *_hit()).drop("place")
+    several = near.where("_of > 2")
+    if several.isEmpty():
+        return found
+    hits = _met(own.withColumn("_wf_row", F.monotonically_increasing_id()), several, radius_m, cell).select("_own._wf_row", *told, *_hit())
+    best = hits.groupBy("_wf_row", "geom_id").agg(F.min_by(F.struct(*(c for c in hits.columns if c not in ("_wf_row", "place"))), "place").alias("hit"))
+    return found.unionByName(best.select("hit.*"))
+
+
 def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick) -> DataFrame:
     """What pick chooses of the road points within a radius that doubles for points without enough of them.
 
@@ -183,9 +227,9 @@ def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_
     the radius spans the Earth.
     """
     most = FARTHEST_M if max_radius_m is None else max_radius_m
-    left, radius, done = points, radius_m, None
+    left, radius, done = materialize(points, "points"), radius_m, None
     while True:
-        found = materialize(pick(radius_join(left, roads, radius, max(cell, radius / 50_000.0))), "near")
+        found = materialize(pick(radius_join(left, roads, radius, max(cell, radius / 50_000.0), written=True)), "near")
         if radius >= most:
             ready = found.drop("_enough")
         else:
