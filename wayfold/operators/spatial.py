@@ -182,11 +182,24 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
     tells that reading them is all there is to do (written).
     """
     points = points if written else materialize(points, "points")
+    return _directed(_pairs(points, roads, radius_m, cell))
+
+
+def _pairs(points: DataFrame, roads: DataFrame, radius_m: float, cell: float) -> DataFrame:
+    """Each point, as _wf_own, with each road within radius_m of it."""
     pairs = _nearest_segments(points, roads, radius_m, cell)
-    pairs = geo.measured(pairs, "distance_m", "lon", "lat", "road_lon", "road_lat").where(F.col("distance_m") <= radius_m)
+    return geo.measured(pairs, "distance_m", "lon", "lat", "road_lon", "road_lat").where(F.col("distance_m") <= radius_m)
+
+
+def _back_ref() -> Column:
+    return F.nullif(F.trim("back_ref"), F.lit(""))
+
+
+def _directed(pairs: DataFrame) -> DataFrame:
+    """A row for each direction of the road of each of _pairs."""
     along, direction = F.col("along"), F.col("direction")
     forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
-    backward = F.struct(F.nullif(F.trim("back_ref"), F.lit("")).alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
+    backward = F.struct(_back_ref().alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
     both = pairs.withColumn("way", F.explode(F.array(forward, backward))).where("way.ref_id IS NOT NULL")
     return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class")
 
@@ -219,17 +232,17 @@ def _nearest_segments(points: DataFrame, roads: DataFrame, radius_m: float, cell
     return found.unionByName(best.select("hit.*"))
 
 
-def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, pick) -> DataFrame:
-    """What pick chooses of the road points within a radius that doubles for points without enough of them.
+def _rounds(points: DataFrame, roads: DataFrame, key: str, radius_m: float, max_radius_m: float | None, cell: float, find) -> DataFrame:
+    """What find(points, radius, cell) finds, with a radius that doubles for points without enough.
 
-    pick also tells in _enough whether a row's point is served. Each round's finds and the points that are left are written out, so that no round
+    find also tells in _enough whether a row's point is served. Each round's finds and the points that are left are written out, so that no round
     repeats an earlier one. Without a maximum, rounds go on until no point is left or
     the radius spans the Earth.
     """
     most = FARTHEST_M if max_radius_m is None else max_radius_m
     left, radius, done = materialize(points, "points"), radius_m, None
     while True:
-        found = materialize(pick(radius_join(left, roads, radius, max(cell, radius / 50_000.0), written=True)), "near")
+        found = materialize(find(left, radius, max(cell, radius / 50_000.0)), "near")
         if radius >= most:
             ready = found.drop("_enough")
         else:
@@ -251,15 +264,23 @@ def knn_join(points: DataFrame, roads: DataFrame, key: str, k: int, radius_m: fl
     """
     order = W.partitionBy(key).orderBy("distance_m", "ref_id")
     enough = (F.count("*").over(W.partitionBy(key)) >= k) & F.col(key).isNotNull()
-    pick = lambda df: df.withColumns({"rank": F.row_number().over(order), "_enough": enough}).where(F.col("rank") <= k)
-    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick)
+    find = lambda left, radius, cell: radius_join(left, roads, radius, cell, written=True).withColumns({"rank": F.row_number().over(order), "_enough": enough}).where(F.col("rank") <= k)
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, find)
 
 
 def nearest_join(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 100.0, max_radius_m: float | None = None, cell: float = CELL) -> DataFrame:
-    """All directed road points at the least distance of each point; the radius doubles as in knn_join."""
-    order = W.partitionBy(key).orderBy("distance_m")
-    pick = lambda df: df.withColumn("rank", F.rank().over(order)).where("rank = 1").drop("rank").withColumn("_enough", F.col(key).isNotNull())
-    return _rounds(points, roads, key, radius_m, max_radius_m, cell, pick)
+    """All directed road points at the least distance of each point; the radius doubles as in knn_join.
+
+    Roads are compared before their directions are told, by a least distance that needs no order.
+    """
+    least = F.min("distance_m").over(W.partitionBy(F.col("_wf_own")[key]))
+
+    def find(left, radius, cell):
+        pairs = _pairs(left, roads, radius, cell).where(F.col("fwd_ref").isNotNull() | _back_ref().isNotNull())
+        nearest = pairs.withColumn("_least", least).where(F.col("distance_m") == F.col("_least")).drop("_least")
+        return _directed(nearest).withColumn("_enough", F.col(key).isNotNull())
+
+    return _rounds(points, roads, key, radius_m, max_radius_m, cell, find)
 
 
 def demanded_roads(points: DataFrame, roads: DataFrame, zoom: int = tile.DATA_ZOOM) -> DataFrame:

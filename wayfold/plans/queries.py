@@ -460,7 +460,7 @@ def radius_candidates(spark, sf_dir):
 
 @query(f"WITH {sql_candidates(60)}, r AS (SELECT *, rank() OVER (PARTITION BY event_id ORDER BY floor(distance_m * 1e6)) AS place FROM candidates) SELECT {_TOLD} FROM r WHERE place = 1")
 def nearest_road(spark, sf_dir):
-    return _told(spatial.nearest_join(_points(spark, sf_dir), grid(spark, sf_dir), "event_id", 15.0, 60.0))
+    return _told(spatial.nearest_join(_points(spark, sf_dir).select("event_id", "lon", "lat"), grid(spark, sf_dir), "event_id", 15.0, 60.0))
 
 
 @query(f"WITH {sql_candidates(80)}, r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY distance_m, ref_id) AS place FROM candidates) SELECT event_id, CAST(place AS BIGINT) AS rank, {rounded_sql('distance_m', 3)} AS distance_m FROM r WHERE place <= 3")
