@@ -290,14 +290,14 @@ def demanded_roads(points: DataFrame, roads: DataFrame, zoom: int = tile.DATA_ZO
     return placed.join(tiles, "tile", "left_semi").drop("tile").dropDuplicates(["geom_id"])
 
 
-def snap(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 10.0) -> DataFrame:
+def snap(points: DataFrame, roads: DataFrame, key: str, radius_m: float = 10.0, written: bool = False) -> DataFrame:
     """Each point's nearest eligible directed road point, at most one; no match, no row.
 
     A direction is eligible if the point lies on its driving side, as told by the
     azimuths from road to point (n) and of the road (a), compared to a millionth of
     a degree: (n > 90 and n - a >= 0) or (a - 360 + n <= 90).
     """
-    found = radius_join(points, roads, radius_m)
+    found = radius_join(points, roads, radius_m, written=written)
     micro = lambda c: F.floor(c * 1e6 + 0.5) / 1e6
     n = micro(geo.azimuth(F.col("road_lon"), F.col("road_lat"), F.col("lon"), F.col("lat")))
     a = micro(F.col("azimuth"))

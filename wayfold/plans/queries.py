@@ -684,7 +684,8 @@ SELECT vehicle_id, time_ms, ref_id, event_type, value AS event_value FROM (SELEC
 def events_at_repeated_times(spark, sf_dir):
     """Three samples of a vehicle share a time: each of their events comes once."""
     g = gps(spark, sf_dir).select("event_id", "vehicle_id", (F.floor(F.col("rn") / 3) * 30000).alias("time_ms"), "lon", "lat", "event_data")
-    snapped = spatial.snap(g, grid(spark, sf_dir), "event_id").select("vehicle_id", "time_ms", "ref_id", "fraction")
+    g = materialize(g, "samples")  # to be snapped, and for their events
+    snapped = spatial.snap(g.drop("event_data"), grid(spark, sf_dir), "event_id", written=True).select("vehicle_id", "time_ms", "ref_id", "fraction")
     return traces.with_event_data(snapped, g).select("vehicle_id", "time_ms", "ref_id", "event_type", "event_value")
 
 
