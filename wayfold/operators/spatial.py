@@ -177,7 +177,7 @@ def radius_join(points: DataFrame, roads: DataFrame, radius_m: float, cell: floa
 
     points needs lon and lat; its other columns pass through. Adds geom_id, ref_id,
     is_forward, fraction (along the direction), distance_m, road_lon, road_lat,
-    azimuth, road_class. A pair gives one row for each direction of the road. Points are
+    azimuth, road_class, length_m (of the road). A pair gives one row for each direction of the road. Points are
     read for their squares and for the join, so they are written first, unless the caller
     tells that reading them is all there is to do (written).
     """
@@ -201,7 +201,7 @@ def _directed(pairs: DataFrame) -> DataFrame:
     forward = F.struct(F.col("fwd_ref").alias("ref_id"), F.lit(True).alias("is_forward"), along.alias("fraction"), direction.alias("azimuth"))
     backward = F.struct(_back_ref().alias("ref_id"), F.lit(False).alias("is_forward"), (1 - along).alias("fraction"), F.pmod(direction + 180, F.lit(360.0)).alias("azimuth"))
     both = pairs.withColumn("way", F.explode(F.array(forward, backward))).where("way.ref_id IS NOT NULL")
-    return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class")
+    return both.select("_wf_own.*", "geom_id", "way.*", "distance_m", geo.short_way(F.col("road_lon")).alias("road_lon"), "road_lat", "road_class", F.col("total_m").alias("length_m"))
 
 
 def _nearest_segments(points: DataFrame, roads: DataFrame, radius_m: float, cell: float) -> DataFrame:
@@ -218,7 +218,7 @@ def _nearest_segments(points: DataFrame, roads: DataFrame, radius_m: float, cell
     other = {"_ox": "ax", "_oy": "ay", "_odx": "_dx", "_ody": "_dy"}
     near = materialize(near.withColumns({c: F.when(F.col("_of") == 2, F.col("_other")[v]) for c, v in other.items()}).drop("_here", "_other"), "segments")
     own = points.select("lon", "lat", F.struct(*points.columns).alias("_wf_own"))
-    told = ["_own.lon", "_own.lat", "_own._wf_own"]
+    told = ["_own.lon", "_own.lat", "_own._wf_own", "total_m"]
     few = _met(own, near.where("_of <= 2"), radius_m, cell)
     off = F.when(F.col("_of") == 2, _off(_foot("_o", "_od"), "_o", "_od"))
     few = few.withColumn("_off", F.explode(F.array(off)))

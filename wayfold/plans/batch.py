@@ -31,8 +31,7 @@ def _with_lengths(snapped: DataFrame, roads: DataFrame) -> DataFrame:
 
 def fast_snap(points: DataFrame, roads: DataFrame, key: str, config: MatchConfig = MatchConfig(), radius_m: float = 10.0) -> DataFrame:
     """Events binned on the roads that they are nearest to; no matching. One shuffle by point, one by bin."""
-    snapped = spatial.snap(points, roads, key, radius_m)
-    events = _with_lengths(snapped, roads).withColumn("e", F.explode(F.map_entries("event_data"))).select("ref_id", "fraction", "length_m", F.col("e.key").alias("event_type"), F.col("e.value").alias("event_value"))
+    events = spatial.snap(points, roads, key, radius_m).withColumn("e", F.explode(F.map_entries("event_data"))).select("ref_id", "fraction", "length_m", F.col("e.key").alias("event_type"), F.col("e.value").alias("event_value"))
     return aggregate.binned_events(events, config.bin_size_m)
 
 

@@ -712,7 +712,7 @@ def minset_candidates(spark, sf_dir):
 SELECT ref_id, CAST(CAST(date_trunc('week', epoch_ms(true_ms)) AS DATE) AS VARCHAR) AS week, length_cm, CAST((isodow(epoch_ms(true_ms)) - 1) * 24 + hour(epoch_ms(true_ms)) AS INTEGER) AS period, n_bins, CASE WHEN fraction >= 1 THEN n_bins - 1 ELSE CAST(floor(fraction / (CAST(1 AS DOUBLE) / n_bins)) AS INTEGER) END AS bin, event_type, count(*) AS count, {rounded_sql('sum(value)', 4)} AS value FROM binned GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def binned_events_weekly(spark, sf_dir):
     g = gps(spark, sf_dir).select("event_id", F.col("true_ms").alias("time_ms"), "lon", "lat", "event_type", F.col("value").alias("event_value"))
-    snapped = batch._with_lengths(spatial.snap(g, grid(spark, sf_dir), "event_id"), grid(spark, sf_dir))
+    snapped = spatial.snap(g, grid(spark, sf_dir), "event_id")
     e = snapped.select("ref_id", "fraction", "length_m", "time_ms", "event_type", "event_value")
     return aggregate.weekly_binned_events(e, 10.0).withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})
 
@@ -738,7 +738,7 @@ def speed_messages_read(spark, sf_dir):
 def event_messages_read(spark, sf_dir):
     """Weekly binned events as their messages tell them to a reader: sums of nulls alone are 0."""
     g = gps(spark, sf_dir).select("event_id", F.col("true_ms").alias("time_ms"), "lon", "lat", "event_type", F.col("value").alias("event_value"))
-    snapped = batch._with_lengths(spatial.snap(g, grid(spark, sf_dir), "event_id"), grid(spark, sf_dir))
+    snapped = spatial.snap(g, grid(spark, sf_dir), "event_id")
     binned = aggregate.weekly_binned_events(snapped.select("ref_id", "fraction", "length_m", "time_ms", "event_type", "event_value"), 10.0)
     read = tiles.decoded_binned(tiles.encoded_binned(binned))
     return read.withColumns({"value": rounded_sum(F.col("value"), 4), "week": F.col("week").cast("string")})

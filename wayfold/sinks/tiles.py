@@ -64,13 +64,14 @@ def encoded_binned(binned: DataFrame, ref: str = "ref_id") -> DataFrame:
     entry = F.struct("bin", "period", "event_type", "count", F.coalesce("value", F.lit(0.0)).alias("value"))
     nested = binned.groupBy(ref, "week", "length_cm", "n_bins").agg(F.collect_list(entry).alias("entries"))
 
-    def encode(ref_id, length_cm, n_bins, entries):
+    def encode(ref_id, length_cm, n_bins, *entries):
         bins: dict = {}
-        for e in entries:
-            bins.setdefault(e["bin"], {}).setdefault(e["period"], []).append((e["event_type"] or "", e["count"], e["value"]))
+        for at, period, kind, count, value in zip(*entries):
+            bins.setdefault(at, {}).setdefault(period, []).append((kind or "", count, value))
         return wire.delimited(wire.encode_binned(ref_id, length_cm, n_bins, bins))
 
-    return _encoded(nested.select(ref, "week", "length_cm", "n_bins", "entries"), encode, ref)
+    told = [F.col("entries")[c].alias(f"_{c}") for c in ("bin", "period", "event_type", "count", "value")]
+    return _encoded(nested.select(ref, "week", "length_cm", "n_bins", *told), encode, ref)
 
 
 def encoded_dust(failures: DataFrame) -> DataFrame:
@@ -212,11 +213,22 @@ def _encoded(nested: DataFrame, encode, ref: str) -> DataFrame:
     inputs = [c for c in nested.columns if c != "week"]
     schema = nested.select(*keys, F.lit(b"").alias("message")).schema
 
+    def listed(column):
+        """to_pylist() of a column; arrays are taken together, in a fraction of the time that they take one by one."""
+        import pyarrow as pa
+
+        if not pa.types.is_list(column.type) or column.null_count:
+            return column.to_pylist()
+        flat, ends = column.flatten(), (column.offsets.to_numpy() - column.offsets[0].as_py()).tolist()
+        number = pa.types.is_integer(flat.type) or pa.types.is_floating(flat.type)
+        flat = flat.to_numpy().tolist() if number and not flat.null_count else flat.to_pylist()
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
     def work(batches):
         import pyarrow as pa
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in inputs]
+            columns = [listed(batch.column(c)) for c in inputs]
             messages = [encode(*row) for row in zip(*columns)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(messages, pa.binary())], names=[*keys, "message"])
 
