@@ -614,3 +614,26 @@ def test_the_nearest_segment_of_each_road_is_found_where_it_is_met(spark):
         assert {(r.id, r.geom_id): (r.fraction, r.azimuth, r.distance_m) for r in got} == want
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert ("Aggregate" in plan) == (roads_ is not plain)
+
+
+def test_nearest_roads_are_ranked_once_and_need_a_direction(spark, monkeypatch):
+    line = lambda name, y, forward, backward: (name, "a", "b", forward, backward, 3, [{"lon": 0.0, "lat": y}, {"lon": 0.002, "lat": y}])
+    rows = spark.createDataFrame([line("none", 0.00001, None, " "), line("back", 0.00005, None, "back_b"), line("both", -0.00005, "both_f", "both_b"), line("far", 0.0003, "far_f", None)], ROAD)
+    plans, write = [], spatial.materialize
+    monkeypatch.setattr(spatial, "materialize", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()) if name == "near" else None, write(df, name))[1])
+    points = spark.createDataFrame([(1, 0.001, 0.0), (2, 0.001, 0.00045)], "id long, lon double, lat double")
+    got = sorted((r.id, r.ref_id) for r in spatial.nearest_join(points, rows, "id", 10.0, 40.0).collect())
+    assert got == [(1, "back_b"), (1, "both_b"), (1, "both_f"), (2, "far_f")]
+    assert len(plans) == 2 and not any("WindowGroupLimit" in p or "row_number" in p for p in plans)
+
+
+def test_samples_at_repeated_times_are_computed_once(spark, sf):
+    plan = driver.queries()["events_at_repeated_times"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "user_id" not in plan  # nothing is left of the table that samples are made from
+
+
+def test_snapped_points_know_the_length_of_their_road(spark, sf):
+    rows = queries.grid(spark, sf)
+    told = spatial.snap(queries._points(spark, sf), rows, "event_id").select("ref_id", "length_m")
+    assert told.count() > 100
+    assert told.join(network.edges(rows).select("ref_id", F.col("length_m").alias("m")), "ref_id", "left").where("m IS NULL OR m <> length_m").count() == 0
