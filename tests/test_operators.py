@@ -337,6 +337,22 @@ def test_distances_in_steps_are_the_expression_to_the_bit(spark):
     assert len(told) == 4 and all(r[0] == r[1] for r in told)
 
 
+def test_lengths_of_listed_segments_are_those_of_sql_to_the_bit(spark):
+    """At the longitude -96.772 the JVM's cosine is another double than the C library's; vertices without numbers give no length."""
+    from wayfold.plans.fixtures import sql_distance
+
+    at = [(-96.8 + 0.002 * i + 0.001 * k, 32.9 + 0.002 * j) for j in range(40) for i in (13, 14) for k in (0, 1)] + [(-96.8, y) for y in (33.114, 33.114999999999995, 33.147, 33.148)]
+    rows = [(f"g{k}", None, None, f"g{k}_f", None, 1, [{"lon": x, "lat": y} for x, y in (a, b, (-96.8, 32.9))]) for k, (a, b) in enumerate(zip(at, at[1:]))]
+    told = {(r.ax, r.ay, r.bx, r.by): r.len_m for r in spatial.listed_segments(spark.createDataFrame(rows, ROAD), 25.0, 10.0).collect()}
+    values = ", ".join(f"({', '.join(f'{v!r}::DOUBLE' for v in k)})" for k in told)
+    want = {r[:4]: r[4] for r in duckdb.sql(f"SELECT *, {sql_distance('x0', 'y0', 'x1', 'y1')} FROM (VALUES {values}) t(x0, y0, x1, y1)").fetchall()}
+    assert len(told) > 200 and told == want
+    odd = [(1, None), (2, []), (3, [(0.0, 0.0)]), (4, [(0.0, 0.0), (None, 0.0), (0.0, 1.0), (0.0, 2.0), (0.0, 3.0)]), (5, [(0.0, 0.0), (float("inf"), 0.0)])]
+    odd = spark.createDataFrame([(k, g and [{"lon": x, "lat": y} for x, y in g]) for k, g in odd], "k int, geometry array<struct<lon:double,lat:double>>")
+    got = {r.k: [(s.start_m, s.len_m and round(s.len_m)) for s in r.s] for r in odd.select("k", geo.plain_segments(F.col("geometry")).alias("s")).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: [(0.0, None), (0.0, None), (0.0, 110575), (got[4][3][0], 110576)], 5: [(0.0, None)]} and round(got[4][3][0]) == 110575
+
+
 def test_lengths_of_segments_are_the_expression_to_the_bit(spark):
     lines = [[(-96.8, 32.9), (-96.799, 32.9), (-96.798, 32.91)], [(179.9, 60.0), (-179.9, 60.1), (10.0, -80.0), (10.0, -80.0)], [(1.0, 2.0)], [], None]
     rows = spark.createDataFrame([(k, g) for k, g in enumerate(lines)], "k int, geometry array<struct<lon:double,lat:double>>")

@@ -52,7 +52,7 @@ def listed_segments(roads: DataFrame, radius_m: float, cell: float = CELL) -> Da
     a radius reaches few cells at any latitude. Arrays are exploded as outer ones, none
     being empty: Spark would else filter by their size where roads are read, in few tasks.
     """
-    rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.segments(F.col("geometry")).alias("segs"))
+    rows = roads.where(F.size("geometry") >= 2).select("geom_id", "fwd_ref", "back_ref", "road_class", geo.plain_segments(F.col("geometry")).alias("segs"))
     last = F.element_at("segs", -1)
     rows = rows.withColumn("total_m", last["start_m"] + last["len_m"]).select("geom_id", "fwd_ref", "back_ref", "road_class", "total_m", F.posexplode_outer("segs").alias("i", "s"))
     direction = geo.azimuth(F.col("s.ax"), F.col("s.ay"), F.col("s.bx"), F.col("s.by"))
