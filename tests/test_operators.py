@@ -337,6 +337,24 @@ def test_distances_in_steps_are_the_expression_to_the_bit(spark):
     assert len(told) == 4 and all(r[0] == r[1] for r in told)
 
 
+def test_a_band_of_roads_beyond_85_degrees_is_in_many_tiles(spark, monkeypatch):
+    """No task holds it whole: tiles are forgotten from one source to the next."""
+    from wayfold.operators import graphstore
+
+    rows = [(f"r{k}", f"n{k}", f"n{k + 1}", f"r{k}_f", f"r{k}_b", 1, [{"lon": 10.0, "lat": y}, {"lon": 10.0, "lat": y + 0.002}]) for k in range(1000) for y in (86.0 + 0.002 * k,)]
+    edges_ = network.edges(spark.createDataFrame(rows, ROAD))
+    sources = edges_.select(F.col("src").alias("node")).distinct()
+    assert 7 * 1000 < network.shortest_costs(edges_, sources, 1000.0).count() < 11 * 1001
+    path = graphstore.write_edges(edges_, F.col("length_m"))
+    assert spark.read.parquet(path).where("ref_id IS NOT NULL").groupBy("tile").count().agg(F.max("count")).first()[0] < 60
+    monkeypatch.setattr(graphstore, "MOST_EDGES", 50)
+    graph, tiles_of = graphstore.TileGraph(path), {r.src: r.tile for r in spark.read.parquet(path).select("src", "tile").collect()}
+    for k in range(0, 1000, 10):
+        graph.leaving(f"n{k}", tiles_of[f"n{k}"])
+        graph.make_room()
+        assert len(graph.length) < 200
+
+
 def test_lengths_of_listed_segments_are_those_of_sql_to_the_bit(spark):
     """At the longitude -96.772 the JVM's cosine is another double than the C library's; vertices without numbers give no length."""
     from wayfold.plans.fixtures import sql_distance

@@ -8,8 +8,9 @@ neither the driver nor a task ever holds the network, and no edge is shuffled to
 Where roads tell of one node in several tiles, each of these has a note of the others.
 Candidates know their road's geometry, so they find their edge by its first vertex.
 
-A tile is written and read as a whole: ZOOM is such that the densest cities have some
-ten thousand edges in one.
+A tile is written and read as a whole: ACROSS is such that the densest cities have some
+ten thousand edges in one. Tiles are squares of degrees, not of a projection, which would
+put all that lies beyond its last latitude into one row.
 """
 
 from __future__ import annotations
@@ -18,18 +19,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.functions import roads as rd
-from wayfold.functions import tile as tl
 from wayfold.operators import kernel, network
 from wayfold.shared import new_path
 
-ZOOM = 13
+#: Tiles of a turn of longitude, which are as many degrees of latitude high.
+ACROSS = 1 << 13
 #: Edges that a worker keeps from one trace to the next.
 MOST_EDGES = 400_000
 
 
 def tile_number(place: Column) -> Column:
     """The number of the tile of a struct(lon, lat)."""
-    return tl.tile_x(place["lon"], ZOOM).cast("long") * (1 << ZOOM) + tl.tile_y(place["lat"], ZOOM)
+    cell = lambda x: F.floor(x * (ACROSS / 360.0)).cast("long")
+    return cell(place["lon"] + 180) * (1 << 20) + cell(place["lat"] + 90)
 
 
 def named_roads(roads: DataFrame) -> DataFrame:
@@ -84,9 +86,17 @@ class TileGraph:
         self.length, self.cost, self.to, self.tile_of, self.out = {}, {}, {}, {}, {}
         self.notes: dict[str, list[int]] = {}
         self.loaded: set[int] = set()
+        self.least: int | None = None
         self.next = _Successors(self)
         self.searches = kernel.Searches()
 
+    def make_room(self) -> None:
+        """To be called after each search: forgets all tiles where they hold many edges, unless the first search since then loaded half of them."""
+        if self.least is None:
+            self.least = len(self.length)
+        if len(self.length) > max(MOST_EDGES, 2 * self.least):
+            self.clear()
+
     def load(self, tile: int) -> None:
         if tile in self.loaded:
             return

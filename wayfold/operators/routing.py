@@ -78,9 +78,10 @@ def searched(edge_rows: DataFrame, starts: DataFrame, bound: float, cost: str =
         for batch in batches:
             of = {c: batch.schema.field("starts").type.value_type.field("node").type for c in ("node", "back")} | {"source": batch.schema.field("source").type, "via": pa.string(), "path": pa.list_(pa.string())}
             rows: list[tuple] = []
-            graph = graphstore.opened(path)  # once: a tile beyond its bound of edges would be read anew for each source
+            graph = graphstore.opened(path)
             for k, (s, begun) in enumerate(zip(batch.column("source").to_pylist(), batch.column("starts").to_pylist()), 1):
                 done = kernel.settled(graph, begun, bound)
+                graph.make_room()
                 led = [(p,) for p in kernel.settled_paths(done)] if with_path else [()] * len(done)
                 rows += [(s, n, *told, *p) for (n, told), p in zip(done.items(), led)]
                 if rows and (len(rows) >= 10_000 or k == batch.num_rows):
