@@ -25,12 +25,12 @@ class _Rows:
 
     @staticmethod
     def prepared(before: list, last, s: dict):
-        now = [(kernel.Candidate(c["edge"], c["fraction"], 0.0, 0.0), c["metres"]) for c in s["found"]]
+        now = [(kernel.Candidate(state, fraction, 0.0, 0.0), p) for state, fraction, p, _, _ in s["found"]]
         place = {c.edge: k for k, (c, _) in enumerate(now)}
         ways: dict[str, dict[int, tuple]] = {}
-        for w in s["ways"]:
-            if w["b"] in place:
-                ways.setdefault(w["a"], {})[place[w["b"]]] = (w["p"], (0.0, 0.0, []))
+        for a, b, p in s["ways"]:
+            if b in place:
+                ways.setdefault(a, {})[place[b]] = (p, (0.0, 0.0, []))
         return now, lambda p: ways.get(p.edge, {})
 
 
@@ -46,41 +46,48 @@ def decode(emissions: DataFrame, transitions: DataFrame, piece: int, key: str =
     are a piece. Transitions must be of a step and the one before it that has states.
     Ties go to the smaller state.
     """
-    place = [pieces._trace(key).alias("trace"), pieces._piece(step, piece).alias("piece"), F.col(step).alias("id")]
+    at = [key, step]
+    found = emissions.groupBy(*at).agg(F.collect_list(F.struct(F.col("state").cast("string").alias("state"), "probability")).alias("found"))
+    ways = transitions.groupBy(*at).agg(F.collect_list(F.struct(F.col("from_state").cast("string").alias("from_state"), F.col("state").cast("string").alias("state"), "probability")).alias("ways"))
+    both = found.alias("f").join(ways.alias("w"), F.col(f"f.{key}").eqNullSafe(F.col(f"w.{key}")) & (F.col(f"f.{step}") == F.col(f"w.{step}")), "left")
+    return decode_steps(both.select(f"f.{key}", f"f.{step}", "found", "ways"), piece, key, step)
+
+
+def decode_steps(steps: DataFrame, piece: int, key: str = "trace", step: str = "t") -> DataFrame:
+    """decode() of a row for each key and step: found, its states as structs (state, probability), and ways, its transitions as structs (from_state, state, probability)."""
     zero = F.lit(0.0)
-    own = emissions.where(F.col("probability") > 0).select(*place, F.struct(F.col("state").cast("string").alias("edge"), zero.alias("fraction"), F.col("probability").alias("metres"), zero.alias("x"), zero.alias("y")).alias("c"))
-    ways = transitions.where(F.col("probability") > 0).select(*place, F.struct(F.col("from_state").cast("string").alias("a"), F.col("state").cast("string").alias("b"), F.col("probability").alias("p")).alias("w"))
-    at = ["trace", "piece", "id"]
-    found = own.groupBy(*at).agg(F.sort_array(F.collect_list("c")).alias("found"))
-    ways = ways.groupBy(*at).agg(F.sort_array(F.collect_list("w")).alias("ways"))
-    samples = found.join(ways, at, "left").withColumn("ways", F.coalesce("ways", F.array().cast("array<struct<a:string,b:string,p:double>>")))
-    samples = materialize(samples.select(*at, F.col("id").alias("t"), zero.alias("lon"), zero.alias("lat"), F.lit(False).alias("has"), "found", "ways"), "samples")
-    steps = materialize(pieces._linked(samples, _Rows), "linked")
-    ends = pieces._scanned(steps)
-    filtered = pieces._entered(steps, pieces._pieces(steps), sums=True).select("trace", "piece", F.col("v").alias("filter_v"))
-
-    def told(group):
-        rows = pieces._records(group)
-        head, out = rows[0], []
-        f = head["filter_v"]
-        chain, _ = pieces._chain(rows, head["v"], head["end"].index(0.0))
-        names = head["edges_before"]
-        for r, (seq, by), (c, _, _) in zip(rows, pieces._viterbi(rows, head["v"]), chain):
+    some = lambda c: F.filter(c, lambda x: x["probability"] > 0)
+    own = F.sort_array(F.transform(some("found"), lambda c: F.struct(c["state"].alias("edge"), zero.alias("fraction"), c["probability"].alias("metres"), zero.alias("x"), zero.alias("y"))))
+    ways = F.sort_array(F.transform(some("ways"), lambda w: F.struct(w["from_state"].alias("a"), w["state"].alias("b"), w["probability"].alias("p"))))
+    samples = steps.select(pieces._trace(key).alias("trace"), pieces._piece(step, piece).alias("piece"), F.col(step).alias("id"), F.col(step).alias("t"), zero.alias("lon"), zero.alias("lat"), F.lit(False).alias("has"), own.alias("found"), F.coalesce(ways, F.array().cast("array<struct<a:string,b:string,p:double>>")).alias("ways"))
+    samples = materialize(samples.where(F.size("found") > 0), "samples")
+    kind = steps.schema[key].dataType.simpleString()
+    steps = pieces._linked(samples, _Rows)
+    parts = pieces._pieces(steps)
+    ends = pieces._scanned(steps, parts)
+    filtered = pieces._entered(steps, parts, sums=True).select("trace", "piece", F.col("v").alias("filter_v"))
+
+    def told(group, piece):
+        rows, head, out = pieces._records(group), piece[0], []
+        f, names = head["filter_v"], head["edges_before"]
+        scanned = list(pieces._viterbi(rows, head["v"]))
+        chain, _ = pieces._chain(rows, scanned, head["v"], head["end"].index(0.0))
+        for r, (seq, by), (c, _, _) in zip(rows, scanned, chain):
             if r["broke"]:
                 now = [10.0**x for x in r["logs"]]
             else:
                 now = [0.0] * len(r["logs"])
-                for w in r["links"]:
-                    now[w["b"]] += f[w["a"]] * 10.0 ** w["log"]
+                for a, b, prob in zip(r["from"], r["to"], r["probs"]):
+                    now[b] += f[a] * 10.0**prob
                 now = [x * 10.0**e for x, e in zip(now, r["logs"])]
             total = sum(now)
             f = [x / total for x in now]
             for k, state in enumerate(r["edges"]):
-                out.append((r["trace"], r["t"], state, f[k], seq[k], by[k] and names[by[k]["a"]], k == c))
+                out.append((r["trace"], r["t"], state, f[k], seq[k], None if by[k] is None else names[r["from"][by[k]]], k == c))
             names = r["edges"]
-        return pieces._table(out, _OUT)
+        return out
 
     whole = ends.select("trace", "piece", "v", "end", "edges_before").join(filtered, ["trace", "piece"])
-    rows = steps.join(whole, ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(told, _OUT)
-    named = F.from_json("trace", f"k {emissions.schema[key].dataType.simpleString()}")["k"]
+    rows = pieces.grouped(steps.select(*pieces._SCANNED, "edges"), told, _OUT, whole)
+    named = F.from_json("trace", f"k {kind}")["k"]
     return rows.select(named.alias(key), F.col("t").alias(step), "state", "filter", "log", "before", "chosen")

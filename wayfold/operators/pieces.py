@@ -50,6 +50,71 @@ def _trace(key: str) -> Column:
     return F.to_json(F.struct(F.col(key).alias("k")))
 
 
+# Groups
+
+
+def _listed(values) -> list:
+    """An Arrow array as Python values, structs as tuples; numbers go through numpy, in a tenth of the time that they take one by one."""
+    import pyarrow as pa
+
+    kind = values.type
+    if pa.types.is_list(kind):
+        at = values.offsets.to_numpy().tolist()
+        inner = _listed(values.values[at[0] : at[-1]])
+        out = [inner[a - at[0] : b - at[0]] for a, b in zip(at, at[1:])]
+    elif pa.types.is_struct(kind):
+        out = list(zip(*(_listed(values.field(i)) for i in range(kind.num_fields))))
+    elif (pa.types.is_integer(kind) or pa.types.is_floating(kind)) and not values.null_count:
+        return values.to_numpy().tolist()
+    else:
+        return values.to_pylist()
+    return [v if known else None for v, known in zip(out, values.is_valid().to_pylist())] if values.null_count else out
+
+
+def grouped(rows: DataFrame, run, ddl: str, *beside: DataFrame, keys: tuple = ("trace", "piece")) -> DataFrame:
+    """What run tells of each group by keys, as tuples of ddl: run(rows), and the group's rows of each frame beside.
+
+    Rows are dicts. Groups that lack rows of any frame are left out. All frames are shuffled
+    once, together, and a task walks through its sorted groups: there are millions of small
+    ones, each of which would be some Arrow batches of its own by applyInArrow.
+    """
+    frames = [rows, *beside]
+    names = [[c for c in df.columns if c not in keys] for df in frames]
+    told = [df.select(*keys, F.lit(i).alias("_side"), F.struct(*c).alias(f"_{i}")) for i, (df, c) in enumerate(zip(frames, names))]
+    every = told[0]
+    for more in told[1:]:
+        every = every.unionByName(more, allowMissingColumns=True)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = every.repartition(n, *keys).sortWithinPartitions(*keys)
+
+    def work(batches):
+        import pyarrow.compute as pc
+
+        at, held, out = None, None, []
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                sides = part.column("_side")
+                of = [iter(zip(*map(_listed, part.column(f"_{k}").filter(pc.equal(sides, k)).flatten()))) for k in range(len(names))]
+                for key, side in zip(zip(*(_listed(part.column(k)) for k in keys)), _listed(sides)):
+                    if key != at:
+                        if held and all(held):
+                            out.extend(run(*held))
+                        at, held = key, [[] for _ in names]
+                        if len(out) >= 1000:
+                            yield from _table(out, ddl).to_batches()
+                            out = []
+                    row = dict(zip(keys, key))
+                    row.update(zip(names[side], next(of[side])))
+                    held[side].append(row)
+        if held and all(held):
+            out.extend(run(*held))
+        if out:
+            yield from _table(out, ddl).to_batches()
+
+    return every.mapInArrow(work, ddl)
+
+
 # Thinning
 
 
@@ -77,7 +142,7 @@ def kept(rows: DataFrame, min_m: float, min_ms: int, either: bool = False, metre
 
     def walk(group, entry=None, guess=frozenset()):
         """ids kept after entry until one is in guess, that one, and the last sample kept (id, t, x, y)."""
-        samples = sorted(zip(*(group.column(c).to_pylist() for c in ("t", "x", "y", "id", "has"))), key=lambda s: (s[0], s[1] is not None, s[1], s[2] is not None, s[2], s[3]))
+        samples = sorted(((r["t"], r["x"], r["y"], r["id"], r["has"]) for r in group), key=lambda s: (s[0], s[1] is not None, s[1], s[2] is not None, s[2], s[3]))
         ids, last = [], entry
         for t, x, y, name, has in samples:
             if last is None or keeps(last[1:], (t, x, y, has)):
@@ -88,18 +153,14 @@ def kept(rows: DataFrame, min_m: float, min_ms: int, either: bool = False, metre
         return ids, None, last
 
     def guessed(group):
-        import pyarrow as pa
-
         ids, _, last = walk(group)
-        xs, ys = ([v for v in group.column(c).to_pylist() if v is not None] for c in "xy")
+        xs, ys = ([r[c] for r in group if r[c] is not None] for c in "xy")
         box = [min(xs, default=None), max(xs, default=None), min(ys, default=None), max(ys, default=None)]
-        always = any(group.column("has").to_pylist()) or group.column("x").null_count + group.column("y").null_count > 0
-        told = [group.column("trace")[0].as_py(), group.column("piece")[0].as_py(), ids, *last, *box, max(group.column("t").to_pylist()), always]
-        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), *[pa.float64()] * 6, pa.int64(), pa.bool_()]
-        return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(told, kinds)], names=[c.split()[0] for c in columns.split(", ")])
+        always = any(r["has"] or r["x"] is None or r["y"] is None for r in group)
+        return [(group[0]["trace"], group[0]["piece"], ids, *last, *box, max(r["t"] for r in group), always)]
 
     columns = f"trace string, piece long, ids array<long>, {_STATE}, x0 double, x1 double, y0 double, y1 double, t1 long, always boolean"
-    guesses = materialize(rows.groupBy("trace", "piece").applyInArrow(guessed, columns), "guesses")
+    guesses = materialize(grouped(rows, guessed, columns), "guesses")
     order = W.partitionBy("trace").orderBy("piece")
     boxes = materialize(guesses.select("trace", "piece", F.lead("piece").over(order).alias("onward"), "x0", "x1", "y0", "y1", "t1", "always"), "boxes")
     # more than a degree has anywhere, by both axes: no sample of the box is farther
@@ -109,15 +170,12 @@ def kept(rows: DataFrame, min_m: float, min_ms: int, either: bool = False, metre
     ends = materialize(guesses.select("trace", "piece", "id", "t", "x", "y"), "ends")
     seen, links = ends, []
 
-    def follow(group):
-        import pyarrow as pa
-
-        one = {c: group.column(c)[0].as_py() for c in ("trace", "piece", "from_piece", "e_id", "e_t", "e_x", "e_y", "ids")}
-        entry = tuple(one[c] for c in ("e_id", "e_t", "e_x", "e_y"))
-        ids, met, last = walk(group, entry, frozenset(one["ids"]))
-        told = [one["trace"], one["from_piece"], one["e_id"], one["piece"], ids, met, *(last or (None,) * 4)]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(told, kinds)], names=[c.split()[0] for c in linked.split(", ")])
+    def follow(group, ends, guess):
+        met_at, out = frozenset(guess[0]["ids"]), []
+        for e in ends:
+            ids, met, last = walk(group, (e["e_id"], e["e_t"], e["e_x"], e["e_y"]), met_at)
+            out.append((e["trace"], e["from_piece"], e["e_id"], e["piece"], ids, met, *(last or (None,) * 4)))
+        return out
 
     linked = f"trace string, from_piece long, from_id long, piece long, prefix array<long>, met long, {_STATE}"
     while not ends.isEmpty():
@@ -126,8 +184,7 @@ def kept(rows: DataFrame, min_m: float, min_ms: int, either: bool = False, metre
         beyond = after.where("NOT _may").drop("piece", "_may").join(boxes, "trace").where(F.col("piece") > F.col("from_piece")).where(may)  # a stop longer than a piece
         beyond = beyond.groupBy("trace", "from_piece", "id", "t", "x", "y").agg(F.min("piece").alias("piece"))
         targets = after.where("_may").drop("_may").unionByName(beyond).select("trace", "piece", "from_piece", *(F.col(c).alias(f"e_{c}") for c in ("id", "t", "x", "y")))
-        asked = rows.join(targets, ["trace", "piece"]).join(guesses.select("trace", "piece", "ids"), ["trace", "piece"])
-        found = materialize(asked.groupBy("trace", "piece", "from_piece", "e_id").applyInArrow(follow, linked), "links")
+        found = materialize(grouped(rows, follow, linked, targets, guesses.select("trace", "piece", "ids")), "links")
         links.append(found)
         # a piece that keeps nothing passes the end on; one that met its guess ends as that does
         fresh = found.where("met IS NULL").select("trace", "piece", "id", "t", "x", "y").distinct()
@@ -141,19 +198,19 @@ def kept(rows: DataFrame, min_m: float, min_ms: int, either: bool = False, metre
 
     def path(group, others):
         """The pieces that keep samples, and the link by which each is reached."""
-        import pyarrow as pa
-
-        last = dict(zip(group.column("piece").to_pylist(), group.column("id").to_pylist()))
-        onward = {(p, e): (n, met, to) for p, e, n, met, to in zip(*(others.column(c).to_pylist() for c in ("from_piece", "from_id", "piece", "met", "id")))}
+        last = {r["piece"]: r["id"] for r in group}
+        onward = {(r["from_piece"], r["from_id"]): (r["piece"], r["met"], r["id"]) for r in others if r["from_piece"] is not None}
         piece = min(last)
         out, at = [(piece, None, None)], (piece, last[piece])
         while at in onward:
             n, met, to = onward[at]
             out.append((n, *at))
             at = (n, last[n] if met is not None else to)
-        return pa.table({"trace": pa.array([group.column("trace")[0].as_py()] * len(out), pa.string()), **{c: pa.array(v, pa.int64()) for c, v in zip(("piece", "from_piece", "from_id"), zip(*out))}})
+        return [(group[0]["trace"], *one) for one in out]
 
-    walked = guesses.select("trace", "piece", "id").groupBy("trace").cogroup(every.select("trace", "from_piece", "from_id", "piece", "met", "id").groupBy("trace")).applyInArrow(path, "trace string, piece long, from_piece long, from_id long")
+    led = every.select("trace", "from_piece", "from_id", "piece", "met", "id")
+    led = led.unionByName(guesses.select("trace").distinct(), allowMissingColumns=True)  # traces of one piece have no links
+    walked = grouped(guesses.select("trace", "piece", "id"), path, "trace string, piece long, from_piece long, from_id long", led, keys=("trace",))
     walked = materialize(walked, "walk")
     by_link = walked.where("from_id IS NOT NULL").join(every.select("trace", "piece", "from_piece", "from_id", "prefix", "met"), ["trace", "piece", "from_piece", "from_id"]).join(guesses.select("trace", "piece", "ids"), ["trace", "piece"])
     rest = F.when(F.col("met").isNull(), F.array().cast("array<long>")).otherwise(F.slice("ids", F.greatest(F.lit(1), F.array_position("ids", F.col("met")).cast("int")), F.greatest(F.lit(1), F.size("ids"))))
@@ -173,9 +230,10 @@ def thin(points: DataFrame, min_distance_m: float, min_interval_ms: int, key: st
 # Matching
 
 _FOUND = "array<struct<edge:string,fraction:double,metres:double,x:double,y:double>>"
-_LINKS = "array<struct<a:int,b:int,log:double,metres:double,refs:array<string>>>"
+#: Links come as arrays of their parts, by candidate, then by the one before.
+_LINKS = "from array<int>, to array<int>, probs array<double>, metres array<double>, refs array<array<string>>"
 #: A sample with its candidates as they are after the sample before, and the routes from those of that one.
-_STEP = f"trace string, piece long, id long, t long, lon double, lat double, has boolean, round int, edges array<string>, fractions array<double>, xs array<double>, ys array<double>, logs array<double>, links {_LINKS}, broke boolean"
+_STEP = f"trace string, piece long, id long, t long, lon double, lat double, has boolean, round int, edges array<string>, fractions array<double>, xs array<double>, ys array<double>, logs array<double>, {_LINKS}, broke boolean"
 _TRANSFER = "trace string, rank long, constant boolean, width int, cells array<double>"
 
 
@@ -203,10 +261,10 @@ def _table(rows: list[tuple], ddl: str):
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], _arrow(kind)) for i, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])
 
 
-def _records(group) -> list[dict]:
+def _records(group: list[dict]) -> list[dict]:
     """A group's rows in order of time, of several rounds the last."""
     latest: dict[int, dict] = {}
-    for r in group.to_pylist():
+    for r in group:
         if r["id"] not in latest or r.get("round", 0) >= latest[r["id"]]["round"]:
             latest[r["id"]] = r
     return sorted(latest.values(), key=lambda r: (r["t"], r["lon"], r["lat"], r["id"]))
@@ -220,7 +278,7 @@ class _Roads:
         self.find, self.name, self.ref = self.graph.find, self.graph.name, self.graph.ref
 
     def prepared(self, before: list, last, s: dict):
-        found = [(self.find(c["edge"]), c["fraction"], c["metres"], c["x"], c["y"]) for c in s["found"]]
+        found = [(self.find(edge), *rest) for edge, *rest in s["found"]]
         return kernel.prepared(self.graph, self.config, before, last, s["t"], s["lon"], s["lat"], found)
 
 
@@ -238,8 +296,8 @@ def _steps(graph, samples: list[dict], last, before: list, known: dict, turn: in
         place = {k: i for i, k in enumerate(alive)}
         before, last = [now[k][0] for k in alive], (s["t"], s["lon"], s["lat"])
         edges, fractions = [graph.name(c.edge) for c in before], [c.fraction for c in before]
-        told = [dict(zip(("a", "b", "log", "metres", "refs"), (a, place[k], *rest))) for a, k, *rest in sorted(links, key=lambda x: (x[1], x[0]))]
-        yield (s["trace"], s["piece"], s["id"], *last, s["has"], turn, edges, fractions, [c.lon for c in before], [c.lat for c in before], [math.log10(now[k][1]) for k in alive], told, not reached)
+        told = list(zip(*((a, place[k], *rest) for a, k, *rest in sorted(links, key=lambda x: (x[1], x[0]))))) or [()] * 5
+        yield (s["trace"], s["piece"], s["id"], *last, s["has"], turn, edges, fractions, [c.lon for c in before], [c.lat for c in before], [math.log10(now[k][1]) for k in alive], *told, not reached)
         old = known.get(s["id"])
         if old is not None and old["edges"] == edges and old["fractions"] == fractions:
             return
@@ -249,18 +307,15 @@ def _linked(samples: DataFrame, opened) -> DataFrame:
     """Rows of _STEP of all samples; some come for several rounds, of which the last counts. Tasks call opened()."""
 
     def started(group):
-        return _table(list(_steps(opened(), _records(group), None, [], {}, 0)), _STEP)
-
-    def restarted(group, old):
-        rows = _records(group)
-        if not rows:
-            return _table([], _STEP)
-        graph, e = opened(), rows[0]["entry"]
-        before = [kernel.Candidate(graph.find(n), f, x, y) for n, f, x, y in zip(e["edges"], e["fractions"], e["xs"], e["ys"])]
-        known = {r["id"]: r for r in _records(old)}
-        return _table(list(_steps(graph, rows, (e["t"], e["lon"], e["lat"]), before, known, rows[0]["turn"])), _STEP)
-
-    done = materialize(samples.groupBy("trace", "piece").applyInArrow(started, _STEP), "steps")
+        return _steps(opened(), _records(group), None, [], {}, 0)
+
+    def restarted(group, todo, old):
+        rows, graph = _records(group), opened()
+        (t, lon, lat, *vector), turn = todo[0]["entry"], todo[0]["turn"]
+        before = [kernel.Candidate(graph.find(n), f, x, y) for n, f, x, y in zip(*vector)]
+        return _steps(graph, rows, (t, lon, lat), before, {r["id"]: r for r in _records(old)}, turn)
+
+    done = materialize(grouped(samples, started, _STEP), "steps")
     state = F.struct("t", "lon", "lat", "edges", "fractions", "xs", "ys")
     ends = materialize(done.groupBy("trace", "piece").agg(F.max_by(state, F.struct("t", "lon", "lat", "id")).alias("entry"), F.max(F.struct("t", "lon", "lat", "id")).alias("at")), "piece-ends")
     onward = ends.select("trace", "piece", F.lead("piece").over(W.partitionBy("trace").orderBy("piece")).alias("next"), "at").where("next IS NOT NULL")
@@ -268,14 +323,18 @@ def _linked(samples: DataFrame, opened) -> DataFrame:
     changed = ends.select("trace", "piece", "entry")
     while True:
         todo = onward.join(changed, ["trace", "piece"]).select("trace", F.col("next").alias("piece"), "entry")
-        asked = samples.join(todo, ["trace", "piece"]).withColumn("turn", F.lit(turn))
-        more = materialize(asked.groupBy("trace", "piece").cogroup(done.join(todo.select("trace", "piece"), ["trace", "piece"], "left_semi").groupBy("trace", "piece")).applyInArrow(restarted, _STEP), "steps")
+        old = done.select("trace", "piece", "id", "t", "lon", "lat", "round", "edges", "fractions")
+        if turn > 1:  # of the first round all but first pieces are asked
+            asked = [df.join(todo.select("trace", "piece"), ["trace", "piece"], "left_semi") for df in (samples, old)]
+        else:
+            asked = [samples, old]
+        more = materialize(grouped(asked[0], restarted, _STEP, todo.withColumn("turn", F.lit(turn)), asked[1]), "steps")
         done = done.unionByName(more)
         # a piece has another end only where its last sample was put right, to other candidates than before
         other = more.join(ends.select("trace", "piece", "at", "entry"), ["trace", "piece"]).where((F.col("id") == F.col("at.id")) & ((F.col("edges") != F.col("entry.edges")) | (F.col("fractions") != F.col("entry.fractions"))))
         changed = materialize(other.select("trace", "piece", state.alias("entry")), "changed")
         if changed.isEmpty():
-            return done
+            return done if turn < 8 else materialize(done, "linked")  # many rounds would be read each time
         ends = materialize(ends.select("trace", "piece", "at", F.col("entry").alias("_old")).join(changed, ["trace", "piece"], "left").select("trace", "piece", "at", F.coalesce("entry", "_old").alias("entry")), "piece-ends")
         turn += 1
 
@@ -305,11 +364,11 @@ def entering(transfers: DataFrame, sums: bool = False) -> DataFrame:
     blocks = transfers.withColumn("block", F.floor(F.col("rank") / FAN).cast("long"))
 
     def product(group):
-        rows = sorted(group.to_pylist(), key=lambda r: r["rank"])
+        rows = sorted(group, key=lambda r: r["rank"])
         all_, whole = _transfers(rows), None
         for m in all_:
             whole = m if whole is None else _times(whole, m, sums)
-        return _table([(rows[0]["trace"], rows[0]["block"], whole[0], whole[1].shape[1], whole[1].ravel().tolist())], _TRANSFER)
+        return [(rows[0]["trace"], rows[0]["block"], whole[0], whole[1].shape[1], whole[1].ravel().tolist())]
 
     def prefixes(rows, v):
         """The vector before each transfer."""
@@ -320,49 +379,56 @@ def entering(transfers: DataFrame, sums: bool = False) -> DataFrame:
         return out
 
     def of_blocks(group):
-        rows = sorted(group.to_pylist(), key=lambda r: r["rank"])
-        return _table([(r["trace"], r["rank"], None if v is None else v.tolist()) for r, v in zip(rows, prefixes(rows, None))], "trace string, block long, v array<double>")
+        rows = sorted(group, key=lambda r: r["rank"])
+        return [(r["trace"], r["rank"], None if v is None else v.tolist()) for r, v in zip(rows, prefixes(rows, None))]
 
-    def of_transfers(group):
+    def of_transfers(group, *starts):
         import numpy as np
 
-        rows = sorted(group.to_pylist(), key=lambda r: r["rank"])
-        v = rows[0]["v"]
-        return _table([(r["trace"], r["rank"], None if x is None else x.tolist()) for r, x in zip(rows, prefixes(rows, None if v is None else np.array(v)))], "trace string, rank long, v array<double>")
+        rows = sorted(group, key=lambda r: r["rank"])
+        v = starts[0][0]["v"] if starts else None
+        return [(r["trace"], r["rank"], None if x is None else x.tolist()) for r, x in zip(rows, prefixes(rows, None if v is None else np.array(v)))]
 
-    products = materialize(blocks.groupBy("trace", "block").applyInArrow(product, _TRANSFER), "products")
-    starts = products.groupBy("trace").applyInArrow(of_blocks, "trace string, block long, v array<double>")
-    return materialize(blocks.join(starts, ["trace", "block"]).groupBy("trace", "block").applyInArrow(of_transfers, "trace string, rank long, v array<double>"), "entering")
+    told, by_block = "trace string, rank long, v array<double>", ("trace", "block")
+    if blocks.where("block > 0").isEmpty():
+        return materialize(grouped(blocks, of_transfers, told, keys=by_block), "entering")
+    products = materialize(grouped(blocks, product, _TRANSFER, keys=by_block), "products")
+    starts = grouped(products, of_blocks, "trace string, block long, v array<double>", keys=("trace",))
+    return materialize(grouped(blocks, of_transfers, told, starts, keys=by_block), "entering")
 
 
 def _viterbi(rows: list[dict], v: list | None):
-    """Of each row its candidates' log probabilities, and the link by which each was reached (None: it starts anew)."""
+    """Of each row its candidates' log probabilities, and the place of the link by which each was reached (None: it starts anew)."""
     for r in rows:
+        logs = r["logs"]
         if r["broke"]:
-            seq, by = list(r["logs"]), [None] * len(r["logs"])
+            seq, by = list(logs), [None] * len(logs)
         else:
-            seq, by = [_NONE] * len(r["logs"]), [None] * len(r["logs"])
-            for link in r["links"]:  # by candidate, then by the one before, so that ties go to the smaller
-                q = v[link["a"]] + link["log"] + r["logs"][link["b"]]
-                if q > seq[link["b"]] + kernel.TIE:
-                    seq[link["b"]], by[link["b"]] = q, link
+            seq, by = [_NONE] * len(logs), [None] * len(logs)
+            for i, (a, b, prob) in enumerate(zip(r["from"], r["to"], r["probs"])):  # ties go to the smaller
+                q = v[a] + prob + logs[b]
+                if q > seq[b] + kernel.TIE:
+                    seq[b], by[b] = q, i
         v = seq
         yield seq, by
 
 
-def _chain(rows: list[dict], v: list | None, end: int):
-    """Each row's candidate on the way to candidate `end` of the last row: (candidate, its log probability, link); and the candidate before the first."""
-    told = list(_viterbi(rows, v))
+def _chain(rows: list[dict], told: list, v: list | None, end: int):
+    """Each row's candidate on the way to candidate `end` of the last row: (candidate, its log probability, link); and the candidate before the first.
+
+    told is what _viterbi tells of the rows.
+    """
     out, c = [], end
     for i in range(len(rows) - 1, -1, -1):
         seq, by = told[i]
-        out.append((c, seq[c], by[c]))
+        link = by[c]
+        out.append((c, seq[c], link))
         before = told[i - 1][0] if i else v
-        c = by[c]["a"] if by[c] is not None else None if before is None else kernel.leader(before)
+        c = rows[i]["from"][link] if link is not None else None if before is None else kernel.leader(before)
     return out[::-1], c
 
 
-def _matrix(rows: list[dict], sums: bool = False):
+def _matrix(rows: list[dict], n_before: int, sums: bool = False):
     """Whether a piece starts anew within, and its transfer from the candidates before it to its last."""
     import numpy as np
 
@@ -372,9 +438,9 @@ def _matrix(rows: list[dict], sums: bool = False):
         if r["broke"]:
             constant, m = True, of(r["logs"])[None]
         else:
-            one = np.full((rows[0]["n_before"] if i == 0 else m.shape[1], len(r["logs"])), 0.0 if sums else _NONE)
-            for k in r["links"]:
-                one[k["a"], k["b"]] = of(k["log"] + r["logs"][k["b"]])
+            one = np.full((n_before if i == 0 else m.shape[1], len(r["logs"])), 0.0 if sums else _NONE)
+            to = np.array(r["to"], int)
+            one[np.array(r["from"], int), to] = of(np.array(r["probs"]) + np.array(r["logs"])[to])
             m = one if m is None else _times((constant, m), (False, one), sums)[1]
         if sums:
             m = m / (m.max() or 1.0)
@@ -391,38 +457,42 @@ def _pieces(steps: DataFrame) -> DataFrame:
     return materialize(pieces, "pieces")
 
 
+#: What a scan reads of steps.
+_SCANNED = ["trace", "piece", "id", "t", "lon", "lat", "round", "logs", "from", "to", "probs", "broke"]
+
+
 def _entered(steps: DataFrame, pieces: DataFrame, sums: bool = False) -> DataFrame:
     """pieces with v: the log probabilities, or the probabilities, with which each is entered."""
 
-    def transfer(group):
-        rows = _records(group)
-        constant, m = _matrix(rows, sums)
-        return _table([(rows[0]["trace"], rows[0]["rank"], constant, m.shape[1], m.ravel().tolist())], _TRANSFER)
+    def transfer(group, piece):
+        constant, m = _matrix(_records(group), piece[0]["n_before"], sums)
+        return [(piece[0]["trace"], piece[0]["rank"], constant, m.shape[1], m.ravel().tolist())]
 
-    known = steps.join(pieces.select("trace", "piece", "rank", "n_before"), ["trace", "piece"])
-    vectors = entering(materialize(known.groupBy("trace", "piece").applyInArrow(transfer, _TRANSFER), "matrices"), sums)
+    known = grouped(steps.select(*_SCANNED), transfer, _TRANSFER, pieces.select("trace", "piece", "rank", "n_before"))
+    vectors = entering(materialize(known, "matrices"), sums)
     return materialize(pieces.join(vectors, ["trace", "rank"]), "entered")
 
 
-def _scanned(steps: DataFrame) -> DataFrame:
+def _scanned(steps: DataFrame, pieces: DataFrame) -> DataFrame:
     """A row for each piece with v, the log probabilities that it is entered with, and end: 0 for the candidate that it ends with."""
-    entered = _entered(steps, _pieces(steps))
+    entered = _entered(steps, pieces)
 
-    def back(group):
+    def back(group, piece):
         """From which candidate of the piece before each of the last candidates comes, as a transfer; of the last piece the likeliest too."""
         rows, out = _records(group), []
-        trace, v, rank = rows[0]["trace"], rows[0]["v"], rows[0]["rank"]
-        ends = list(_viterbi(rows, v))[-1][0]
-        if rows[0]["is_last"]:
+        trace, v, rank = piece[0]["trace"], piece[0]["v"], piece[0]["rank"]
+        told = list(_viterbi(rows, v))
+        ends = told[-1][0]
+        if piece[0]["is_last"]:
             out.append((trace, -rank - 1, True, len(ends), [0.0 if k == kernel.leader(ends) else _NONE for k in range(len(ends))]))
         if v is not None:
-            ways = [_chain(rows, v, k)[1] for k in range(len(ends))]
+            ways = [_chain(rows, told, v, k)[1] for k in range(len(ends))]
             out.append((trace, -rank, False, len(v), [0.0 if k == way else _NONE for way in ways for k in range(len(v))]))
         else:
             out.append((trace, -rank, True, 1, [0.0]))  # nothing comes before, but something is to be entered
-        return _table(out, _TRANSFER)
+        return out
 
-    transfers = materialize(steps.join(entered, ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(back, _TRANSFER), "back")
+    transfers = materialize(grouped(steps.select(*_SCANNED), back, _TRANSFER, entered.select("trace", "piece", "v", "rank", "is_last")), "back")
     # ranks from 0 up, from the last piece to the first
     backward = _after(materialize(transfers.withColumn("rank", F.col("rank") - F.min("rank").over(W.partitionBy("trace"))), "backward"))
     return entered.join(entered.groupBy("trace").agg(F.max("rank").alias("top")), "trace").withColumn("up", F.col("top") - F.col("rank")).join(backward.select("trace", F.col("rank").alias("up"), F.col("v").alias("end")), ["trace", "up"])
@@ -440,28 +510,27 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
 
     def gathered(group):
         opened, out = graphstore.opened(path, config.connect), []
-        numbered = match.trace_of(match.sample_rows(group), opened, config.radius_m, numbered=True)
-        for t, lon, lat, has, found, n in numbered:
-            left = kernel.minset(opened, sorted(found))
+        listed = ((*(r[c] for c in ("time_ms", "lon", "lat", "has_event", "_n", "geom_id", "fwd_ref", "back_ref")), r["place"] and dict(zip("di", r["place"])), r["along"], r["road_lon"], r["road_lat"]) for r in group)
+        for t, lon, lat, has, found, n in match.trace_of(listed, opened, config.radius_m, numbered=True):
+            left = kernel.minset(opened, sorted(found)) if found else []
             if left:
-                out.append((group.column("trace")[0].as_py(), group.column("piece")[0].as_py(), n, t, lon, lat, has, [dict(zip(("edge", "fraction", "metres", "x", "y"), (opened.name(e), *rest))) for e, *rest in left]))
-        return _table(out, sample)
+                out.append((group[0]["trace"], group[0]["piece"], n, t, lon, lat, has, [dict(zip(("edge", "fraction", "metres", "x", "y"), (opened.name(e), *rest))) for e, *rest in left]))
+        return out
 
     sample = f"trace string, piece long, id long, t long, lon double, lat double, has boolean, found {_FOUND}"
-    samples = materialize(rows.groupBy("trace", "piece").applyInArrow(gathered, sample), "samples")
+    samples = materialize(grouped(rows, gathered, sample), "samples")
     if config.min_distance_m > 0 or config.min_interval_ms > 0:
         ids = kept(samples.select("trace", "piece", "id", "t", F.col("lon").alias("x"), F.col("lat").alias("y"), "has"), config.min_distance_m, config.min_interval_ms, metres=kernel.planar_m)
         samples = materialize(samples.join(ids, ["trace", "piece", "id"], "left_semi"), "kept-samples")
-    steps = materialize(_linked(samples, lambda: _Roads(path, config)), "linked")
+    steps = _linked(samples, lambda: _Roads(path, config))
 
-    ends = _scanned(steps)
+    ends = _scanned(steps, _pieces(steps))
     out_ddl = f"{MATCHED.removeprefix('vehicle_id string, ')}, trace string, piece long, open_start boolean, open_end boolean, n_routes int"
     names = [f.split()[0] for f in out_ddl.split(", ")]
 
-    def told(group):
-        rows = _records(group)
-        head = rows[0]
-        chain, c = _chain(rows, head["v"], head["end"].index(0.0))
+    def told(group, piece):
+        rows, head = _records(group), piece[0]
+        chain, c = _chain(rows, list(_viterbi(rows, head["v"])), head["v"], head["end"].index(0.0))
         before = None if c is None else (head["v"][c], head["fractions_before"][c], head["t_before"])
         out, seq, good, first, waiting = [], 0, None, None, []
 
@@ -477,7 +546,7 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
             fraction = r["fractions"][c]
             if link is not None:
                 seconds = (r["t"] - before[2]) / 1000
-                speed = link["metres"] / seconds if seconds > 0 else None
+                speed = r["metres"][link] / seconds if seconds > 0 else None
                 last = 0.0 if head["offset"] + i == 1 or before[0] < p else before[0]
                 delta, ref = p - last, r["edges"][c].split(":", 1)[1]
                 seq += 1
@@ -486,8 +555,8 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
                 if r["has"]:
                     row("snapped", **same, seqprob_delta=delta, speed_mps=speed, ref_id=ref, end_fraction=fraction)
                 if delta > config.seqprob_delta_min:
-                    for k, e in enumerate(link["refs"]):
-                        start, end = before[1] if k == 0 else 0.0, fraction if k == len(link["refs"]) - 1 else 1.0
+                    for k, e in enumerate(r["refs"][link]):
+                        start, end = before[1] if k == 0 else 0.0, fraction if k == len(r["refs"][link]) - 1 else 1.0
                         row("speed", seq=seq, time_ms=r["t"], ref_id=e, start_fraction=start, end_fraction=end, speed_mps=speed)
                         if k == 0:
                             first = first or (e, start, seq)
@@ -499,9 +568,9 @@ def match_long(points: DataFrame, roads: DataFrame, config: MatchConfig = MatchC
             before = (p, fraction, r["t"])
         close(None, None, None)
         row("_piece", n_routes=seq, end_ref=first and first[0], end_fraction=first and first[1], seq=first and first[2], start_ref=good and good[0], start_fraction=good and good[1])
-        return match.as_table(out, out_ddl)
+        return [tuple(map(r.get, names)) for r in out]
 
-    pieced = materialize(steps.join(ends.select("trace", "piece", "v", "end", "offset", "fractions_before", "t_before"), ["trace", "piece"]).groupBy("trace", "piece").applyInArrow(told, out_ddl), "told")
+    pieced = materialize(grouped(steps.drop("xs", "ys"), told, out_ddl, ends.select("trace", "piece", "v", "end", "offset", "fractions_before", "t_before")), "told")
     order = W.partitionBy("trace").orderBy("piece")
     own = pieced.where("kind = '_piece'")
     up, down = order.rowsBetween(W.unboundedPreceding, -1), W.partitionBy("trace").orderBy(F.desc("piece")).rowsBetween(W.unboundedPreceding, -1)
