@@ -114,3 +114,33 @@ def test_chains_like_the_kernel(spark, monkeypatch):
     frames = spark.createDataFrame(emissions, "trace string, t long, state string, probability double"), spark.createDataFrame(transitions, "trace string, t long, from_state string, state string, probability double")
     got = [(r.trace, r.t, r.state, round(r.filter, 9), round(r.log, 8), r.before, r.chosen) for r in markov.decode(*frames, piece=40).collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and sum(w[5] is None for w in want) > 5
+
+
+def test_groups_are_walked_through_within_tasks(spark):
+    """Groups over several Arrow batches, with nulls and lists, and frames beside; those that lack rows of one are left out."""
+    rows = [(f"t{k % 7}", k // 3000, k, None if k % 5 == 0 else k / 2, [(k, "a")] * (k % 3) if k % 4 else None) for k in range(12_000)]
+    frame = spark.createDataFrame(rows, "trace string, piece long, id long, x double, l array<struct<n:long,s:string>>")
+    beside = spark.createDataFrame([(f"t{k}", p, 10 * k) for k in range(6) for p in range(4)], "trace string, piece long, v long")
+
+    def run(group, told):
+        return [(group[0]["trace"], group[0]["piece"], len(group), sum(r["x"] or 0.0 for r in group), sum(n for r in group for n, _ in r["l"] or ()), sum(r["l"] is None for r in group), told[0]["v"])]
+
+    got = pieces.grouped(frame, run, "trace string, piece long, n int, x double, l long, missing int, v long", beside)
+    assert "FlatMapGroupsInArrow" not in got._jdf.queryExecution().toString()
+    want = []
+    for k in range(6):
+        for p in range(4):
+            own = [r for r in rows if r[:2] == (f"t{k}", p)]
+            want.append((f"t{k}", p, len(own), sum(r[3] or 0.0 for r in own), sum(n for r in own for n, _ in r[4] or ()), sum(r[4] is None for r in own), 10 * k))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_chain_probabilities_keep_pairs_in_rows(spark, sf):
+    """Pairs of candidates aren't rows to be shuffled, and their distances are distance() to the bit."""
+    from wayfold.functions import geo
+    from wayfold.plans import queries
+
+    at = spark.createDataFrame([(10.0 + 0.37 * k, 50.0 - 0.21 * k, 10.001 + 0.37 * k, 50.0007 - 0.21 * k) for k in range(200)], "a double, b double, c double, d double")
+    a, b, c, d = (F.col(x) for x in "abcd")
+    assert at.where(geo.between(geo.placed(a, b), geo.placed(c, d)) != geo.distance(a, b, c, d)).count() == 0
+    assert "FlatMapGroupsInArrow" not in queries.chain_probabilities(spark, sf)._jdf.queryExecution().toString()

@@ -668,11 +668,15 @@ def chain_probabilities(spark, sf_dir):
     from pyspark.sql import Window as W
 
     c = spatial.radius_join(gps(spark, sf_dir).select("vehicle_id", "rn", "lon", "lat"), grid(spark, sf_dir), 25.0)
-    k = F.dense_rank().over(W.partitionBy("vehicle_id").orderBy("rn")).cast("long")
-    em = materialize(c.select("vehicle_id", k.alias("k"), F.col("ref_id").alias("state"), hmm.emission(F.col("distance_m"), 4.07).alias("probability"), "road_lon", "road_lat"), "emissions")
-    before = em.select("vehicle_id", (F.col("k") + 1).alias("k"), F.col("state").alias("from_state"), F.col("road_lon").alias("x"), F.col("road_lat").alias("y"))
-    far = em.join(before, ["vehicle_id", "k"]).withColumn("d", geo.distance(F.col("x"), F.col("y"), F.col("road_lon"), F.col("road_lat"))).where("d <= 100")
-    told = markov.decode(em, far.select("vehicle_id", "k", "from_state", "state", (1 / (1 + F.col("d") / 50)).alias("probability")), 25, "vehicle_id", "k")
+    c = c.select("vehicle_id", "rn", F.struct(F.col("ref_id").alias("state"), hmm.emission(F.col("distance_m"), 4.07).alias("probability"), geo.placed(F.col("road_lon"), F.col("road_lat")).alias("at")).alias("c"))
+    order = W.partitionBy("vehicle_id").orderBy("rn")
+    steps = c.groupBy("vehicle_id", "rn").agg(F.sort_array(F.collect_list("c")).alias("found"))
+    steps = steps.select("vehicle_id", F.row_number().over(order).cast("long").alias("k"), "found", F.lag("found").over(order).alias("before"))
+    # pairs of a step stay in its row: they are many times as many as its candidates
+    pair = lambda a: F.transform("found", lambda b: F.struct(a["state"].alias("from_state"), b["state"].alias("state"), geo.between(a["at"], b["at"]).alias("d")))
+    near = F.filter(F.flatten(F.transform("before", pair)), lambda w: w["d"] <= 100)
+    ways = F.transform(near, lambda w: F.struct(w["from_state"].alias("from_state"), w["state"].alias("state"), (1 / (1 + w["d"] / 50)).alias("probability")))
+    told = markov.decode_steps(steps.select("vehicle_id", "k", "found", ways.alias("ways")), 25, "vehicle_id", "k")
     return told.select("vehicle_id", "k", "state", rounded(F.col("filter"), 6).alias("filter"), rounded(F.col("log"), 5).alias("log"))
 
 
